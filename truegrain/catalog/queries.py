@@ -375,7 +375,7 @@ def _tested(s: Source) -> DataFrame:
 
 @query
 def test_functions(s: Source) -> DataFrame:
-    return _tested(s).select("column_name", F.explode("test_function").alias("test_function"))
+    return _tested(s).select("column_name", F.explode_outer("test_function").alias("test_function"))
 
 
 @query

@@ -75,6 +75,20 @@ def letter_bits(column: Column) -> Column:
     return F.when(F.length(column) <= BITS, F.transform(letters(column), bits))
 
 
+def letter_set(column: Column) -> Column:
+    """The different characters of a text as 64 bits, several characters to a bit.
+
+    An insertion or deletion changes at most one bit, so two texts are at least as
+    far apart as the number of bits they differ in.
+    """
+
+    def add(mask: Column, letter: Column) -> Column:
+        place = F.pmod(F.hash(letter), F.lit(64))
+        return mask.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), place))
+
+    return F.aggregate(letters(column), F.lit(0).cast("bigint"), add)
+
+
 def short_common_subsequence_length(
     left_length: Column, left_letters: Column, left_bits: Column, right: Column
 ) -> Column:

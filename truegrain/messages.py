@@ -92,15 +92,17 @@ MISSING_FILE = "File {path} does not exist."
 
 def fill(text: str, values: Mapping[str, object]) -> Column:
     """The text as a column, its placeholders filled with columns or plain values."""
-    parts: list[Column] = []
+    pattern, arguments = "", []
     for literal, name, _, _ in Formatter().parse(text):
-        if literal:
-            parts.append(F.lit(literal))
-        if name is not None:
-            value = values[name]
-            shown = value.cast("string") if isinstance(value, Column) else F.lit(str(value))
-            parts.append(F.coalesce(shown, F.lit("NULL")))
-    return F.concat(*parts)
+        pattern += literal.replace("%", "%%")
+        if name is None:
+            continue
+        if isinstance(values[name], Column):
+            pattern += "%s"
+            arguments.append(values[name].cast("string"))
+        else:
+            pattern += str(values[name]).replace("%", "%%")
+    return F.format_string(pattern, *arguments) if arguments else F.lit(pattern.replace("%%", "%"))
 
 
 def message_for(test: str, passed: Column, values: Mapping[str, object]) -> Column:

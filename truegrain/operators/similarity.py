@@ -19,6 +19,7 @@ from truegrain.functions.text import (
     BITS,
     common_subsequence_length,
     letter_bits,
+    letter_set,
     letters,
     short_common_subsequence_length,
     sorted_tokens,
@@ -74,14 +75,14 @@ def _choice_pieces(choices: DataFrame, threshold: int) -> DataFrame:
     frequency = cut.groupBy(*place).agg(F.count(F.lit(1)).alias("uses"))
     ranked = (
         cut.join(frequency, place)
-        .groupBy("b", "b_key", "b_rank", "b_length")
+        .groupBy("b", "b_key", "b_set", "b_rank", "b_length")
         .agg(F.sort_array(F.collect_list(F.struct("uses", "piece_index", "piece"))).alias("all"))
     )
     # One group is one name, so the list holds as many pieces as the name has.
     rare = F.slice("all", F.lit(1), F.size("all") - SPARE_PIECES)
-    return ranked.select("b", "b_key", "b_rank", "b_length", F.explode(rare).alias("p")).select(
-        "b", "b_key", "b_rank", "b_length", F.col("p.piece_index"), F.col("p.piece")
-    )
+    return ranked.select(
+        "b", "b_key", "b_set", "b_rank", "b_length", F.explode(rare).alias("p")
+    ).select("b", "b_key", "b_set", "b_rank", "b_length", "p.piece_index", "p.piece")
 
 
 def _name_probes(names: DataFrame, threshold: int) -> DataFrame:
@@ -125,6 +126,7 @@ def _name_probes(names: DataFrame, threshold: int) -> DataFrame:
         .select(
             "a",
             "a_key",
+            "a_set",
             "b_length",
             "edits",
             "piece_index",
@@ -161,6 +163,7 @@ def best_matches(
         .distinct()
         .withColumn("a_key", sorted_tokens(F.col("a")))
         .where(F.col("a_key") != "")
+        .withColumn("a_set", letter_set(F.col("a_key")))
     )
     rank = column_of(choices, choice_order) if choice_order else F.lit(0)
     b = (
@@ -170,6 +173,7 @@ def best_matches(
         .agg(F.min("rank").alias("b_rank"))
         .withColumn("b_key", sorted_tokens(F.col("b")))
         .where(F.col("b_key") != "")
+        .withColumn("b_set", letter_set(F.col("b_key")))
     )
     # Names are few bytes but fan out into hundreds of probes and then pairs each, so
     # both steps are spread by number of tasks, not by size.
@@ -185,9 +189,12 @@ def best_matches(
         .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
         .repartition(tasks, *meeting)
     )
-    # The built-in distance also allows substitutions, so it is never larger than d.
-    # It is -1 beyond the bound, which discards most pairs before they leave the join.
-    close = F.call_function("levenshtein", F.col("a_key"), F.col("b_key"), F.col("edits")) >= 0
+    # Two cheaper bounds discard most pairs before they leave the join: the characters
+    # used, and the built-in distance, which may also substitute and so is never larger
+    # than d; it is -1 beyond the bound.
+    unlike = F.bit_count(F.col("a_set").bitwiseXOR(F.col("b_set")))
+    bounded = F.call_function("levenshtein", F.col("a_key"), F.col("b_key"), F.col("edits"))
+    close = F.when(unlike <= F.col("edits"), bounded >= 0).otherwise(F.lit(False))
     # Sizes known before the fan-out say nothing about the sizes after it, so neither
     # side may be broadcast on their account.
     pairs = (

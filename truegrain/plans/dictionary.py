@@ -219,13 +219,17 @@ def having_test(mapping: DataFrame, test: str) -> DataFrame:
 
 
 def operational_table(focused: DataFrame) -> DataFrame:
-    """One row per column and test; critical where a test type is a validation."""
+    """One row per column and test; critical where a test type is a validation.
+
+    The outer form of explode keeps a column without tests, and spares the filter on
+    the list that the inner form puts in front, which would compute the list twice.
+    """
     critical = F.exists("test_type", lambda kind: F.contains(kind, F.lit(CRITICAL_MARK)))
     return focused.select(
         "column_name",
         "column_type",
         "business_category",
-        F.explode("test_function").alias("test_function"),
+        F.explode_outer("test_function").alias("test_function"),
         "test_type",
         F.lit(True).alias("enabled"),
         critical.alias("critical"),

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import PySparkException
@@ -266,10 +266,9 @@ def require_pattern(spark: SparkSession, pattern: str) -> None:
 
 
 def build_scalar(df: DataFrame, rule: Rule, params: Params) -> scalar.ScalarCheck:
-    """The check of a scalar rule; anything the analyser rejects is a RuleError."""
+    """The check of a scalar rule, not yet seen by the analyser."""
     try:
         check = TESTS[rule.test].scalar(df, rule.tested_field, params)
-        df.agg(*[m.alias(n) for n, m in check.metrics.items()]).schema
         if rule.test == "validate_date_format":
             require_pattern(df.sparkSession, params["format"])
     except RuleError:
@@ -279,6 +278,16 @@ def build_scalar(df: DataFrame, rule: Rule, params: Params) -> scalar.ScalarChec
     return check
 
 
+def analyser_objects(df: DataFrame, checks: Sequence[scalar.ScalarCheck]) -> str | None:
+    """Why the checks cannot run on ``df`` together, or None if they can."""
+    metrics = [m for check in checks for m in check.metrics.values()]
+    try:
+        df.agg(*metrics)
+    except PySparkException as error:
+        return _first_line(error)
+    return None
+
+
 def build_frame(context: Context, df: DataFrame | None, rule: Rule, params: Params) -> DataFrame:
     try:
         result = TESTS[rule.test].frame(context, df, rule, params)

@@ -16,6 +16,7 @@ from truegrain.plans.rules import (
     TESTS,
     Context,
     Rule,
+    analyser_objects,
     build_frame,
     build_scalar,
     dimension_of,
@@ -84,19 +85,37 @@ def _plan(rule: Rule, context: Context) -> _Planned:
         return _Planned(rule, problem=str(error))
 
 
+def _runnable(items: list[_Planned], table: DataFrame) -> list[_Planned]:
+    """The same rules, those the analyser rejects turned into problems.
+
+    They are tried together; only if that fails is each tried on its own.
+    """
+    if analyser_objects(table, [i.check for i in items]) is None:
+        return items
+    reasons = [analyser_objects(table, [i.check]) for i in items]
+    return [_Planned(i.rule, problem=r) if r else i for i, r in zip(items, reasons)]
+
+
 def _results(planned: list[_Planned], context: Context) -> DataFrame | None:
     """All results of the planned rules as one lazy frame."""
     by_file: dict[str, list[_Planned]] = {}
     for item in planned:
         if item.check is not None:
             by_file.setdefault(item.rule.file_name, []).append(item)
-    frames = [
-        evaluate(context.table(name), [i.check for i in items], [i.rule.label for i in items])
-        for name, items in by_file.items()
-    ]
-    frames += [item.frame for item in planned if item.frame is not None]
-    if problems := [i for i in planned if i.problem is not None]:
-        frames.append(_fixed(context.spark, [i.rule for i in problems], ERROR, [i.problem for i in problems]))
+    frames = [item.frame for item in planned if item.frame is not None]
+    problems = [item for item in planned if item.problem is not None]
+    for name, items in by_file.items():
+        table = context.table(name)
+        tried = _runnable(items, table)
+        problems += [i for i in tried if i.problem is not None]
+        if sound := [i for i in tried if i.check is not None]:
+            frames.append(
+                evaluate(table, [i.check for i in sound], [i.rule.label for i in sound])
+            )
+    if problems:
+        frames.append(
+            _fixed(context.spark, [i.rule for i in problems], ERROR, [i.problem for i in problems])
+        )
     return reduce(DataFrame.unionByName, frames) if frames else None
 
 
@@ -167,6 +186,8 @@ def row_verdicts(
         if rule.file_name != file_name or test is None or test.scalar is None:
             continue
         check = build_scalar(df, rule, parameters(rule))
+        if problem := analyser_objects(df, [check]):
+            raise RuleError(f"{rule.tcid}: {problem}")
         if check.bad_row is not None:
             marks.append(F.when(check.bad_row, F.lit(rule.tcid)))
     failed = F.array_compact(F.array(*marks)) if marks else F.array().cast("array<string>")
