@@ -15,9 +15,9 @@ _VERDICT = "verdict"
 def write_csv(df: DataFrame, path: str, byte_order_mark: bool = False) -> None:
     """CSV with a header; arrays of text are joined by ``|``.
 
-    Values survive a round trip: blanks at the ends are kept, and an empty text
-    (written in quotes) stays apart from NULL. ``byte_order_mark`` marks the header
-    of each file for spreadsheet programs.
+    Texts survive a round trip, blanks and line breaks included, but CSV has one form
+    for nothing: an empty text is read back as NULL. ``byte_order_mark`` marks the
+    header of each file for spreadsheet programs.
     """
     flat = df.select(
         *[
