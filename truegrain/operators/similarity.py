@@ -10,6 +10,8 @@ all pairs that can match with an equi-join, and only those are scored.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,6 +26,7 @@ from truegrain.functions.text import (
     short_common_subsequence_length,
     sorted_tokens,
 )
+from truegrain.session import settle
 
 # Pieces cut beyond the number needed: each name leaves out that many of its most
 # common pieces, so boilerplate shared by many names pairs nothing.
@@ -142,6 +145,12 @@ def _name_probes(names: DataFrame, threshold: int) -> DataFrame:
     )
 
 
+def _ladder(threshold: int) -> list[int]:
+    """Thresholds to try in turn: near matches first."""
+    strict = 100 - (100 - threshold) // 3
+    return [strict, threshold] if strict > threshold else [threshold]
+
+
 def best_matches(
     names: DataFrame,
     name: str,
@@ -154,10 +163,14 @@ def best_matches(
 
     Names without a choice that reaches the threshold are left out. Among equal
     scores the choice that is first in ``choice_order`` wins (default: alphabetical).
+
+    A stricter threshold is tried first. It allows few edits, so pieces are long and
+    pair little; a name it matches is done, because every choice it did not find is
+    less similar. Only the other names go on to the real threshold.
     """
     if isinstance(threshold, bool) or not isinstance(threshold, int) or not 1 <= threshold <= 100:
         raise RuleError(f"threshold must be a whole number from 1 to 100, not {threshold!r}")
-    a = (
+    left = (
         names.select(column_of(names, name).alias("a"))
         .where(F.col("a").isNotNull())
         .distinct()
@@ -166,7 +179,7 @@ def best_matches(
         .withColumn("a_set", letter_set(F.col("a_key")))
     )
     rank = column_of(choices, choice_order) if choice_order else F.lit(0)
-    b = (
+    right = (
         choices.select(column_of(choices, choice).alias("b"), rank.alias("rank"))
         .where(F.col("b").isNotNull())
         .groupBy("b")
@@ -175,17 +188,30 @@ def best_matches(
         .where(F.col("b_key") != "")
         .withColumn("b_set", letter_set(F.col("b_key")))
     )
+    *stricter, last = _ladder(threshold)
+    found = []
+    for step in stricter:
+        near = settle(_matches(left, right, step))
+        found.append(near)
+        left = left.join(near.select(F.col("name").alias("a")), "a", "left_anti")
+    found.append(_matches(left, right, last))
+    return reduce(DataFrame.unionByName, found)
+
+
+def _matches(a: DataFrame, b: DataFrame, threshold: int) -> DataFrame:
+    """The best match of each name of ``a`` among the choices ``b``, at one threshold."""
     # Names are few bytes but fan out into hundreds of probes and then pairs each, so
     # both steps are spread by number of tasks, not by size.
-    tasks = int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = int(a.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    a, b = a.repartition(tasks), b.repartition(tasks)
     meeting = ["b_length", "piece_index", "piece", "salt"]
     probes = (
-        _name_probes(a.repartition(tasks), threshold)
+        _name_probes(a, threshold)
         .withColumn("salt", F.pmod(F.hash("a"), F.lit(SALTS)))
         .repartition(tasks, *meeting)
     )
     pieces = (
-        _choice_pieces(b.repartition(tasks), threshold)
+        _choice_pieces(b, threshold)
         .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
         .repartition(tasks, *meeting)
     )
@@ -204,7 +230,10 @@ def best_matches(
         .distinct()
     )
     with_bits = a.select(
-        "a", "a_key", letters(F.col("a_key")).alias("a_letters"), letter_bits(F.col("a_key")).alias("a_bits")
+        "a",
+        "a_key",
+        letters(F.col("a_key")).alias("a_letters"),
+        letter_bits(F.col("a_key")).alias("a_bits"),
     )
     a_length, total = F.length("a_key"), F.length("a_key") + F.length("b_key")
     common = F.when(

@@ -22,6 +22,7 @@ def local_session(cores: str | int = "*", app: str = "truegrain", **settings: st
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for name, value in settings.items():
         builder = builder.config(name.replace("__", "."), value)
