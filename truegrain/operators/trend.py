@@ -16,6 +16,9 @@ from truegrain.session import settle
 # A key with at most this many rows is sorted and averaged by one task.
 BLOCK_ROWS = 5_000_000
 
+# Up to this many short rows are sent to every task; more are joined by a shuffle.
+BROADCAST_ROWS = 100_000
+
 _VALUE, _KEY, _WHEN = "__value", "__key", "__when"
 
 
@@ -41,7 +44,7 @@ def trailing_mean(
     if large.isEmpty():
         return df.withColumn(result_as, F.avg(value).over(ordinary))
     # At most rows / block_rows keys, so the list stays small.
-    hot = settle(large.select(*[F.col(k).alias(f"__hot_{k}") for k in keys]))
+    hot = _settled_lookup(large.select(*[F.col(k).alias(f"__hot_{k}") for k in keys]))
     same = _all([F.col(k).eqNullSafe(F.col(f"__hot_{k}")) for k in keys])
     rest = df.join(hot, same, "left_anti").withColumn(result_as, F.avg(value).over(ordinary))
     blocks = _blocks(df.join(hot, same, "left_semi"), keys, order, size, max(block_rows, size + 1))
@@ -54,6 +57,12 @@ def trailing_mean(
     return rest.unionByName(spread)
 
 
+def _settled_lookup(df: DataFrame) -> DataFrame:
+    """``df`` computed once, and broadcast where its counted size allows."""
+    stored = settle(df)
+    return F.broadcast(stored) if stored.count() <= BROADCAST_ROWS else stored
+
+
 def _all(tests: Sequence[Column]) -> Column:
     joined = F.lit(True)
     for test in tests:
@@ -77,10 +86,12 @@ def _blocks(
         .orderBy("__slice")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    starts = slices.select(
-        *[F.col(k).alias(f"__start_{k}") for k in keys],
-        F.col("__slice").alias("__start_slice"),
-        (F.coalesce(F.sum("__rows").over(earlier), F.lit(0)) - F.col("__first")).alias("__shift"),
+    starts = _settled_lookup(
+        slices.select(
+            *[F.col(k).alias(f"__start_{k}") for k in keys],
+            F.col("__slice").alias("__start_slice"),
+            (F.coalesce(F.sum("__rows").over(earlier), F.lit(0)) - F.col("__first")).alias("__shift"),
+        )
     )
     match = _all([F.col(k).eqNullSafe(F.col(f"__start_{k}")) for k in keys])
     placed = numbered.join(
