@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -122,18 +124,18 @@ def contains_any(column: Column, keywords: Sequence[str]) -> Column:
     Plain substring search: faster than an alternation of patterns, and keywords
     need no escaping.
     """
-    test = F.lit(False)
-    for keyword in keywords:
-        test = test | F.contains(column, F.lit(keyword))
-    return test
+    return reduce(or_, [F.contains(column, F.lit(keyword)) for keyword in keywords], F.lit(False))
 
 
 def first_class(column: Column, classes: Sequence[tuple[str, Sequence[str]]], default: str) -> Column:
-    """The first class one of whose keywords occurs in the text, else ``default``."""
-    text = F.lower(column)
+    """The first class one of whose keywords occurs in the text, else ``default``.
+
+    Give a column that is lowered already: as an expression it would be computed
+    again for every keyword.
+    """
     chain = None
     for name, keywords in classes:
-        test = contains_any(text, keywords)
+        test = contains_any(column, keywords)
         chain = F.when(test, name) if chain is None else chain.when(test, name)
     if chain is None:
         return F.lit(default)

@@ -150,7 +150,10 @@ def categorise(
     result_as: str = "business_category",
 ) -> DataFrame:
     """Add the first class one of whose keywords is in the description; none gives other."""
-    return mapping.withColumn(result_as, first_class(ref(description), classes, OTHER))
+    lowered = mapping.withColumn("__lowered", F.lower(ref(description)))
+    return lowered.withColumn(
+        result_as, first_class(F.col("__lowered"), classes, OTHER)
+    ).drop("__lowered")
 
 
 def _kind(column_type: Column, strict_types: bool) -> Column:
