@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from truegrain.errors import RuleError
+from truegrain.functions.casting import try_read
 
 INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 FRACTIONAL = (T.FloatType, T.DoubleType)
@@ -62,7 +63,7 @@ def as_number(column: Column, kind: T.DataType) -> Column:
     if isinstance(kind, T.NumericType):
         return column
     if is_text(kind) or isinstance(kind, T.BooleanType):
-        return column.try_cast("double")
+        return try_read(column, kind, "double")
     raise RuleError(f"type {kind.simpleString()} is not numeric")
 
 
@@ -100,7 +101,7 @@ def comparable(left: Column, left_kind: T.DataType, right: Column, right_kind: T
     is NULL; all other pairs follow the usual widening of the engine.
     """
     if is_text(left_kind) and not is_text(right_kind):
-        return left.try_cast(right_kind), right
+        return try_read(left, left_kind, right_kind), right
     if is_text(right_kind) and not is_text(left_kind):
-        return left, right.try_cast(left_kind)
+        return left, try_read(right, right_kind, left_kind)
     return left, right

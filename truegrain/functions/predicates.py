@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from truegrain.errors import RuleError
+from truegrain.functions.casting import try_parse, try_read
 from truegrain.functions.columns import (
     TEMPORAL,
     as_moment,
@@ -43,7 +44,8 @@ def null_row(df: DataFrame, column: str) -> Column:
 def uncastable_row(df: DataFrame, column: str, expected_type: str | T.DataType) -> Column:
     """A value that cannot be read as ``expected_type``; NULL does not count."""
     value = column_of(df, column)
-    return value.isNotNull() & value.try_cast(expected_type).isNull()
+    kind = field_of(df, column).dataType
+    return value.isNotNull() & try_read(value, kind, expected_type).isNull()
 
 
 class OutOfRange(NamedTuple):
@@ -80,19 +82,21 @@ def wrong_length_row(df: DataFrame, column: str, declared: str, strict: bool = F
     ``strict`` uses the 16-bit range for SMALLINT.
     """
     wanted = parse_declared(declared)
-    value = column_of(df, column)
+    value, kind = column_of(df, column), field_of(df, column).dataType
     if wanted.kind == "CHAR":
         return _certain(F.length(value.cast("string")) > wanted.size)
     if wanted.kind == "DECIMAL":
         target = f"decimal({wanted.size},{wanted.scale})"
         if strict:
-            fitted = value.try_cast(target)
-            rounded = fitted.try_cast("decimal(38,18)") != value.try_cast("decimal(38,18)")
+            fitted = try_read(value, kind, target)
+            wide = "decimal(38,18)"
+            rounded = fitted.try_cast(wide) != try_read(value, kind, wide)
             return fitted.isNull() | _certain(rounded)
         too_long = _certain(F.length(value.cast("string")) > wanted.size)
-        return too_long | value.try_cast("decimal(10,0)").try_cast(target).isNull()
+        whole = T.DecimalType(10, 0)
+        return too_long | try_read(try_read(value, kind, whole), whole, target).isNull()
     width = "smallint" if strict and wanted.kind == "SMALLINT" else "int"
-    return value.try_cast(width).isNull()
+    return try_read(value, kind, width).isNull()
 
 
 def disallowed_row(df: DataFrame, column: str, allowed: Sequence) -> Column:
@@ -116,19 +120,13 @@ def is_timestamp_pattern(pattern: str) -> bool:
     return "HH" in pattern or "mm" in pattern
 
 
-def parsed_by(value: Column, pattern: str) -> Column:
-    if is_timestamp_pattern(pattern):
-        return F.try_to_timestamp(value, F.lit(pattern))
-    return F.try_to_date(value, pattern)
-
-
 def unparsable_row(df: DataFrame, column: str, pattern: str, ignore_nulls: bool = False) -> Column:
     """Text that does not follow the pattern; NULL counts unless ``ignore_nulls``."""
     kind = field_of(df, column).dataType
     if not (is_text(kind) or isinstance(kind, TEMPORAL)):
         raise RuleError(f"type {kind.simpleString()} has no date format")
     value = column_of(df, column)
-    bad = parsed_by(value, pattern).isNull()
+    bad = try_parse(value, kind, pattern, is_timestamp_pattern(pattern)).isNull()
     return value.isNotNull() & bad if ignore_nulls else bad
 
 

@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 
 from truegrain.errors import RuleError
 from truegrain.functions import predicates as P
+from truegrain.functions.casting import try_read
 from truegrain.functions.columns import FRACTIONAL, INTEGRAL, column_of, field_of, is_text
 from truegrain.messages import message_for
 from truegrain.results import Label, result_columns
@@ -169,7 +170,7 @@ def exact_addend(df: DataFrame, column: str, scale: int) -> Column:
     if isinstance(kind, INTEGRAL):
         return value.cast("decimal(20,0)")
     if isinstance(kind, FRACTIONAL) or is_text(kind):
-        return value.try_cast(f"decimal(38,{scale})")
+        return try_read(value, kind, f"decimal(38,{scale})")
     raise RuleError(f"type {kind.simpleString()} has no sum")
 
 

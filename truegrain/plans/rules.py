@@ -9,9 +9,11 @@ from dataclasses import dataclass
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from truegrain.errors import RuleError
-from truegrain.functions import predicates as P
+from truegrain.functions.casting import try_parse
+from truegrain.functions.predicates import is_timestamp_pattern
 from truegrain.operators import columns, consistency, files, outliers, references, scalar, trend, uniqueness
 from truegrain.results import Label
 
@@ -262,7 +264,9 @@ def parameters(rule: Rule) -> dict[str, object]:
 
 def require_pattern(spark: SparkSession, pattern: str) -> None:
     """Reject a date pattern the engine cannot use, before a whole table runs into it."""
-    spark.sql("SELECT 1 AS one").select(P.parsed_by(F.lit("2000-01-01"), pattern)).collect()
+    text = F.lit("2000-01-01")
+    parsed = try_parse(text, T.DateType(), pattern, is_timestamp_pattern(pattern))
+    spark.sql("SELECT 1 AS one").select(parsed).collect()
 
 
 def build_scalar(df: DataFrame, rule: Rule, params: Params) -> scalar.ScalarCheck:
