@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from truegrain.llm import bpe, common
+from truegrain.llm import bpe, common, jaccard, lengths, maglev, planes, repeats, sketch
+from truegrain.session import new_shared_path
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -17,8 +18,47 @@ def op7_bpe_segment_tree(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digests(bpe.encode(common.table(spark, folder, "documents"), TOKENIZER))
 
 
+def op1_bit_planes(spark: SparkSession, folder: str) -> DataFrame:
+    """Every whole text encoded, written as byte planes and read back."""
+    path = new_shared_path(spark, "planes")
+    planes.write(common.table(spark, folder, "documents"), path, TOKENIZER)
+    return planes.read(spark, path, with_ids=False)
+
+
+def op2_threshold_sketch(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text, and their likeness."""
+    return sketch.fingerprints(common.table(spark, folder, "documents"))
+
+
+def op6_maglev_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    """The shard of every document among 64."""
+    documents = common.table(spark, folder, "documents").select("doc_id")
+    return maglev.place(documents, [f"shard-{i:03d}" for i in range(64)])
+
+
+def op8_length_histogram(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents by encoded length, with the sums for every context limit."""
+    return lengths.histogram(lengths.encoded_lengths(common.table(spark, folder, "documents"), TOKENIZER))
+
+
+def op9_deep_shallow_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    """What is left of every document without strings of 200 bytes that occur again."""
+    return repeats.digests(repeats.removed(common.table(spark, folder, "documents")))
+
+
+def op10_prefix_tree_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Components of documents with a Jaccard similarity of 0.9 over three-word shingles."""
+    return jaccard.linked_components(common.table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_bit_planes": op1_bit_planes,
+    "op2_threshold_sketch": op2_threshold_sketch,
+    "op6_maglev_sharding": op6_maglev_sharding,
     "op7_bpe_segment_tree": op7_bpe_segment_tree,
+    "op8_length_histogram": op8_length_histogram,
+    "op9_deep_shallow_repeats": op9_deep_shallow_repeats,
+    "op10_prefix_tree_join": op10_prefix_tree_join,
 }
 
 #: SQL for the queries that it can express.

@@ -137,5 +137,31 @@ def words_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return hashes, lengths, np.concatenate([[0], np.searchsorted(starts, ends)])
 
 
+_ORDER = [pow(0xD6E8FEB86659FD93, i, 1 << 64) for i in range(64)]
+
+
+def shingles(texts: list[str], size: int, lengths_too: bool = False):
+    """Hashes of all runs of ``size`` words of each text, and where each text's begin.
+
+    A text with fewer words, but not without any, is one run. With ``lengths_too`` also
+    the bytes of the words of each run.
+    """
+    hashes, lengths, bounds = words_of(texts)
+    n = np.diff(bounds)
+    runs = np.where(n >= size, n - size + 1, np.minimum(n, 1))
+    starts = np.concatenate([[0], np.cumsum(runs)])
+    total = int(starts[-1])
+    at = np.arange(total) + np.repeat(bounds[:-1] - starts[:-1], runs)
+    last = np.repeat(bounds[1:], runs)
+    found, bytes_in = np.zeros(total, np.uint64), np.zeros(total, np.int64)
+    for i in range(size):
+        inside = at + i < last
+        place = np.where(inside, at + i, 0)
+        if len(hashes):
+            found += np.where(inside, hashes[place] * np.uint64(_ORDER[i + 1]), np.uint64(i + 1))
+            bytes_in += np.where(inside, lengths[place], 0)
+    return (mix(found), starts, bytes_in) if lengths_too else (mix(found), starts)
+
+
 def is_letter(char: str) -> bool:
     return unicodedata.category(char)[0] == "L"
