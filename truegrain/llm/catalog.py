@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from truegrain.llm import bpe, common, jaccard, lengths, maglev, planes, repeats, sketch
+from truegrain.llm import bpe, common, html_text, jaccard, language, lengths, maglev, planes, repeats, sketch, templates
 from truegrain.session import new_shared_path
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -30,6 +31,30 @@ def op2_threshold_sketch(spark: SparkSession, folder: str) -> DataFrame:
     return sketch.fingerprints(common.table(spark, folder, "documents"))
 
 
+def op3_composite_text_density(spark: SparkSession, folder: str) -> DataFrame:
+    """The main text of every page."""
+    pages = common.table(spark, folder, "pages")
+    return html_text.extract(pages, {"page_id": F.col("page_id"), "url": F.col("url")})
+
+
+def op4_template_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document and benchmark item that contaminates it."""
+    documents, benchmark = (common.table(spark, folder, t) for t in ("documents", "benchmark"))
+    return templates.contaminated(documents, benchmark).select(
+        F.col("id").alias("doc_id"),
+        F.col("item").alias("item_id"),
+        *(F.col(c).cast("bigint").alias(c) for c in ("n_words", "n_covered", "n_slots", "n_changed")),
+    )
+
+
+def op5_hyperdimensional_language(spark: SparkSession, folder: str) -> DataFrame:
+    """The language of every document, learned from those that are not held out."""
+    documents = common.table(spark, folder, "documents")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+    model = language.learn(documents.where(~held_out))
+    return language.predict(documents, model, {"doc_id": F.col("doc_id"), "held_out": held_out})
+
+
 def op6_maglev_sharding(spark: SparkSession, folder: str) -> DataFrame:
     """The shard of every document among 64."""
     documents = common.table(spark, folder, "documents").select("doc_id")
@@ -51,14 +76,25 @@ def op10_prefix_tree_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.linked_components(common.table(spark, folder, "documents"))
 
 
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    """All stages of the corpus pipeline."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, folder)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bit_planes": op1_bit_planes,
     "op2_threshold_sketch": op2_threshold_sketch,
+    "op3_composite_text_density": op3_composite_text_density,
+    "op4_template_decontamination": op4_template_decontamination,
+    "op5_hyperdimensional_language": op5_hyperdimensional_language,
     "op6_maglev_sharding": op6_maglev_sharding,
     "op7_bpe_segment_tree": op7_bpe_segment_tree,
     "op8_length_histogram": op8_length_histogram,
     "op9_deep_shallow_repeats": op9_deep_shallow_repeats,
     "op10_prefix_tree_join": op10_prefix_tree_join,
+    "pipeline": pipeline,
 }
 
 #: SQL for the queries that it can express.

@@ -9,8 +9,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from truegrain.session import new_shared_path
+
 #: Text bytes that a task holds at once, beside single rows that are longer.
 SLICE_BYTES = 2 << 20
+SLICE_ROWS = 2_000
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -20,8 +23,15 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written to the shared folder and read from there, so that its true size is known to joins."""
+    path = new_shared_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def slices(batches: Iterable[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
-    """The rows of ``batches`` in pieces of about ``SLICE_BYTES`` of ``column``."""
+    """The rows of ``batches`` in pieces of about ``SLICE_BYTES`` of ``column``, at most ``SLICE_ROWS`` long."""
     for batch in batches:
         values = batch.column(column)
         if pa.types.is_large_string(values.type) or pa.types.is_large_binary(values.type):
@@ -34,7 +44,7 @@ def slices(batches: Iterable[pa.RecordBatch], column: str) -> Iterator[pa.Record
         start = 0
         while start < len(batch):
             stop = int(np.searchsorted(ends, ends[start] + SLICE_BYTES, side="right")) - 1
-            stop = min(max(stop, start + 1), len(batch))
+            stop = min(max(stop, start + 1), start + SLICE_ROWS, len(batch))
             yield batch.slice(start, stop - start)
             start = stop
 

@@ -265,5 +265,4 @@ def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", g
     """``df`` without the documents that reach one of a smaller id by links; of rows with equal id and text one stays."""
     found = linked_components(df, id_col, text_col, gram, over, under)
     gone = found.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("_gone")).distinct()
-    kept = df.join(gone.hint("shuffle_hash"), F.col(id_col) == F.col("_gone"), "left_anti")
-    return kept
+    return df.join(common.stored(gone, "gone"), F.col(id_col) == F.col("_gone"), "left_anti")
