@@ -179,3 +179,88 @@ def test_rules_and_tables_from_files(spark, loans, tmp_path):
     found = run_suite(spark, rules, base_path=str(tmp_path)).orderBy("tcid").collect()
     assert [(r["tcid"], r["status"]) for r in found] == [("A", "Failed"), ("B", "Failed"), ("D", "Error")]
     assert "cannot read" in found[2]["message"]
+
+
+def stored_files(output):
+    return sorted(p.name for p in (output / "data").iterdir()) if (output / "data").exists() else []
+
+
+def named_rules(spark, *rows):
+    return spark.createDataFrame(
+        [(t, f, True, c, test, field, e if e is None or isinstance(e, str) else json.dumps(e)) for t, f, c, test, field, e in rows], RULE
+    )
+
+
+def test_equal_ids_of_two_files_do_not_hide_a_critical_failure(spark, loans, tmp_path):
+    rules = named_rules(
+        spark,
+        ("T1", "f", True, "check_nulls", "grade", None),
+        ("T1", "g", True, "check_nulls", "id", None),
+        ("T2", "g", False, "check_nulls", "id", None),
+    )
+    found = run_job(spark, rules, str(tmp_path / "out"), {"f": loans, "g": loans}).collect()
+    assert sorted((r["tcid"], r["file_name"], r["status"]) for r in found) == [
+        ("T1", "f", "Failed"), ("T1", "g", "Passed"), ("T2", "g", "Skipped"),
+    ]
+    assert stored_files(tmp_path / "out") == []
+
+
+@pytest.mark.parametrize("tcid", [None, "", "  "])
+def test_a_rule_without_id_is_an_error_and_stores_nothing(spark, loans, tmp_path, tcid):
+    rules = named_rules(
+        spark,
+        (tcid, "f", False, "validate_numeric_range", "amount", {"min": 0, "max": 100}),
+        ("T2", "g", False, "check_nulls", "grade", None),
+    )
+    found = run_job(spark, rules, str(tmp_path / "out"), {"f": loans, "g": loans}).collect()
+    assert {r["file_name"]: r["status"] for r in found} == {"f": "Error", "g": "Failed"}
+    assert stored_files(tmp_path / "out") == ["g"]
+    with pytest.raises(suite.RuleError):
+        suite.clean_rows(loans, rules, "f").count()
+
+
+def test_an_error_rule_of_one_file_leaves_the_others_stored(spark, loans, tmp_path):
+    rules = named_rules(
+        spark,
+        ("T1", "f", False, "check_nulls", "no_such_column", None),
+        ("T1", "g", False, "check_nulls", "grade", None),
+    )
+    run_job(spark, rules, str(tmp_path / "out"), {"f": loans, "g": loans})
+    assert stored_files(tmp_path / "out") == ["g"]
+    assert readers.read_table(spark, str(tmp_path / "out" / "data" / "g")).count() == loans.count()
+
+
+def test_a_sum_beyond_the_widest_decimal_fails_alone(spark):
+    big = spark.createDataFrame([("9" * 38,), ("9" * 38,)], "t string").selectExpr("cast(t as decimal(38,0)) as v", "t")
+    rules = named_rules(
+        spark,
+        ("T1", "f", False, "validate_sum", "v", 5),
+        ("T2", "f", False, "check_nulls", "v", None),
+    )
+    found = {r["tcid"]: r["status"] for r in run_suite(spark, rules, {"f": big}).collect()}
+    assert found == {"T1": "Failed", "T2": "Passed"}
+
+
+def test_tolerance_must_be_a_number(spark, loans):
+    rules = named_rules(
+        spark,
+        ("T1", "f", False, "moving_average", "amount", {"partition": "grade", "date": "day", "tolerance": "abc", "window": 2}),
+        ("T2", "f", False, "check_nulls", "id", None),
+    )
+    found = {r["tcid"]: (r["status"], r["message"]) for r in run_suite(spark, rules, {"f": loans}).collect()}
+    assert found["T1"][0] == "Error" and "tolerance" in found["T1"][1]
+    assert found["T2"][0] == "Passed"
+
+
+def test_a_failure_while_running_is_one_error_row(spark, loans):
+    broken = loans.withColumn("boom", F.when(F.col("id") > 2, F.raise_error(F.lit("no luck")).cast("int")).otherwise(1))
+    rules = named_rules(
+        spark,
+        ("T1", "f", False, "check_nulls", "boom", None),
+        ("T2", "f", False, "check_nulls", "id", None),
+        ("T3", "f", False, "check_duplicates", "boom", None),
+        ("T4", "f", False, "check_duplicates", "id", None),
+        ("T5", "g", False, "check_nulls", "id", None),
+    )
+    found = {r["tcid"]: r["status"] for r in run_suite(spark, rules, {"f": broken, "g": loans}).collect()}
+    assert found == {"T1": "Error", "T2": "Passed", "T3": "Error", "T4": "Failed", "T5": "Passed"}

@@ -151,7 +151,7 @@ def date_range(
     )
 
 
-def _exact(value, label: str) -> Decimal:
+def exact_number(value, label: str) -> Decimal:
     try:
         number = Decimal(str(value))
     except InvalidOperation:
@@ -185,7 +185,7 @@ def control_sum(
     """
     if not isinstance(scale, int) or not 0 <= scale <= 18:
         raise RuleError(f"scale must be a whole number from 0 to 18, not {scale!r}")
-    wanted, allowed = _exact(expected, "expected"), _exact(tolerance, "tolerance")
+    wanted, allowed = exact_number(expected, "expected"), exact_number(tolerance, "tolerance")
     addend = exact_addend(df, column, scale)
     has_no_sum = (
         column_of(df, column).isNotNull() & addend.isNull()
@@ -198,10 +198,12 @@ def control_sum(
         passed = F.coalesce(gap <= F.lit(allowed), F.lit(False)) & (m["unsummable"] == 0)
         return passed, F.when(passed, 0).otherwise(1), {"actual": m["actual"]}
 
+    # A sum beyond the widest decimal is NULL, which fails the check and nothing else.
+
     return ScalarCheck(
         "validate_sum",
         column,
-        {"actual": F.sum(addend), "unsummable": F.count_if(has_no_sum)},
+        {"actual": F.try_sum(addend), "unsummable": F.count_if(has_no_sum)},
         verdict,
         {"expected": expected},
     )
@@ -239,7 +241,7 @@ def control_sums(df: DataFrame, control: DataFrame, scale: int = 6, tolerance=0)
 
     All sums come from one pass. Names the table does not have give an Error row.
     """
-    allowed = F.lit(_exact(tolerance, "tolerance"))
+    allowed = F.lit(exact_number(tolerance, "tolerance"))
     summable = [
         f.name
         for f in df.schema.fields
@@ -256,7 +258,7 @@ def control_sums(df: DataFrame, control: DataFrame, scale: int = 6, tolerance=0)
     wide = f"decimal(38,{scale})"
     if names:
         sums = (
-            df.agg(*[F.sum(exact_addend(df, n, scale)).cast(wide).alias(n) for n in names])
+            df.agg(*[F.try_sum(exact_addend(df, n, scale)).try_cast(wide).alias(n) for n in names])
             .select(
                 F.inline(
                     F.array(

@@ -254,6 +254,8 @@ def parameters(rule: Rule) -> dict[str, object]:
         raise RuleError(f"missing parameter: {', '.join(missing)}")
     if unknown := sorted(set(given) - {*test.required, *test.optional}):
         raise RuleError(f"unknown parameter: {', '.join(unknown)}")
+    if "tolerance" in given:
+        scalar.exact_number(given["tolerance"], "tolerance")
     for flag in ("strict", "ignore_nulls", "verify", "null_safe", "recursive"):
         if flag in given and not isinstance(given[flag], bool):
             raise RuleError(f"{flag} must be true or false, not {given[flag]!r}")
@@ -278,7 +280,7 @@ def build_scalar(df: DataFrame, rule: Rule, params: Params) -> scalar.ScalarChec
     except RuleError:
         raise
     except (PySparkException, TypeError, ValueError, AttributeError) as error:
-        raise RuleError(_first_line(error)) from error
+        raise RuleError(first_line(error)) from error
     return check
 
 
@@ -288,7 +290,7 @@ def analyser_objects(df: DataFrame, checks: Sequence[scalar.ScalarCheck]) -> str
     try:
         df.agg(*metrics)
     except PySparkException as error:
-        return _first_line(error)
+        return first_line(error)
     return None
 
 
@@ -299,11 +301,11 @@ def build_frame(context: Context, df: DataFrame | None, rule: Rule, params: Para
     except RuleError:
         raise
     except (PySparkException, TypeError, ValueError, AttributeError) as error:
-        raise RuleError(_first_line(error)) from error
+        raise RuleError(first_line(error)) from error
     return result
 
 
-def _first_line(error: Exception) -> str:
+def first_line(error: Exception) -> str:
     return (str(error).strip() or type(error).__name__).splitlines()[0]
 
 

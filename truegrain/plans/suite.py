@@ -6,7 +6,8 @@ from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,14 +21,15 @@ from truegrain.plans.rules import (
     build_frame,
     build_scalar,
     dimension_of,
+    first_line,
     parameters,
 )
 from truegrain.results import ERROR, PASSED, RESULT_SCHEMA, SKIPPED, fixed_results
-from truegrain.session import new_shared_path
 from truegrain.sources.readers import as_rules, read_table
 from truegrain.sources.writers import write_split, write_status
 
 Tables = Mapping[str, DataFrame]
+_STATUS = RESULT_SCHEMA.fieldNames().index("status")
 
 
 @dataclass(frozen=True)
@@ -75,6 +77,8 @@ def table_lookup(
 
 def _plan(rule: Rule, context: Context) -> _Planned:
     try:
+        if not (rule.tcid or "").strip():
+            raise RuleError("a rule needs a test case id")
         params = parameters(rule)
         test = TESTS[rule.test]
         table = context.table(rule.file_name) if test.needs_table else None
@@ -129,38 +133,56 @@ def _fixed(spark: SparkSession, rules: list[Rule], status: str, messages: list[s
     )
 
 
+def _collected(planned: list[_Planned], context: Context) -> list[tuple]:
+    """The result rows, one per rule. A rule that fails while it runs is an Error row.
+
+    All rules run together; only if that fails is each run on its own.
+    """
+    frame = _results(planned, context)
+    if frame is None:
+        return []
+    try:
+        return [tuple(row) for row in frame.collect()]
+    except (PySparkException, Py4JJavaError) as error:
+        if len(planned) == 1:
+            rule = planned[0].rule
+            reason = f"failed while running: {first_line(error)}"
+            return [(rule.tcid, rule.file_name, rule.test, rule.tested_field, ERROR, None, reason)]
+        return [row for item in planned for row in _collected([item], context)]
+
+
+def _run(
+    spark: SparkSession, listed: list[Rule], tables: Tables | None, base_path: str | None
+) -> tuple[list[tuple], bool]:
+    """All result rows, and whether a critical rule stopped the run."""
+    context = Context(spark, table_lookup(spark, tables, base_path))
+    critical = [r for r in listed if r.critical]
+    others = [r for r in listed if not r.critical]
+    found = _collected([_plan(r, context) for r in critical], context)
+    stopped = [row for row in found if row[_STATUS] != PASSED]
+    if stopped:
+        reason = f"skipped: critical rule {stopped[0][0]} did not pass"
+        skipped = [(r.tcid, r.file_name, r.test, r.tested_field, SKIPPED, None, reason) for r in others]
+        return found + skipped, True
+    return found + _collected([_plan(r, context) for r in others], context), False
+
+
 def run_suite(
     spark: SparkSession,
     rules: DataFrame,
     tables: Tables | None = None,
     base_path: str | None = None,
 ) -> DataFrame:
-    """The results of all active rules.
+    """The results of all active rules, a row for each.
 
     All single-table scalar checks of a file share one aggregation; the others have
-    plans of their own, and everything is one union. Critical rules run first, and
-    at once: if one does not pass, the others are reported as Skipped and never
-    planned. A rule that cannot work (unknown test or column, bad parameters) is an
-    Error row and does not disturb the rest.
+    plans of their own, and everything is one union. Critical rules run first: if one
+    does not pass, the others are reported as Skipped and never planned. A rule that
+    cannot work (no test case id, unknown test or column, bad parameters, a failure
+    while it runs) is an Error row and does not disturb the rest.
     """
-    context = Context(spark, table_lookup(spark, tables, base_path))
-    listed = active_rules(rules)
-    critical = [r for r in listed if r.critical]
-    others = [r for r in listed if not r.critical]
-    frames = []
-    if critical:
-        outcome = _results([_plan(r, context) for r in critical], context).collect()
-        frames.append(fixed_results(spark, [tuple(row) for row in outcome]))
-        stopped = [row["tcid"] for row in outcome if row["status"] != PASSED]
-        if stopped and others:
-            reason = f"skipped: critical rule {stopped[0]} did not pass"
-            frames.append(_fixed(spark, others, SKIPPED, [reason] * len(others)))
-            others = []
-    if others:
-        frames.append(_results([_plan(r, context) for r in others], context))
-    if not frames:
-        return spark.createDataFrame([], RESULT_SCHEMA)
-    return reduce(DataFrame.unionByName, frames)
+    found, _ = _run(spark, active_rules(rules), tables, base_path)
+    return fixed_results(spark, found)
 
 
 def dimension_rollup(results: DataFrame) -> DataFrame:
@@ -185,6 +207,8 @@ def row_verdicts(
         test = TESTS.get(rule.test)
         if rule.file_name != file_name or test is None or test.scalar is None:
             continue
+        if not (rule.tcid or "").strip():
+            raise RuleError("a rule needs a test case id")
         check = build_scalar(df, rule, parameters(rule))
         if problem := analyser_objects(df, [check]):
             raise RuleError(f"{rule.tcid}: {problem}")
@@ -215,21 +239,19 @@ def run_job(
     """Run the suite, write the status report, and store clean and rejected rows.
 
     Writes ``output/status_table`` (CSV) and, unless a critical rule stopped the
-    run, one split table per file under ``output/data``. Returns the results.
+    run, one split table per file under ``output/data``. A file of which a rule is an
+    Error is not stored: nobody can say which of its rows are clean. Returns the
+    results. Rules are told apart by their place in the table, so two files may use
+    the same test case id.
     """
-    stored = new_shared_path(spark, "results")
-    run_suite(spark, rules, tables, base_path).write.parquet(stored)
-    results = spark.read.schema(RESULT_SCHEMA).parquet(stored)
-    write_status(results.orderBy("tcid"), f"{output.rstrip('/')}/status_table")
     listed = active_rules(rules)
-    critical = {r.tcid for r in listed if r.critical}
-    statuses = {r["tcid"]: r["status"] for r in results.select("tcid", "status").collect()}
-    if all(statuses.get(tcid) == PASSED for tcid in critical):
+    found, stopped = _run(spark, listed, tables, base_path)
+    results = fixed_results(spark, found)
+    write_status(results.orderBy("tcid", "file_name", "test"), f"{output.rstrip('/')}/status_table")
+    if not stopped:
         find = table_lookup(spark, tables, base_path)
-        broken = {tcid for tcid, status in statuses.items() if status == ERROR}
-        usable = [r for r in listed if r.tcid not in broken]
-        tables_named = sorted({r.file_name for r in usable if TESTS[r.test].needs_table})
-        for name in tables_named:
-            judged = row_verdicts(find(name), usable, name)
-            write_split(judged, f"{output.rstrip('/')}/data/{name}")
+        broken = {row[1] for row in found if row[_STATUS] == ERROR}
+        named = {r.file_name for r in listed if r.test in TESTS and TESTS[r.test].needs_table}
+        for name in sorted(named - broken):
+            write_split(row_verdicts(find(name), listed, name), f"{output.rstrip('/')}/data/{name}")
     return results
