@@ -97,3 +97,36 @@ def test_shared_folder_is_the_one_the_session_names(spark):
     named = spark.conf.get("spark.checkpoint.dir")
     assert shared_folder(spark) == named
     assert new_shared_path(spark, "x").startswith(named)
+
+
+def test_lists_and_empty_texts_survive_csv(spark, tmp_path):
+    rows = [(1, ["a|b", "c\\", "", "d\\|e"], ""), (2, ["x"], None), (3, ["line\nbreak"], "t\nu")]
+    path = str(tmp_path / "t.csv")
+    writers.write_csv(spark.createDataFrame(rows, "i int, l array<string>, t string"), path)
+    read = writers.read_lists(readers.read_csv(spark, path, multiline=True, keep_empty=True), "l")
+    assert sorted((int(r["i"]), r["l"], r["t"]) for r in read.collect()) == rows
+    assert readers.read_csv(spark, path, multiline=True).where("t is null").count() == 2
+
+
+def test_suite_reads_csv_with_breaks_and_empty_texts(spark, tmp_path):
+    rows = [("1", "a\nb"), ("2", ""), ("3", None)]
+    writers.write_csv(spark.createDataFrame(rows, "i string, t string"), str(tmp_path / "t.csv"))
+    rules = spark.createDataFrame(
+        [("T1", "t.csv", "count_records", None, "3"), ("T2", "t.csv", "check_nulls", "t", None)],
+        "tcid string, file_name string, test string, tested_field string, expected_value string",
+    )
+    options = {"multiline": True, "keep_empty": True}
+    found = tg.run_suite(spark, rules, base_path=str(tmp_path), csv=options).orderBy("tcid").collect()
+    assert [(r["status"], r["violations"]) for r in found] == [("Passed", 0), ("Failed", 1)]
+
+
+def test_no_file_is_no_pass(spark, tmp_path, outcome, monkeypatch):
+    (tmp_path / "empty").mkdir()
+    assert outcome(tg.file_timeliness(spark, str(tmp_path / "empty")))[0] == "Failed"
+    assert outcome(tg.duplicated_files_by_name_and_size(spark, str(tmp_path / "empty")))[0] == "Failed"
+
+
+def test_listing_of_odd_paths(spark, folder):
+    for path in (f"{folder}/sub/..", f"{folder}/.", str(folder) + "*", f"{folder}/*.txt"):
+        names = {r["file_name"] for r in readers.file_listing(spark, path, recursive=False).collect()}
+        assert names == {"a.txt", "b.txt"}, path

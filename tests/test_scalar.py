@@ -187,3 +187,16 @@ def test_one_scan_for_all_checks(spark, tmp_path):
     )._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan") == 1
     assert "unused" not in plan
+
+
+@pytest.mark.parametrize("allowed", [["9007199254740992"], [9007199254740992, 2.5], ["x", 9007199254740992.0]])
+def test_listed_numbers_are_compared_as_the_column_is(spark, outcome, allowed):
+    df = spark.createDataFrame([(9007199254740993,), (9007199254740992,)], "v bigint")
+    assert outcome(tg.validate_allowed_values(df, "v", allowed)) == ("Failed", 1)
+
+
+def test_small_floats_add_up(spark, outcome):
+    df = spark.createDataFrame([(1e-7,)] * 10, "v double")
+    assert outcome(tg.validate_sum(df, "v", "0.000001")) == ("Passed", 0)
+    control = spark.createDataFrame([("v", 3.0000001)], "column_name string, expected_sum double")
+    assert scalar.control_sums(spark.createDataFrame([(3.0,)], "v double"), control).first()["status"] == "Failed"

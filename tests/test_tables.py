@@ -205,3 +205,23 @@ def test_fixture_is_skewed():
     random.seed(3)
     keys = Counter(random.choice(["hot", "hot", "b", "c", None]) for _ in range(400))
     assert keys["hot"] > 400 / 3
+
+
+def test_map_columns_take_part(spark):
+    rows = [({"a": 1, "b": 2}, {"b": 2, "a": 1}, {"a": 9}), (None, None, None)]
+    df = spark.createDataFrame(rows, "m map<string,int>, n map<string,int>, o map<string,int>").selectExpr(
+        "m", "n", "o", "array(m) as p", "named_struct('x', n) as q"
+    )
+    assert {r["column_name"] for r in columns.column_checksums(df).collect()} == {"m", "n", "o", "p", "q"}
+    assert columns.duplicate_column_groups(df) == [["m", "n"]]
+    assert {'m', 'n'} <= set(columns.duplicate_column_groups(df, verify=False)[0])
+
+
+def test_whole_numbers_and_floats_are_compared_exactly(spark, outcome):
+    whole = spark.createDataFrame([(9007199254740993,), (5,), (None,)], "k bigint")
+    floats = spark.createDataFrame([(9007199254740992.0,), (5.0,), (1e300,), (float("nan"),)], "k double")
+    assert outcome(references.check_foreign_key(whole, "k", floats, "k")) == ("Failed", 1)
+    assert outcome(references.check_foreign_key(floats, "k", whole, "k")) == ("Failed", 3)
+    left = spark.createDataFrame([(1, 9007199254740993), (2, 5)], "i int, v bigint")
+    right = spark.createDataFrame([(1, 9007199254740992.0), (2, 5.0)], "i int, v double")
+    assert outcome(consistency.check_consistency(left, right, "i", "v")) == ("Failed", 1)

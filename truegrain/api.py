@@ -92,7 +92,7 @@ def validate_date_range(
 
 
 def validate_sum(
-    df: DataFrame, column: str, expected_sum, tolerance=0, scale: int = 6
+    df: DataFrame, column: str, expected_sum, tolerance=0, scale: int = 12
 ) -> DataFrame:
     return scalar.evaluate(df, [scalar.control_sum(df, column, expected_sum, tolerance, scale)])
 

@@ -12,7 +12,6 @@ from truegrain.catalog.inputs import Source
 from truegrain.operators import (
     columns,
     consistency,
-    files,
     outliers,
     references,
     scalar,
@@ -71,27 +70,6 @@ def duplicate_key_groups(s: Source) -> DataFrame:
     return uniqueness.duplicate_groups(s.documents, ["text", "lang"])
 
 
-@query
-def duplicate_files(s: Source) -> DataFrame:
-    listed = readers.file_listing(s.spark, s.folder)
-    repeated = files.duplicate_files(listed).select("path", F.lit(True).alias("is_duplicate"))
-    return listed.join(repeated, "path", "left").select(
-        "file_name", "length", F.coalesce("is_duplicate", F.lit(False)).alias("is_duplicate")
-    )
-
-
-@query
-def duplicate_files_current_path(s: Source) -> DataFrame:
-    return files.check_duplicate_files(s.spark, s.folder, recursive=False)
-
-
-@query
-def file_timeliness(s: Source) -> DataFrame:
-    return files.stale_files(readers.file_listing(s.spark, s.folder), 24).select(
-        "file_name", "length", "is_stale"
-    )
-
-
 @query
 def column_fingerprint(s: Source) -> DataFrame:
     return columns.column_checksums(s.lineitem, portable=True).select(

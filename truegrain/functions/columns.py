@@ -45,6 +45,30 @@ def column_of(df: DataFrame, name: str) -> Column:
     return ref(field_of(df, name).name)
 
 
+def canonical(column: Column, kind: T.DataType) -> Column:
+    """The value with every map in it as its entries in order, so it can be hashed and compared."""
+    if isinstance(kind, T.MapType):
+        entries = F.map_entries(column)
+        entry = T.StructType([T.StructField("key", kind.keyType), T.StructField("value", kind.valueType)])
+        if has_map(kind.valueType):
+            entries = F.transform(entries, lambda e: canonical(e, entry))
+        return F.array_sort(entries)
+    if not has_map(kind):
+        return column
+    if isinstance(kind, T.ArrayType):
+        return F.transform(column, lambda e: canonical(e, kind.elementType))
+    fields = [canonical(column.getField(f.name), f.dataType).alias(f.name) for f in kind.fields]
+    return F.when(column.isNotNull(), F.struct(*fields))
+
+
+def has_map(kind: T.DataType) -> bool:
+    if isinstance(kind, T.ArrayType):
+        return has_map(kind.elementType)
+    if isinstance(kind, T.StructType):
+        return any(has_map(f.dataType) for f in kind.fields)
+    return isinstance(kind, T.MapType)
+
+
 def is_text(kind: T.DataType) -> bool:
     return isinstance(kind, TEXT)
 
@@ -98,10 +122,30 @@ def comparable(left: Column, left_kind: T.DataType, right: Column, right_kind: T
     """Both columns in a type they can be compared in.
 
     Text against another type is read as that type, and text that cannot be read
-    is NULL; all other pairs follow the usual widening of the engine.
+    is NULL. Whole numbers and floats are compared exactly, by their decimal text, as
+    a float has no room for every whole number. Other pairs widen as the engine does.
     """
     if is_text(left_kind) and not is_text(right_kind):
         return try_read(left, left_kind, right_kind), right
     if is_text(right_kind) and not is_text(left_kind):
         return left, try_read(right, right_kind, left_kind)
+    if mixed_numbers(left_kind, right_kind):
+        return exact_text(left, left_kind), exact_text(right, right_kind)
     return left, right
+
+
+def mixed_numbers(left: T.DataType, right: T.DataType) -> bool:
+    """Whether one type is of whole numbers and the other of floats."""
+    return (isinstance(left, INTEGRAL) and isinstance(right, FRACTIONAL)) or (
+        isinstance(left, FRACTIONAL) and isinstance(right, INTEGRAL)
+    )
+
+
+def exact_text(column: Column, kind: T.DataType) -> Column:
+    """A number as text: whole ones as digits, whatever their type."""
+    if isinstance(kind, INTEGRAL):
+        return column.cast("string")
+    value = column.cast("double")
+    # Beyond these no bigint is near; NaN is greater than all.
+    whole = (F.abs(value) <= F.lit(2.0**63)) & (value == F.rint(value))
+    return F.when(whole, value.try_cast("decimal(20,0)").cast("string")).otherwise(value.cast("string"))

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import date, datetime
-from decimal import Decimal
+from decimal import Decimal, InvalidOperation
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -19,6 +19,8 @@ from pyspark.sql import types as T
 from truegrain.errors import RuleError
 from truegrain.functions.casting import try_parse, try_read
 from truegrain.functions.columns import (
+    FRACTIONAL,
+    INTEGRAL,
     TEMPORAL,
     as_moment,
     as_number,
@@ -99,6 +101,22 @@ def wrong_length_row(df: DataFrame, column: str, declared: str, strict: bool = F
     return try_read(value, kind, width).isNull()
 
 
+def _as_kind(entry, kind: T.DataType):
+    """A listed number as a value of the column's type, or None if no value of it is equal."""
+    try:
+        number = Decimal(str(entry).strip())
+    except InvalidOperation:
+        return None
+    if isinstance(kind, FRACTIONAL):
+        return float(number)
+    if not number.is_finite():
+        return None
+    if isinstance(kind, INTEGRAL):
+        whole = int(number)
+        return whole if whole == number and -(2**63) <= whole < 2**63 else None
+    return number
+
+
 def disallowed_row(df: DataFrame, column: str, allowed: Sequence) -> Column:
     """A value missing from the list; neither NULL values nor NULL entries count."""
     kind = field_of(df, column).dataType
@@ -107,7 +125,7 @@ def disallowed_row(df: DataFrame, column: str, allowed: Sequence) -> Column:
     if is_text(kind):
         literals = [F.lit(str(a)) for a in entries]
     elif isinstance(kind, T.NumericType):
-        literals = [F.lit(a).try_cast("double") if isinstance(a, str) else F.lit(a) for a in entries]
+        literals = [F.lit(n) for a in entries if (n := _as_kind(a, kind)) is not None]
     else:
         literals = [F.lit(a).try_cast(kind) if isinstance(a, str) else F.lit(a) for a in entries]
     if not literals:

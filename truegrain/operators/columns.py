@@ -7,10 +7,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from truegrain.errors import RuleError
-from truegrain.functions.columns import column_of, ref
+from truegrain.functions.columns import canonical, column_of, field_of, ref
 from truegrain.functions.fingerprints import checksum, portable_checksum, row_bound_checksum
 from truegrain.messages import message_for
 from truegrain.operators.scalar import AGGREGATES_PER_PASS
@@ -20,9 +19,10 @@ from truegrain.results import Label, result_columns
 def per_column(df: DataFrame, columns: Sequence[str], aggregate, value_as: str) -> DataFrame:
     """(column_name, value): one aggregate for every column, all in one pass."""
     frames = []
+    kinds = {f.name: f.dataType for f in df.schema.fields}
     for start in range(0, len(columns), AGGREGATES_PER_PASS):
         part = columns[start : start + AGGREGATES_PER_PASS]
-        row = df.agg(*[aggregate(ref(c)).alias(f"__a{i}") for i, c in enumerate(part)])
+        row = df.agg(*[aggregate(canonical(ref(c), kinds[c])).alias(f"__a{i}") for i, c in enumerate(part)])
         frames.append(
             row.select(
                 F.inline(
@@ -51,29 +51,16 @@ def empty_columns(df: DataFrame) -> DataFrame:
     return non_null_profile(df).where(F.col("non_null") == 0).select("column_name")
 
 
-def _hashable(kind: T.DataType) -> bool:
-    if isinstance(kind, T.MapType):
-        return False
-    if isinstance(kind, T.ArrayType):
-        return _hashable(kind.elementType)
-    if isinstance(kind, T.StructType):
-        return all(_hashable(f.dataType) for f in kind.fields)
-    return True
-
-
-def hashable_columns(df: DataFrame) -> list[str]:
-    return [f.name for f in df.schema.fields if _hashable(f.dataType)]
-
-
 def column_checksums(df: DataFrame, portable: bool = False) -> DataFrame:
     """(column_name, checksum) of every column; independent of the row order."""
     return per_column(
-        df, hashable_columns(df), portable_checksum if portable else checksum, "checksum"
+        df, df.columns, portable_checksum if portable else checksum, "checksum"
     )
 
 
 def compute_column_checksum(df: DataFrame, column: str) -> DataFrame:
-    return df.agg(checksum(column_of(df, column)).alias("checksum"))
+    value = canonical(column_of(df, column), field_of(df, column).dataType)
+    return df.agg(checksum(value).alias("checksum"))
 
 
 def _groups(marks: dict[str, object]) -> list[list[str]]:
@@ -103,14 +90,15 @@ def duplicate_column_groups(df: DataFrame, verify: bool = True) -> list[list[str
     Each pass is one aggregation; columns are compared with one representative,
     never pairwise.
     """
-    names = hashable_columns(df)
+    names = df.columns
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    df = df.select(*[canonical(ref(n), kinds[n]).alias(n) for n in names])
     if not verify:
         return _groups(_one_row(df, {n: checksum(ref(n)) for n in names}))
-    types = {f.name: f.dataType for f in df.schema.fields}
     row_hash = F.xxhash64(*[ref(n) for n in names])
     fixed = df.select(*[ref(n) for n in names], row_hash.alias("__row"))
     marks = _one_row(fixed, {n: row_bound_checksum(ref(n), F.col("__row")) for n in names})
-    candidates = _groups({n: (marks[n], types[n].simpleString()) for n in names})
+    candidates = _groups({n: (marks[n], kinds[n].simpleString()) for n in names})
     confirmed: list[list[str]] = []
     while candidates:
         compared = {

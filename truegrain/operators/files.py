@@ -36,11 +36,17 @@ def check_duplicate_files(
     spark: SparkSession, path: str, recursive: bool = True, label: Label | None = None
 ) -> DataFrame:
     test = "duplicated_files_by_name_and_size" if recursive else "duplicated_files_current_path"
-    found = duplicate_files(file_listing(spark, path, recursive)).agg(
-        F.count(F.lit(1)).alias("bad"), F.min("path").alias("first")
+    listed = file_listing(spark, path, recursive)
+    repeated = duplicate_files(listed).select("path", F.lit(True).alias("repeats"))
+    # Every repeated file is named, as the report asks for; they are few in a sound folder.
+    found = listed.join(repeated, "path", "left").agg(
+        F.count(F.lit(1)).alias("files"),
+        F.count("repeats").alias("bad"),
+        F.array_join(F.sort_array(F.collect_list(F.when(F.col("repeats"), F.col("path")))), ", ").alias("paths"),
     )
-    passed = F.col("bad") == 0
-    values = {"violations": F.col("bad"), "first": F.col("first")}
+    # A listing without any file says nothing, so it does not pass.
+    passed = (F.col("bad") == 0) & (F.col("files") > 0)
+    values = {"violations": F.col("bad"), "first": F.when(F.col("files") == 0, F.lit("no file found")).otherwise(F.col("paths"))}
     return found.select(
         *result_columns(test, path, passed, F.col("bad"), message_for(test, passed, values), label)
     )
@@ -96,7 +102,7 @@ def check_file_timeliness(
         F.max("modificationTime").alias("newest"),
         F.min("modificationTime").alias("oldest"),
     )
-    passed = F.col("bad") == 0
+    passed = (F.col("bad") == 0) & (F.col("files") > 0)
     values = {
         "violations": F.col("bad"),
         "files": F.col("files"),

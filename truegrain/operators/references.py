@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from truegrain.functions.columns import column_of, field_of, is_text
+from truegrain.functions.columns import column_of, exact_text, field_of, is_text, mixed_numbers
 from truegrain.messages import message_for
 from truegrain.results import Label, result_columns
 
@@ -13,11 +13,16 @@ from truegrain.results import Label, result_columns
 def _key_columns(
     df_fk: DataFrame, column_fk: str, df_ref: DataFrame, ref_column: str
 ) -> tuple[Column, Column]:
-    """Both keys in one type; text against another type is compared as text."""
+    """Both keys in one type.
+
+    Text against another type is compared as text; whole numbers and floats are too, in
+    a form that is exact.
+    """
     fk, ref = column_of(df_fk, column_fk), column_of(df_ref, ref_column)
-    fk_text = is_text(field_of(df_fk, column_fk).dataType)
-    ref_text = is_text(field_of(df_ref, ref_column).dataType)
-    if fk_text != ref_text:
+    fk_kind, ref_kind = field_of(df_fk, column_fk).dataType, field_of(df_ref, ref_column).dataType
+    if mixed_numbers(fk_kind, ref_kind):
+        return exact_text(fk, fk_kind), exact_text(ref, ref_kind)
+    if is_text(fk_kind) != is_text(ref_kind):
         return fk.cast("string"), ref.cast("string")
     return fk, ref
 

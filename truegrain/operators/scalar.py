@@ -175,11 +175,12 @@ def exact_addend(df: DataFrame, column: str, scale: int) -> Column:
 
 
 def control_sum(
-    df: DataFrame, column: str, expected, tolerance=0, scale: int = 6
+    df: DataFrame, column: str, expected, tolerance=0, scale: int = 12
 ) -> ScalarCheck:
     """The sum of the column against a control value.
 
-    The sum is exact at ``scale`` decimals. Text that is no number is left out, as
+    The sum is exact at ``scale`` decimals, to which every float is rounded; the expected
+    value is not rounded. Text that is no number is left out, as
     NULL is; NaN, infinities and floats beyond the decimal range fail the check,
     because no sum exists. A table without any number never matches.
     """
@@ -236,7 +237,7 @@ def _evaluate_pass(df: DataFrame, pairs: Sequence[tuple[ScalarCheck, Label | Non
     return df.agg(*aggregates).select(F.inline(F.array(*results)))
 
 
-def control_sums(df: DataFrame, control: DataFrame, scale: int = 6, tolerance=0) -> DataFrame:
+def control_sums(df: DataFrame, control: DataFrame, scale: int = 12, tolerance=0) -> DataFrame:
     """Every row (column_name, expected_sum) of a control table against ``df``.
 
     All sums come from one pass. Names the table does not have give an Error row.
@@ -276,7 +277,7 @@ def control_sums(df: DataFrame, control: DataFrame, scale: int = 6, tolerance=0)
             [], f"column_name string, actual {wide}, known boolean"
         )
     joined = control.select(
-        "column_name", F.col("expected_sum").try_cast(wide).alias("expected")
+        "column_name", F.col("expected_sum").try_cast("decimal(38,18)").alias("expected")
     ).join(sums, "column_name", "left")
     passed = F.coalesce(F.abs(F.col("actual") - F.col("expected")) <= allowed, F.lit(False))
     values = {"field": F.col("column_name"), "actual": F.col("actual"), "expected": F.col("expected")}

@@ -57,7 +57,7 @@ def active_rules(rules: DataFrame) -> list[Rule]:
 
 
 def table_lookup(
-    spark: SparkSession, tables: Tables | None, base_path: str | None
+    spark: SparkSession, tables: Tables | None, base_path: str | None, csv: Mapping[str, object] | None = None
 ) -> Callable[[str], DataFrame]:
     """Tables by name: those given first, else a file under ``base_path``."""
     known: dict[str, DataFrame] = dict(tables or {})
@@ -67,7 +67,7 @@ def table_lookup(
             if base_path is None:
                 raise RuleError(f"unknown file '{name}'")
             try:
-                known[name] = read_table(spark, f"{base_path.rstrip('/')}/{name}")
+                known[name] = read_table(spark, f"{base_path.rstrip('/')}/{name}", **(csv or {}))
             except AnalysisException as error:
                 raise RuleError(f"cannot read '{name}': {error.getCondition()}") from error
         return known[name]
@@ -152,10 +152,14 @@ def _collected(planned: list[_Planned], context: Context) -> list[tuple]:
 
 
 def _run(
-    spark: SparkSession, listed: list[Rule], tables: Tables | None, base_path: str | None
+    spark: SparkSession,
+    listed: list[Rule],
+    tables: Tables | None,
+    base_path: str | None,
+    csv: Mapping[str, object] | None,
 ) -> tuple[list[tuple], bool]:
     """All result rows, and whether a critical rule stopped the run."""
-    context = Context(spark, table_lookup(spark, tables, base_path))
+    context = Context(spark, table_lookup(spark, tables, base_path, csv))
     critical = [r for r in listed if r.critical]
     others = [r for r in listed if not r.critical]
     found = _collected([_plan(r, context) for r in critical], context)
@@ -172,6 +176,7 @@ def run_suite(
     rules: DataFrame,
     tables: Tables | None = None,
     base_path: str | None = None,
+    csv: Mapping[str, object] | None = None,
 ) -> DataFrame:
     """The results of all active rules, a row for each.
 
@@ -179,9 +184,10 @@ def run_suite(
     plans of their own, and everything is one union. Critical rules run first: if one
     does not pass, the others are reported as Skipped and never planned. A rule that
     cannot work (no test case id, unknown test or column, bad parameters, a failure
-    while it runs) is an Error row and does not disturb the rest.
+    while it runs) is an Error row and does not disturb the rest. ``csv`` has options of
+    ``read_csv`` for the CSV files under ``base_path``, such as ``multiline``.
     """
-    found, _ = _run(spark, active_rules(rules), tables, base_path)
+    found, _ = _run(spark, active_rules(rules), tables, base_path, csv)
     return fixed_results(spark, found)
 
 
@@ -235,6 +241,7 @@ def run_job(
     output: str,
     tables: Tables | None = None,
     base_path: str | None = None,
+    csv: Mapping[str, object] | None = None,
 ) -> DataFrame:
     """Run the suite, write the status report, and store clean and rejected rows.
 
@@ -245,11 +252,11 @@ def run_job(
     the same test case id.
     """
     listed = active_rules(rules)
-    found, stopped = _run(spark, listed, tables, base_path)
+    found, stopped = _run(spark, listed, tables, base_path, csv)
     results = fixed_results(spark, found)
     write_status(results.orderBy("tcid", "file_name", "test"), f"{output.rstrip('/')}/status_table")
     if not stopped:
-        find = table_lookup(spark, tables, base_path)
+        find = table_lookup(spark, tables, base_path, csv)
         broken = {row[1] for row in found if row[_STATUS] == ERROR}
         named = {r.file_name for r in listed if r.test in TESTS and TESTS[r.test].needs_table}
         for name in sorted(named - broken):

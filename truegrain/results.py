@@ -57,8 +57,8 @@ def result_columns(
 
 
 def bounded_count(count: Column) -> Column:
-    """A count as bigint; one too large for it (pairs of a join) reads as the largest."""
-    return F.coalesce(F.least(count, F.lit(_LARGEST)), F.lit(0)).cast("bigint")
+    """A count as bigint. One too large for it (pairs of a join) is NULL; the message has it in full."""
+    return F.when(count <= F.lit(_LARGEST), count.cast("bigint"))
 
 
 def fixed_results(spark: SparkSession, rows: list[tuple]) -> DataFrame:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,20 +9,29 @@ from pyspark.sql import types as T
 from truegrain.errors import RuleError
 
 
+# No cell holds this text, so the reader takes nothing but missing cells for NULL.
+_NO_TEXT = "\x01\x02"
+
+
 def read_csv(
     spark: SparkSession,
     path: str,
     schema: str | T.StructType | None = None,
     infer_types: bool = False,
     multiline: bool = False,
+    keep_empty: bool = False,
 ) -> DataFrame:
     """A CSV table with a header; every column is text unless told otherwise.
 
     A declared schema saves the extra pass that ``infer_types`` costs. ``multiline``
     allows line breaks inside quotes, but then a file is read by a single task:
-    store large tables of that kind as many files, or as Parquet.
+    store large tables of that kind as many files, or as Parquet. ``keep_empty`` tells
+    a quoted empty text from nothing at all, as :func:`write_csv` writes them; without
+    it both are NULL.
     """
     reader = spark.read.option("header", True).option("escape", '"')
+    if keep_empty:
+        reader = reader.option("nullValue", _NO_TEXT)
     if multiline:
         reader = reader.option("multiLine", True)
     if schema is not None:
@@ -36,9 +43,14 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """A table by its file name: .csv as text columns, anything else as Parquet."""
-    return read_csv(spark, path) if path.lower().endswith(".csv") else read_parquet(spark, path)
+def read_table(spark: SparkSession, path: str, **csv_options) -> DataFrame:
+    """A table by its file name: .csv as text columns, anything else as Parquet.
+
+    ``csv_options`` are those of :func:`read_csv`.
+    """
+    if path.lower().endswith(".csv"):
+        return read_csv(spark, path, **csv_options)
+    return read_parquet(spark, path)
 
 
 def read_dictionary(spark: SparkSession, path: str) -> DataFrame:
@@ -46,7 +58,14 @@ def read_dictionary(spark: SparkSession, path: str) -> DataFrame:
     return read_csv(spark, path, multiline=True)
 
 
-_SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?"
+
+def _matched_folders(spark: SparkSession, path: str) -> list[str]:
+    """The folders that a path or glob names, or that hold the files it names, in full."""
+    context = spark.sparkContext
+    named = context._jvm.org.apache.hadoop.fs.Path(path)
+    matched = named.getFileSystem(context._jsc.hadoopConfiguration()).globStatus(named)
+    found = {(m.getPath() if m.isDirectory() else m.getPath().getParent()).toString() for m in matched or []}
+    return sorted(found)
 
 
 def file_listing(spark: SparkSession, path: str, recursive: bool = True) -> DataFrame:
@@ -62,9 +81,8 @@ def file_listing(spark: SparkSession, path: str, recursive: bool = True) -> Data
         .select("path", "length", "modificationTime")
     )
     if not recursive:
-        folder = "/" + re.sub(_SCHEME, "", path).strip("/")
-        parent = F.regexp_replace(F.regexp_replace("path", _SCHEME, ""), "/[^/]*$", "")
-        listed = listed.where(parent.endswith(folder))
+        folders = _matched_folders(spark, path)
+        listed = listed.where(F.regexp_replace("path", "/[^/]*$", "").isin(folders))
     return listed.withColumn("file_name", F.element_at(F.split("path", "/"), -1))
 
 

@@ -12,16 +12,23 @@ LIST_SEPARATOR = "|"
 _VERDICT = "verdict"
 
 
+def _joined(items):
+    """Items as one text; those with a separator in them are marked, so they can be told apart."""
+    marked = F.transform(items.cast("array<string>"), lambda i: F.regexp_replace(i, r"([\\|])", r"\\$1"))
+    return F.array_join(marked, LIST_SEPARATOR)
+
+
 def write_csv(df: DataFrame, path: str, byte_order_mark: bool = False) -> None:
     """CSV with a header; arrays of text are joined by ``|``.
 
-    Texts survive a round trip, blanks and line breaks included, but CSV has one form
-    for nothing: an empty text is read back as NULL. ``byte_order_mark`` marks the
-    header of each file for spreadsheet programs.
+    Texts survive a round trip, blanks, line breaks and empty texts included, if they
+    are read with ``multiline`` and ``keep_empty``. In list items ``|`` and the backslash are
+    written with a backslash before. ``byte_order_mark`` marks the header of each file for
+    spreadsheet programs.
     """
     flat = df.select(
         *[
-            F.array_join(ref(f.name), LIST_SEPARATOR).alias(f.name)
+            _joined(ref(f.name)).alias(f.name)
             if isinstance(f.dataType, T.ArrayType)
             else ref(f.name)
             for f in df.schema.fields
@@ -43,7 +50,9 @@ def write_csv(df: DataFrame, path: str, byte_order_mark: bool = False) -> None:
 def read_lists(df: DataFrame, *columns: str) -> DataFrame:
     """Turn list columns written by :func:`write_csv` back into arrays."""
     for column in columns:
-        df = df.withColumn(column, F.split(ref(column), "[" + LIST_SEPARATOR + "]"))
+        # A separator is a | after an even number of marks.
+        parts = F.regexp_extract_all(F.concat(ref(column), F.lit("|")), F.lit(r"((?:[^\\|]|\\.)*)\|"), F.lit(1))
+        df = df.withColumn(column, F.transform(parts, lambda i: F.regexp_replace(i, r"\\(.)", "$1")))
     return df
 
 
