@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from truegrain.llm import bpe, common, html_text, jaccard, language, lengths, maglev, planes, repeats, sketch, templates
+from truegrain.llm.oracle import ORACLE  # noqa: F401
 from truegrain.session import new_shared_path
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -96,6 +97,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_prefix_tree_join": op10_prefix_tree_join,
     "pipeline": pipeline,
 }
-
-#: SQL for the queries that it can express.
-ORACLE: dict[str, str] = {}
