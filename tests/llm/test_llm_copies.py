@@ -79,11 +79,12 @@ def test_deep_shallow_order():
             raw = (raw[:30] * 40)[: n + length]
         raw = raw.encode()
         places = np.array(pick.sample(range(n), pick.randint(1, n)))
-        found = suffixes.equal_suffixes(raw, places, length)
-        texts = [{raw[places[m] : places[m] + length] for m in group} for group in found]
-        assert all(len(t) == 1 for t in texts)
-        order = [next(iter(t)) for t in texts]
-        assert order == sorted(set(order)) and sum(map(len, found)) == len(places)
+        buckets = None if pick.random() < 0.5 else np.array([raw[p] for p in places])
+        order, numbers = suffixes.suffix_classes(raw, places, length, buckets)
+        texts = [raw[p : p + length] for p in places[order]]
+        assert texts == sorted(texts) and sorted(order.tolist()) == list(range(len(places)))
+        ranks = {t: i for i, t in enumerate(sorted(set(texts)))}
+        assert numbers.tolist() == [ranks[raw[p : p + length]] for p in places]
 
 
 def brute_removed(texts, length):

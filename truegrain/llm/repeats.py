@@ -28,22 +28,21 @@ clash, as they are not read (``kept_documents`` hands them on untouched).
 
 from __future__ import annotations
 
-import hashlib
-import math
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from truegrain.llm import common
-from truegrain.llm.suffixes import equal_suffixes
+from truegrain.llm.suffixes import suffix_classes
 from truegrain.session import settle
 
 LENGTH = 200
 GRAM = 40
 #: Different spans of one anchor string that are sorted in one task.
 TOGETHER = 1_000
+#: Bytes of spans, of one anchor string or of several, that are sorted in one go.
+SORTED_BYTES = 400_000
 
 _VALUES = (common.byte_values(11), common.byte_values(12))
 _POWERS = (common.Powers(0x2545F4914F6CDD1D), common.Powers(0x9E6C63D0876A9A47 | 1))
@@ -75,11 +74,11 @@ def _least(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def spans(raw: bytes, length: int) -> tuple[np.ndarray, ...]:
-    """Anchor hash, first window, windows and two digests of every span of a text."""
+    """Anchor hash, first window, windows, two digests and anchor (from the first window on) of every span of a text."""
     size = len(raw)
     if size < length:
         none = np.zeros(0, np.uint64)
-        return none, np.zeros(0, np.int64), np.zeros(0, np.int64), none, none
+        return none, np.zeros(0, np.int64), np.zeros(0, np.int64), none, none, np.zeros(0, np.int64)
     data = np.frombuffer(raw, np.uint8)
     gram = min(GRAM, length)
     one, two = Prefixes(data, 0), Prefixes(data, 1)
@@ -88,7 +87,7 @@ def spans(raw: bytes, length: int) -> tuple[np.ndarray, ...]:
     first = np.concatenate([[0], np.flatnonzero(anchors[1:] != anchors[:-1]) + 1])
     count = np.diff(np.append(first, len(anchors)))
     stop = first + count - 1 + length
-    return grams[anchors[first]], first, count, one.of(first, stop), two.of(first, stop)
+    return grams[anchors[first]], first, count, one.of(first, stop), two.of(first, stop), anchors[first] - first
 
 
 def _signed(values: np.ndarray) -> pa.Array:
@@ -106,7 +105,7 @@ def _span_rows(source: DataFrame, length: int, whole: bool) -> DataFrame:
     def work(piece: pa.RecordBatch):
         texts = [t.encode("utf-8", "surrogatepass") for t in common.texts_of(piece, "text")]
         made = [spans(t, length) for t in texts]
-        anchor, first, count, one, two = (np.concatenate(x) for x in zip(*made))
+        anchor, first, count, one, two, lead = (np.concatenate(x) for x in zip(*made))
         found = {"anchor": _signed(anchor), "one": _signed(one)}
         if whole:
             each = [len(m[0]) for m in made]
@@ -117,12 +116,13 @@ def _span_rows(source: DataFrame, length: int, whole: bool) -> DataFrame:
                 "two": _signed(two),
                 "first": pa.array(first.astype(np.int32)),
                 "windows": pa.array(count.astype(np.int32)),
+                "lead": pa.array(lead.astype(np.int32)),
             }
         return found
 
     schema = "anchor bigint, one bigint"
     if whole:
-        schema += ", id bigint, tie bigint, two bigint, first int, windows int"
+        schema += ", id bigint, tie bigint, two bigint, first int, windows int, lead int"
     return common.map_texts(source, "text", schema, work)
 
 
@@ -137,57 +137,62 @@ def _sorted_repeats(classes: DataFrame, length: int) -> DataFrame:
         "anchor bigint, one bigint, two bigint, starts array<int>, at array<int>, digest1 array<bigint>, digest2 array<bigint>"
     )
 
-    def sort_group(rows: list[tuple]) -> pa.RecordBatch:
-        texts = [r[4] for r in rows]
+    def lists(values: np.ndarray, owner: np.ndarray, count: int) -> pa.Array:
+        """A list for each owner of its values; owners ascend."""
+        ends = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=count))]).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(ends), pa.array(values))
+
+    def sort_groups(rows: list[tuple], group: np.ndarray) -> pa.RecordBatch:
+        anchors, _, one, two, texts, times, lots, leads = zip(*rows)
+        count = len(rows)
         begins = np.cumsum([0, *map(len, texts)])
-        windows = np.array([len(t) - length + 1 for t in texts])
-        owner = np.repeat(np.arange(len(rows)), windows)
-        offset = np.arange(windows.sum()) - np.repeat(np.cumsum(windows) - windows, windows)
+        windows = np.diff(begins) - length + 1
+        owner = np.repeat(np.arange(count), windows)
+        offset = np.arange(len(owner)) - np.repeat(np.cumsum(windows) - windows, windows)
         raw = b"".join(texts)
-        many = np.array([r[5] > 1 for r in rows])
-        starts: list[list[int]] = [[] for _ in rows]
-        kept: list[list[int]] = [[] for _ in rows]
         places = begins[owner] + offset
-        dealt = rows[0][6] > 1
-        for same in equal_suffixes(raw, places, length):
-            if len(same) > 1 or many[owner[same[0]]]:
-                for m in same.tolist():
-                    starts[owner[m]].append(int(offset[m]))
-            if dealt:
-                kept[owner[same[0]]].append(int(offset[same[0]]))
-        digests = ([], [])
-        if dealt:
-            data = np.frombuffer(raw, np.uint8)
-            sums = Prefixes(data, 0), Prefixes(data, 1)
-        for i, own in enumerate(kept):
-            at = begins[i] + np.array(own, np.int64)
-            for which in (0, 1):
-                digests[which].append(sums[which].of(at, at + length).view(np.int64).tolist() if own else [])
+        # Equal windows have their anchor in the same place, so only those are sorted together.
+        buckets = group[owner] * (2 * length + 1) + (offset - np.array(leads)[owner]) + length
+        order, numbers = suffix_classes(raw, places, length, buckets)
+        again = (np.bincount(numbers)[numbers] > 1) | (np.array(times) > 1)[owner]
+        starts = lists(offset[again].astype(np.int32), owner[again], count)
+        # One window of each class, for the count over several tasks.
+        first = np.zeros(len(owner), bool)
+        first[np.unique(numbers, return_index=True)[1]] = True
+        first &= (np.array(lots) > 1)[owner]
+        data, at = np.frombuffer(raw, np.uint8), places[first]
+        digests = [Prefixes(data, w).of(at, at + length).view(np.int64) if len(at) else np.zeros(0, np.int64) for w in (0, 1)]
         return pa.RecordBatch.from_pydict(
             {
-                "anchor": pa.array([r[0] for r in rows], pa.int64()),
-                "one": pa.array([r[2] for r in rows], pa.int64()),
-                "two": pa.array([r[3] for r in rows], pa.int64()),
-                "starts": pa.array(starts, pa.list_(pa.int32())),
-                "at": pa.array(kept, pa.list_(pa.int32())),
-                "digest1": pa.array(digests[0], pa.list_(pa.int64())),
-                "digest2": pa.array(digests[1], pa.list_(pa.int64())),
+                "anchor": pa.array(anchors, pa.int64()),
+                "one": pa.array(one, pa.int64()),
+                "two": pa.array(two, pa.int64()),
+                "starts": starts,
+                "at": lists(offset[first].astype(np.int32), owner[first], count),
+                "digest1": lists(digests[0], owner[first], count),
+                "digest2": lists(digests[1], owner[first], count),
             }
         )
 
     def run(batches):
-        group: list[tuple] = []
+        rows: list[tuple] = []
+        group: list[int] = []
+        size = 0
         for batch in batches:
-            for row in zip(*(batch.column(c).to_pylist() for c in ("anchor", "lot", "one", "two", "span", "n", "lots"))):
-                if group and group[-1][:2] != row[:2]:
-                    yield sort_group(group)
-                    group = []
-                group.append(row)
-        if group:
-            yield sort_group(group)
-
+            for row in zip(*(batch.column(c).to_pylist() for c in columns)):
+                new = not rows or rows[-1][:2] != row[:2]
+                if new and size > SORTED_BYTES:
+                    yield sort_groups(rows, np.array(group))
+                    rows, group, size = [], [], 0
+                group.append(group[-1] + new if group else 0)
+                rows.append(row)
+                size += len(row[4])
+        if rows:
+            yield sort_groups(rows, np.array(group))
+
+    columns = ["anchor", "lot", "one", "two", "span", "n", "lots", "lead"]
     dealt = classes.repartition("anchor", "lot").sortWithinPartitions("anchor", "lot")
-    return dealt.select("anchor", "lot", "one", "two", "span", "n", "lots").mapInArrow(run, schema)
+    return dealt.select(*columns).mapInArrow(run, schema)
 
 
 def repeated_ranges(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH) -> DataFrame:
@@ -203,7 +208,7 @@ def repeated_ranges(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     # The side of the spans streams past the anchors that repeat: no sort of either.
     found = settle(_span_rows(source, length, whole=True).join(anchors.hint("shuffle_hash"), "anchor"))
     classes = found.groupBy("anchor", "one", "two", "mixed").agg(
-        F.count("*").alias("n"), F.min(F.struct("id", "tie", "first", "windows")).alias("sample")
+        F.count("*").alias("n"), F.min(F.struct("id", "tie", "first", "windows", "lead")).alias("sample")
     )
     mixed = settle(classes.where("mixed"))
     per_anchor = mixed.groupBy("anchor").agg(F.count("*").alias("spans"))
@@ -212,7 +217,7 @@ def repeated_ranges(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         "anchor", "one", "two", "n", "sample.*", lots.alias("lots"), F.pmod(F.col("two"), lots).cast("int").alias("lot")
     )
     by_text = located.groupBy(*KEY).agg(
-        F.collect_list(F.struct("anchor", "one", "two", "n", "lots", "lot", "first", "windows")).alias("spans")
+        F.collect_list(F.struct("anchor", "one", "two", "n", "lots", "lot", "first", "windows", "lead")).alias("spans")
     )
     texts = source.alias("s").join(
         by_text.hint("shuffle_hash").alias("b"),

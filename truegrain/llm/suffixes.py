@@ -81,11 +81,17 @@ def _eights(raw: np.ndarray) -> np.ndarray:
     return found
 
 
-def shallow_sort(raw: np.ndarray, places: np.ndarray, shallow: int = SHALLOW) -> tuple[np.ndarray, np.ndarray]:
-    """``places`` by their first ``shallow`` bytes, and where each run of equal ones begins."""
+def shallow_sort(
+    raw: np.ndarray, places: np.ndarray, order: np.ndarray, starts: np.ndarray, shallow: int = SHALLOW
+) -> tuple[np.ndarray, np.ndarray]:
+    """``order`` sorted inside its ranges by the first ``shallow`` bytes, and where each run of equal ones begins.
+
+    ``order`` indexes ``places``; its ranges begin at ``starts``.
+    """
     eights = _eights(raw)
-    order = np.arange(len(places))
-    starts, sizes, depths = np.array([0]), np.array([len(places)]), np.array([0])
+    order = order.copy()
+    sizes = np.diff(np.append(starts, len(order)))
+    depths = np.zeros(len(starts), np.int64)
     done = [np.zeros(0, np.int64)]
     while len(starts):
         open_ = (sizes > 1) & (depths < shallow)
@@ -98,11 +104,12 @@ def shallow_sort(raw: np.ndarray, places: np.ndarray, shallow: int = SHALLOW) ->
         at = np.arange(ends[-1]) + np.repeat(starts - (ends - sizes), sizes)
         keys = eights[places[order[at]] + depths[own]]
         three = np.stack([keys[ends - sizes], keys[ends - sizes + sizes // 2], keys[ends - 1]])
-        pivots = np.sort(three, axis=0)[1]
-        side = 1 + (keys > pivots[own]).astype(np.int64) - (keys < pivots[own])
-        moved = np.argsort(own * 3 + side, kind="stable")
-        order[at] = order[at[moved]]
-        counts = np.bincount(own * 3 + side, minlength=3 * len(starts))
+        pivots = np.sort(three, axis=0)[1][own]
+        side = own * 3 + 1
+        side += keys > pivots
+        side -= keys < pivots
+        order[at] = order[at[np.argsort(side, kind="stable")]]
+        counts = np.bincount(side, minlength=3 * len(starts))
         parts = np.arange(3 * len(starts))
         first = np.repeat(starts - (ends - sizes), 3) + np.cumsum(counts) - counts
         depth = np.repeat(depths, 3) + 8 * (parts % 3 == 1)
@@ -111,23 +118,42 @@ def shallow_sort(raw: np.ndarray, places: np.ndarray, shallow: int = SHALLOW) ->
     return order, np.sort(np.concatenate(done))
 
 
-def equal_suffixes(raw: bytes, places: np.ndarray, length: int) -> list[np.ndarray]:
-    """Indexes into ``places`` in ascending order of the ``length`` bytes there, equal ones together.
+def suffix_classes(
+    raw: bytes, places: np.ndarray, length: int, buckets: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray]:
+    """The order of the ``length`` bytes at each of ``places``, and a number of each that equal ones share.
 
-    Every place must have ``length`` bytes after it.
+    Numbers ascend in that order. Suffixes of different ``buckets`` are known to differ;
+    they are ordered by bucket first. Every place must have ``length`` bytes after it.
     """
-    if not len(places):
-        return []
+    count = len(places)
+    if buckets is None:
+        order, starts = np.arange(count), np.zeros(min(count, 1), np.int64)
+    else:
+        order = np.argsort(buckets, kind="stable")
+        sorted_ = buckets[order]
+        starts = np.flatnonzero(np.concatenate([[True], sorted_[1:] != sorted_[:-1]])) if count else np.zeros(0, np.int64)
     shallow = min(SHALLOW, length // 8 * 8)
-    order, starts = shallow_sort(np.frombuffer(raw, np.uint8), places, shallow)
-    found = []
-    for part in np.split(order, starts[1:]):
-        if len(part) == 1:
-            found.append(part)
-            continue
+    order, starts = shallow_sort(np.frombuffer(raw, np.uint8), places, order, starts, shallow)
+    sizes = np.diff(np.append(starts, count))
+    # Runs of one are classes; deep runs become as many as the trie finds.
+    change = np.zeros(count, np.int64)
+    change[starts] = 1
+    deep = np.flatnonzero(sizes > 1)
+    texts = places + shallow
+    for start, size in zip(starts[deep].tolist(), sizes[deep].tolist()):
+        part = order[start : start + size].tolist()
         trie = BlindTrie()
-        for member in part.tolist():
-            place = int(places[member])
-            trie.insert(raw[place + shallow : place + length], member)
-        found += [np.array(c) for c in trie.classes()]
-    return found
+        insert = trie.insert
+        for member, place in zip(part, texts[part].tolist()):
+            insert(raw[place : place + length - shallow], member)
+        if type(trie.root) is list:
+            classes = trie.classes()
+            order[start : start + size] = [m for c in classes for m in c]
+            at = start
+            for c in classes[:-1]:
+                at += len(c)
+                change[at] = 1
+    numbers = np.empty(count, np.int64)
+    numbers[order] = np.cumsum(change) - 1
+    return order, numbers
