@@ -24,4 +24,25 @@ COMPONENTS = rf"""
     FROM n JOIN (SELECT x, min(y) AS component_id FROM r GROUP BY x) m ON m.x = n.doc_id
     LEFT JOIN (SELECT x, count(DISTINCT class) FILTER (differs) AS n_links FROM l GROUP BY x) k ON k.x = n.doc_id"""
 
-ORACLE = {"op10_prefix_tree_join": COMPONENTS}
+#: Every window of 200 bytes, counted; windows that repeat united to runs; what lies between them.
+REPEATS = """
+    WITH t AS (SELECT doc_id, encode(coalesce(text, '')) AS b FROM documents),
+    w AS (SELECT doc_id, u.p, md5(array_slice(b, u.p, u.p + 199)) AS h FROM t, unnest(range(1, octet_length(b) - 198)) AS u(p)),
+    r AS (SELECT doc_id, p FROM (SELECT doc_id, p, count(*) OVER (PARTITION BY h) AS n FROM w) WHERE n > 1),
+    i AS (
+        SELECT doc_id, p, sum(fresh) OVER (PARTITION BY doc_id ORDER BY p) AS run
+        FROM (SELECT doc_id, p, CASE WHEN p - lag(p) OVER (PARTITION BY doc_id ORDER BY p) <= 200 THEN 0 ELSE 1 END AS fresh FROM r)),
+    g AS (SELECT doc_id, run, min(p) AS low, max(p) + 199 AS high FROM i GROUP BY doc_id, run),
+    k AS (
+        SELECT doc_id, coalesce(lag(high) OVER (PARTITION BY doc_id ORDER BY low), 0) + 1 AS a, low - 1 AS z FROM g
+        UNION ALL
+        SELECT t.doc_id, coalesce(max(g.high), 0) + 1, octet_length(any_value(t.b)) FROM t LEFT JOIN g USING (doc_id) GROUP BY t.doc_id),
+    kept AS (
+        SELECT doc_id, string_agg(CASE WHEN z < a THEN '' ELSE hex(array_slice(b, a, z)) END, '' ORDER BY a) AS x
+        FROM k JOIN t USING (doc_id) GROUP BY doc_id)
+    SELECT t.doc_id, octet_length(b)::BIGINT AS n_bytes, coalesce(m.n_removed, 0)::BIGINT AS n_removed,
+           coalesce(m.n_spans, 0)::BIGINT AS n_spans, sha256(unhex(x)) AS kept_sha256
+    FROM t JOIN kept USING (doc_id)
+    LEFT JOIN (SELECT doc_id, sum(high - low + 1) AS n_removed, count(*) AS n_spans FROM g GROUP BY doc_id) m USING (doc_id)"""
+
+ORACLE = {"op9_deep_shallow_repeats": REPEATS, "op10_prefix_tree_join": COMPONENTS}
