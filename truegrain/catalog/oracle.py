@@ -237,6 +237,23 @@ _COPY_PAIRS = (
     ("o_orderpriority", "priority_copy"),
 )
 
+
+
+def _least_equal(column: str) -> str:
+    """The first by name of the columns with the values of this one, if there is another."""
+    others = {column}
+    for _ in _COPY_PAIRS:
+        others |= {c for pair in _COPY_PAIRS if others & set(pair) for c in pair}
+    others -= {column}
+    listed = [f"SELECT '{column}' AS o"] + [
+        f"SELECT '{o}' AS o WHERE NOT EXISTS (SELECT {o} FROM copies EXCEPT ALL SELECT {column} FROM copies)"
+        for o in sorted(others)
+    ]
+    return (
+        f"SELECT '{column}' AS column_name, min(o) AS same_as FROM ({' UNION ALL '.join(listed)}) HAVING count(*) > 1"
+    )
+
+
 ORACLE: dict[str, str] = {
     "null_count": _count(ORDERS_WITH_GAPS, "o_custkey IS NULL"),
     "row_count": _status("SELECT abs(count(*) - 50000) AS violations FROM lineitem"),
@@ -283,6 +300,14 @@ ORACLE: dict[str, str] = {
     "foreign_key_rows": f"""
         SELECT o_orderkey, o_custkey FROM orders
         WHERE o_custkey NOT IN (SELECT c_custkey FROM {SOLVENT})""",
+    "foreign_key_mixed_types": """
+        SELECT o_custkey, count(*) AS row_count FROM orders
+        WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_custkey % 2 <> 0) GROUP BY o_custkey""",
+    "allowed_values_table": _status("""
+        SELECT count(*) AS violations FROM lineitem
+        WHERE l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_size > 10)"""),
+    "nested_nulls": _count(ORDERS_WITH_GAPS, "o_custkey IS NULL"),
+    "checksum_groups": COPIES + " UNION ALL ".join(_least_equal(c) for c in sorted({c for p in _COPY_PAIRS for c in p})),
     "dtype_consistency": _count(
         "(SELECT CASE WHEN p_brand = 'Brand#4' THEN 'n/a' ELSE CAST(p_size AS VARCHAR) END AS p_size FROM part)",
         "p_size IS NOT NULL AND TRY_CAST(p_size AS INTEGER) IS NULL",
@@ -338,6 +363,10 @@ ORACLE: dict[str, str] = {
                round(CASE WHEN m IS NOT NULL AND m <> 0 THEN abs(o_totalprice - m) / abs(m) * 100 ELSE 0 END, 6)
                    AS deviation
         FROM {_TRAILING}""",
+    "highest_deviation": f"""
+        SELECT round(max(d), 6) AS highest, count(*) FILTER (WHERE d > 150) AS bad
+        FROM (SELECT CASE WHEN m IS NOT NULL AND m <> 0 THEN abs(o_totalprice - m) / abs(m) * 100 ELSE 0 END AS d
+              FROM {_TRAILING})""",
     "moving_average_check": _count(_TRAILING, "m <> 0 AND abs(o_totalprice - m) / abs(m) * 100 > 150"),
     "iqr_outliers": _status("""
         SELECT count(*) AS violations FROM lineitem,
@@ -433,6 +462,33 @@ ORACLE: dict[str, str] = {
     "stored_split": f"""
         SELECT o_orderkey, CASE WHEN coalesce(r1, r4, r7) IS NULL THEN 'clean' ELSE 'rejected' END AS verdict
         FROM {_ROW_RULES}""",
+    "suite_with_faults": " UNION ALL ".join([
+        _rule("T1", "orders", "check_nulls", "o_custkey", f"(SELECT count(*) FROM {ORDERS_WITH_GAPS} WHERE o_custkey IS NULL)"),
+        _rule("T1", "lineitem", "check_nulls", "l_orderkey", "(SELECT count(*) FROM lineitem WHERE l_orderkey IS NULL)"),
+        _plain("none", "orders", "check_nulls", "o_custkey", "Error"),
+        _rule("T2", "orders", "validate_sum", "huge", "1"),
+        _plain("T3", "orders", "moving_average", "o_totalprice", "Error"),
+        _plain("T4", "orders", "check_nulls", "broken", "Error"),
+        _plain("T5", "orders", "validate_values_length", "o_orderstatus", "Error"),
+        _rule("T6", "lineitem", "validate_sum", "l_quantity", "1"),
+        _rule("T7", "lineitem", "validate_allowed_values", "l_partkey",
+              "(SELECT count(*) FROM lineitem WHERE l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_size > 10))"),
+    ]),
+    "status_report": """
+        SELECT 'T1' AS tcid, 'lineitem' AS file_name, 'check_nulls' AS test, 'Passed' AS status,
+               'Column ' || chr(39) || 'l_orderkey' || chr(39) || ' does not contain any null values.' AS message
+        UNION ALL SELECT 'T2', 'lineitem', 'count_records', 'Failed',
+               (SELECT 'Num of records in the file: ' || count(*) || '. Mismatch: the DataFrame has ' || count(*)
+                       || ' records, but 1 were expected.' FROM lineitem)
+        UNION ALL SELECT 'T3', 'lineitem', 'no_such_test', 'Error',
+               'unknown test ' || chr(39) || 'no_such_test' || chr(39)""",
+    "csv_suite": """
+        SELECT 'T1' AS tcid, CASE WHEN count(*) = 1 THEN 'Passed' ELSE 'Failed' END AS status,
+               abs(count(*) - 1)::BIGINT AS violations FROM documents
+        UNION ALL SELECT 'T2', CASE WHEN count(*) = 0 THEN 'Passed' ELSE 'Failed' END, count(*)::BIGINT
+        FROM documents WHERE text IS NULL
+        UNION ALL SELECT 'T3', CASE WHEN count(*) = 0 THEN 'Passed' ELSE 'Failed' END, count(*)::BIGINT
+        FROM (SELECT text FROM documents GROUP BY text HAVING count(*) > 1)""",
     "csv_roundtrip": """
         SELECT CAST(doc_id AS VARCHAR) AS doc_id, text, lang, source, CAST(n_chars AS VARCHAR) AS n_chars
         FROM documents""",

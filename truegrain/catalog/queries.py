@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from truegrain.catalog.inputs import Source
@@ -141,6 +141,40 @@ def foreign_key_rows(s: Source) -> DataFrame:
     ).select("o_orderkey", "o_custkey")
 
 
+@query
+def foreign_key_mixed_types(s: Source) -> DataFrame:
+    """Keys as whole numbers against keys as floats, half of them a little off."""
+    customers = s.customer.select(
+        (F.col("c_custkey") + F.when(F.col("c_custkey") % 2 == 0, 0.25).otherwise(0.0)).alias("key")
+    )
+    return references.orphan_values(s.orders, "o_custkey", customers, "key").select(
+        F.col("o_custkey").cast("bigint").alias("o_custkey"), "row_count"
+    )
+
+
+@query
+def allowed_values_table(s: Source) -> DataFrame:
+    """The allowed values stand in a table."""
+    return references.check_allowed_in_table(
+        s.lineitem, "l_partkey", s.part.where("p_size > 10"), "p_partkey"
+    ).select("violations", "status")
+
+
+@query
+def nested_nulls(s: Source) -> DataFrame:
+    """A field inside a struct."""
+    orders = s.orders_with_gaps().select(F.struct("o_custkey", "o_orderkey").alias("order"))
+    return _violations(orders, scalar.nulls(orders, "order.o_custkey"))
+
+
+@query
+def checksum_groups(s: Source) -> DataFrame:
+    """Which columns have equal checksums, whatever these are."""
+    equal = Window.partitionBy("checksum")
+    sums = columns.column_checksums(s.orders_with_copies()).withColumn("members", F.count(F.lit(1)).over(equal))
+    return sums.where("members > 1").select("column_name", F.min("column_name").over(equal).alias("same_as"))
+
+
 @query
 def dtype_consistency(s: Source) -> DataFrame:
     df = s.part_sizes()
@@ -255,6 +289,13 @@ def moving_average_check(s: Source) -> DataFrame:
     ).select("violations", "status")
 
 
+@query
+def highest_deviation(s: Source) -> DataFrame:
+    return trend.measured_deviation(
+        s.orders, "o_totalprice", "o_custkey", "o_orderdate", 150, 3, ["o_orderkey"]
+    ).select(F.round("highest", 6).alias("highest"), "bad")
+
+
 @query
 def iqr_outliers(s: Source) -> DataFrame:
     return outliers.check_outliers(s.lineitem, "l_extendedprice", 0.75).select(
@@ -459,12 +500,72 @@ def stored_split(s: Source) -> DataFrame:
     return clean.union(rejected)
 
 
+@query
+def suite_with_faults(s: Source) -> DataFrame:
+    """Rules that break, and rules of equal ids, beside sound ones: each has its own row."""
+    rules = _rules(
+        s,
+        ("T1", "orders", True, False, "check_nulls", "o_custkey", None),
+        ("T1", "lineitem", True, False, "check_nulls", "l_orderkey", None),
+        (None, "orders", True, False, "check_nulls", "o_custkey", None),
+        ("T2", "orders", True, False, "validate_sum", "huge", 1),
+        ("T3", "orders", True, False, "moving_average", "o_totalprice",
+         {"partition": "o_custkey", "date": "o_orderdate", "tolerance": "abc", "window": 2}),
+        ("T4", "orders", True, False, "check_nulls", "broken", None),
+        ("T5", "orders", True, False, "validate_values_length", "o_orderstatus", "VARCHAR(3)"),
+        ("T6", "lineitem", True, False, "check_sum", "l_quantity", {"expected": 1, "scale": 2}),
+        ("T7", "lineitem", True, False, "validate_allowed_values", "l_partkey", {"ref_table": "parts", "ref_column": "p_partkey"}),
+    )
+    orders = s.orders_with_gaps().withColumns(
+        {
+            "huge": F.lit("9" * 38).cast("decimal(38,0)"),
+            "broken": F.when(F.col("o_orderkey") >= 0, F.raise_error(F.lit("broken")).cast("int")),
+        }
+    )
+    tables = {"orders": orders, "lineitem": s.lineitem, "parts": s.part.where("p_size > 10")}
+    found = _without_message(suite.run_suite(s.spark, rules, tables))
+    return found.withColumn("tcid", F.coalesce("tcid", F.lit("none")))
+
+
+@query
+def status_report(s: Source) -> DataFrame:
+    """The written report, read back with its messages."""
+    path = new_shared_path(s.spark, "status")
+    rules = _rules(
+        s,
+        ("T1", "lineitem", True, False, "check_nulls", "l_orderkey", None),
+        ("T2", "lineitem", True, False, "count_records", None, 1),
+        ("T3", "lineitem", True, False, "no_such_test", "l_orderkey", None),
+    )
+    writers.write_status(suite.run_suite(s.spark, rules, {"lineitem": s.lineitem}), path)
+    report = readers.read_csv(s.spark, path, multiline=True)
+    return report.select(
+        F.col("`Test Case ID`").alias("tcid"), F.col("File").alias("file_name"),
+        F.col("Test").alias("test"), F.col("Status").alias("status"), F.col("Message").alias("message"),
+    )
+
+
+@query
+def csv_suite(s: Source) -> DataFrame:
+    """Counts and nulls of whole texts are the same from CSV, line breaks and all."""
+    folder = new_shared_path(s.spark, "suite")
+    writers.write_csv(s.documents, f"{folder}/documents.csv")
+    rules = _rules(
+        s,
+        ("T1", "documents.csv", True, False, "count_records", None, 1),
+        ("T2", "documents.csv", True, False, "check_nulls", "text", None),
+        ("T3", "documents.csv", True, False, "check_duplicates", "text", None),
+    )
+    options = {"multiline": True, "keep_empty": True}
+    return suite.run_suite(s.spark, rules, base_path=folder, csv=options).select("tcid", "status", "violations")
+
+
 @query
 def csv_roundtrip(s: Source) -> DataFrame:
     """Whole texts, line breaks and quotes included, through a CSV dictionary."""
     path = new_shared_path(s.spark, "csv")
     writers.write_csv(s.documents, path)
-    return readers.read_dictionary(s.spark, path)
+    return readers.read_csv(s.spark, path, multiline=True, keep_empty=True)
 
 
 @query

@@ -26,23 +26,44 @@ def ref(name: str, side: str | None = None) -> Column:
     return F.col(f"{side}.{quoted(name)}" if side else quoted(name))
 
 
-def field_of(df: DataFrame, name: str) -> T.StructField:
-    """The field called ``name``: an exact match first, then ignoring case."""
+def _named(fields: list[T.StructField], name: str, df: DataFrame) -> list[T.StructField]:
+    """The fields called ``name``: an exact match first, then ignoring case."""
+    found = [f for f in fields if f.name == name]
+    if not found and df.sparkSession.conf.get("spark.sql.caseSensitive") != "true":
+        found = [f for f in fields if f.name.lower() == name.lower()]
+    return found
+
+
+def _path_of(df: DataFrame, name: str) -> list[T.StructField]:
+    """The fields from the column down to the one called ``name``.
+
+    A column of that name comes first; else dots lead into structs.
+    """
     if not isinstance(name, str) or not name:
         raise RuleError("a column name is required")
-    exact = [f for f in df.schema.fields if f.name == name]
-    if len(exact) == 1:
-        return exact[0]
-    if not exact and df.sparkSession.conf.get("spark.sql.caseSensitive") != "true":
-        exact = [f for f in df.schema.fields if f.name.lower() == name.lower()]
-    if len(exact) == 1:
-        return exact[0]
-    problem = "is ambiguous" if exact else "does not exist"
-    raise RuleError(f"column '{name}' {problem}")
+    found = _named(df.schema.fields, name, df)
+    path = [found] if found else []
+    if not found and "." in name:
+        fields = df.schema.fields
+        for part in name.split("."):
+            found = _named(fields, part, df)
+            path.append(found)
+            if len(found) != 1:
+                break
+            fields = found[0].dataType.fields if isinstance(found[0].dataType, T.StructType) else []
+    if not path or any(len(step) != 1 for step in path):
+        problem = "is ambiguous" if any(len(step) > 1 for step in path) else "does not exist"
+        raise RuleError(f"column '{name}' {problem}")
+    return [step[0] for step in path]
+
+
+def field_of(df: DataFrame, name: str) -> T.StructField:
+    """The field called ``name``, which may be inside a struct."""
+    return _path_of(df, name)[-1]
 
 
 def column_of(df: DataFrame, name: str) -> Column:
-    return ref(field_of(df, name).name)
+    return F.col(".".join(quoted(f.name) for f in _path_of(df, name)))
 
 
 def canonical(column: Column, kind: T.DataType) -> Column:

@@ -62,13 +62,15 @@ def mismatches_by_key(
         .groupBy(*names, "__value")
         .agg(F.sum("in1").alias("c1"), F.sum("in2").alias("c2"))
     )
+    # Plain numbers as long as they can be; only the products need the width of a decimal.
     c1, c2 = F.col("c1").cast("decimal(19,0)"), F.col("c2").cast("decimal(19,0)")
+    agreeing = F.when((F.col("c1") > 0) & (F.col("c2") > 0), (c1 * c2).cast(_PAIRS))
     per_key = (
         by_value.groupBy(*names)
         .agg(
             F.sum("c1").alias("n1"),
             F.sum("c2").alias("n2"),
-            F.sum((c1 * c2).cast(_PAIRS)).alias("agreeing"),
+            F.coalesce(F.sum(agreeing), F.lit(0)).alias("agreeing"),
         )
         .where((F.col("n1") > 0) & (F.col("n2") > 0))
     )

@@ -87,3 +87,22 @@ def check_foreign_key(
             label,
         )
     )
+
+
+def check_allowed_in_table(
+    df: DataFrame,
+    column: str,
+    df_ref: DataFrame,
+    ref_column: str,
+    label: Label | None = None,
+) -> DataFrame:
+    """Violations are rows whose value a reference table does not list; for lists too long to write down."""
+    counted = orphan_values(df, column, df_ref, ref_column).agg(
+        F.coalesce(F.sum("row_count"), F.lit(0)).alias("bad")
+    )
+    passed = F.col("bad") == 0
+    values = {"field": column, "violations": F.col("bad"), "allowed": f"the values of {ref_column}"}
+    message = message_for("validate_allowed_values", passed, values)
+    return counted.select(
+        *result_columns("validate_allowed_values", column, passed, F.col("bad"), message, label)
+    )

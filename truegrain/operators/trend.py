@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from truegrain.errors import RuleError
 from truegrain.functions.columns import as_moment, as_number, column_of, field_of
 from truegrain.messages import message_for
+from truegrain.operators.scalar import exact_number
 from truegrain.results import Label, result_columns
 from truegrain.session import settle
 
@@ -150,7 +151,7 @@ def deviations(
     )
 
 
-def check_moving_average(
+def measured_deviation(
     df: DataFrame,
     column: str,
     partitioned_column: str,
@@ -158,16 +159,33 @@ def check_moving_average(
     tolerance_deviation: float,
     window_size: int,
     order: Sequence[str] = (),
-    label: Label | None = None,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """Fails if a deviation exceeds the tolerance; violations are the rows that do."""
+    """``highest`` deviation and ``bad``, the rows with more than the tolerance."""
+    allowed = float(exact_number(tolerance_deviation, "tolerance"))
     deviation = F.col("deviation")
-    measured = deviations(
+    return deviations(
         df, column, partitioned_column, date_column, window_size, order, block_rows
     ).agg(
         F.max(deviation).alias("highest"),
-        F.count_if(deviation > F.lit(tolerance_deviation)).alias("bad"),
+        F.count_if(deviation > F.lit(allowed)).alias("bad"),
+    )
+
+
+def check_moving_average(
+    df: DataFrame,
+    column: str,
+    partitioned_column: str,
+    date_column: str,
+    tolerance_deviation: float,
+    window_size: int,
+    order: Sequence[str] = (),
+    label: Label | None = None,
+    block_rows: int = BLOCK_ROWS,
+) -> DataFrame:
+    """Fails if a deviation exceeds the tolerance; violations are the rows that do."""
+    measured = measured_deviation(
+        df, column, partitioned_column, date_column, tolerance_deviation, window_size, order, block_rows
     )
     passed = F.col("bad") == 0
     values = {"field": column, "deviation": F.format_number("highest", 2)}

@@ -6,11 +6,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from truegrain.errors import RuleError
-from truegrain.functions.columns import column_of
+from truegrain.functions.columns import canonical, column_of, ref
 from truegrain.messages import message_for
 from truegrain.results import Label, result_columns
+from truegrain.session import new_shared_path
 
 
 def key_names(keys: str | Sequence[str]) -> list[str]:
@@ -20,22 +22,50 @@ def key_names(keys: str | Sequence[str]) -> list[str]:
     return names
 
 
+# Types of a fixed, small width; keys of any other type are first searched by digest.
+_NARROW = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+
+
 def duplicate_groups(
     df: DataFrame, keys: str | Sequence[str], count_as: str = "copies"
 ) -> DataFrame:
     """Each key that occurs more than once, with its number of rows.
 
     NULL keys form a group of their own. Counting starts before the shuffle, so a
-    hot key sends one partial count per task, not its rows.
+    hot key sends one partial count per task, not its rows. Wide keys, such as whole
+    texts, are counted by two 64-bit digests first; only rows whose digest repeats are
+    then grouped by the keys themselves, so texts that occur once never leave their task
+    while the repeated digests are few enough to broadcast.
     """
     names = key_names(keys)
     if count_as in names:
         raise RuleError(f"'{count_as}' is a key column; choose another name for the count")
+    rows = df.select(*[column_of(df, n).alias(n) for n in names])
+    if not all(isinstance(f.dataType, _NARROW) for f in rows.schema.fields):
+        rows = _rows_that_may_repeat(rows, names)
     return (
-        df.groupBy(*[column_of(df, n).alias(n) for n in names])
+        rows.groupBy(*[ref(n) for n in names])
         .agg(F.count(F.lit(1)).alias(count_as))
-        .where(F.col(count_as) > 1)
+        .where(ref(count_as) > 1)
+    )
+
+
+def _rows_that_may_repeat(rows: DataFrame, names: list[str]) -> DataFrame:
+    """Rows whose digest another row has too: all that repeat, and next to no others."""
+    values = [canonical(ref(n), rows.schema[n].dataType) for n in names]
+    one, two = F.xxhash64(*values), F.xxhash64(F.lit(1), *values[::-1], F.lit(2))
+    marked = rows.withColumns({"__one": one, "__two": two})
+    repeated = (
+        marked.groupBy("__one", "__two")
+        .agg(F.count(F.lit(1)).alias("__n"))
+        .where("__n > 1")
+        .select("__one", "__two")
     )
+    # Written out, so that the join knows its size and broadcasts it only if it is small.
+    path = new_shared_path(rows.sparkSession, "digests")
+    repeated.write.parquet(path)
+    stored = rows.sparkSession.read.schema(repeated.schema).parquet(path)
+    return marked.join(stored, ["__one", "__two"], "left_semi").drop("__one", "__two")
 
 
 def check_duplicates(

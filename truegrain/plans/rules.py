@@ -49,7 +49,8 @@ class Test:
 
     ``scalar`` builds a check that shares the aggregation of its table; ``frame``
     builds a result row from a plan of its own. A single required parameter may be
-    given bare, without the enclosing JSON object.
+    given bare, without the enclosing JSON object. ``instead`` are parameters that may
+    take the place of the required ones; the rule then is a frame.
     """
 
     dimension: str
@@ -57,6 +58,7 @@ class Test:
     optional: tuple[str, ...] = ()
     needs_field: bool = True
     needs_table: bool = True
+    instead: tuple[str, ...] = ()
     scalar: Callable[[DataFrame, str, Params], scalar.ScalarCheck] | None = None
     frame: Callable[[Context, DataFrame | None, Rule, Params], DataFrame] | None = None
 
@@ -93,6 +95,12 @@ def _foreign_key(context: Context, df: DataFrame, rule: Rule, p: Params) -> Data
     )
 
 
+def _allowed_in_table(context: Context, df: DataFrame, rule: Rule, p: Params) -> DataFrame:
+    return references.check_allowed_in_table(
+        df, rule.tested_field, context.table(p["ref_table"]), p["ref_column"], rule.label
+    )
+
+
 def _duplicates(context: Context, df: DataFrame, rule: Rule, p: Params) -> DataFrame:
     keys = p.get("keys") or rule.tested_field
     if not keys:
@@ -194,6 +202,8 @@ TESTS: Mapping[str, Test] = {
     "validate_allowed_values": Test(
         "Validations",
         ("values",),
+        instead=("ref_table", "ref_column"),
+        frame=_allowed_in_table,
         scalar=lambda df, f, p: scalar.allowed_values(df, f, _text_list(p["values"], "values")),
     ),
     "validate_date_format": Test(
@@ -250,9 +260,11 @@ def parameters(rule: Rule) -> dict[str, object]:
             given = {test.required[0]: value}
         else:
             raise RuleError(f"expected_value must be a JSON object: {text}")
-    if missing := [name for name in test.required if given.get(name) is None]:
+    replaced = bool(test.instead) and any(name in given for name in test.instead)
+    wanted = test.instead if replaced else test.required
+    if missing := [name for name in wanted if given.get(name) is None]:
         raise RuleError(f"missing parameter: {', '.join(missing)}")
-    if unknown := sorted(set(given) - {*test.required, *test.optional}):
+    if unknown := sorted(set(given) - {*wanted, *test.optional}):
         raise RuleError(f"unknown parameter: {', '.join(unknown)}")
     if "tolerance" in given:
         scalar.exact_number(given["tolerance"], "tolerance")
@@ -264,6 +276,12 @@ def parameters(rule: Rule) -> dict[str, object]:
     return given
 
 
+def is_scalar(rule: Rule, params: Params) -> bool:
+    """Whether the rule shares the aggregation of its table."""
+    test = TESTS[rule.test]
+    return test.scalar is not None and not any(name in params for name in test.instead)
+
+
 def require_pattern(spark: SparkSession, pattern: str) -> None:
     """Reject a date pattern the engine cannot use, before a whole table runs into it."""
     text = F.lit("2000-01-01")

@@ -22,6 +22,7 @@ from truegrain.plans.rules import (
     build_scalar,
     dimension_of,
     first_line,
+    is_scalar,
     parameters,
 )
 from truegrain.results import ERROR, PASSED, RESULT_SCHEMA, SKIPPED, fixed_results
@@ -82,7 +83,7 @@ def _plan(rule: Rule, context: Context) -> _Planned:
         params = parameters(rule)
         test = TESTS[rule.test]
         table = context.table(rule.file_name) if test.needs_table else None
-        if test.scalar is not None:
+        if is_scalar(rule, params):
             return _Planned(rule, check=build_scalar(table, rule, params))
         return _Planned(rule, frame=build_frame(context, table, rule, params))
     except RuleError as error:
@@ -215,7 +216,10 @@ def row_verdicts(
             continue
         if not (rule.tcid or "").strip():
             raise RuleError("a rule needs a test case id")
-        check = build_scalar(df, rule, parameters(rule))
+        params = parameters(rule)
+        if not is_scalar(rule, params):
+            continue
+        check = build_scalar(df, rule, params)
         if problem := analyser_objects(df, [check]):
             raise RuleError(f"{rule.tcid}: {problem}")
         if check.bad_row is not None:
