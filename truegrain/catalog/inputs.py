@@ -135,9 +135,9 @@ class Source:
         return self.part.select(F.lower(words).alias("label"))
 
     def part_columns(self) -> DataFrame:
-        """Full labels of the parts that are not small."""
+        """Full labels, words joined by underscores."""
         words = F.concat_ws("_", F.regexp_replace("p_name", " ", "_"), "p_brand", "p_type")
-        return self.part.where(F.col("p_size") > 10).select(F.lower(words).alias("label"))
+        return self.part.select(F.lower(words).alias("label"))
 
     def event_columns(self) -> DataFrame:
         """A column per kind of event; sign-ups are never filled."""

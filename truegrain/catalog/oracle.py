@@ -407,7 +407,7 @@ ORACLE: dict[str, str] = {
     "fuzzy_match": _best(
         "lower(replace(p_name, ' ', '') || '_' || p_brand || '_' || p_type)",
         "SELECT DISTINCT lower(replace(p_name, ' ', '_') || '_' || p_brand || '_' || p_type) AS b "
-        "FROM part WHERE p_size > 10",
+        "FROM part",
     ),
     "fixed_types": """
         WITH n AS (SELECT lower(replace(s_name, '#', '')) AS a FROM supplier),

@@ -3,9 +3,11 @@
 Two names match when their similarity, 100 * (1 - d / (|a| + |b|)) on sorted
 words, reaches a threshold; d counts the insertions and deletions between them.
 A pair that can match has d <= t for a t that follows from the two lengths. Cut
-``b`` into more than t pieces: d edits leave at least one piece of ``b`` whole, so
-it occurs in ``a``, and not far from its own place. Equal pieces therefore find
-all pairs that can match with an equi-join, and only those are scored.
+``b`` into t + 2 pieces: d edits leave at least two of them whole, so both occur in
+``a``, in that order, and the edits before, between and after them bound how far each
+may have moved. Two equal pieces therefore find all pairs that can match with an
+equi-join. One piece would be shared by very many names; two seldom are, so the join
+grows with the names and not with their pairs.
 """
 
 from __future__ import annotations
@@ -28,14 +30,6 @@ from truegrain.functions.text import (
 )
 from truegrain.session import settle
 
-# Pieces cut beyond the number needed: each name leaves out that many of its most
-# common pieces, so boilerplate shared by many names pairs nothing.
-SPARE_PIECES = 2
-
-# The probes of one piece are divided among this many join keys, so that a piece
-# shared by very many names is still paired by several tasks.
-SALTS = 8
-
 
 def _edits(total_length: Column, threshold: int) -> Column:
     """Most edits two names of this total length may differ by."""
@@ -51,9 +45,8 @@ def _shortest_partner(length: Column, threshold: int) -> Column:
 
 
 def _piece_count(length: Column, threshold: int) -> Column:
-    """Pieces for a choice of this length: enough for its longest partner, and spares."""
-    most = _edits(length + _longest_partner(length, threshold), threshold)
-    return most + 1 + SPARE_PIECES
+    """Pieces for a choice of this length: two more than its most edits with any partner."""
+    return _edits(length + _longest_partner(length, threshold), threshold) + 2
 
 
 def _piece_start(length: Column, pieces: Column, index: Column) -> Column:
@@ -61,94 +54,83 @@ def _piece_start(length: Column, pieces: Column, index: Column) -> Column:
     return F.floor(length * index / pieces).cast("int") + 1
 
 
-def _choice_pieces(choices: DataFrame, threshold: int) -> DataFrame:
-    """(b, b_key, b_length, piece_index, piece): the rarer pieces of every choice."""
-    length = F.col("b_length")
-    cut = (
-        choices.withColumn("b_length", F.length("b_key"))
-        .withColumn("pieces", _piece_count(length, threshold))
-        .select(
-            "*", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("piece_index")
+def _range(low: Column, high: Column) -> Column:
+    """The whole numbers from low to high; none if high is less."""
+    return F.when(low <= high, F.sequence(low, high)).otherwise(F.array().cast("array<int>"))
+
+
+def _two_pieces(df: DataFrame, length: Column, threshold: int) -> DataFrame:
+    """``df`` with a row for each two pieces of a choice of this length: where they start, and their sizes."""
+
+    def start(index: Column) -> Column:
+        return _piece_start(length, F.col("pieces"), index)
+
+    return (
+        df.withColumn("pieces", _piece_count(length, threshold))
+        .select("*", F.explode(_range(F.lit(0), F.col("pieces") - 2)).alias("i"))
+        .select("*", F.explode(_range(F.col("i") + 1, F.col("pieces") - 1)).alias("j"))
+        .withColumns({"at_i": start(F.col("i")), "at_j": start(F.col("j"))})
+        .withColumns(
+            {"size_i": start(F.col("i") + 1) - F.col("at_i"), "size_j": start(F.col("j") + 1) - F.col("at_j")}
         )
-        .withColumn("start", _piece_start(length, F.col("pieces"), F.col("piece_index")))
-        .withColumn("stop", _piece_start(length, F.col("pieces"), F.col("piece_index") + 1))
-        .withColumn("piece", F.substring("b_key", F.col("start"), F.col("stop") - F.col("start")))
-    )
-    place = ["b_length", "piece_index", "piece"]
-    frequency = cut.groupBy(*place).agg(F.count(F.lit(1)).alias("uses"))
-    ranked = (
-        cut.join(frequency, place)
-        .groupBy("b", "b_key", "b_set", "b_rank", "b_length")
-        .agg(F.sort_array(F.collect_list(F.struct("uses", "piece_index", "piece"))).alias("all"))
     )
-    # One group is one name, so the list holds as many pieces as the name has.
-    rare = F.slice("all", F.lit(1), F.size("all") - SPARE_PIECES)
-    return ranked.select(
-        "b", "b_key", "b_set", "b_rank", "b_length", F.explode(rare).alias("p")
-    ).select("b", "b_key", "b_set", "b_rank", "b_length", "p.piece_index", "p.piece")
 
 
-def _name_probes(names: DataFrame, threshold: int) -> DataFrame:
-    """(a, a_key, b_length, piece_index, piece): where a piece of a partner could be."""
-    a_length, b_length = F.col("a_length"), F.col("b_length")
-    shift = F.col("edits") - F.abs(a_length - b_length)
-    return (
+def _key(length: Column, one: Column, other: Column) -> Column:
+    """Two pieces of a choice of some length as a number; other pieces with the same number are found out later."""
+    return F.xxhash64(length, F.col("i"), F.col("j"), one, other)
+
+
+def _choice_keys(choices: DataFrame, threshold: int) -> DataFrame:
+    """(b, b_key, b_set, b_rank, key): all twos of pieces of every choice."""
+    rows = _two_pieces(choices.withColumn("b_length", F.length("b_key")), F.col("b_length"), threshold)
+    one = F.substring("b_key", F.col("at_i"), F.col("size_i"))
+    other = F.substring("b_key", F.col("at_j"), F.col("size_j"))
+    return rows.select("b", "b_key", "b_set", "b_rank", _key(F.col("b_length"), one, other).alias("key"))
+
+
+def _name_keys(names: DataFrame, threshold: int) -> DataFrame:
+    """(a, a_key, a_set, edits, key): where two pieces of a partner could be.
+
+    If piece i stands x places and piece j y places further right than in the choice,
+    there are at least |x| edits before i, |y - x| between, and |shift - y| after j.
+    """
+    a_length, b_length, edits = F.col("a_length"), F.col("b_length"), F.col("edits")
+    shift, x, y = F.col("shift"), F.col("x"), F.col("y")
+    room = edits - F.abs(x)
+    partners = F.sequence(_shortest_partner(a_length, threshold), _longest_partner(a_length, threshold))
+    rows = (
         names.withColumn("a_length", F.length("a_key"))
-        .select(
-            "*",
-            F.explode(
-                F.sequence(
-                    _shortest_partner(a_length, threshold), _longest_partner(a_length, threshold)
-                )
-            ).alias("b_length"),
-        )
-        .withColumn("edits", _edits(a_length + b_length, threshold))
-        .where(shift >= 0)
-        .withColumn("pieces", _piece_count(b_length, threshold))
-        .select("*", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("piece_index"))
-        .withColumn("start", _piece_start(b_length, F.col("pieces"), F.col("piece_index")))
-        .withColumn("stop", _piece_start(b_length, F.col("pieces"), F.col("piece_index") + 1))
-        .withColumn("size", F.col("stop") - F.col("start"))
-        # The text before the piece and the text after it must share the edits, so a
-        # piece moves at most half of what the difference in length leaves over.
-        .withColumn("slack", F.floor(shift / 2).cast("int"))
-        .withColumn(
-            "first",
-            F.greatest(
-                F.lit(1), F.col("start") + F.least(F.lit(0), a_length - b_length) - F.col("slack")
-            ),
-        )
-        .withColumn(
-            "last",
-            F.least(
-                a_length - F.col("size") + 1,
-                F.col("start") + F.greatest(F.lit(0), a_length - b_length) + F.col("slack"),
-            ),
-        )
-        .where(F.col("first") <= F.col("last"))
-        .select(
-            "a",
-            "a_key",
-            "a_set",
-            "b_length",
-            "edits",
-            "piece_index",
-            F.explode(
-                F.array_distinct(
-                    F.transform(
-                        F.sequence(F.col("first"), F.col("last")),
-                        lambda at: F.substring(F.col("a_key"), at, F.col("size")),
-                    )
-                )
-            ).alias("piece"),
-        )
+        .select("*", F.explode(partners).alias("b_length"))
+        .withColumns({"edits": _edits(a_length + b_length, threshold), "shift": a_length - b_length})
+        .where(F.abs(shift) <= edits)
+    )
+    placed = (
+        _two_pieces(rows, b_length, threshold)
+        .select("*", F.explode(_range(_half_up(shift - edits), _half_down(shift + edits))).alias("x"))
+        .select("*", F.explode(_range(_half_up(x + shift - room), _half_down(x + shift + room))).alias("y"))
+        .withColumns({"at_i": F.col("at_i") + x, "at_j": F.col("at_j") + y})
+        .where((F.col("at_i") >= 1) & (F.col("at_i") + F.col("size_i") <= F.col("at_j")))
+        .where(F.col("at_j") + F.col("size_j") <= a_length + 1)
     )
+    one = F.substring("a_key", F.col("at_i"), F.col("size_i"))
+    other = F.substring("a_key", F.col("at_j"), F.col("size_j"))
+    return placed.select("a", "a_key", "a_set", "edits", _key(b_length, one, other).alias("key"))
+
+
+def _half_up(value: Column) -> Column:
+    return F.ceil(value / 2).cast("int")
+
+
+def _half_down(value: Column) -> Column:
+    return F.floor(value / 2).cast("int")
 
 
 def _ladder(threshold: int) -> list[int]:
     """Thresholds to try in turn: near matches first."""
     strict = 100 - (100 - threshold) // 3
-    return [strict, threshold] if strict > threshold else [threshold]
+    between = (strict + threshold) // 2
+    return sorted({strict, between, threshold}, reverse=True)
 
 
 def best_matches(
@@ -164,9 +146,10 @@ def best_matches(
     Names without a choice that reaches the threshold are left out. Among equal
     scores the choice that is first in ``choice_order`` wins (default: alphabetical).
 
-    A stricter threshold is tried first. It allows few edits, so pieces are long and
-    pair little; a name it matches is done, because every choice it did not find is
-    less similar. Only the other names go on to the real threshold.
+    Stricter thresholds are tried first. They allow few edits, so pieces are long and
+    keys are few; a name they match is done, because every choice they did not find is
+    less similar. Only the other names go on. Their results are settled one by one, so
+    this runs jobs while the query is built.
     """
     if isinstance(threshold, bool) or not isinstance(threshold, int) or not 1 <= threshold <= 100:
         raise RuleError(f"threshold must be a whole number from 1 to 100, not {threshold!r}")
@@ -198,37 +181,29 @@ def best_matches(
     return reduce(DataFrame.unionByName, found)
 
 
-def _matches(a: DataFrame, b: DataFrame, threshold: int) -> DataFrame:
-    """The best match of each name of ``a`` among the choices ``b``, at one threshold."""
-    # Names are few bytes but fan out into hundreds of probes and then pairs each, so
-    # both steps are spread by number of tasks, not by size.
-    tasks = int(a.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    a, b = a.repartition(tasks), b.repartition(tasks)
-    meeting = ["b_length", "piece_index", "piece", "salt"]
-    probes = (
-        _name_probes(a, threshold)
-        .withColumn("salt", F.pmod(F.hash("a"), F.lit(SALTS)))
-        .repartition(tasks, *meeting)
-    )
-    pieces = (
-        _choice_pieces(b, threshold)
-        .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        .repartition(tasks, *meeting)
-    )
-    # Two cheaper bounds discard most pairs before they leave the join: the characters
-    # used, and the built-in distance, which may also substitute and so is never larger
-    # than d; it is -1 beyond the bound.
+def _candidates(a: DataFrame, b: DataFrame, threshold: int) -> DataFrame:
+    """Pairs that share two pieces and that two cheap bounds on the distance do not part.
+
+    The bounds are the characters used, and the built-in distance, which may also
+    substitute and so is never larger than d; it is -1 beyond the bound.
+    """
     unlike = F.bit_count(F.col("a_set").bitwiseXOR(F.col("b_set")))
     bounded = F.call_function("levenshtein", F.col("a_key"), F.col("b_key"), F.col("edits"))
     close = F.when(unlike <= F.col("edits"), bounded >= 0).otherwise(F.lit(False))
     # Sizes known before the fan-out say nothing about the sizes after it, so neither
     # side may be broadcast on their account.
-    pairs = (
-        probes.join(pieces.hint("merge"), meeting)
-        .where(close)
-        .select("a", "b", "b_key", "b_rank")
-        .distinct()
-    )
+    met = _name_keys(a, threshold).join(_choice_keys(b, threshold).hint("merge"), "key")
+    return met.where(close)
+
+
+def _matches(a: DataFrame, b: DataFrame, threshold: int) -> DataFrame:
+    """The best match of each name of ``a`` among the choices ``b``, at one threshold."""
+    # Names are few bytes but fan out into many keys, so they are spread by number of
+    # tasks, not by size. The join has shuffles of its own, whose hot keys the adaptive
+    # plan can split.
+    tasks = int(a.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    a, b = a.repartition(tasks), b.repartition(tasks)
+    pairs = _candidates(a, b, threshold).select("a", "b", "b_key", "b_rank").distinct()
     with_bits = a.select(
         "a",
         "a_key",
