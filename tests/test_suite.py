@@ -264,3 +264,17 @@ def test_a_failure_while_running_is_one_error_row(spark, loans):
     )
     found = {r["tcid"]: r["status"] for r in run_suite(spark, rules, {"f": broken, "g": loans}).collect()}
     assert found == {"T1": "Error", "T2": "Passed", "T3": "Error", "T4": "Failed", "T5": "Passed"}
+
+
+def test_a_suite_leaves_no_folders(spark, loans):
+    from pathlib import Path
+
+    from truegrain.session import shared_folder
+
+    def digests():
+        return list(Path(shared_folder(spark).removeprefix("file:")).glob("digests-*"))
+
+    before = digests()
+    rules = named_rules(spark, ("T1", "f", False, "check_duplicates", "grade", None))
+    assert run_suite(spark, rules, {"f": loans}).first()["violations"] == 1
+    assert digests() == before

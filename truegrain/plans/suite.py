@@ -26,6 +26,7 @@ from truegrain.plans.rules import (
     parameters,
 )
 from truegrain.results import ERROR, PASSED, RESULT_SCHEMA, SKIPPED, fixed_results
+from truegrain.session import scratch
 from truegrain.sources.readers import as_rules, read_table
 from truegrain.sources.writers import write_split, write_status
 
@@ -163,13 +164,14 @@ def _run(
     context = Context(spark, table_lookup(spark, tables, base_path, csv))
     critical = [r for r in listed if r.critical]
     others = [r for r in listed if not r.critical]
-    found = _collected([_plan(r, context) for r in critical], context)
-    stopped = [row for row in found if row[_STATUS] != PASSED]
-    if stopped:
-        reason = f"skipped: critical rule {stopped[0][0]} did not pass"
-        skipped = [(r.tcid, r.file_name, r.test, r.tested_field, SKIPPED, None, reason) for r in others]
-        return found + skipped, True
-    return found + _collected([_plan(r, context) for r in others], context), False
+    with scratch(spark):
+        found = _collected([_plan(r, context) for r in critical], context)
+        stopped = [row for row in found if row[_STATUS] != PASSED]
+        if stopped:
+            reason = f"skipped: critical rule {stopped[0][0]} did not pass"
+            skipped = [(r.tcid, r.file_name, r.test, r.tested_field, SKIPPED, None, reason) for r in others]
+            return found + skipped, True
+        return found + _collected([_plan(r, context) for r in others], context), False
 
 
 def run_suite(

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -51,9 +53,37 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+# Paths handed out inside each open ``scratch``, innermost last.
+_handed_out: list[list[str]] = []
+
+
 def new_shared_path(spark: SparkSession, label: str) -> str:
-    """A path in the shared folder that no other run uses."""
-    return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    """A path in the shared folder that no other run uses.
+
+    Outside a :func:`scratch` it belongs to the caller, who deletes it or leaves it.
+    """
+    path = f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    if _handed_out:
+        _handed_out[-1].append(path)
+    return path
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete on leaving what :func:`new_shared_path` named inside.
+
+    For jobs whose results are collected or written before they end; frames that are
+    still to be computed must not leave it. Checkpoints are not touched: the engine
+    removes them once nothing refers to them, if its cleaner is set to.
+    """
+    _handed_out.append([])
+    try:
+        yield
+    finally:
+        context = spark.sparkContext
+        for path in _handed_out.pop():
+            folder = context._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def settle(df):
