@@ -33,6 +33,7 @@ def test_held_out_accuracy(spark):
 
 def test_bundle_is_the_sum_of_bound_letters():
     space = language.Space(64, 3)
+    assert space.bundles(["\u0301 \u0301", "e\u0301"])[1].tolist() == [False, True]
     texts = ["Ab, ba", "", "12 é", "abab abab"]
     bundles, has = space.bundles(texts)
     assert has.tolist() == [True, False, True, True]

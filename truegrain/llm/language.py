@@ -46,13 +46,17 @@ class Letters:
     def __init__(self):
         self.number = np.full(0x110000, -1, np.int32)
         self.points = [0x20]
+        self.marks = {0}  # numbers that are no letters by themselves
 
     def __call__(self, points: np.ndarray) -> np.ndarray:
         found = self.number[points]
         new = np.unique(points[found < 0])
         for point in new.tolist():
-            if unicodedata.category(chr(point))[0] in "LM":
+            kind = unicodedata.category(chr(point))[0]
+            if kind in "LM":
                 self.number[point] = len(self.points)
+                if kind == "M":
+                    self.marks.add(len(self.points))
                 self.points.append(point)
             else:
                 self.number[point] = 0
@@ -84,7 +88,7 @@ class Space:
         # Blanks in a row as one.
         keep = (number > 0) | np.concatenate([[True], (number[:-1] > 0) | (owner[1:] != owner[:-1])])
         number, owner = number[keep], owner[keep]
-        has = np.bincount(owner, number > 0, len(texts)) > 0
+        has = np.bincount(owner, ~np.isin(number, list(self.letters.marks)), len(texts)) > 0
         base = len(self.letters.points)
         codes = np.zeros(max(0, len(number) - self.gram + 1), np.int64)
         for i in range(self.gram):
