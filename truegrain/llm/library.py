@@ -30,7 +30,8 @@ class LibraryEncoder(WordTable):
         super().__init__()
 
     def _ids(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.int64)
+        # The fast form keeps no offsets; its ids are the same.
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int64)
 
     def encode_words(self, words: list[str]) -> list[np.ndarray]:
         found: list[np.ndarray] = []

@@ -96,7 +96,7 @@ class WordBpe:
 
     def words(self, text: str) -> list[str]:
         """The words of a text; a special token is a word of its own."""
-        if self._special_cut is None or self._special_cut.search(text) is None:
+        if not any(token in text for token in self.special):
             return words_in(text)
         found = []
         for i, piece in enumerate(self._special_cut.split(text)):
@@ -117,7 +117,7 @@ class Seen(dict):
 
 
 #: Words that a task remembers; beyond, it begins anew.
-REMEMBERED = 400_000
+REMEMBERED = 600_000
 
 
 class WordTable:
