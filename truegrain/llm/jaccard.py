@@ -5,11 +5,15 @@ per document with the least id that it reaches by links.
 
 1. Equal n-gram sets are one *class*, found by two 64-bit digests of the set.
 2. Classes that can link meet. The difference of two linking sets is at most ``d``
-   elements for sets of a size class; the elements are dealt by hash into more than ``d``
-   boxes, so at least one box that is not empty is equal in both (classes that fill too
-   few boxes are also matched on empty ones). A size class and the next use the same
-   boxes, since linking sets are of the same or of neighbouring classes. Classes with an
-   equal box are connected to the least of them; components of this are *families*.
+   elements, for the size class of the smaller; the elements are dealt by hash into more
+   than ``d`` boxes, so of ``e`` boxes that are not empty at least ``e - d`` are equal in
+   both. Each class may therefore forget its ``e - d - 1`` most frequent boxes (in one
+   global order) and still keep one in common with every partner: the rarest they share.
+   So passages that many documents share connect nothing, as long as the rest differs.
+   (Sets that fill no more than ``d`` boxes forget none and are also matched on empty
+   ones.) A set uses the boxes of its own size class and of the class below, as linking
+   sets are of the same or of neighbouring classes. Classes with an equal box are
+   connected; components of this are *families*.
 3. The sets of a family, each sorted in one global order (long n-grams first, which are
    rare, then by hash), go into a prefix tree, and each is searched in it (``prefixtree``).
    A large family is cut into blocks; each pair of blocks is a task, so none is unbounded
@@ -40,8 +44,11 @@ from truegrain.session import settle
 
 #: Elements of the sets in one block of a family.
 BLOCK_ELEMENTS = 400_000
-#: Boxes beyond the least number, so that few sets leave too many of them empty.
-SPARE_BOXES = 2
+
+
+def boxes_of(differ: np.ndarray) -> np.ndarray:
+    """Boxes for sets that may differ by so many elements: some more, which may be forgotten."""
+    return differ + 3 + 3 * differ // 20
 
 
 def size_classes(over: int, under: int, most: int) -> np.ndarray:
@@ -75,38 +82,41 @@ def set_digests(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndar
     return sizes, one, two
 
 
-def box_marks(sets: list[np.ndarray], over: int, under: int) -> tuple[np.ndarray, np.ndarray]:
-    """Marks of the boxes of each set, one after another, and how many each set has."""
+def box_marks(sets: list[np.ndarray], over: int, under: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Marks of the boxes of all sets, the set of each, and twice how many of its kind the set may forget.
+
+    The last number is odd for boxes of the size class below the set's own. Sets ascend.
+    """
     sizes = np.array([len(s) for s in sets], np.int64)
-    tops = size_classes(over, under, max(1, int(sizes.max(initial=0)) * under // over + 1))
+    tops = size_classes(over, under, max(1, int(sizes.max(initial=0))))
     own = np.searchsorted(tops, sizes)
     flat = np.concatenate(sets) if len(sets) else np.zeros(0, np.uint64)
-    spread = common.mix(flat ^ np.uint64(0x5DEECE66D))
+    place = common.mix(flat ^ np.uint64(0x5DEECE66D)) >> np.uint64(32)
     value = common.mix(flat)
-    place = spread >> np.uint64(32)
-    marks, owners = [], []
+    low_half, high_half = (value & np.uint64(0xFFFFFFFF)).astype(np.float64), (value >> np.uint64(32)).astype(np.float64)
+    found = []
     for step in (0, 1):
-        kind = np.minimum(own + step, len(tops) - 1)
-        differ = 2 * tops[kind] * (under - over) // (under + over)
-        boxes = np.where(sizes > 0, differ + 1 + SPARE_BOXES, 0)
+        kind = np.maximum(own - step, 0)
+        differ = tops[kind] * (under - over) // over
+        boxes = np.where((sizes > 0) & (own >= step), boxes_of(differ), 0)
         base = np.cumsum(boxes) - boxes
+        inside = np.repeat(boxes > 0, sizes)
         box = (place * np.repeat(boxes, sizes).astype(np.uint64)) >> np.uint64(32)
-        at = box.astype(np.int64) + np.repeat(base, sizes)
+        at = (box.astype(np.int64) + np.repeat(base, sizes))[inside]
         total = int(boxes.sum())
-        low = np.bincount(at, (value & np.uint64(0xFFFFFFFF)).astype(np.float64), total).astype(np.uint64)
-        high = np.bincount(at, (value >> np.uint64(32)).astype(np.float64), total).astype(np.uint64)
+        low = np.bincount(at, low_half[inside], total).astype(np.uint64)
+        high = np.bincount(at, high_half[inside], total).astype(np.uint64)
         filled = np.bincount(at, minlength=total)
         owner = np.repeat(np.arange(len(sets)), boxes)
         number = np.arange(total) - np.repeat(base, boxes)
-        enough = np.bincount(owner, filled > 0, len(sets)) > differ
-        use = (filled > 0) | ~enough[owner]
+        spare = np.bincount(owner, filled > 0, len(sets)).astype(np.int64) - differ - 1
+        use = (filled > 0) | (spare[owner] < 0)
         name = common.mix((kind[owner].astype(np.uint64) << np.uint64(32)) | number.astype(np.uint64))
         mark = common.mix(common.mix(low ^ name) + high * np.uint64(0x9E3779B97F4A7C15) + filled.astype(np.uint64))
-        marks.append(mark[use])
-        owners.append(owner[use])
-    owner = np.concatenate(owners)
-    order = np.argsort(owner, kind="stable")
-    return np.concatenate(marks)[order], np.bincount(owner, minlength=len(sets))
+        found.append((mark[use], owner[use], 2 * np.maximum(spare, 0)[owner[use]] + step))
+    marks, owners, slack = (np.concatenate(x) for x in zip(*found))
+    order = np.argsort(owners, kind="stable")
+    return marks[order], owners[order], slack[order]
 
 
 def _members(source: DataFrame, gram: int) -> DataFrame:
@@ -129,12 +139,22 @@ def _families(source: DataFrame, gram: int, over: int, under: int) -> DataFrame:
     def work(piece: pa.RecordBatch):
         sets = ordered_sets(common.texts_of(piece, "text"), gram)
         _, one, _ = set_digests(sets)
-        marks, counts = box_marks(sets, over, under)
-        return {"mark": pa.array(marks.view(np.int64)), "one": pa.array(np.repeat(one, counts).view(np.int64))}
+        marks, owner, slack = box_marks(sets, over, under)
+        return {
+            "mark": pa.array(marks.view(np.int64)),
+            "one": pa.array(one[owner].view(np.int64)),
+            "slack": pa.array(slack.astype(np.int32)),
+        }
 
-    marked = common.map_texts(source, "text", "mark bigint, one bigint", work)
-    low = F.min("one").over(Window.partitionBy("mark"))
-    edges = marked.withColumn("low", low).where("one <> low").select(F.col("one").alias("a"), F.col("low").alias("b"))
+    marked = common.map_texts(source, "text", "mark bigint, one bigint, slack int", work)
+    same = Window.partitionBy("mark")
+    # Copies are one class: their rows count once.
+    shared = marked.withColumns({"uses": F.count("*").over(same), "low": F.min("one").over(same), "high": F.max("one").over(same)})
+    shared = shared.where("low <> high").select("mark", "one", "slack", "uses").distinct()
+    frequent = Window.partitionBy("one", "slack").orderBy(F.desc("uses"), "mark")
+    kept = shared.withColumn("place", F.row_number().over(frequent)).where(F.col("place") > F.floor(F.col("slack") / 2))
+    least = kept.select("mark", "one", F.min("one").over(same).alias("low"))
+    edges = least.where("one <> low").select(F.col("one").alias("a"), F.col("low").alias("b"))
     return components(edges).select(F.col("node").alias("one"), F.col("root").alias("family"))
 
 
