@@ -205,6 +205,8 @@ def repeated_ranges(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         .where("times > 1")
         .select("anchor", "mixed")
     )
+    # Stored, so that the join stands right on two shuffles and its hot anchors can be split.
+    anchors = common.stored(anchors, "anchors")
     # The side of the spans streams past the anchors that repeat: no sort of either.
     found = settle(_span_rows(source, length, whole=True).join(anchors.hint("shuffle_hash"), "anchor"))
     classes = found.groupBy("anchor", "one", "two", "mixed").agg(
