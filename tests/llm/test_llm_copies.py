@@ -233,3 +233,17 @@ def test_one_of_each(documents, rows_of):
     base = prose(1, 120).split()
     texts = [(8, " ".join(base)), (3, " ".join([*base[:60], "x", *base[61:]])), (5, prose(2, 80)), (6, None), (7, "")]
     assert [r["doc_id"] for r in rows_of(jaccard.one_of_each(documents(texts)))] == [3, 5, 6, 7]
+
+
+def test_a_sieve_loses_no_key(spark, monkeypatch):
+    from truegrain.llm import common
+
+    df = spark.range(2000).selectExpr("id", "cast(id % 7 as string) as t", "'x' as text")
+    keys = df.where("id % 50 = 3").select("id", "t")
+    for bits, most in ((1 << 24, 60), (64, 2000)):
+        monkeypatch.setattr(common, "SIEVE_BITS", bits)
+        found = common.sieved(df, keys, ["id", "t"])
+        assert found.columns == df.columns
+        ids = {r["id"] for r in found.collect()}
+        assert {r["id"] for r in keys.collect()} <= ids and len(ids) <= most
+    assert common.sieved(df, keys.where("false"), ["id", "t"]).count() == 0

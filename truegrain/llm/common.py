@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from truegrain.session import new_shared_path
 
@@ -30,6 +31,23 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Bits of a sieve: its table has at most a 64th of them as rows, about 4 MB, at any size of data.
+SIEVE_BITS = 1 << 24
+
+
+def sieved(df: DataFrame, keys: DataFrame, columns: list[str]) -> DataFrame:
+    """``df`` without most rows whose ``columns`` are not among ``keys``, before a shuffle of it.
+
+    A bit for each key, by hash, in a table of bounded size that is broadcast. Rows of a
+    key are never lost; others pass as far as bits fall together, so a join has to follow.
+    """
+    place = F.pmod(F.xxhash64(*columns), F.lit(SIEVE_BITS))
+    word, bit = F.floor(place / 64), F.call_function("shiftleft", F.lit(1).cast("bigint"), (place % 64).cast("int"))
+    words = keys.select(word.alias("_word"), bit.alias("_bit")).groupBy("_word").agg(F.bit_or("_bit").alias("_bits"))
+    met = df.withColumns({"_word": word, "_bit": bit}).join(F.broadcast(words), "_word")
+    return met.where(F.col("_bits").bitwiseAND(F.col("_bit")) != 0).select(*df.columns)
+
+
 def slices(batches: Iterable[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
     """The rows of ``batches`` in pieces of about ``SLICE_BYTES`` of ``column``, at most ``SLICE_ROWS`` long."""
     for batch in batches:

@@ -245,7 +245,9 @@ def linked_components(
     wanted = placed.join(whole, "family").select(
         F.col("rep").alias("id"), "tie", "family", blocks.alias("blocks"), F.pmod(F.xxhash64("rep"), blocks).cast("int").alias("block")
     )
-    texts = source.join(wanted.hint("shuffle_hash"), ["id", "tie"]).dropDuplicates(["id", "tie"])
+    wanted = settle(wanted)
+    few = common.sieved(source, wanted, ["id", "tie"])
+    texts = few.join(wanted.hint("shuffle_hash"), ["id", "tie"]).dropDuplicates(["id", "tie"])
 
     def work(piece: pa.RecordBatch):
         sets = ordered_sets(common.texts_of(piece, "text"), gram)
