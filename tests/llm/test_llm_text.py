@@ -258,6 +258,23 @@ def test_contamination_cases(spark, documents, rows_of):
     assert templates.contaminated(df.where("false"), benchmark).count() == 0
 
 
+@pytest.mark.parametrize("sent", [4_000_000, 0])
+def test_copies_of_few_literal_words(spark, documents, monkeypatch, sent):
+    monkeypatch.setattr(templates, "MOST_SENT", sent)
+    texts, items = contamination_cases()
+    items += ["What is 12 + 7 * 3 - 4?", "Im Garten von Herrn Maier stehen Bäume, Büsche, Blumen und Tische aus Holz."]
+    texts += ["Then: what is 12 + 7 * 3 - 4? A sum.", "Nun. " + items[-1] + " Ende", "What is 13 + 8 * 4 - 5?"]
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id bigint, text string")
+    found = {(r["id"], r["item"]): r for r in templates.contaminated(documents(texts), benchmark, forms=templates.ALL_FORMS).collect()}
+    more = {(14, 5), (15, 8), (16, 9)}
+    assert set(found) >= more | brute_contaminated(texts, items)
+    assert not {(14, 5), (15, 8)} & brute_contaminated(texts, items)
+    assert all(found[k]["n_covered"] == found[k]["n_words"] for k in more)
+    assert not any(d == 17 for d, _ in found)
+    kept = templates.clean_documents(documents(texts), benchmark)
+    assert not {d for d, _ in found} & {r["doc_id"] for r in kept.collect()}
+
+
 # --- pipeline
 
 

@@ -41,7 +41,7 @@ def op3_composite_text_density(spark: SparkSession, folder: str) -> DataFrame:
 def op4_template_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     """Every document and benchmark item that contaminates it."""
     documents, benchmark = (common.table(spark, folder, t) for t in ("documents", "benchmark"))
-    return templates.contaminated(documents, benchmark).select(
+    return templates.contaminated(documents, benchmark, forms=templates.ALL_FORMS).select(
         F.col("id").alias("doc_id"),
         F.col("item").alias("item_id"),
         *(F.col(c).cast("bigint").alias(c) for c in ("n_words", "n_covered", "n_slots", "n_changed")),

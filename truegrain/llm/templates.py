@@ -7,7 +7,9 @@ name is a run of capitalised words that do not begin a sentence.
 
 Windows of template words of the benchmark are hash-joined with those of the documents.
 Windows of which less than half is literal words are left out, as they would match
-anything; an item shorter than a window is one window of its own length. Matches of a
+anything; an item shorter than a window is one window of its own length. Windows of the
+words as they are, without case and placeholders, are joined as well and their cover
+counts too, so copies are found whatever they are made of. Matches of a
 document and an item are laid along their diagonals. A diagonal counts if its slots are
 consistent, that is if each value of the item stands for one value of the document; of an
 inconsistent one only the windows without slots count. A document is contaminated by an
@@ -41,6 +43,10 @@ MOST_SENT = 4_000_000
 
 LITERAL, NUMBER, NAME, UNIT, BREAK = range(5)
 
+#: Forms of a text whose windows are joined: template words, and words in any case without placeholders.
+PLACEHOLDERS, WORDS = range(2)
+ALL_FORMS = (PLACEHOLDERS, WORDS)
+
 NUMBER_WORDS = set(
     "zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen "
     "sixteen seventeen eighteen nineteen twenty thirty forty fifty sixty seventy eighty ninety "
@@ -63,14 +69,14 @@ _BREAK_SIGN = "\x00"
 class Templates(WordTable):
     """Template words of whitespace-delimited pieces, remembered by piece.
 
-    A piece has entries in ``ids`` that index the tables of kinds, values, literal
-    hashes and sentence ends.
+    A piece has entries in ``ids`` that index the tables of kinds, values, capitals,
+    sentence ends and values without case.
     """
 
     def _forget(self) -> None:
         super()._forget()
         none = np.zeros(0, bool)
-        self.tables = (np.zeros(0, np.int8), np.zeros(0, np.uint64), none, none)
+        self.tables = (np.zeros(0, np.int8), np.zeros(0, np.uint64), none, none, np.zeros(0, np.uint64))
         self.fresh: list[tuple[int, str, bool, bool]] = []  # kind, word, capital, ends a sentence
 
     def _entry(self, *entry) -> int:
@@ -101,35 +107,57 @@ class Templates(WordTable):
         if self.fresh:
             kinds, names, capitals, ends = zip(*self.fresh)
             values = common.words_of(["x" + n for n in names])[0]
-            new = (np.array(kinds, np.int8), values, np.array(capitals), np.array(ends))
+            folded = common.words_of(["x" + n.casefold() for n in names])[0]
+            new = (np.array(kinds, np.int8), values, np.array(capitals), np.array(ends), folded)
             self.tables = tuple(np.concatenate(t) for t in zip(self.tables, new))
             self.fresh = []
         return found
 
     def templates(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Kind and value of every template word, and where each text's begin."""
+        return self.forms(texts, [PLACEHOLDERS])[PLACEHOLDERS][:3]
+
+    def forms(self, texts: list[str], wanted: list[int]) -> dict[int, tuple]:
+        """Of each form: kind and value of every word, where each text's begin, and the first entry of each word.
+
+        The last array has an entry more than there are words.
+        """
         pieces = [t.replace("\n", f" {_BREAK_SIGN} ").split() for t in texts]
         flat = [p for ps in pieces for p in ps]
         if not flat:
-            return np.zeros(0, np.int8), np.zeros(0, np.uint64), np.zeros(len(texts) + 1, np.int64)
+            none = np.zeros(0, np.int8), np.zeros(0, np.uint64), np.zeros(len(texts) + 1, np.int64), np.zeros(1, np.int64)
+            return dict.fromkeys(wanted, none)
         ids, sizes = self.ids_at(self.places(flat))
         total = np.concatenate([[0], np.cumsum(sizes)])
         bounds = total[np.cumsum([0, *map(len, pieces)])]
-        kind, value, capital, ends = (t[ids] for t in self.tables)
+        kind, value, capital, ends, folded = (t[ids] for t in self.tables)
         owner = np.repeat(np.arange(len(texts)), np.diff(bounds))
         first = np.concatenate([[True], owner[1:] != owner[:-1]]) if len(owner) else np.zeros(0, bool)
         begins = first | np.concatenate([[True], ends[:-1]])[: len(ends)]
         after_number = ~first & np.concatenate([[False], kind[:-1] == NUMBER])[: len(kind)]
         kind = np.where((kind == UNIT) & ~after_number, LITERAL, kind)
-        kind = np.where((kind == LITERAL) & capital & ~begins, NAME, kind)
-        # A run of names is one name.
-        again = ~first & (kind == NAME) & np.concatenate([[False], kind[:-1] == NAME])[: len(kind)]
-        keep = (kind != BREAK) & ~again
-        run = np.cumsum(~again) - 1
-        place = np.arange(len(kind)) - np.maximum.accumulate(np.where(again, 0, np.arange(len(kind))))
-        joined = np.add.reduceat(common.mix(value + place.astype(np.uint64)), np.flatnonzero(~again)) if len(kind) else value
-        value = np.where(kind == NAME, joined[run] if len(kind) else value, value)
-        return kind[keep], value[keep], np.searchsorted(np.flatnonzero(keep), bounds)
+        solid = np.flatnonzero(kind != BREAK)
+        entry = np.cumsum(kind != BREAK) - 1
+
+        def collapsed(kind):
+            # A run of names is one name.
+            again = ~first & (kind == NAME) & np.concatenate([[False], kind[:-1] == NAME])[: len(kind)]
+            keep = (kind != BREAK) & ~again
+            run = np.cumsum(~again) - 1
+            place = np.arange(len(kind)) - np.maximum.accumulate(np.where(again, 0, np.arange(len(kind))))
+            joined = np.add.reduceat(common.mix(value + place.astype(np.uint64)), np.flatnonzero(~again)) if len(kind) else value
+            named = np.where(kind == NAME, joined[run] if len(kind) else value, value)
+            starts = np.append(entry[keep], len(solid))
+            return kind[keep], named[keep], np.searchsorted(np.flatnonzero(keep), bounds), starts
+
+        made = {}
+        for form in wanted:
+            if form == PLACEHOLDERS:
+                made[form] = collapsed(np.where((kind == LITERAL) & capital & ~begins, NAME, kind))
+            else:
+                literal = np.full(len(solid), LITERAL, kind.dtype)
+                made[form] = literal, folded[solid], np.searchsorted(solid, bounds), np.arange(len(solid) + 1)
+        return made
 
 
 def window_hashes(kind: np.ndarray, value: np.ndarray, bounds: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -148,14 +176,15 @@ def window_hashes(kind: np.ndarray, value: np.ndarray, bounds: np.ndarray, size:
     return common.mix(found[place]), place
 
 
-_WINDOW_SCHEMA = "hash bigint, size int, place int, kinds array<int>, values array<bigint>"
+_WINDOW_SCHEMA = "form int, hash bigint, size int, place int, kinds array<int>, values array<bigint>"
 
 
-def _window_columns(kind, value, at, place, hashes, size) -> dict:
+def _window_columns(form, kind, value, at, place, hashes, size) -> dict:
     span = at[:, None] + np.arange(size)
     ends = np.arange(0, size * (len(at) + 1), size, dtype=np.int32)
     kinds, values = kind[span].ravel().astype(np.int32), value[span].ravel().view(np.int64)
     return {
+        "form": pa.array(np.full(len(at), form, np.int32)),
         "hash": pa.array(hashes.view(np.int64)),
         "size": pa.array(np.full(len(at), size, np.int32)),
         "place": pa.array(place.astype(np.int32)),
@@ -164,8 +193,12 @@ def _window_columns(kind, value, at, place, hashes, size) -> dict:
     }
 
 
-def item_windows(benchmark: DataFrame, item_col: str, text_col: str, size: int) -> DataFrame:
-    """The windows of every item: ``item``, ``words`` (of the item) and the window's columns."""
+def item_windows(benchmark: DataFrame, item_col: str, text_col: str, size: int, forms=(PLACEHOLDERS,)) -> DataFrame:
+    """The windows of every item: ``item``, ``words`` (of the item), ``first`` and ``cover`` and the window's columns.
+
+    ``first`` and ``cover`` are the template words that the window covers. A name of more
+    words than a window is covered by its last ones.
+    """
     source = benchmark.select(F.col(item_col).cast("bigint").alias("item"), F.col(text_col).cast("string").alias("text"))
 
     def run(batches):
@@ -173,30 +206,43 @@ def item_windows(benchmark: DataFrame, item_col: str, text_col: str, size: int)
         for piece in common.slices(batches, "text"):
             items = piece.column("item").to_pylist()
             for item, text in zip(items, common.texts_of(piece, "text")):
-                kind, value, bounds = table.templates([text])
-                own = min(size, len(kind))
-                hashes, at = window_hashes(kind, value, bounds, own) if own else (np.zeros(0, np.uint64), [])
-                if len(hashes):
-                    made = {"item": pa.array([item] * len(at), pa.int64()), "words": pa.array([len(kind)] * len(at), pa.int32())}
-                    yield pa.RecordBatch.from_pydict(made | _window_columns(kind, value, at, at, hashes, own))
-
-    return source.mapInArrow(run, "item bigint, words int, " + _WINDOW_SCHEMA)
-
-
-def _document_windows(source: DataFrame, sizes: list[int], sent) -> DataFrame:
-    """Windows of documents; only those whose hash is in ``sent``, if there is one."""
+                made = table.forms([text], [PLACEHOLDERS, *forms])
+                words = len(made[PLACEHOLDERS][0])
+                begin, end = made[PLACEHOLDERS][3][:-1], made[PLACEHOLDERS][3][1:]
+                for form in forms if words else ():
+                    kind, value, bounds, starts = made[form]
+                    own = min(size, len(kind))
+                    hashes, at = window_hashes(kind, value, bounds, own)
+                    first = np.searchsorted(np.maximum(begin, end - own), starts[at])
+                    cover = np.searchsorted(end, starts[at + own], side="right") - first
+                    hashes, at, first, cover = (x[cover > 0] for x in (hashes, at, first, cover))
+                    if len(hashes):
+                        columns = {
+                            "item": pa.array([item] * len(at), pa.int64()),
+                            "words": pa.array([words] * len(at), pa.int32()),
+                            "first": pa.array(first.astype(np.int32)),
+                            "cover": pa.array(cover.astype(np.int32)),
+                        }
+                        yield pa.RecordBatch.from_pydict(columns | _window_columns(form, kind, value, at, at, hashes, own))
+
+    return source.mapInArrow(run, "item bigint, words int, first int, cover int, " + _WINDOW_SCHEMA)
+
+
+def _document_windows(source: DataFrame, sizes: list[tuple[int, int]], sent) -> DataFrame:
+    """Windows of the forms and sizes given; only those whose hash is in ``sent``, if there is one."""
 
     def work(piece: pa.RecordBatch, table: Templates):
-        kind, value, bounds = table.templates(common.texts_of(piece, "text"))
+        forms = table.forms(common.texts_of(piece, "text"), sorted({form for form, _ in sizes}))
         made = []
-        for size in sizes:
+        for form, size in sizes:
+            kind, value, bounds, _ = forms[form]
             hashes, at = window_hashes(kind, value, bounds, size)
             if sent is not None:
                 known = sent.value
                 hit = known[np.minimum(np.searchsorted(known, hashes), len(known) - 1)] == hashes
                 hashes, at = hashes[hit], at[hit]
             owner = np.searchsorted(bounds, at, side="right") - 1
-            columns = _window_columns(kind, value, at, at - bounds[owner], hashes, size)
+            columns = _window_columns(form, kind, value, at, at - bounds[owner], hashes, size)
             key = {c: piece.column(c).take(pa.array(owner)) for c in ("id", "tie")}
             made.append(pa.Table.from_batches([pa.RecordBatch.from_pydict(key | columns)]))
         found = pa.concat_tables(made).combine_chunks()
@@ -214,15 +260,19 @@ def contaminated(
     item_text_col: str = "text",
     window: int = WINDOW,
     least_cover: float = LEAST_COVER,
+    forms: tuple[int, ...] = (PLACEHOLDERS,),
 ) -> DataFrame:
     """A row for each document and item that contaminates it.
 
     ``id``, ``tie`` (hash of the text), ``item``, ``n_words`` of the item, ``n_covered``,
     ``n_slots`` different slots that were compared, ``n_changed`` of these with another value.
+    ``forms``: ``ALL_FORMS`` for the whole job, as the queries do; the first alone finds only
+    what its placeholders allow.
     """
     spark = df.sparkSession
-    items = common.stored(item_windows(benchmark, item_col, item_text_col, window), "templates")
-    sizes = sorted(r["size"] for r in items.select("size").distinct().limit(window).collect())
+    items = common.stored(item_windows(benchmark, item_col, item_text_col, window, forms), "templates")
+    kinds = items.select("form", "size").distinct().limit(window * len(forms)).collect()
+    sizes = sorted((r["form"], r["size"]) for r in kinds)
     sent = None
     if items.count() <= MOST_SENT:
         hashes = np.array([r["hash"] for r in items.select("hash").distinct().collect()], np.int64).view(np.uint64)
@@ -232,23 +282,24 @@ def contaminated(
     if not sizes:
         source = source.where(F.lit(False))
     d, i = _document_windows(source, sizes, sent).alias("d"), items.alias("i")
-    met = d.join(i, (F.col("d.hash") == F.col("i.hash")) & (F.col("d.size") == F.col("i.size")))
+    same = [F.col(f"d.{c}") == F.col(f"i.{c}") for c in ("hash", "size", "form")]
+    met = d.join(i, same[0] & same[1] & same[2])
     zipped = F.arrays_zip(F.col("i.kinds").alias("kind"), F.col("i.values").alias("own"), F.col("d.values").alias("theirs"))
     slots = F.filter(zipped, lambda s: s["kind"] != LITERAL)
     matched = met.select(
-        "d.id", "d.tie", "i.item", "i.words", "i.size", F.col("i.place").alias("place"),
+        "d.id", "d.tie", "i.item", "i.words", "i.form", "i.first", "i.cover",
         (F.col("d.place") - F.col("i.place")).alias("diagonal"), slots.alias("slots"),
     )
     # On a diagonal each window of the item stands once, however often the row is repeated.
     diagonals = (
-        matched.groupBy("id", "tie", "item", "words", "diagonal")
-        .agg(F.collect_set(F.struct("place", "size", "slots")).alias("windows"))
+        matched.groupBy("id", "tie", "item", "words", "form", "diagonal")
+        .agg(F.collect_set(F.struct("first", "cover", "slots")).alias("windows"))
         .withColumn("pairs", F.array_distinct(F.flatten(F.transform("windows", lambda w: w["slots"]))))
         .withColumn("own", F.array_distinct(F.transform("pairs", lambda p: F.struct(p["kind"], p["own"]))))
         .withColumn("consistent", F.size("pairs") == F.size("own"))
     )
     counted = F.filter("windows", lambda w: F.col("consistent") | (F.size(w["slots"]) == 0))
-    covered = F.flatten(F.transform(counted, lambda w: F.sequence(w["place"], w["place"] + w["size"] - 1)))
+    covered = F.flatten(F.transform(counted, lambda w: F.sequence(w["first"], w["first"] + w["cover"] - 1)))
     agreed = F.when(F.col("consistent"), F.col("pairs")).otherwise(F.array().cast("array<struct<kind:int,own:bigint,theirs:bigint>>"))
     per_item = (
         diagonals.select("id", "tie", "item", "words", covered.alias("covered"), agreed.alias("pairs"))
@@ -269,7 +320,7 @@ def contaminated(
 
 def clean_documents(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **more) -> DataFrame:
     """``df`` without the documents that an item contaminates."""
-    found = contaminated(df, benchmark, id_col, text_col, **more).select(F.col("id").alias("_id"), F.col("tie").alias("_tie"))
+    found = contaminated(df, benchmark, id_col, text_col, **{"forms": ALL_FORMS} | more).select(F.col("id").alias("_id"), F.col("tie").alias("_tie"))
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     same = F.col(id_col).cast("bigint").eqNullSafe(F.col("_id")) & (F.xxhash64(text) == F.col("_tie"))
     return df.join(common.stored(found.distinct(), "contaminated"), same, "left_anti")
