@@ -275,6 +275,25 @@ def test_copies_of_few_literal_words(spark, documents, monkeypatch, sent):
     assert not {d for d, _ in found} & {r["doc_id"] for r in kept.collect()}
 
 
+def test_copies_in_another_case_and_names_that_begin(spark, documents):
+    tom = "Tom has 5 apples and eats 2."
+    long = "Tom has 5 apples. Anna eats 3 pears. Bob buys 7 plums. Tom sells 4 of them."
+    items = [ITEM, tom, long, "Die Straße nach Köln ist lang und voller Autos, Busse und Räder."]
+    changed = long.replace("Tom", "Eva").replace("Anna", "Carla").replace("Bob", "Karl Maria")
+    texts = [
+        "x " + ITEM.lower() + " y", "x " + ITEM.upper() + " y", "x " + ITEM.title() + " y", tom.replace("Tom", "Anna"),
+        "Yes. " + tom.replace("Tom", "Anna Smith").replace("5", "6") + " No.", changed, "x " + items[3].upper() + " y",
+        long.replace("Tom", "Eva", 1).replace("Anna", "Eva").replace("Bob", "Eva"), "Who has 5 apples and no pears?",
+    ]
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id bigint, text string")
+    found = {(r["id"], r["item"]): r for r in templates.contaminated(documents(texts), benchmark, forms=templates.ALL_FORMS).collect()}
+    assert {(0, 0), (1, 0), (2, 0), (3, 1), (4, 1), (5, 2), (6, 3)} <= set(found)
+    assert not {(0, 0), (3, 1), (4, 1), (5, 2)} & brute_contaminated(texts, items)
+    assert all(found[k]["n_covered"] == found[k]["n_words"] for k in [(0, 0), (1, 0), (2, 0), (3, 1), (4, 1), (6, 3)])
+    assert found[3, 1]["n_changed"] == 1 and found[4, 1]["n_changed"] == 2
+    assert not {d for d, _ in found} & {8}
+
+
 # --- pipeline
 
 

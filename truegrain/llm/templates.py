@@ -9,8 +9,10 @@ Windows of template words of the benchmark are hash-joined with those of the doc
 Windows of which less than half is literal words are left out, as they would match
 anything; an item shorter than a window is one window of its own length. Windows of the
 words as they are, without case and placeholders, are joined as well and their cover
-counts too, so copies are found whatever they are made of. Matches of a
-document and an item are laid along their diagonals. A diagonal counts if its slots are
+counts too, so copies are found whatever they are made of and in any case. So are windows
+of template words in which a capitalised word that begins a sentence is a name, as it may
+be one. Matches of a
+document and an item are laid along their diagonals, each form for itself. A diagonal counts if its slots are
 consistent, that is if each value of the item stands for one value of the document; of an
 inconsistent one only the windows without slots count. A document is contaminated by an
 item if the counted windows cover at least ``LEAST_COVER`` of the item's words.
@@ -43,9 +45,10 @@ MOST_SENT = 4_000_000
 
 LITERAL, NUMBER, NAME, UNIT, BREAK = range(5)
 
-#: Forms of a text whose windows are joined: template words, and words in any case without placeholders.
-PLACEHOLDERS, WORDS = range(2)
-ALL_FORMS = (PLACEHOLDERS, WORDS)
+#: Forms of a text whose windows are joined: template words, words in any case without placeholders,
+#: and template words of which capitalised ones that begin a sentence are names too.
+PLACEHOLDERS, WORDS, BEGINS = range(3)
+ALL_FORMS = (PLACEHOLDERS, WORDS, BEGINS)
 
 NUMBER_WORDS = set(
     "zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen "
@@ -154,6 +157,8 @@ class Templates(WordTable):
         for form in wanted:
             if form == PLACEHOLDERS:
                 made[form] = collapsed(np.where((kind == LITERAL) & capital & ~begins, NAME, kind))
+            elif form == BEGINS:
+                made[form] = collapsed(np.where((kind == LITERAL) & capital, NAME, kind))
             else:
                 literal = np.full(len(solid), LITERAL, kind.dtype)
                 made[form] = literal, folded[solid], np.searchsorted(solid, bounds), np.arange(len(solid) + 1)
@@ -300,7 +305,9 @@ def contaminated(
     )
     counted = F.filter("windows", lambda w: F.col("consistent") | (F.size(w["slots"]) == 0))
     covered = F.flatten(F.transform(counted, lambda w: F.sequence(w["first"], w["first"] + w["cover"] - 1)))
-    agreed = F.when(F.col("consistent"), F.col("pairs")).otherwise(F.array().cast("array<struct<kind:int,own:bigint,theirs:bigint>>"))
+    # A word that begins a sentence is known to be a name only if it was changed.
+    told = F.filter("pairs", lambda p: (F.col("form") != BEGINS) | (p["own"] != p["theirs"]))
+    agreed = F.when(F.col("consistent"), told).otherwise(F.array().cast("array<struct<kind:int,own:bigint,theirs:bigint>>"))
     per_item = (
         diagonals.select("id", "tie", "item", "words", covered.alias("covered"), agreed.alias("pairs"))
         .groupBy("id", "tie", "item", "words")
