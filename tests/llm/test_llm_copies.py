@@ -247,3 +247,15 @@ def test_a_sieve_loses_no_key(spark, monkeypatch):
         ids = {r["id"] for r in found.collect()}
         assert {r["id"] for r in keys.collect()} <= ids and len(ids) <= most
     assert common.sieved(df, keys.where("false"), ["id", "t"]).count() == 0
+
+
+def test_one_of_each_repeated_rows_and_ids(documents, rows_of):
+    a, b, c, d = (prose(900 + i, 80) for i in range(4))
+    rows = [(9, a), (9, a), (9, b), (4, b), (None, b), (None, c), (None, c), (7, d), (None, d), (11, None), (11, None), (12, "")]
+    df = documents(rows)
+    once = jaccard.one_of_each(df)
+    assert once.columns == df.columns
+    wanted = [(4, b), (7, d), (9, a), (11, None), (12, ""), (None, c)]
+    assert sorted(((r["doc_id"], r["text"]) for r in once.collect()), key=str) == sorted(wanted, key=str)
+    left = sorted(((r["doc_id"], r["text"]) for r in repeats.kept_documents(once.where("text <> ''")).collect()), key=str)
+    assert left == sorted([(4, b), (7, d), (9, a), (None, c)], key=str)

@@ -284,7 +284,23 @@ def linked_components(
 
 
 def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", gram: int = 5, over: int = 8, under: int = 10) -> DataFrame:
-    """``df`` without the documents that reach one of a smaller id by links; of rows with equal id and text one stays."""
-    found = linked_components(df, id_col, text_col, gram, over, under)
-    gone = found.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("_gone")).distinct()
-    return df.join(common.stored(gone, "gone"), F.col(id_col) == F.col("_gone"), "left_anti")
+    """``df`` with one row of each component: the least id's, of equal ids that of the least text hash, NULL last.
+
+    Rows are told apart by id and text; of rows with equal id and text one stays. Texts
+    without a word link with nothing. Nodes are hashes of id and text, of 64 bits.
+    """
+    number, text = F.col(id_col).cast("bigint"), F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    key = F.xxhash64(number.isNull(), F.coalesce(number, F.lit(0)), F.xxhash64(text))
+    rows = settle(df.select(number.alias("id"), F.xxhash64(text).alias("tie"), key.alias("_key")))
+    nodes = rows.groupBy("id", "tie", "_key").agg(F.count("*").alias("rows"))
+    found = linked_components(df.select(key.alias("_key"), F.col(text_col)), "_key", text_col, gram, over, under)
+    found = settle(nodes.join(found.select("_key", "component_id").distinct(), "_key"))
+    order = F.struct(F.col("id").isNull().alias("none"), "id", "tie", "_key")
+    stays = found.groupBy("component_id").agg(F.min(order).alias("f")).select(F.col("f._key").alias("_key"))
+    gone = common.stored(found.select("_key").join(stays, "_key", "left_anti").distinct(), "gone")
+    again = common.stored(found.where("rows > 1").select("_key").join(stays, "_key", "left_semi").distinct(), "again")
+    left = df.withColumn("_key", key).join(gone, "_key", "left_anti")
+    # Only repeated rows have to meet.
+    single = left.join(again, "_key", "left_anti")
+    met = left.join(again, "_key", "left_semi").dropDuplicates(["_key"])
+    return single.unionByName(met).select(*df.columns)
