@@ -117,6 +117,26 @@ def test_odd_pages(source, text):
     assert text is None or found == text
 
 
+ARTICLE = "<article><h1>Title</h1><p>The text of the article, with some words.</p></article>"
+PLAIN = ARTICLE.replace("article>", "div>")
+
+
+@pytest.mark.parametrize("layout", ["no-sidebar", "has-sidebar", "content-sidebar-wrap", "page-with-nav", "search-results"])
+@pytest.mark.parametrize("inner", [ARTICLE, PLAIN])
+def test_layouts_named_for_what_they_hold(layout, inner):
+    text = "Title\n\nThe text of the article, with some words."
+    page = f'<body><div class="nav">Home</div><div class="{layout}">{inner}<div class="sidebar"><p>side</p></div></div></body>'
+    assert html_text.main_text(page) == text
+    page = f'<div class="comments"><article id="comment-1"><p>{"reply " * 99}</p></article></div>'
+    assert html_text.main_text(f'<div class="{layout}">{ARTICLE}{page}</div>') == text
+
+
+def test_header_of_the_article_and_attribute_values():
+    page = """<body><article><div class="article-header"><h1>Title</h1></div><section aria-label="Our hidden gems"><p>One part.</p></section>
+    <p title="the hidden cost">Two parts.</p><p>It is <math><mi>x</mi></math> here.</p><p hidden>no</p><p data-hidden="1">Three.</p></article></body>"""
+    assert html_text.main_text(page) == "Title\n\nOne part.\n\nTwo parts.\n\nIt is x here.\n\nThree."
+
+
 def test_deep_and_long_pages():
     assert html_text.main_text("<div>" * 20_000 + "deep") == "deep"
     long = "word " * 50_000

@@ -2,7 +2,7 @@
 
 A page becomes a tree of its elements. Scripts, styles, forms and elements that say they
 are menus, headers, footers, sidebars, notices, adverts or comments are left out with all
-below them. For every other node, with ``C`` characters and ``T`` tags in its subtree, of
+below them; the latter not if they hold the page's only articles or the bulk of its text. For every other node, with ``C`` characters and ``T`` tags in its subtree, of
 which ``LC`` and ``LT`` are in links, and ``¬LC = C - LC``:
 
     density = C / T * log(1 + C / LC * T / LT) to the base C / ¬LC * LC + LC_body / C_body * C + e
@@ -43,7 +43,7 @@ BLOCK = set(
     "summary table tbody td tfoot th thead tr ul".split()
 )
 DROPPED = set(
-    "head script style noscript template iframe object embed svg canvas math audio video form input select textarea button "
+    "head script style noscript template iframe object embed svg canvas audio video form input select textarea button "
     "label fieldset nav menu aside footer dialog title xmp noembed noframes".split()
 )
 #: Words of a class, id or role that mark what is not the article.
@@ -56,6 +56,15 @@ NOISE = set(
     "complementary contentinfo dialog form".split()
 )
 ARTICLE = {"article", "main"}
+#: Noise words of parts that can be longer than the article.
+REPLIES = set("comment comments commentlist disqus replies reply respond discussion".split())
+#: Words that make a header one of the article.
+OF_ARTICLE = set("article post entry story".split())
+#: Why an element is left out: not at all, always, for words among others, for a word that stands alone
+#: or replies among other words, for replies alone.
+LIVE, ALWAYS, SOME_WORD, WORD_ALONE, REPLIES_ALONE = range(5)
+#: An element with more than this share of the page's text is not left out for its words.
+BULK = {SOME_WORD: 0.5, WORD_ALONE: 0.9, REPLIES_ALONE: 1.0}
 #: A start tag of the key closes an open element of these, unless a boundary stands between.
 CLOSES = {
     "li": ({"li"}, {"ul", "ol", "menu"}),
@@ -75,30 +84,38 @@ _MARKUP = re.compile(
     r"|<(?P<end2>/?)(?P<name2>[a-zA-Z][^\s/>]*)(?P<rest2>[^>]*)(?:>|\Z)|</[^>]*(?:>|\Z)",
     re.S,
 )
-_MARKS = re.compile(r"(?:^|[\s\"'/])(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
+_ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 _HIDES = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
-def is_noise(name: str, rest: str, in_article: bool) -> bool:
+def noise_kind(name: str, rest: str, in_article: bool) -> int:
+    """Whether a start tag marks noise; for its words (kinds beyond ``ALWAYS``) only if ``Page`` finds no article in it."""
     if name in DROPPED or (name == "header" and not in_article):
-        return True
-    if not rest:
-        return False
-    for mark, value in _MARKS.findall(rest):
+        return ALWAYS
+    kind = LIVE
+    for mark, value in _ATTRIBUTE.findall(rest) if rest else ():
         mark, value = mark.lower(), value.strip("\"'")
         if mark == "hidden" or (mark == "aria-hidden" and value.lower() == "true"):
-            return True
-        if mark == "style":
-            if _HIDES.search(value):
-                return True
-        elif mark in ("class", "id", "role") and name not in ("html", "body", *ARTICLE):
-            if any(w.lower() in NOISE for w in _WORD.findall(value)):
-                return True
-        elif mark in ("class", "id", "role") and name in ARTICLE:
+            return ALWAYS
+        if mark == "style" and _HIDES.search(value):
+            return ALWAYS
+        if mark not in ("class", "id", "role") or name in ("html", "body"):
+            continue
+        if name in ARTICLE:
             if any(w.lower() in {"comment", "comments", "reply", "ad", "advert", "teaser", "related", "sponsored"} for w in _WORD.findall(value)):
-                return True
-    return False
+                kind = max(kind, SOME_WORD)
+            continue
+        for token in value.split():
+            words = {w.lower() for w in _WORD.findall(token)}
+            found = words & NOISE
+            if found == {"header"} and (in_article or words & OF_ARTICLE):
+                continue
+            if found and found == words and found & REPLIES:
+                kind = max(kind, REPLIES_ALONE)
+            elif found:
+                kind = max(kind, WORD_ALONE if found == words or found & REPLIES else SOME_WORD)
+    return kind
 
 
 class Page:
@@ -108,14 +125,15 @@ class Page:
         self.name: list[str] = ["#root"]
         self.parent: list[int] = [-1]
         self.text: list[str | None] = [None]
-        self.noise: list[bool] = [False]
+        self.kind: list[int] = [LIVE]
         self._build(source)
+        self.noise = self._noise()
 
-    def _add(self, name: str, parent: int, text: str | None, noise: bool) -> int:
+    def _add(self, name: str, parent: int, text: str | None, kind: int) -> int:
         self.name.append(name)
         self.parent.append(parent)
         self.text.append(text)
-        self.noise.append(noise or self.noise[parent])
+        self.kind.append(kind)
         return len(self.name) - 1
 
     def _build(self, source: str) -> None:
@@ -140,9 +158,9 @@ class Page:
             tag = find(source, at)
             stop = tag.start() if tag else size
             if stop > at and not source[at:stop].isspace():
-                self._add("#", open_[-1], source[at:stop], False)
+                self._add("#", open_[-1], source[at:stop], LIVE)
             elif stop > at:
-                self._add("#", open_[-1], " ", False)
+                self._add("#", open_[-1], " ", LIVE)
             if tag is None:
                 break
             at = tag.end()
@@ -164,16 +182,51 @@ class Page:
                 close_one_of({"p"}, BLOCK - {"p"})
             if name in CLOSES:
                 close_one_of(*CLOSES[name])
-            node = self._add(name, open_[-1], None, is_noise(name, rest, articles > 0))
+            node = self._add(name, open_[-1], None, noise_kind(name, rest, articles > 0))
             if name in RAW:
                 end = re.compile(f"</{name}[^>]*(?:>|\\Z)", re.I).search(source, at)
                 body, at = (source[at : end.start()], end.end()) if end else (source[at:], size)
                 if body:
-                    self._add("#", node, body, False)
+                    self._add("#", node, body, LIVE)
             elif name not in VOID and not rest.endswith("/") or name in BLOCK and name not in VOID:
                 open_.append(node)
                 articles += name in ARTICLE
 
+    def _noise(self) -> list[bool]:
+        """Which nodes are left out before densities are computed.
+
+        An element is left out for its words unless it holds the page's only articles or
+        is the bulk of its text, as layouts are named for what they hold.
+        """
+        n = len(self.name)
+        never, holder = [False] * n, [0] * n  # holder: the nearest element with noise words
+        chars, articles, own = [0] * n, [0] * n, [0] * n
+        for i in range(1, n):
+            up = self.parent[i]
+            never[i] = never[up] or self.kind[i] == ALWAYS
+            holder[i] = i if self.kind[i] > ALWAYS else holder[up]
+        for i in range(n - 1, 0, -1):
+            if never[i]:
+                continue
+            if self.text[i] is not None:
+                chars[i] = sum(map(len, self.text[i].split()))
+            elif self.name[i] in ARTICLE and self.kind[i] == LIVE:
+                articles[i] += 1
+                own[holder[i]] += 1
+            chars[self.parent[i]] += chars[i]
+            articles[self.parent[i]] += articles[i]
+        found, noise = own[0] > 0, [False] * n
+        for i in range(1, n):
+            noise[i] = never[i] or noise[self.parent[i]]
+            if noise[i] or self.kind[i] <= ALWAYS:
+                continue
+            bulk = chars[i] > BULK[self.kind[i]] * chars[0] and (self.kind[i] == SOME_WORD or not found)
+            if bulk or (articles[i] and not found):
+                found = found or own[i] > 0
+            else:
+                noise[i] = True
+        return noise
+
     def densities(self) -> tuple[list[float], list[float]]:
         """Density of every node, and the sum of its children's."""
         n = len(self.name)
