@@ -76,6 +76,11 @@ def test_language_cases(documents, rows_of):
     assert {r["lang_pred"] for r in rows_of(language.predict(df, nothing, {"doc_id": F.col("doc_id")}))} == {"und"}
 
 
+def test_without_a_language_letters_stay(documents, rows_of):
+    df = documents([None, "", "12 34 !!", "the thing that was", "\u0301 1", "привет"]).withColumn("lang", F.lit(None).cast("string"))
+    assert [r["doc_id"] for r in rows_of(corpus_pipeline.identify_language(df.sparkSession, df, ""))] == [3, 5]
+
+
 # --- main text
 
 

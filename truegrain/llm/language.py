@@ -211,12 +211,20 @@ def predict(df: DataFrame, model: Model, key: dict[str, Column], text_col: str =
 
 
 def identified(df: DataFrame, model: Model, text_col: str = "text", least_score: float = 0.0) -> DataFrame:
-    """The rows of ``df``, unchanged, whose language can be told with at least ``least_score``."""
+    """The rows of ``df``, unchanged, whose language can be told with at least ``least_score``.
+
+    Scores are 0 or more, so at 0 only texts without a letter go. If no language was
+    learned, none can be unlike it: all texts with a letter stay.
+    """
 
     def run(batches):
         space = Space(model.size, model.gram)
         for piece in common.slices(batches, text_col):
-            langs, scores = _predict(model, space, common.texts_of(piece, text_col))
+            texts = common.texts_of(piece, text_col)
+            if not model.languages:
+                yield piece.filter(pa.array([any(map(common.is_letter, t)) for t in texts]))
+                continue
+            langs, scores = _predict(model, space, texts)
             yield piece.filter(pa.array([x != UNKNOWN and s >= least_score for x, s in zip(langs, scores)]))
 
     return df.mapInArrow(run, df.schema)
