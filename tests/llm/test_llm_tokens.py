@@ -12,7 +12,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from truegrain.llm import bpe, lengths, maglev, planes
+from truegrain.llm import bpe, lengths, library, maglev, planes
 from truegrain.session import new_shared_path
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -41,6 +41,55 @@ def test_segment_tree_as_the_library(documents, rows_of, tokenizer):
         assert row["decoded"] == tokenizer.decode(ids, skip_special_tokens=False)
 
 
+def same_ids(encoder, tokenizer, texts):
+    ids, counts = encoder.encode_texts(texts)[:2]
+    known = [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    return counts.tolist() == list(map(len, known)) and ids.tolist() == [i for k in known for i in k]
+
+
+@pytest.mark.parametrize("kind", [bpe.Encoder, library.LibraryEncoder])
+def test_every_code_point_between_two_letters(tokenizer, kind):
+    encoder = kind(PATH)
+    points = [f"a{chr(c)}b" for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    for begin in range(0, len(points), 50_000):
+        some = points[begin : begin + 50_000]
+        if not same_ids(encoder, tokenizer, some):
+            assert [t for t in some if not same_ids(encoder, tokenizer, [t])] == []
+
+
+@pytest.mark.parametrize("kind", [bpe.Encoder, library.LibraryEncoder])
+def test_random_texts_over_all_planes(tokenizer, kind):
+    pick = random.Random(9)
+    signs = [chr(c) for c in [*range(0x300), *(pick.randrange(0x110000) for _ in range(3_000))] if not 0xD800 <= c < 0xE000]
+    signs += list("\x1c\x1d\x1e\x1f \t\n\r\x85\xa0\u0323\u0301\u0308'st") * 20
+    texts = ["".join(pick.choices(signs, k=pick.randrange(40))) for _ in range(20_000)]
+    texts += [t[:9] + "<|endoftext|>" + t[9:] for t in texts[:300]]
+    encoder = kind(PATH)
+    for begin in range(0, len(texts), 5_000):
+        assert same_ids(encoder, tokenizer, texts[begin : begin + 5_000])
+
+
+def test_very_long_words(tokenizer):
+    encoder, pick = bpe.Encoder(PATH), random.Random(3)
+    assert encoder.ranks.in_order
+    for word in ("".join(pick.choices("acgt", k=1_000_000)), "ab" * 60_001, "a" * 70_003, "日本語テキスト" * 9_000):
+        assert encoder.encode(word).tolist() == ids_of(tokenizer, word)
+
+
+def test_ranks_at_once_as_one_by_one():
+    ranks = bpe.PairRanks([(1, 1, 2), (2, 2, 3), (2, 1, 4), (3, 4, 5)])
+    assert ranks.in_order and not bpe.PairRanks([(1, 2, 3), (2, 1, 4), (3, 1, 4), (4, 4, 3)]).in_order
+    pick = random.Random(1)
+    for size in (4, 16, 64):
+        for _ in range(40):
+            n = pick.randrange(1, size + 1)
+            symbols = np.array([[pick.choice([1, 1, 2]) for _ in range(n)] + [0] * (size - n)])
+            one, many = (bpe.PairTrees(symbols.copy(), np.array([n]), ranks) for _ in range(2))
+            one.merge_all()
+            many.merge_ranks()
+            assert one.symbols[one.alive].tolist() == many.symbols[many.alive].tolist()
+
+
 def test_digests(documents, rows_of, tokenizer):
     found = rows_of(bpe.digests(bpe.encode(documents(ODD), PATH)))
     for row, text in zip(found, ODD):

@@ -14,17 +14,21 @@ Other columns of the input are not read, so their names cannot clash.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from truegrain.llm import common
-from truegrain.llm.pretokens import WordBpe, WordTable
+from truegrain.llm.pretokens import TextEncoder, WordBpe
 
 NONE = np.int64(1) << np.int64(62)
 #: Trees of a batch have about this many nodes together.
 BATCH_NODES = 1 << 19
+#: Words of at least so many bytes are worked on one by one, all leaves of a rank at once.
+LONG = 1 << 10
 
 
 class PairRanks:
@@ -36,6 +40,12 @@ class PairRanks:
         self.order = np.argsort(keys, kind="stable")
         self.keys = keys[self.order]
         self.merged = pairs[:, 2]
+        #: Whether a pair that holds a merged token always ranks behind the merge that made it.
+        ranks = np.arange(len(pairs))
+        first = np.full(int(pairs.max(initial=0)) + 1, len(pairs))
+        for side in (0, 1):
+            np.minimum.at(first, pairs[:, side], ranks)
+        self.in_order = bool((first[self.merged] > ranks).all())
 
     def __call__(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Ranks, -1 where the pair has none."""
@@ -108,26 +118,56 @@ class PairTrees:
                 self._put(r, p, self._leaf(self.symbols.take(base[has_first] + p), merged[has_first], p))
             row = row[self.tree.take(row * (2 * self.width) + 1) < NONE]
 
+    def merge_ranks(self) -> None:
+        """As :meth:`merge_all`, by all leaves of the lowest rank that do not overlap, for one long row.
 
-class Encoder(WordTable):
-    """Ids of words, and of texts, under a BPE file. Words seen before are looked up."""
+        Right where no merge makes a pair of its own or a lower rank, so that the root
+        would give these leaves next to each other, from the left.
+        """
+        while (best := int(self.tree[1])) < NONE:
+            rank = best // self.width
+            node, limit = np.ones(1, np.int64), (rank + 1) * self.width
+            while node[0] < self.width:  # down to the leaves of that rank, in order
+                node = np.repeat(2 * node, 2)
+                node[1::2] += 1
+                node = node[self.tree[node] < limit]
+            place = node - self.width
+            touches = np.concatenate([[False], self.after[place[:-1]] == place[1:]])
+            index = np.arange(len(place))
+            place = place[(index - np.maximum.accumulate(np.where(touches, 0, index))) % 2 == 0]
+            gone = self.after[place]
+            then = self.after[gone]
+            self.symbols[place] = self.ranks.merged[rank]
+            self.after[place] = then
+            self.alive[gone] = False
+            inside = then < self.lengths[0]
+            self.before[then[inside]] = place[inside]
+            first = self.before[place]
+            changed = np.unique(np.concatenate([place, first[first >= 0]]))
+            changed = changed[self.alive[changed]]
+            following = self.after[changed]
+            has_next = following < self.lengths[0]
+            leaf = self._leaf(self.symbols[changed], self.symbols[np.where(has_next, following, 0)], changed)
+            self.tree[self.width + changed] = np.where(has_next, leaf, NONE)
+            self.tree[self.width + gone] = NONE
+            node = np.concatenate([changed, gone]) + self.width
+            while node[0] > 1:
+                node = np.unique(node >> 1)
+                self.tree[node] = np.minimum(self.tree[2 * node], self.tree[2 * node + 1])
 
-    def __init__(self, path: str):
-        self.bpe = WordBpe(path)
-        self.ranks = PairRanks(self.bpe.merges)
-        self.inner = np.array(self.bpe.byte_ids, np.int64)
-        self.last = np.array(self.bpe.last_byte_ids, np.int64)
-        self.names = [self.bpe.tokens[i] for i in range(max(self.bpe.tokens) + 1)]
-        super().__init__()
 
-    def _forget(self) -> None:
-        super()._forget()
-        self.decoded: list[str] = []
+class Encoder(TextEncoder):
+    """Ids of words, and of texts, under a BPE file, and the texts that these decode to."""
 
-    def learned(self, found: list[np.ndarray]) -> None:
-        self.decoded += map(self.decode, found)
+    def __init__(self, path: str):
+        bpe = WordBpe(path)
+        self.ranks = PairRanks(bpe.merges)
+        self.inner = np.array(bpe.byte_ids, np.int64)
+        self.last = np.array(bpe.last_byte_ids, np.int64)
+        self.names = [bpe.tokens[i] for i in range(max(bpe.tokens) + 1)]
+        super().__init__(bpe)
 
-    def encode_words(self, words: list[str]) -> list[np.ndarray]:
+    def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of each word, by a segment tree over its pairs."""
         found: list[np.ndarray] = [np.zeros(0, np.int64)] * len(words)
         raw = [w.encode("utf-8", "surrogatepass") for w in words]
@@ -139,7 +179,7 @@ class Encoder(WordTable):
         width = np.where(lengths > 0, 1 << np.ceil(np.log2(np.maximum(lengths, 2))).astype(np.int64), 0)
         for size in np.unique(width[width > 0]):
             group = np.flatnonzero(width == size)
-            step = max(1, BATCH_NODES // int(size))
+            step = 1 if size >= LONG and self.ranks.in_order else max(1, BATCH_NODES // int(size))
             for begin in range(0, len(group), step):
                 some = group[begin : begin + step]
                 n = lengths[some]
@@ -149,14 +189,27 @@ class Encoder(WordTable):
                 ends = np.array([raw[i][-1] for i in some])
                 symbols[np.arange(len(some)), n - 1] = self.last[ends]
                 trees = PairTrees(symbols, n, self.ranks)
-                trees.merge_all()
+                if size >= LONG and self.ranks.in_order:
+                    trees.merge_ranks()
+                else:
+                    trees.merge_all()
                 counts = trees.alive.reshape(len(some), -1).sum(axis=1)
-                for i, part in zip(some, np.split(trees.symbols[trees.alive], np.cumsum(counts)[:-1])):
-                    found[i] = part
-        return found
+                ids, ends = trees.symbols[trees.alive], np.cumsum(counts)
+                for i, a, b in zip(some.tolist(), (ends - counts).tolist(), ends.tolist()):
+                    found[i] = ids[a:b]
+        counts = np.fromiter(map(len, found), np.int64, len(found))
+        return np.concatenate([np.zeros(0, np.int64), *found]), counts
+
+    def _forget(self) -> None:
+        super()._forget()
+        self.decoded: list[str] = []
+
+    def learned(self, words: list[str], ids: np.ndarray, counts: np.ndarray) -> None:
+        names, ends = list(map(self.names.__getitem__, ids.tolist())), np.cumsum(counts)
+        self.decoded += [" ".join(names[a:b]) for a, b in zip((ends - counts).tolist(), ends.tolist())]
 
     def encode(self, text: str) -> np.ndarray:
-        return self.ids_at(self.places(self.bpe.words(text)))[0]
+        return self.encode_all([text])[0]
 
     def decode(self, ids: np.ndarray) -> str:
         """As the file has no decoder: its tokens, with a space between."""
@@ -164,14 +217,16 @@ class Encoder(WordTable):
 
     def encode_texts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[str]]:
         """Ids of all texts one after another, how many each has, and each decoded."""
-        words = [self.bpe.words(t) for t in texts]
-        places = self.places([w for ws in words for w in ws])
-        ids, sizes = self.ids_at(places)
-        ends = np.cumsum([0, *map(len, words)])
-        total = np.concatenate([[0], np.cumsum(sizes)])
-        names = list(map(self.decoded.__getitem__, places.tolist()))
-        decoded = [" ".join(names[a:b]) for a, b in zip(ends[:-1], ends[1:])]
-        return ids, np.diff(total[ends]), decoded
+        ids, counts, places, words = self.encode_all(texts)
+        names, ends = list(map(self.decoded.__getitem__, places.tolist())), np.cumsum(words)
+        decoded = [" ".join(names[a:b]) for a, b in zip((ends - words).tolist(), ends.tolist())]
+        return ids, counts, decoded
+
+
+@lru_cache(1)
+def worker_encoder(path: str) -> Encoder:
+    """One encoder for all tasks that a worker runs one after another."""
+    return Encoder(path)
 
 
 def encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -189,7 +244,7 @@ def encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
         }
 
     return common.map_texts(
-        source, "text", f"`{id_col}` {kind}, ids array<int>, decoded string", work, lambda: Encoder(path)
+        source, "text", f"`{id_col}` {kind}, ids array<int>, decoded string", work, lambda: worker_encoder(path)
     )
 
 

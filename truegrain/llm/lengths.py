@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from truegrain.llm import common
-from truegrain.llm.library import LibraryEncoder
+from truegrain.llm.library import LibraryEncoder, library_encoder
 
 #: Lengths in a range.
 RANGE = 1_024
@@ -28,7 +28,7 @@ def encoded_lengths(df: DataFrame, tokenizer: str, text_col: str = "text") -> Da
         return {"length": pa.array(encoder.encode_texts(common.texts_of(piece, "text"))[1], pa.int64())}
 
     source = df.select(F.col(text_col).cast("string").alias("text"))
-    return common.map_texts(source, "text", "length bigint", work, lambda: LibraryEncoder(tokenizer))
+    return common.map_texts(source, "text", "length bigint", work, lambda: library_encoder(tokenizer))
 
 
 def histogram(lengths: DataFrame, length_col: str = "length") -> DataFrame:

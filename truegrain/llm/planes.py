@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from truegrain.llm import common
-from truegrain.llm.library import LibraryEncoder
+from truegrain.llm.library import library_encoder
 
 #: Ids in a block.
 BLOCK = 1 << 16
@@ -96,7 +96,7 @@ def write(
     ordered = source.repartitionByRange(parts, *order).sortWithinPartitions(*order)
 
     def run(batches):
-        encoder, part, segment = LibraryEncoder(tokenizer), TaskContext.get().partitionId(), 0
+        encoder, part, segment = library_encoder(tokenizer), TaskContext.get().partitionId(), 0
         for piece in common.slices(batches, "text"):
             ids, counts = encoder.encode_texts(common.texts_of(piece, "text"))
             if end_id is not None:

@@ -13,13 +13,16 @@ import unicodedata
 from functools import lru_cache
 
 import numpy as np
-import regex
+from tokenizers import Regex, Tokenizer, pre_tokenizers
 
 _PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: Below this code point a text is its own NFC form and is put in lower case sign by sign.
-_PLAIN_END = 0x300
-#: Becomes two code points in lower case, one of them a combining mark.
-_DOTTED_I = "İ"
+_PLAIN_END = 0x100
+#: Words that a worker remembers; beyond, it begins anew.
+REMEMBERED = 600_000
+#: White space for ``str.split`` but not for the library.
+_SEPARATORS = re.compile("[\x1c-\x1f]")
+_SPACE = re.compile("[\t-\r \x85\xa0  -     　]+")
 
 
 def _class(kinds: str) -> str:
@@ -30,28 +33,26 @@ def _class(kinds: str) -> str:
 def _plain_pattern() -> re.Pattern:
     letters, numbers = _class("L"), _class("N")
     space = r"\t-\r \x85\xa0"
-    return re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{numbers}]|[^{space}{letters}{numbers}]+")
+    # Letters first, as most words are; no contraction begins with one.
+    return re.compile(f"[{letters}]+|'(?:s|t|re|ve|m|ll|d)|[{numbers}]|[^{space}{letters}{numbers}]+")
 
 
 _PLAIN_WORDS = _plain_pattern()
-_ANY_WORDS = regex.compile(_PATTERN, regex.V1)
-_NOT_PLAIN = re.compile(f"[^\\x00-{chr(_PLAIN_END - 1)}]|{_DOTTED_I}")
 
 
 def _is_plain(text: str) -> bool:
     try:
-        text.encode("latin-1")  # much the faster test, and enough for most texts
+        text.encode("latin-1")
         return True
     except UnicodeEncodeError:
-        return _NOT_PLAIN.search(text) is None
+        return False
 
 
-def words_in(text: str) -> list[str]:
-    """The words of a text without special tokens."""
-    if _is_plain(text):
-        return _PLAIN_WORDS.findall(text.lower())
-    lowered = "".join(c.lower() for c in unicodedata.normalize("NFC", text))
-    return _ANY_WORDS.findall(lowered)
+def pieces_of(text: str) -> list[str]:
+    """A text cut at white space. No word, and no sign made of several, reaches beyond a piece."""
+    if _SEPARATORS.search(text) is None:
+        return text.split()
+    return [p for p in _SPACE.split(text) if p]
 
 
 @lru_cache(1)
@@ -83,6 +84,8 @@ class WordBpe:
         self.vocab: dict[str, int] = model["vocab"]
         self.suffix: str = model["end_of_word_suffix"] or ""
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
+        if any(_SPACE.search(t) for t in self.special):
+            raise ValueError(f"{path}: special tokens with white space are not supported")
         self.tokens = {i: t for t, i in self.vocab.items()} | {i: t for t, i in self.special.items()}
         #: (left id, right id, merged id) by rank.
         self.merges = []
@@ -93,14 +96,36 @@ class WordBpe:
         self.byte_ids = [self.vocab[s] for s in signs]
         self.last_byte_ids = [self.vocab[s + self.suffix] for s in signs]
         self._special_cut = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
+        # The library's own normalizer and pattern, for letters that Python may class otherwise.
+        self._normalizer = Tokenizer.from_file(path).normalizer
+        self._split = pre_tokenizers.Split(Regex(_PATTERN), "removed", invert=True)
+
+        self._odd: dict[str, list[str]] = {}
+
+    def _by_library(self, piece: str) -> list[str]:
+        found = self._odd.get(piece)
+        if found is None:
+            if len(self._odd) > REMEMBERED:
+                self._odd.clear()
+            found = [w for w, _ in self._split.pre_tokenize_str(self._normalizer.normalize_str(piece))]
+            self._odd[piece] = found
+        return found
+
+    def _words(self, text: str) -> list[str]:
+        if _is_plain(text):
+            return _PLAIN_WORDS.findall(text.lower())
+        found: list[str] = []
+        for piece in pieces_of(text):
+            found += _PLAIN_WORDS.findall(piece.lower()) if _is_plain(piece) else self._by_library(piece)
+        return found
 
     def words(self, text: str) -> list[str]:
         """The words of a text; a special token is a word of its own."""
         if not any(token in text for token in self.special):
-            return words_in(text)
+            return self._words(text)
         found = []
-        for i, piece in enumerate(self._special_cut.split(text)):
-            found += [piece] if i % 2 else words_in(piece)
+        for i, part in enumerate(self._special_cut.split(text)):
+            found += [part] if i % 2 else self._words(part)
         return found
 
 
@@ -116,21 +141,18 @@ class Seen(dict):
         return place
 
 
-#: Words that a task remembers; beyond, it begins anew.
-REMEMBERED = 600_000
-
-
 class WordTable:
     """Ids of the words seen before, kept in one array; ``encode_words`` finds those of new ones."""
 
     def __init__(self):
         self._forget()
 
-    def encode_words(self, words: list[str]) -> list[np.ndarray]:
+    def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words one after another, and how many each has."""
         raise NotImplementedError
 
-    def learned(self, found: list[np.ndarray]) -> None:
-        """Told of the ids of new words, in the order of their places."""
+    def learned(self, words: list[str], ids: np.ndarray, counts: np.ndarray) -> None:
+        """Told of new words and their ids, in the order of their places."""
 
     def _forget(self) -> None:
         self.known = Seen()
@@ -138,17 +160,17 @@ class WordTable:
         self.ends = np.zeros(1 << 14, np.int64)  # of each word's ids in ``flat``
 
     def _remember(self, words: list[str]) -> None:
-        found = self.encode_words(words)
+        ids, counts = self.encode_words(words)
         have = len(self.known) - len(words)
         used = int(self.ends[have - 1]) if have else 0
-        ends = used + np.cumsum([len(ids) for ids in found])
+        ends = used + np.cumsum(counts)
         while len(self.flat) < ends[-1]:
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
         while len(self.ends) < have + len(words):
             self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
-        self.flat[used : ends[-1]] = np.concatenate(found)
+        self.flat[used : ends[-1]] = ids
         self.ends[have : have + len(words)] = ends
-        self.learned(found)
+        self.learned(words, ids, counts)
 
     def places(self, words: list[str]) -> np.ndarray:
         """Where each word stands among those remembered."""
@@ -168,3 +190,27 @@ class WordTable:
         total = np.cumsum(counts)
         at = np.arange(total[-1] if len(total) else 0) + np.repeat(starts - (total - counts), counts)
         return self.flat[at], counts
+
+
+class TextEncoder(WordTable):
+    """Ids of whole texts: those of their words, one after another."""
+
+    def __init__(self, bpe: WordBpe):
+        self.bpe = bpe
+        super().__init__()
+
+    def encode_all(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Of whole texts: all ids one after another, how many each has, the places of their
+        words, and how many words each has."""
+        words = list(map(self.bpe.words, texts))
+        places = self.places([w for ws in words for w in ws])
+        ids, sizes = self.ids_at(places)
+        counts = np.fromiter(map(len, words), np.int64, len(words))
+        return ids, sums(sizes, counts), places, counts
+
+
+def sums(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Sums of so many values each, one group after another."""
+    total = np.concatenate([[0], np.cumsum(values)])
+    ends = np.cumsum(counts)
+    return total[ends] - total[ends - counts]

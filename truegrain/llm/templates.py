@@ -105,8 +105,8 @@ class Templates(WordTable):
         capital = core[0].isupper() and (len(core) == 1 or core[1:].islower())
         return [self._entry(UNIT if lower in UNITS else LITERAL, lower, capital, ends)]
 
-    def encode_words(self, words: list[str]) -> list[np.ndarray]:
-        found = [np.array(self._piece(w), np.int64) for w in words]
+    def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = list(map(self._piece, words))
         if self.fresh:
             kinds, names, capitals, ends = zip(*self.fresh)
             values = common.words_of(["x" + n for n in names])[0]
@@ -114,7 +114,8 @@ class Templates(WordTable):
             new = (np.array(kinds, np.int8), values, np.array(capitals), np.array(ends), folded)
             self.tables = tuple(np.concatenate(t) for t in zip(self.tables, new))
             self.fresh = []
-        return found
+        ids = np.array([i for entries in found for i in entries], np.int64)
+        return ids, np.fromiter(map(len, found), np.int64, len(found))
 
     def templates(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Kind and value of every template word, and where each text's begin."""
