@@ -8,7 +8,20 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from truegrain.llm import bpe, common, html_text, jaccard, language, lengths, maglev, planes, repeats, sketch, templates
+from truegrain.llm import (
+    bpe,
+    common,
+    html_text,
+    jaccard,
+    language,
+    lengths,
+    maglev,
+    orchard,
+    planes,
+    repeats,
+    sketch,
+    templates,
+)
 from truegrain.llm.oracle import ORACLE  # noqa: F401
 from truegrain.session import new_shared_path
 
@@ -77,6 +90,11 @@ def op10_prefix_tree_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.linked_components(common.table(spark, folder, "documents"))
 
 
+def op13_orchard_codes(spark: SparkSession, folder: str) -> DataFrame:
+    """Codes of all embeddings under codebooks refined over six rounds."""
+    return orchard.digests(common.table(spark, folder, "embeddings"))
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     """All stages of the corpus pipeline."""
     import corpus_pipeline
@@ -95,5 +113,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_length_histogram": op8_length_histogram,
     "op9_deep_shallow_repeats": op9_deep_shallow_repeats,
     "op10_prefix_tree_join": op10_prefix_tree_join,
+    "op13_orchard_codes": op13_orchard_codes,
     "pipeline": pipeline,
 }

@@ -45,4 +45,50 @@ REPEATS = """
     FROM t JOIN kept USING (doc_id)
     LEFT JOIN (SELECT doc_id, sum(high - low + 1) AS n_removed, count(*) AS n_spans FROM g GROUP BY doc_id) m USING (doc_id)"""
 
-ORACLE = {"op9_deep_shallow_repeats": REPEATS, "op10_prefix_tree_join": COMPONENTS}
+
+
+def _vector_codes(rounds: int = 6, parts: int = 8, entries: int = 16) -> str:
+    """Every distance of every round; an entry of a codebook is a row for each position."""
+    tables = [
+        f"""
+        k AS MATERIALIZED (
+            SELECT row_number() OVER () AS r, vec_id, label, len(embedding) // {parts} AS width,
+                   list_transform(embedding, lambda x: floor(4096 * x::DOUBLE)::BIGINT) AS v
+            FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        x AS MATERIALIZED (
+            SELECT r, (i - 1) // width AS part, (i - 1) % width AS place, v[i] AS v
+            FROM (SELECT r, width, v, unnest(range(1, len(v) + 1)) AS i FROM k)),
+        s AS (SELECT r, row_number() OVER (ORDER BY vec_id NULLS LAST, v) - 1 AS entry FROM k QUALIFY entry < {entries}),
+        b0 AS MATERIALIZED (SELECT part, entry, place, v FROM s JOIN x USING (r))"""
+    ]
+    for i in range(rounds + 1):
+        tables.append(f"""
+        a{i} AS MATERIALIZED (
+            SELECT r, part, min(struct_pack(d := d, entry := entry)) AS m
+            FROM (
+                SELECT x.r, x.part, b.entry, sum((x.v - b.v) * (x.v - b.v))::BIGINT AS d
+                FROM x JOIN b{i} b USING (part, place) GROUP BY ALL)
+            GROUP BY ALL)""")
+        if i < rounds:
+            tables.append(f"""
+        b{i + 1} AS MATERIALIZED (
+            SELECT b.part, b.entry, b.place, coalesce(n.v, b.v) AS v
+            FROM b{i} b LEFT JOIN (
+                SELECT part, a.m.entry AS entry, place, ((sum(v) - ((sum(v) % count(*)) + count(*)) % count(*)) // count(*))::BIGINT AS v
+                FROM x JOIN a{i} a USING (r, part) GROUP BY ALL) n USING (part, entry, place))""")
+    return f"""
+    WITH {",".join(tables)},
+    c AS (
+        SELECT r, string_agg(lower(lpad(hex(m.entry), 2, '0')), '' ORDER BY part) AS code, sum(m.d)::BIGINT AS error
+        FROM a{rounds} GROUP BY r)
+    SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+           (SELECT sha256(string_agg(v::VARCHAR, ',' ORDER BY part, entry, place)) FROM b{rounds}) AS codebooks_sha256
+    FROM c JOIN k USING (r)"""
+
+
+ORACLE = {
+    "op9_deep_shallow_repeats": REPEATS,
+    "op10_prefix_tree_join": COMPONENTS,
+    "op13_orchard_codes": _vector_codes(),
+}
