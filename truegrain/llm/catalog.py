@@ -17,6 +17,7 @@ from truegrain.llm import (
     lengths,
     maglev,
     orchard,
+    packing,
     planes,
     repeats,
     sketch,
@@ -90,6 +91,11 @@ def op10_prefix_tree_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.linked_components(common.table(spark, folder, "documents"))
 
 
+def op11_dominance_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's ids packed into sequences of at most 2,048."""
+    return packing.packed(common.table(spark, folder, "documents"), TOKENIZER)
+
+
 def op13_orchard_codes(spark: SparkSession, folder: str) -> DataFrame:
     """Codes of all embeddings under codebooks refined over six rounds."""
     return orchard.digests(common.table(spark, folder, "embeddings"))
@@ -113,6 +119,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_length_histogram": op8_length_histogram,
     "op9_deep_shallow_repeats": op9_deep_shallow_repeats,
     "op10_prefix_tree_join": op10_prefix_tree_join,
+    "op11_dominance_packing": op11_dominance_packing,
     "op13_orchard_codes": op13_orchard_codes,
     "pipeline": pipeline,
 }
