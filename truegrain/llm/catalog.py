@@ -22,6 +22,7 @@ from truegrain.llm import (
     repeats,
     sketch,
     templates,
+    turns,
 )
 from truegrain.llm.oracle import ORACLE  # noqa: F401
 from truegrain.session import new_shared_path
@@ -96,6 +97,12 @@ def op11_dominance_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed(common.table(spark, folder, "documents"), TOKENIZER)
 
 
+def op12_turn_repair(spark: SparkSession, folder: str) -> DataFrame:
+    """Every conversation, damaged and repaired by the cheapest edits."""
+    conversations = turns.damaged(common.table(spark, folder, "conversations"))
+    return turns.summaries(turns.repair(conversations, count_col="n"))
+
+
 def op13_orchard_codes(spark: SparkSession, folder: str) -> DataFrame:
     """Codes of all embeddings under codebooks refined over six rounds."""
     return orchard.digests(common.table(spark, folder, "embeddings"))
@@ -120,6 +127,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_deep_shallow_repeats": op9_deep_shallow_repeats,
     "op10_prefix_tree_join": op10_prefix_tree_join,
     "op11_dominance_packing": op11_dominance_packing,
+    "op12_turn_repair": op12_turn_repair,
     "op13_orchard_codes": op13_orchard_codes,
     "pipeline": pipeline,
 }
