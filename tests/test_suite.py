@@ -6,8 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from truegrain import run_job, run_suite
+from truegrain.operators import keyed
+from truegrain.operators.keyed import evaluate_keyed
 from truegrain.plans import suite
-from truegrain.plans.rules import TESTS
+from truegrain.plans.rules import TESTS, Context, build_frame, parameters
 from truegrain.sources import readers, writers
 
 RULE = "tcid string, file_name string, is_active boolean, critical boolean, test string, tested_field string, expected_value string"
@@ -278,3 +280,63 @@ def test_a_suite_leaves_no_folders(spark, loans):
     rules = named_rules(spark, ("T1", "f", False, "check_duplicates", "grade", None))
     assert run_suite(spark, rules, {"f": loans}).first()["violations"] == 1
     assert digests() == before
+
+
+def keyed_rules(spark, count):
+    keys = ["grade", "amount", "day", "id"]
+    rows = [("loans", False, "check_duplicates", None, {"keys": keys[: 1 + i % 4]}) for i in range(count)]
+    rows += [("loans", False, "check_foreign_key", keys[i % 4], {"ref_table": "other", "ref_column": keys[i % 4]}) for i in range(count)]
+    rows += [("loans", False, "check_consistency", keys[i % 3], {"other_table": "other", "key": "id"}) for i in range(count)]
+    return rules_of(spark, *rows)
+
+
+def test_keyed_rules_read_each_table_once(spark, loans, tmp_path):
+    loans.write.parquet(str(tmp_path / "a"))
+    loans.where("id < 3").write.parquet(str(tmp_path / "b"))
+    tables = {"loans": spark.read.parquet(str(tmp_path / "a")), "other": spark.read.parquet(str(tmp_path / "b"))}
+    context = Context(spark, suite.table_lookup(spark, tables, None))
+    for count in (1, 9):
+        planned = [suite._plan(r, context) for r in suite.active_rules(keyed_rules(spark, count))]
+        assert len(planned) == 3 * count and all(p.keyed for p in planned)
+        plan = evaluate_keyed([p.keyed for p in planned])
+        plan.collect()
+        final = plan._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        assert final.count("FileScan") == 2
+
+
+def test_keyed_rules_agree_with_plans_of_their_own(spark, loans):
+    odd = loans.union(loans.where("id > 2")).withColumns({"n": F.when(F.col("id") % 2 == 0, F.col("id")), "f": F.col("id") / 2})
+    other = loans.selectExpr("cast(id as int) id", "grade", "cast(amount as string) amount", "day", "cast(id as double) f", "id n")
+    rules = rules_of(
+        spark,
+        *[("loans", False, "check_duplicates", None, {"keys": k}) for k in (["id"], ["n"], ["grade", "n"], ["n", "grade"], ["f"])],
+        *[("loans", False, "check_foreign_key", c, {"ref_table": "other", "ref_column": r}) for c, r in (("id", "id"), ("n", "f"), ("f", "n"), ("amount", "amount"), ("id", "amount"))],
+        *[("loans", False, "validate_allowed_values", c, {"ref_table": "other", "ref_column": r}) for c, r in (("grade", "grade"), ("n", "f"))],
+        *[("loans", False, "check_consistency", c, {"other_table": "other", "key": k, "null_safe": s}) for c, k, s in (("grade", "id", True), ("amount", "id", False), ("f", ["id", "grade"], False), ("n", "f", True))],
+    )
+    tables = {"loans": odd, "other": other}
+    context = Context(spark, suite.table_lookup(spark, tables, None))
+    listed = suite.active_rules(rules)
+    found = sorted(map(tuple, run_suite(spark, rules, tables).collect()))
+    alone = [build_frame(context, odd, r, parameters(r)).collect()[0] for r in listed]
+    assert found == sorted(map(tuple, alone)) and len(found) == 16
+
+
+def test_digests_that_clash_are_counted_by_the_rule_itself(spark, loans, monkeypatch):
+    monkeypatch.setattr(keyed, "_hashes", lambda columns: (F.lit(7).cast("bigint"), F.lit(7).cast("bigint"), F.xxhash64(*keyed._marked(columns))))
+    rules = rules_of(spark, ("loans", False, "check_duplicates", "id", None), ("loans", False, "check_duplicates", "grade", None))
+    found = {r["tested_field"]: r["violations"] for r in run_suite(spark, rules, {"loans": loans}).collect()}
+    groups = loans.groupBy("grade").count().where("count > 1").count()
+    assert found == {"id": loans.groupBy("id").count().where("count > 1").count(), "grade": groups}
+
+
+def test_a_rule_that_breaks_costs_few_passes(spark, loans):
+    broken = loans.withColumn("bad", F.when(F.col("id") >= 0, F.raise_error(F.lit("broken")).cast("int")))
+    rules = rules_of(spark, *[("loans", False, "check_nulls", "grade", None)] * 20, ("loans", False, "check_nulls", "bad", None))
+    tracker, context = spark.sparkContext.statusTracker(), spark.sparkContext
+    context.setJobGroup("fallback", "fallback")
+    found = run_suite(spark, rules, {"loans": broken}).collect()
+    jobs = len(tracker.getJobIdsForGroup("fallback"))
+    context.setJobGroup("", "")
+    assert sorted(r["status"] for r in found) == ["Error"] + ["Failed"] * 20
+    assert jobs < 20  # a pass takes two; one for each rule took 46

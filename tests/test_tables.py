@@ -182,17 +182,75 @@ def test_moving_average_check(spark, outcome):
         tg.moving_average(df, "v", "k", "d", 50, -1)
 
 
-@pytest.mark.parametrize("limit", [1_000_000, 40, 1])
-def test_exact_quantiles_at_any_limit(spark, limit):
+def by_sorting(values, p):
+    ordered = sorted(v for v in values if v is not None and math.isfinite(v))
+    at = (len(ordered) - 1) * p
+    low, high = ordered[math.floor(at)], ordered[math.ceil(at)]
+    return low if low == high or at == math.floor(at) else low + (high - low) * (at - math.floor(at))
+
+
+EDGES = [
+    0.0, -0.0, 5e-324, -5e-324, 2.0**-1022, 2.0**-1022 - 5e-324, 1.0, math.nextafter(1.0, 0), math.nextafter(2.0, 0), 2.0, 4.0,
+    math.nextafter(4.0, 9), 1e308, -1e308, 1.7976931348623157e308, 0.1, -3.0, 2.0**53, 2.0**-537, math.nextafter(2.0**1000, 0),
+]
+
+
+def test_images_are_the_bits_of_the_values(spark):
+    random.seed(8)
+    values = EDGES + [random.choice([-1, 1]) * random.random() * 2.0 ** random.randrange(-1074, 1023) for _ in range(3_000)]
+    values += [s * 2.0**e for e in range(-1074, 1024) for s in (1, -1)]
+    df = outliers.images(spark.createDataFrame([(v,) for v in values], "v double").coalesce(1), [F.col("v")])
+    found = [r["v0"] for r in df.collect()]
+    assert [outliers.value_of(i) for i in found] == values
+    assert sorted(values) == [outliers.value_of(i) for i in sorted(found)]
+
+
+def test_exact_quantiles(spark):
     random.seed(5)
-    values = [7.5] * 300 + [random.gauss(0, 100) for _ in range(500)]
-    df = spark.createDataFrame([(v,) for v in values] + [(None,)], "v double").repartition(3)
-    found = outliers.exact_quantiles(df, "v", [0, 0.25, 0.5, 0.9, 1], limit)
-    ordered = sorted(values)
-    for p, value in zip([0, 0.25, 0.5, 0.9, 1], found):
-        at = (len(ordered) - 1) * p
-        low, high = ordered[math.floor(at)], ordered[math.ceil(at)]
-        assert value == pytest.approx(low + (high - low) * (at - math.floor(at)))
+    columns = {
+        "a": [7.5] * 300 + [random.gauss(0, 100) for _ in range(500)],
+        "b": [random.choice(EDGES) for _ in range(800)],
+        "c": [3.0] * 800,
+        "d": [random.choice([math.nan, math.inf, -math.inf, None, 1.0, 2.0]) for _ in range(800)],
+        "e": [math.nan, None] * 400,
+        "f": [random.random() * 1e-300 for _ in range(799)] + [None],
+    }
+    names = list(columns)
+    df = spark.createDataFrame(list(zip(*columns.values())), ", ".join(f"{n} double" for n in names)).repartition(3)
+    shares = [0, 0.1, 0.25, 0.5, 0.75, 0.9, 1]
+    found = dict(zip(names, outliers.quantiles(df, names, shares)))
+    assert found.pop("e") == [None] * len(shares)
+    for name, own in found.items():
+        assert own == [by_sorting(columns[name], p) for p in shares], name
+    assert outliers.quantiles(df.where("a > 1e9"), names, [0.5]) == [[None]] * len(names)
+
+
+def test_all_columns_share_their_readings(spark, tmp_path):
+    df = spark.range(500).selectExpr(*[f"cast(id * {i} % 97 as double) as c{i}" for i in range(1, 13)])
+    tracker, context = spark.sparkContext.statusTracker(), spark.sparkContext
+    jobs = []
+    for columns in (["c1"], df.columns):
+        name = f"quantiles-{len(columns)}"
+        context.setJobGroup(name, name)
+        limits = outliers.all_fences(df, columns, [1.5] * len(columns))
+        jobs.append(len(tracker.getJobIdsForGroup(name)))
+        assert None not in limits
+    context.setJobGroup("", "")
+    assert jobs[0] == jobs[1]
+
+
+def test_outliers_at_nan_and_infinity(spark, outcome):
+    def of(values, **more):
+        return outcome(tg.detect_outliers(spark.createDataFrame([(float(v),) for v in values], "v double"), "v", **more))
+
+    assert of([1, 2, 3] + [math.nan] * 4) == ("Failed", 4)
+    assert of([1, 2, 3, 4] + [math.inf] * 11) == ("Failed", 11)
+    assert of([1, 2, 3, 4, -math.inf]) == ("Failed", 1)
+    assert of([math.nan, math.inf]) == ("Failed", 2)
+    assert of([1e308, -1e308, 0, 1, 2, math.inf], k=1e308) == ("Failed", 1)
+    assert of([5] * 9) == ("Passed", 0)
+    with pytest.raises(tg.RuleError):
+        of([1], k=-1)
 
 
 def test_outliers(spark, outcome):

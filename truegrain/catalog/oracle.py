@@ -254,6 +254,37 @@ def _least_equal(column: str) -> str:
     )
 
 
+# The keys, references and comparisons of the suite of keyed rules.
+_KEYS = (
+    "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_shipdate", "l_returnflag",
+    "l_orderkey, l_linenumber", "l_orderkey, l_partkey", "l_orderkey, l_suppkey", "l_partkey, l_suppkey",
+    "l_partkey, l_linenumber", "l_suppkey, l_linenumber", "l_orderkey, l_shipdate", "l_partkey, l_shipdate",
+    "l_orderkey, l_quantity", "l_orderkey, l_extendedprice", "l_returnflag, l_linestatus",
+    "l_orderkey, l_partkey, l_suppkey", "l_orderkey, l_linenumber, l_shipdate",
+)
+
+
+def _shared_scan_rules() -> list[str]:
+    """Each rule by a query of its own: groups, anti joins and joins."""
+    rules = [
+        ("check_duplicates", keys, f"(SELECT count(*) FROM (SELECT 1 FROM lineitem GROUP BY {keys} HAVING count(*) > 1))")
+        for keys in _KEYS
+    ]
+    for column in ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"):
+        for listed in (
+            "SELECT o_custkey FROM orders", "SELECT p_partkey FROM part", "SELECT s_suppkey FROM supplier",
+            "SELECT c_custkey FROM customer", "SELECT o_orderkey FROM orders",
+        ):
+            rules.append(("check_foreign_key", column, f"(SELECT count(*) FROM lineitem WHERE {column} NOT IN ({listed}))"))
+    for one, two in (
+        ("l_linestatus", "o_orderstatus"), ("l_returnflag", "o_orderstatus"), ("l_extendedprice", "o_totalprice"),
+        ("l_shipdate", "o_orderdate"), ("l_partkey", "o_custkey"),
+    ):
+        pairs = f"(SELECT count(*) FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE {one} <> {two})"
+        rules.append(("check_consistency", f"{one}, {two}", pairs))
+    return [_rule(f"K{i:02d}", "lineitem", t, f, c) for i, (t, f, c) in enumerate(rules)]
+
+
 ORACLE: dict[str, str] = {
     "null_count": _count(ORDERS_WITH_GAPS, "o_custkey IS NULL"),
     "row_count": _status("SELECT abs(count(*) - 50000) AS violations FROM lineitem"),
@@ -373,6 +404,21 @@ ORACLE: dict[str, str] = {
             (SELECT quantile_cont(l_extendedprice, 0.25) AS a, quantile_cont(l_extendedprice, 0.75) AS b
              FROM lineitem)
         WHERE l_extendedprice < a - 0.75 * (b - a) OR l_extendedprice > b + 0.75 * (b - a)"""),
+    "iqr_fences_all": " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, a - 1.5 * (b - a) AS low, b + 1.5 * (b - a) AS high "
+        f"FROM (SELECT quantile_cont({c}::DOUBLE, 0.25) AS a, quantile_cont({c}::DOUBLE, 0.75) AS b FROM lineitem)"
+        for c in (
+            "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
+            "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+        )
+    ),
+    "iqr_fences_nan": """
+        WITH v AS (
+            SELECT CASE WHEN l_linenumber = 7 OR l_linenumber = 6 OR (l_linenumber = 5 AND l_returnflag = 'R') THEN NULL
+                        ELSE l_extendedprice END AS v FROM lineitem),
+        q AS (SELECT quantile_cont(v, 0.25) AS a, quantile_cont(v, 0.75) AS b FROM v)
+        SELECT CASE WHEN n = 0 THEN 'Passed' ELSE 'Failed' END AS status, n::BIGINT AS violations
+        FROM (SELECT count(*) FILTER (WHERE v IS NULL OR v < a - 0.75 * (b - a) OR v > b + 0.75 * (b - a)) AS n FROM v, q)""",
     "iqr_fences": """
         SELECT round(a - 1.5 * (b - a), 4) AS lower, round(b + 1.5 * (b - a), 4) AS upper,
                (SELECT count(*) FROM orders WHERE o_totalprice < a - 1.5 * (b - a)
@@ -474,6 +520,7 @@ ORACLE: dict[str, str] = {
         _rule("T7", "lineitem", "validate_allowed_values", "l_partkey",
               "(SELECT count(*) FROM lineitem WHERE l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_size > 10))"),
     ]),
+    "suite_shared_scan": " UNION ALL ".join(_shared_scan_rules()),
     "status_report": """
         SELECT 'T1' AS tcid, 'lineitem' AS file_name, 'check_nulls' AS test, 'Passed' AS status,
                'Column ' || chr(39) || 'l_orderkey' || chr(39) || ' does not contain any null values.' AS message

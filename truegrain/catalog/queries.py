@@ -303,6 +303,31 @@ def iqr_outliers(s: Source) -> DataFrame:
     )
 
 
+#: The numeric columns of line items.
+LINEITEM_NUMBERS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+@query
+def iqr_fences_all(s: Source) -> DataFrame:
+    """Fences of every numeric column, from four readings."""
+    found = outliers.all_fences(s.lineitem, LINEITEM_NUMBERS, [1.5] * len(LINEITEM_NUMBERS))
+    rows = [(c, *(f or (None, None))) for c, f in zip(LINEITEM_NUMBERS, found)]
+    return s.spark.createDataFrame(rows, "column_name string, low double, high double")
+
+
+@query
+def iqr_fences_nan(s: Source) -> DataFrame:
+    """Outliers where some prices are NaN or infinite."""
+    odd = (
+        F.when(F.col("l_linenumber") == 7, F.lit(float("nan")))
+        .when(F.col("l_linenumber") == 6, F.lit(float("inf")))
+        .when((F.col("l_linenumber") == 5) & (F.col("l_returnflag") == "R"), F.lit(float("-inf")))
+        .otherwise(F.col("l_extendedprice"))
+    )
+    found = outliers.check_outliers(s.lineitem.withColumn("price", odd), "price", 0.75)
+    return found.select("status", "violations")
+
+
 @query
 def iqr_fences(s: Source) -> DataFrame:
     low, high = outliers.fences(s.orders, "o_totalprice") or (None, None)
@@ -527,6 +552,48 @@ def suite_with_faults(s: Source) -> DataFrame:
     return found.withColumn("tcid", F.coalesce("tcid", F.lit("none")))
 
 
+#: Keyed rules of one table: twenty keys, twenty references, five comparisons.
+SHARED_KEYS = [
+    ["l_orderkey"], ["l_partkey"], ["l_suppkey"], ["l_linenumber"], ["l_quantity"], ["l_shipdate"], ["l_returnflag"],
+    ["l_orderkey", "l_linenumber"], ["l_orderkey", "l_partkey"], ["l_orderkey", "l_suppkey"], ["l_partkey", "l_suppkey"],
+    ["l_partkey", "l_linenumber"], ["l_suppkey", "l_linenumber"], ["l_orderkey", "l_shipdate"], ["l_partkey", "l_shipdate"],
+    ["l_orderkey", "l_quantity"], ["l_orderkey", "l_extendedprice"], ["l_returnflag", "l_linestatus"],
+    ["l_orderkey", "l_partkey", "l_suppkey"], ["l_orderkey", "l_linenumber", "l_shipdate"],
+]
+SHARED_REFERENCES = [
+    (column, table, key)
+    for column in ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
+    for table, key in (
+        ("orders", "o_custkey"), ("part", "p_partkey"), ("supplier", "s_suppkey"), ("customer", "c_custkey"), ("orders", "l_orderkey"),
+    )
+]
+SHARED_VALUES = [
+    ("l_linestatus", "o_orderstatus"), ("l_returnflag", "o_orderstatus"), ("l_extendedprice", "o_totalprice"),
+    ("l_shipdate", "o_orderdate"), ("l_partkey", "o_custkey"),
+]
+
+
+def shared_scan_rules(s: Source) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """45 rules on the keys of line items, and the five tables that they name."""
+    rules = [
+        *[("check_duplicates", None, {"keys": keys}) for keys in SHARED_KEYS],
+        *[("check_foreign_key", c, {"ref_table": t, "ref_column": k}) for c, t, k in SHARED_REFERENCES],
+        *[
+            ("check_consistency", c, {"other_table": "orders", "key": "l_orderkey", "column2": c2})
+            for c, c2 in SHARED_VALUES
+        ],
+    ]
+    listed = [(f"K{i:02d}", "lineitem", True, False, *rule) for i, rule in enumerate(rules)]
+    tables = {t: getattr(s, t) for t in ("lineitem", "part", "supplier", "customer")}
+    return _rules(s, *listed), tables | {"orders": s.orders.withColumnRenamed("o_orderkey", "l_orderkey")}
+
+
+@query
+def suite_shared_scan(s: Source) -> DataFrame:
+    """All keyed rules of a table by one reading of each table."""
+    return _without_message(suite.run_suite(s.spark, *shared_scan_rules(s)))
+
+
 @query
 def status_report(s: Source) -> DataFrame:
     """The written report, read back with its messages."""

@@ -2,34 +2,38 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Hashable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from truegrain.errors import RuleError
-from truegrain.functions.columns import column_of, comparable, field_of
+from truegrain.functions.columns import canonical, column_of, comparable, field_of
 from truegrain.messages import message_for
+from truegrain.operators.keyed import KeyedCheck, Side, same_type
 from truegrain.operators.uniqueness import key_names
 from truegrain.results import Label, result_columns
 
 _PAIRS = "decimal(38,0)"
 
 
+def _compared(df1: DataFrame, df2: DataFrame, pairs: list[tuple[str, str]]) -> list[tuple[Column, Column]]:
+    """Both columns of each pair in a form in which they can be compared."""
+    return [
+        comparable(column_of(df1, a), field_of(df1, a).dataType, column_of(df2, b), field_of(df2, b).dataType)
+        for a, b in pairs
+    ]
+
+
 def _both_sides(
     df1: DataFrame, df2: DataFrame, keys: list[str], column: str, column2: str
 ) -> tuple[DataFrame, list[str]]:
     """The rows of both tables as (keys, value, in1, in2), under common types."""
-    left: list[Column] = []
-    right: list[Column] = []
     names = [f"__k{i}" for i in range(len(keys))] + ["__value"]
-    pairs = [(k, k) for k in keys] + [(column, column2)]
-    for (a, b), name in zip(pairs, names):
-        one, two = comparable(
-            column_of(df1, a), field_of(df1, a).dataType, column_of(df2, b), field_of(df2, b).dataType
-        )
-        left.append(one.alias(name))
-        right.append(two.alias(name))
+    both = _compared(df1, df2, [*((k, k) for k in keys), (column, column2)])
+    left = [one.alias(name) for (one, _), name in zip(both, names)]
+    right = [two.alias(name) for (_, two), name in zip(both, names)]
     first = df1.select(*left, F.lit(1).alias("in1"), F.lit(0).alias("in2"))
     second = df2.select(*right, F.lit(0).alias("in1"), F.lit(1).alias("in2"))
     return first.union(second), names[:-1]
@@ -96,15 +100,37 @@ def check_consistency(
     counted = mismatches_by_key(df1, df2, key, column, column2, null_safe).agg(
         F.coalesce(F.sum("mismatched_pairs"), F.lit(0)).cast(_PAIRS).alias("pairs")
     )
-    shown = column if column2 in (None, column) else f"{column}, {column2}"
-    passed = F.col("pairs") == 0
-    return counted.select(
-        *result_columns(
-            "check_consistency",
-            shown,
-            passed,
-            F.col("pairs"),
-            message_for("check_consistency", passed, {"field": shown, "pairs": F.col("pairs")}),
-            label,
-        )
-    )
+    return counted.select(*_result(_shown(column, column2), F.col("pairs"), label))
+
+
+def _shown(column: str, column2: str | None) -> str:
+    return column if column2 in (None, column) else f"{column}, {column2}"
+
+
+def _result(shown: str, pairs: Column, label: Label | None) -> list[Column]:
+    passed = pairs == 0
+    message = message_for("check_consistency", passed, {"field": shown, "pairs": pairs})
+    return result_columns("check_consistency", shown, passed, pairs, message, label)
+
+
+def keyed_consistency(
+    tables: tuple[Hashable, Hashable],
+    df1: DataFrame,
+    df2: DataFrame,
+    key: str | Sequence[str],
+    column: str,
+    column2: str | None = None,
+    null_safe: bool = False,
+) -> KeyedCheck:
+    """The check as one of many over a single reading of both tables, called ``tables``."""
+    keys = key_names(key)
+    both = _compared(df1, df2, [*((k, k) for k in keys), (column, column2 or column)])
+    typed = [same_type(df1, one, df2, two) for one, two in both]
+    sides = []
+    for place, (table, df) in enumerate(zip(tables, (df1, df2))):
+        columns = [pair[place] for pair in typed]
+        needed = columns[:-1] if null_safe else columns
+        present = reduce(lambda a, b: a & b, [c.isNotNull() for c in needed])
+        values = [canonical(columns[-1], typed[-1][2])]
+        sides.append(Side(table, df, columns[:-1], values, present))
+    return KeyedCheck(*sides, lambda m, label: _result(_shown(column, column2), m["pairs"], label))

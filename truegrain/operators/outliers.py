@@ -1,11 +1,24 @@
-"""Exact quantiles of any size of table, and the fences built from them."""
+"""Exact quantiles of any size of table by radix selection, and the fences built from them.
+
+Every finite number has a 64-bit image of the same order (for a double its own bits, less for
+negative ones). A round counts, for all columns and ranks at once, the 16 bits after those
+already known of each wanted value; the counts say which 16 bits come next. Four rounds give
+the exact values. Counts add up in any order, and a round sends at most 65,536 of them for a
+column and rank, so nothing grows with the table and no value is ever collected or sorted.
+
+NaN and infinities take no part in quantiles. Beside fences, which are finite, each of them is
+an outlier.
+"""
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+import struct
+import sys
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from truegrain.errors import RuleError
@@ -13,165 +26,202 @@ from truegrain.functions.columns import as_number, column_of, field_of
 from truegrain.messages import message_for
 from truegrain.results import Label, result_columns
 
-# Up to this many values one task may sort; more are narrowed down first.
-SORTED_IN_ONE_TASK = 1_000_000
-_ACCURACY = 10_000
-
-
-def _numbers(df: DataFrame, column: str) -> DataFrame:
-    value = as_number(column_of(df, column), field_of(df, column).dataType)
-    return df.select(value.cast("double").alias("v")).where(F.col("v").isNotNull())
-
-
-def exact_quantiles(
-    df: DataFrame,
-    column: str,
-    probabilities: Sequence[float],
-    sorted_in_one_task: int = SORTED_IN_ONE_TASK,
-) -> list[float | None]:
-    """Quantiles with linear interpolation; NULL is left out, NaN is the largest value."""
-    values = _numbers(df, column)
-    total = values.count()
-    if total == 0:
-        return [None] * len(probabilities)
-    positions = [(total - 1) * p for p in probabilities]
-    ranks = sorted({r for p in positions for r in (math.floor(p), math.ceil(p))})
-    by_rank = dict(zip(ranks, _values_at(values, ranks, total, sorted_in_one_task)))
-    result = []
-    for p in positions:
-        low, high = by_rank[math.floor(p)], by_rank[math.ceil(p)]
-        share = p - math.floor(p)
-        result.append(low if share == 0 or low == high else low + (high - low) * share)
-    return result
-
-
-class _Search:
-    """The open interval of values that still holds the wanted rank."""
-
-    def __init__(self, rank: int, total: int):
-        self.rank = rank
-        self.low: float | None = None
-        self.high: float | None = None
-        self.below = 0
-        self.inside = total
-        self.found: float | None = None
-
-    def inside_test(self) -> Column:
-        test = F.lit(True)
-        if self.low is not None:
-            test = test & (F.col("v") > F.lit(self.low))
-        if self.high is not None:
-            test = test & (F.col("v") < F.lit(self.high))
-        return test
-
-    def narrow(self, pivots: Sequence[float], under: Sequence[int], upto: Sequence[int]) -> None:
-        """Keep the part between two pivots, given the values under and up to each."""
-        for pivot, fewer, most in zip(pivots, under, upto):
-            if self.rank < fewer:
-                self.high, self.inside = pivot, fewer - self.below
-                return
-            if self.rank < most:
-                self.found = pivot
-                return
-            self.inside -= most - self.below
-            self.low, self.below = pivot, most
-
-
-def _values_at(
-    values: DataFrame, ranks: Sequence[int], total: int, limit: int
-) -> list[float]:
-    """The values at the given 0-based ranks.
-
-    While an interval is too large to sort in one task, two approximate quantiles
-    around the rank divide it and exact counts tell which part to keep. Every round
-    narrows the interval about thousandfold; only counts and pivots reach the driver.
+_ROUNDS, _BITS = 4, 16
+_SMALLEST_NORMAL = 2.0**-1022
+#: Fences stay finite, so that infinities are always beyond them.
+_LARGEST = sys.float_info.max
+#: Columns whose counts one pass takes.
+COLUMNS_PER_PASS = 50
+
+
+def _number(df: DataFrame, column: str) -> Column:
+    return as_number(column_of(df, column), field_of(df, column).dataType).cast("double")
+
+
+def _is_finite(value: Column) -> Column:
+    return F.abs(value) < F.lit(math.inf)  # NaN is greater than all
+
+
+def images(df: DataFrame, numbers: Sequence[Column]) -> DataFrame:
+    """Columns ``v0``, ``v1`` ... : a bigint for each finite double that orders them as their values
+    do, its bits, negated for negative ones; NULL for all else.
+
+    Steps are selections of their own, as each is used several times by the next.
     """
-    searches = [_Search(rank, total) for rank in ranks]
-    while wide := [s for s in searches if s.found is None and s.inside > limit]:
-        guesses = values.agg(
-            *[
-                F.percentile_approx(
-                    F.when(s.inside_test(), F.col("v")), _around(s), _ACCURACY
-                ).alias(f"g{i}")
-                for i, s in enumerate(wide)
-            ]
-        ).first()
-        pivots = [sorted(set(guesses[i]), key=lambda v: (math.isnan(v), v)) for i in range(len(wide))]
-        counts = values.agg(
-            *[
-                F.count_if(test).alias(f"{name}{i}_{j}")
-                for i, points in enumerate(pivots)
-                for j, point in enumerate(points)
-                for name, test in (
-                    ("under", F.col("v") < F.lit(point)),
-                    ("upto", F.col("v") <= F.lit(point)),
-                )
-            ]
-        ).first()
-        for i, search in enumerate(wide):
-            points = range(len(pivots[i]))
-            search.narrow(
-                pivots[i],
-                [counts[f"under{i}_{j}"] for j in points],
-                [counts[f"upto{i}_{j}"] for j in points],
-            )
-    intervals: dict[tuple, list[_Search]] = {}
-    for search in searches:
-        if search.found is None:
-            intervals.setdefault((search.low, search.high), []).append(search)
-    for sharing in intervals.values():
-        # At most ``limit`` values, by the counts above.
-        ordered = values.where(sharing[0].inside_test()).agg(
-            F.sort_array(F.collect_list("v")).alias("ordered")
+    places = range(len(numbers))
+    v, size, guess, scaled = ([F.col(f"{name}{i}") for i in places] for name in ("v", "a", "g", "s"))
+    found = df.select(*[n.alias(f"v{i}") for i, n in enumerate(numbers)])
+    found = found.select(*[F.when(_is_finite(v[i]), v[i]).alias(f"v{i}") for i in places])
+    found = found.select("*", *[F.abs(v[i]).alias(f"a{i}") for i in places])
+    exponents = [F.greatest(F.least(F.floor(F.log2(size[i])), F.lit(1023)), F.lit(-1022)).cast("int") for i in places]
+    found = found.select("*", *[e.alias(f"g{i}") for i, e in enumerate(exponents)])
+    found = found.select("*", *[(size[i] * F.pow(F.lit(2.0), -guess[i])).alias(f"s{i}") for i in places])
+
+    def bits(i: int) -> Column:
+        # The logarithm may be one off next to a power of two.
+        over, under = scaled[i] >= 2, scaled[i] < 1
+        exponent = guess[i] + F.when(over, 1).when(under, -1).otherwise(0)
+        digits = F.when(over, scaled[i] / 2).when(under, scaled[i] * 2).otherwise(scaled[i])
+        normal = (exponent + 1022).cast("bigint") * F.lit(2**52) + (digits * F.lit(2.0**52)).cast("bigint")
+        subnormal = (size[i] * F.lit(2.0**537) * F.lit(2.0**537)).cast("bigint")
+        whole = F.when(size[i] < F.lit(_SMALLEST_NORMAL), subnormal).otherwise(normal)
+        return whole * F.when(v[i] < 0, -1).otherwise(1)
+
+    return found.select(*[bits(i).alias(f"v{i}") for i in places])
+
+
+def value_of(bits: int) -> float:
+    """The double that an image stands for."""
+    found = struct.unpack("<d", struct.pack("<q", abs(bits)))[0]
+    return -found if bits < 0 else found
+
+
+def _digit(bits: Column, place: int) -> Column:
+    shift = 64 - _BITS * (place + 1)
+    # The first digit keeps its sign.
+    return F.shiftright(bits, shift) if place == 0 else F.shiftright(bits, shift).bitwiseAND(F.lit(0xFFFF))
+
+
+def _round(values: DataFrame, place: int, wanted: Mapping[int, Sequence[int]], columns: int) -> DataFrame:
+    """(col, prefix, digit, n): how many values of a column have the digit behind a wanted prefix."""
+    records = []
+    for i in range(columns):
+        bits = F.col(f"v{i}")
+        prefix = F.lit(0).cast("bigint") if place == 0 else F.shiftright(bits, 64 - _BITS * place)
+        test = bits.isNotNull() if place == 0 else prefix.isin([int(p) for p in wanted.get(i, ())])
+        record = F.struct(F.lit(i).alias("col"), prefix.alias("prefix"), _digit(bits, place).alias("digit"))
+        records.append(F.when(test, record))
+    found = values.select(F.inline(F.array(*records))).where(F.col("col").isNotNull())
+    return found.groupBy("col", "prefix", "digit").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _ranks(total: int, probabilities: Sequence[float]) -> list[tuple[int, int, float]]:
+    """For each probability the two ranks around it, and the share of the way from one to the other."""
+    places = [(total - 1) * p for p in probabilities]
+    return [(math.floor(p), math.ceil(p), p - math.floor(p)) for p in places]
+
+
+def quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]) -> list[list[float | None]]:
+    """For each column its quantiles with linear interpolation, over its finite values; None without any.
+
+    Four readings of the table for up to 50 columns, whatever the number of ranks.
+    """
+    if len(columns) > COLUMNS_PER_PASS:
+        middle = COLUMNS_PER_PASS
+        return quantiles(df, columns[:middle], probabilities) + quantiles(df, columns[middle:], probabilities)
+    numbers = [_number(df, c) for c in columns]
+    values = images(df, numbers)
+    group = Window.partitionBy("col", "prefix")
+    running = group.orderBy("digit").rowsBetween(Window.unboundedPreceding, -1)
+    # Of each column: by rank its prefix so far, and how many values are below that prefix.
+    known: dict[int, dict[int, tuple[int, int]]] = {}
+    totals: dict[int, int] = {}
+    for place in range(_ROUNDS):
+        wanted = {i: sorted({p for p, _ in ranks.values()}) for i, ranks in known.items()}
+        if place and not wanted:
+            break
+        counted = _round(values, place, wanted, len(columns)).withColumns(
+            {"before": F.coalesce(F.sum("n").over(running), F.lit(0)), "total": F.sum("n").over(group)}
         )
-        picked = ordered.select(
-            *[F.col("ordered")[s.rank - s.below].alias(f"s{i}") for i, s in enumerate(sharing)]
-        ).first()
-        for i, search in enumerate(sharing):
-            search.found = picked[i]
-    return [s.found for s in searches]
+        if place == 0:
+            tests = []
+            for p in probabilities:
+                position = (F.col("total") - 1) * F.lit(float(p))
+                tests += [F.floor(position), F.ceil(position)]
+            asked = [(F.col("before") <= t) & (t < F.col("before") + F.col("n")) for t in tests]
+            for row in counted.where(reduce(Column.__or__, asked)).collect():
+                totals[row["col"]] = row["total"]
+                for low, high, _ in _ranks(row["total"], probabilities):
+                    for rank in (low, high):
+                        if row["before"] <= rank < row["before"] + row["n"]:
+                            known.setdefault(row["col"], {})[rank] = (row["digit"], row["before"])
+            continue
+        inside: dict[tuple[int, int], list[int]] = {}
+        for i, ranks in known.items():
+            for rank, (prefix, below) in ranks.items():
+                inside.setdefault((i, prefix), []).append(rank - below)
+        asked = [
+            (F.col("col") == i) & (F.col("prefix") == prefix) & (F.col("before") <= r) & (r < F.col("before") + F.col("n"))
+            for (i, prefix), places in inside.items()
+            for r in sorted(set(places))
+        ]
+        picked = counted.where(reduce(Column.__or__, asked)).collect()
+        for i, ranks in known.items():
+            for rank, (prefix, below) in list(ranks.items()):
+                row = next(
+                    r
+                    for r in picked
+                    if (r["col"], r["prefix"]) == (i, prefix) and r["before"] <= rank - below < r["before"] + r["n"]
+                )
+                ranks[rank] = ((prefix << _BITS) | row["digit"], below + row["before"])
+    found: list[list[float | None]] = []
+    for i in range(len(columns)):
+        own: list[float | None] = []
+        for low, high, share in _ranks(totals[i], probabilities) if i in totals else []:
+            one, two = (value_of(known[i][r][0]) for r in (low, high))
+            own.append(one if share == 0 or one == two else one + (two - one) * share)
+        found.append(own or [None] * len(probabilities))
+    return found
 
 
-def _around(search: _Search) -> list[float]:
-    centre = (search.rank - search.below) / search.inside
-    margin = 3 / _ACCURACY
-    return [max(0.0, centre - margin), min(1.0, centre + margin)]
+def exact_quantiles(df: DataFrame, column: str, probabilities: Sequence[float]) -> list[float | None]:
+    """The quantiles of one column; NULL, NaN and infinities are left out."""
+    return quantiles(df, [column], probabilities)[0]
 
 
-def fences(
-    df: DataFrame, column: str, k: float = 1.5, sorted_in_one_task: int = SORTED_IN_ONE_TASK
-) -> tuple[float, float] | None:
-    """Lower and upper limit: k interquartile ranges beyond the quartiles."""
-    if isinstance(k, bool) or not isinstance(k, (int, float)) or k < 0:
+def _factor(k) -> float:
+    if isinstance(k, bool) or not isinstance(k, (int, float)) or not 0 <= k < math.inf:
         raise RuleError(f"k must be a non-negative number, not {k!r}")
-    first, third = exact_quantiles(df, column, [0.25, 0.75], sorted_in_one_task)
-    if first is None:
-        return None
-    return first - k * (third - first), third + k * (third - first)
-
-
-def check_outliers(
-    df: DataFrame,
-    column: str,
-    k: float = 1.5,
-    label: Label | None = None,
-    sorted_in_one_task: int = SORTED_IN_ONE_TASK,
+    return k
+
+
+def all_fences(df: DataFrame, columns: Sequence[str], k: Sequence[float]) -> list[tuple[float, float] | None]:
+    """Lower and upper limit of each column: its ``k`` interquartile ranges beyond its quartiles."""
+    factors = [_factor(f) for f in k]
+    limits: list[tuple[float, float] | None] = []
+    for (first, third), factor in zip(quantiles(df, columns, [0.25, 0.75]), factors):
+        if first is None:
+            limits.append(None)
+        else:
+            range_ = factor * (third - first)
+            limits.append((max(first - range_, -_LARGEST), min(third + range_, _LARGEST)))
+    return limits
+
+
+def require_outliers(df: DataFrame, column: str, k: float = 1.5) -> None:
+    """Reject a column or factor that the check cannot work with."""
+    _number(df, column)
+    _factor(k)
+
+
+def fences(df: DataFrame, column: str, k: float = 1.5) -> tuple[float, float] | None:
+    return all_fences(df, [column], [k])[0]
+
+
+def evaluate_outliers(
+    df: DataFrame, columns: Sequence[str], k: Sequence[float] | None = None, labels: Sequence[Label | None] | None = None
 ) -> DataFrame:
+    """A result row for each column, from five readings of the table for all of them.
+
+    Violations are finite values outside the fences, NaN and infinities; NULL is none. A
+    column without a finite value has no fences, and a table without values passes.
+    """
+    k = k or [1.5] * len(columns)
+    labels = labels or [None] * len(columns)
+    limits = [found or (0.0, 0.0) for found in all_fences(df, columns, k)]
+    counts = []
+    for i, (column, (low, high)) in enumerate(zip(columns, limits)):
+        value = _number(df, column)
+        counts.append(F.count_if((value < F.lit(low)) | (value > F.lit(high))).alias(f"__bad{i}"))
+    results = []
+    for i, (column, (low, high), label) in enumerate(zip(columns, limits, labels)):
+        bad = F.col(f"__bad{i}")
+        values = {"field": column, "violations": bad, "lower": low, "upper": high}
+        message = message_for("detect_outliers", bad == 0, values)
+        results.append(F.struct(*result_columns("detect_outliers", column, bad == 0, bad, message, label)))
+    return df.agg(*counts).select(F.inline(F.array(*results)))
+
+
+def check_outliers(df: DataFrame, column: str, k: float = 1.5, label: Label | None = None) -> DataFrame:
     """Violations are values outside the fences; a table without values passes."""
-    limits = fences(df, column, k, sorted_in_one_task)
-    low, high = limits or (0.0, 0.0)
-    counted = _numbers(df, column).agg(
-        F.count_if((F.col("v") < F.lit(low)) | (F.col("v") > F.lit(high))).alias("bad")
-    )
-    passed = F.col("bad") == 0
-    values = {"field": column, "violations": F.col("bad"), "lower": low, "upper": high}
-    return counted.select(
-        *result_columns(
-            "detect_outliers",
-            column,
-            passed,
-            F.col("bad"),
-            message_for("detect_outliers", passed, values),
-            label,
-        )
-    )
+    return evaluate_outliers(df, [column], [k], [label])

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Hashable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from truegrain.functions.columns import column_of, exact_text, field_of, is_text, mixed_numbers
 from truegrain.messages import message_for
+from truegrain.operators.keyed import KeyedCheck, Side, same_type
 from truegrain.results import Label, result_columns
 
 
@@ -64,6 +67,53 @@ def orphan_rows(
     return keyed.join(listed, F.col("__fk") == F.col("__ref"), "left_anti").drop("__fk")
 
 
+def _keyed(tables: tuple[Hashable, Hashable], df: DataFrame, column: str, df_ref: DataFrame, ref_column: str, finish):
+    fk, ref = _key_columns(df, column, df_ref, ref_column)
+    fk, ref, _ = same_type(df, fk, df_ref, ref)
+    return KeyedCheck(
+        Side(tables[0], df, [fk], present=fk.isNotNull()),
+        Side(tables[1], df_ref, [ref], present=ref.isNotNull()),
+        finish,
+    )
+
+
+def keyed_foreign_key(
+    tables: tuple[Hashable, Hashable], df_fk: DataFrame, column_fk: str, df_ref: DataFrame, ref_column: str
+) -> KeyedCheck:
+    """The check as one of many over a single reading of both tables, called ``tables``."""
+    return _keyed(
+        tables, df_fk, column_fk, df_ref, ref_column, lambda m, label: _foreign_key_result(column_fk, m["orphans"], label)
+    )
+
+
+def keyed_allowed_in_table(
+    tables: tuple[Hashable, Hashable], df: DataFrame, column: str, df_ref: DataFrame, ref_column: str
+) -> KeyedCheck:
+    """The check as one of many over a single reading of both tables, called ``tables``."""
+    return _keyed(
+        tables, df, column, df_ref, ref_column, lambda m, label: _allowed_result(column, ref_column, m["orphans"], label)
+    )
+
+
+def _foreign_key_result(column: str, bad: Column, label: Label | None) -> list[Column]:
+    passed = bad == 0
+    message = message_for("check_foreign_key", passed, {"field": column, "violations": bad})
+    return result_columns("check_foreign_key", column, passed, bad, message, label)
+
+
+def _allowed_result(column: str, ref_column: str, bad: Column, label: Label | None) -> list[Column]:
+    passed = bad == 0
+    values = {"field": column, "violations": bad, "allowed": f"the values of {ref_column}"}
+    message = message_for("validate_allowed_values", passed, values)
+    return result_columns("validate_allowed_values", column, passed, bad, message, label)
+
+
+def _orphan_count(df: DataFrame, column: str, df_ref: DataFrame, ref_column: str) -> DataFrame:
+    return orphan_values(df, column, df_ref, ref_column).agg(
+        F.coalesce(F.sum("row_count"), F.lit(0)).alias("bad")
+    )
+
+
 def check_foreign_key(
     df_fk: DataFrame,
     column_fk: str,
@@ -72,21 +122,8 @@ def check_foreign_key(
     label: Label | None = None,
 ) -> DataFrame:
     """Violations are rows whose foreign key is not among the reference values."""
-    counted = orphan_values(df_fk, column_fk, df_ref, ref_column).agg(
-        F.coalesce(F.sum("row_count"), F.lit(0)).alias("bad")
-    )
-    passed = F.col("bad") == 0
-    values = {"field": column_fk, "violations": F.col("bad")}
-    return counted.select(
-        *result_columns(
-            "check_foreign_key",
-            column_fk,
-            passed,
-            F.col("bad"),
-            message_for("check_foreign_key", passed, values),
-            label,
-        )
-    )
+    counted = _orphan_count(df_fk, column_fk, df_ref, ref_column)
+    return counted.select(*_foreign_key_result(column_fk, F.col("bad"), label))
 
 
 def check_allowed_in_table(
@@ -97,12 +134,5 @@ def check_allowed_in_table(
     label: Label | None = None,
 ) -> DataFrame:
     """Violations are rows whose value a reference table does not list; for lists too long to write down."""
-    counted = orphan_values(df, column, df_ref, ref_column).agg(
-        F.coalesce(F.sum("row_count"), F.lit(0)).alias("bad")
-    )
-    passed = F.col("bad") == 0
-    values = {"field": column, "violations": F.col("bad"), "allowed": f"the values of {ref_column}"}
-    message = message_for("validate_allowed_values", passed, values)
-    return counted.select(
-        *result_columns("validate_allowed_values", column, passed, F.col("bad"), message, label)
-    )
+    counted = _orphan_count(df, column, df_ref, ref_column)
+    return counted.select(*_allowed_result(column, ref_column, F.col("bad"), label))

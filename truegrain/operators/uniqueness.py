@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Hashable, Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from truegrain.errors import RuleError
-from truegrain.functions.columns import canonical, column_of, ref
+from truegrain.functions.columns import canonical, column_of, field_of, ref
 from truegrain.messages import message_for
+from truegrain.operators.keyed import KeyedCheck, Side
 from truegrain.results import Label, result_columns
-from truegrain.session import new_shared_path
 
 
 def key_names(keys: str | Sequence[str]) -> list[str]:
@@ -61,11 +61,15 @@ def _rows_that_may_repeat(rows: DataFrame, names: list[str]) -> DataFrame:
         .where("__n > 1")
         .select("__one", "__two")
     )
-    # Written out, so that the join knows its size and broadcasts it only if it is small.
-    path = new_shared_path(rows.sparkSession, "digests")
-    repeated.write.parquet(path)
-    stored = rows.sparkSession.read.schema(repeated.schema).parquet(path)
-    return marked.join(stored, ["__one", "__two"], "left_semi").drop("__one", "__two")
+    return marked.join(repeated, ["__one", "__two"], "left_semi").drop("__one", "__two")
+
+
+def keyed_duplicates(table: Hashable, df: DataFrame, keys: str | Sequence[str]) -> KeyedCheck:
+    """The check as one of many over a single reading of its table."""
+    names = key_names(keys)
+    values = [canonical(column_of(df, n), field_of(df, n).dataType) for n in names]
+    shown = ", ".join(names)
+    return KeyedCheck(Side(table, df, values), None, lambda found, label: _result(shown, found, label))
 
 
 def check_duplicates(
@@ -80,16 +84,12 @@ def check_duplicates(
         F.count(F.lit(1)).alias("groups"),
         F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).alias("surplus"),
     )
-    shown = ", ".join(names)
-    passed = F.col("groups") == 0
-    values = {"field": shown, "violations": F.col("groups"), "surplus": F.col("surplus")}
-    return found.select(
-        *result_columns(
-            "check_duplicates",
-            shown,
-            passed,
-            F.col("groups"),
-            message_for("check_duplicates", passed, values),
-            label,
-        )
-    )
+    counted = {n: F.col(n) for n in ("groups", "surplus")}
+    return found.select(*_result(", ".join(names), counted, label))
+
+
+def _result(shown: str, found: Mapping[str, Column], label: Label | None) -> list[Column]:
+    passed = found["groups"] == 0
+    values = {"field": shown, "violations": found["groups"], "surplus": found["surplus"]}
+    message = message_for("check_duplicates", passed, values)
+    return result_columns("check_duplicates", shown, passed, found["groups"], message, label)

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from truegrain.errors import RuleError
 from truegrain.functions.casting import try_parse
 from truegrain.functions.predicates import is_timestamp_pattern
-from truegrain.operators import columns, consistency, files, outliers, references, scalar, trend, uniqueness
+from truegrain.operators import columns, consistency, files, keyed, outliers, references, scalar, trend, uniqueness
 from truegrain.results import Label
 
 
@@ -50,7 +50,10 @@ class Test:
     ``scalar`` builds a check that shares the aggregation of its table; ``frame``
     builds a result row from a plan of its own. A single required parameter may be
     given bare, without the enclosing JSON object. ``instead`` are parameters that may
-    take the place of the required ones; the rule then is a frame.
+    take the place of the required ones; the rule then is a frame. ``keyed`` builds a
+    check that shares one reading of each table with all others of its kind; ``frame``
+    then is the plan of its own for digests that clash. ``together`` gives the results of
+    all rules of the test on a table, each of which ``require`` has accepted.
     """
 
     dimension: str
@@ -61,6 +64,9 @@ class Test:
     instead: tuple[str, ...] = ()
     scalar: Callable[[DataFrame, str, Params], scalar.ScalarCheck] | None = None
     frame: Callable[[Context, DataFrame | None, Rule, Params], DataFrame] | None = None
+    keyed: Callable[[Context, DataFrame, Rule, Params], keyed.KeyedCheck] | None = None
+    require: Callable[[DataFrame, Rule, Params], None] | None = None
+    together: Callable[[DataFrame, Sequence[Rule], Sequence[Params]], DataFrame] | None = None
 
 
 def _some(params: Params, **names: str) -> dict[str, object]:
@@ -89,6 +95,25 @@ def _consistency(context: Context, df: DataFrame, rule: Rule, p: Params) -> Data
     )
 
 
+def _keyed_consistency(context: Context, df: DataFrame, rule: Rule, p: Params) -> keyed.KeyedCheck:
+    return consistency.keyed_consistency(
+        (rule.file_name, p["other_table"]),
+        df,
+        context.table(p["other_table"]),
+        _list(p["key"]),
+        rule.tested_field,
+        **_some(p, column2="column2", null_safe="null_safe"),
+    )
+
+
+def _keyed_reference(build):
+    def made(context: Context, df: DataFrame, rule: Rule, p: Params) -> keyed.KeyedCheck:
+        tables = (rule.file_name, p["ref_table"])
+        return build(tables, df, rule.tested_field, context.table(p["ref_table"]), p["ref_column"])
+
+    return made
+
+
 def _foreign_key(context: Context, df: DataFrame, rule: Rule, p: Params) -> DataFrame:
     return references.check_foreign_key(
         df, rule.tested_field, context.table(p["ref_table"]), p["ref_column"], rule.label
@@ -101,11 +126,19 @@ def _allowed_in_table(context: Context, df: DataFrame, rule: Rule, p: Params) ->
     )
 
 
-def _duplicates(context: Context, df: DataFrame, rule: Rule, p: Params) -> DataFrame:
+def _duplicate_keys(rule: Rule, p: Params) -> list:
     keys = p.get("keys") or rule.tested_field
     if not keys:
         raise RuleError("a tested field or the parameter keys is required")
-    return uniqueness.check_duplicates(df, _list(keys), rule.label)
+    return _list(keys)
+
+
+def _duplicates(context: Context, df: DataFrame, rule: Rule, p: Params) -> DataFrame:
+    return uniqueness.check_duplicates(df, _duplicate_keys(rule, p), rule.label)
+
+
+def _keyed_duplicates(context: Context, df: DataFrame, rule: Rule, p: Params) -> keyed.KeyedCheck:
+    return uniqueness.keyed_duplicates(rule.file_name, df, _duplicate_keys(rule, p))
 
 
 def _moving_average(context: Context, df: DataFrame, rule: Rule, p: Params) -> DataFrame:
@@ -140,8 +173,14 @@ def _duplicate_columns(context: Context, df: DataFrame, rule: Rule, p: Params) -
     return columns.check_duplicate_columns(df, **_some(p, verify="verify"), label=rule.label)
 
 
-def _outliers(context: Context, df: DataFrame, rule: Rule, p: Params) -> DataFrame:
-    return outliers.check_outliers(df, rule.tested_field, **_some(p, k="k"), label=rule.label)
+def _require_outliers(df: DataFrame, rule: Rule, p: Params) -> None:
+    outliers.require_outliers(df, rule.tested_field, **_some(p, k="k"))
+
+
+def _outliers(df: DataFrame, rules: Sequence[Rule], params: Sequence[Params]) -> DataFrame:
+    return outliers.evaluate_outliers(
+        df, [r.tested_field for r in rules], [p.get("k", 1.5) for p in params], [r.label for r in rules]
+    )
 
 
 _SUM = Test(
@@ -162,7 +201,9 @@ TESTS: Mapping[str, Test] = {
         needs_field=False,
         scalar=lambda df, f, p: scalar.record_count(df, p["expected"]),
     ),
-    "check_duplicates": Test("Uniqueness", (), ("keys",), needs_field=False, frame=_duplicates),
+    "check_duplicates": Test(
+        "Uniqueness", (), ("keys",), needs_field=False, frame=_duplicates, keyed=_keyed_duplicates
+    ),
     "duplicated_files_by_name_and_size": Test(
         "Uniqueness",
         ("path",),
@@ -182,12 +223,21 @@ TESTS: Mapping[str, Test] = {
         "Uniqueness", (), ("verify",), needs_field=False, frame=_duplicate_columns
     ),
     "check_consistency": Test(
-        "Consistency", ("other_table", "key"), ("column2", "null_safe"), frame=_consistency
+        "Consistency",
+        ("other_table", "key"),
+        ("column2", "null_safe"),
+        frame=_consistency,
+        keyed=_keyed_consistency,
     ),
     "dtype_consistency": Test(
         "Consistency", ("type",), scalar=lambda df, f, p: scalar.castable(df, f, p["type"])
     ),
-    "check_foreign_key": Test("Foreign Key", ("ref_table", "ref_column"), frame=_foreign_key),
+    "check_foreign_key": Test(
+        "Foreign Key",
+        ("ref_table", "ref_column"),
+        frame=_foreign_key,
+        keyed=_keyed_reference(references.keyed_foreign_key),
+    ),
     "validate_numeric_range": Test(
         "Validations",
         ("min", "max"),
@@ -204,6 +254,7 @@ TESTS: Mapping[str, Test] = {
         ("values",),
         instead=("ref_table", "ref_column"),
         frame=_allowed_in_table,
+        keyed=_keyed_reference(references.keyed_allowed_in_table),
         scalar=lambda df, f, p: scalar.allowed_values(df, f, _text_list(p["values"], "values")),
     ),
     "validate_date_format": Test(
@@ -235,7 +286,7 @@ TESTS: Mapping[str, Test] = {
     "moving_average": Test(
         "Accuracy", ("partition", "date", "tolerance", "window"), ("order",), frame=_moving_average
     ),
-    "detect_outliers": Test("Accuracy", (), ("k",), frame=_outliers),
+    "detect_outliers": Test("Accuracy", (), ("k",), require=_require_outliers, together=_outliers),
 }
 
 
@@ -312,15 +363,35 @@ def analyser_objects(df: DataFrame, checks: Sequence[scalar.ScalarCheck]) -> str
     return None
 
 
-def build_frame(context: Context, df: DataFrame | None, rule: Rule, params: Params) -> DataFrame:
+def _built(build: Callable, context: Context, df: DataFrame | None, rule: Rule, params: Params):
     try:
-        result = TESTS[rule.test].frame(context, df, rule, params)
-        result.schema
+        return build(context, df, rule, params)
     except RuleError:
         raise
     except (PySparkException, TypeError, ValueError, AttributeError) as error:
         raise RuleError(first_line(error)) from error
-    return result
+
+
+def build_frame(context: Context, df: DataFrame | None, rule: Rule, params: Params) -> DataFrame:
+    def checked(*args):
+        result = TESTS[rule.test].frame(*args)
+        result.schema
+        return result
+
+    return _built(checked, context, df, rule, params)
+
+
+def require_together(context: Context, df: DataFrame, rule: Rule, params: Params) -> None:
+    _built(lambda _, *args: TESTS[rule.test].require(*args), context, df, rule, params)
+
+
+def build_keyed(context: Context, df: DataFrame, rule: Rule, params: Params) -> keyed.KeyedCheck:
+    def checked(*args):
+        check = TESTS[rule.test].keyed(*args)
+        check.require_columns()
+        return check
+
+    return _built(checked, context, df, rule, params)
 
 
 def first_line(error: Exception) -> str:

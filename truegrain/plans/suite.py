@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
-from functools import reduce
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
@@ -12,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from truegrain.errors import RuleError
+from truegrain.operators.keyed import KeyedCheck, evaluate_keyed
 from truegrain.operators.scalar import ScalarCheck, evaluate
 from truegrain.plans.rules import (
     TESTS,
@@ -19,11 +19,13 @@ from truegrain.plans.rules import (
     Rule,
     analyser_objects,
     build_frame,
+    build_keyed,
     build_scalar,
     dimension_of,
     first_line,
     is_scalar,
     parameters,
+    require_together,
 )
 from truegrain.results import ERROR, PASSED, RESULT_SCHEMA, SKIPPED, fixed_results
 from truegrain.session import scratch
@@ -38,6 +40,8 @@ _STATUS = RESULT_SCHEMA.fieldNames().index("status")
 class _Planned:
     rule: Rule
     check: ScalarCheck | None = None
+    keyed: KeyedCheck | None = None
+    together: Mapping[str, object] | None = None
     frame: DataFrame | None = None
     problem: str | None = None
 
@@ -86,6 +90,11 @@ def _plan(rule: Rule, context: Context) -> _Planned:
         table = context.table(rule.file_name) if test.needs_table else None
         if is_scalar(rule, params):
             return _Planned(rule, check=build_scalar(table, rule, params))
+        if test.keyed is not None:
+            return _Planned(rule, keyed=build_keyed(context, table, rule, params))
+        if test.together is not None:
+            require_together(context, table, rule, params)
+            return _Planned(rule, together=params)
         return _Planned(rule, frame=build_frame(context, table, rule, params))
     except RuleError as error:
         return _Planned(rule, problem=str(error))
@@ -102,55 +111,98 @@ def _runnable(items: list[_Planned], table: DataFrame) -> list[_Planned]:
     return [_Planned(i.rule, problem=r) if r else i for i, r in zip(items, reasons)]
 
 
-def _results(planned: list[_Planned], context: Context) -> DataFrame | None:
-    """All results of the planned rules as one lazy frame."""
+@dataclass(frozen=True)
+class _Unit:
+    """Rules that run together: ``rows`` gives their result rows."""
+
+    items: list[_Planned]
+    rows: Callable[[list[_Planned]], list[tuple]]
+
+
+def _units(planned: list[_Planned], context: Context) -> tuple[list[_Unit], list[tuple]]:
+    """The rules by what they share, and the rows of those that cannot run.
+
+    Scalar rules of a file are one aggregation, keyed rules of all files are one, rules of
+    some tests share their passes over a file, any other rule has a plan of its own.
+    """
+    problems = [i for i in planned if i.problem is not None]
     by_file: dict[str, list[_Planned]] = {}
     for item in planned:
         if item.check is not None:
             by_file.setdefault(item.rule.file_name, []).append(item)
-    frames = [item.frame for item in planned if item.frame is not None]
-    problems = [item for item in planned if item.problem is not None]
+    units = []
     for name, items in by_file.items():
         table = context.table(name)
         tried = _runnable(items, table)
         problems += [i for i in tried if i.problem is not None]
         if sound := [i for i in tried if i.check is not None]:
-            frames.append(
-                evaluate(table, [i.check for i in sound], [i.rule.label for i in sound])
-            )
-    if problems:
-        frames.append(
-            _fixed(context.spark, [i.rule for i in problems], ERROR, [i.problem for i in problems])
-        )
-    return reduce(DataFrame.unionByName, frames) if frames else None
+            units.append(_Unit(sound, lambda some, table=table: _scalar_rows(some, table)))
+    if by_key := [i for i in planned if i.keyed is not None]:
+        units.append(_Unit(by_key, lambda some: _keyed_rows(some, context)))
+    alike: dict[tuple[str, str], list[_Planned]] = {}
+    for item in planned:
+        if item.together is not None:
+            alike.setdefault((item.rule.file_name, item.rule.test), []).append(item)
+    units += [_Unit(items, lambda some: _together_rows(some, context)) for items in alike.values()]
+    units += [_Unit([i], lambda some: _rows(some[0].frame)) for i in planned if i.frame is not None]
+    rows = [
+        (i.rule.tcid, i.rule.file_name, i.rule.test, i.rule.tested_field, ERROR, None, i.problem) for i in problems
+    ]
+    return units, rows
 
 
-def _fixed(spark: SparkSession, rules: list[Rule], status: str, messages: list[str]) -> DataFrame:
-    return fixed_results(
-        spark,
-        [
-            (r.tcid, r.file_name, r.test, r.tested_field, status, None, message)
-            for r, message in zip(rules, messages)
-        ],
-    )
+def _rows(frame: DataFrame) -> list[tuple]:
+    return [tuple(row) for row in frame.collect()]
+
+
+def _scalar_rows(items: list[_Planned], table: DataFrame) -> list[tuple]:
+    return _rows(evaluate(table, [i.check for i in items], [i.rule.label for i in items]))
+
+
+def _together_rows(items: list[_Planned], context: Context) -> list[tuple]:
+    rules = [i.rule for i in items]
+    return _rows(TESTS[rules[0].test].together(context.table(rules[0].file_name), rules, [i.together for i in items]))
+
+
+def _keyed_rows(items: list[_Planned], context: Context) -> list[tuple]:
+    """All keyed rules in one pass; one whose digests clash is counted by its own plan."""
+    found = []
+    for row in evaluate_keyed([i.keyed for i in items], [i.rule.label for i in items]).collect():
+        if row["clashed"]:
+            rule = items[row["number"]].rule
+            found += _rows(build_frame(context, context.table(rule.file_name), rule, parameters(rule)))
+        else:
+            found.append(tuple(row)[1:-1])
+    return found
 
 
 def _collected(planned: list[_Planned], context: Context) -> list[tuple]:
-    """The result rows, one per rule. A rule that fails while it runs is an Error row.
+    """The result rows, one per rule. A rule that fails while it runs is an Error row."""
+    units, rows = _units(planned, context)
+    for unit in units:
+        rows += _isolated(unit, unit.items, known_to_fail=False)[0]
+    return rows
+
 
-    All rules run together; only if that fails is each run on its own.
+def _isolated(unit: _Unit, items: list[_Planned], known_to_fail: bool) -> tuple[list[tuple], bool]:
+    """The rows of some rules of a unit, and whether one of them failed while it ran.
+
+    Rules run together. If that fails they are halved, and a half is not tried as a whole if
+    the other's success shows that the failure is in it: a rule that fails costs about as
+    many passes as halvings, not one for each rule beside it.
     """
-    frame = _results(planned, context)
-    if frame is None:
-        return []
-    try:
-        return [tuple(row) for row in frame.collect()]
-    except (PySparkException, Py4JJavaError) as error:
-        if len(planned) == 1:
-            rule = planned[0].rule
-            reason = f"failed while running: {first_line(error)}"
-            return [(rule.tcid, rule.file_name, rule.test, rule.tested_field, ERROR, None, reason)]
-        return [row for item in planned for row in _collected([item], context)]
+    if not known_to_fail or len(items) == 1:
+        try:
+            return unit.rows(items), False
+        except (PySparkException, Py4JJavaError) as error:
+            if len(items) == 1:
+                rule = items[0].rule
+                reason = f"failed while running: {first_line(error)}"
+                return [(rule.tcid, rule.file_name, rule.test, rule.tested_field, ERROR, None, reason)], True
+    middle = len(items) // 2
+    first, failed = _isolated(unit, items[:middle], False)
+    second, _ = _isolated(unit, items[middle:], not failed)
+    return first + second, True
 
 
 def _run(
@@ -183,8 +235,8 @@ def run_suite(
 ) -> DataFrame:
     """The results of all active rules, a row for each.
 
-    All single-table scalar checks of a file share one aggregation; the others have
-    plans of their own, and everything is one union. Critical rules run first: if one
+    All single-table scalar checks of a file share one aggregation, all checks on keys
+    share another that reads each table once; the others have plans of their own. Critical rules run first: if one
     does not pass, the others are reported as Skipped and never planned. A rule that
     cannot work (no test case id, unknown test or column, bad parameters, a failure
     while it runs) is an Error row and does not disturb the rest. ``csv`` has options of
