@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from truegrain.llm import common
 from truegrain.llm.library import LibraryEncoder, library_encoder
+from truegrain.session import settle
 
 #: Lengths in a range.
 RANGE = 1_024
@@ -38,7 +39,8 @@ def histogram(lengths: DataFrame, length_col: str = "length") -> DataFrame:
     this and greater lengths; ``docs_total``, ``tokens_total`` of all;
     ``truncated_total``: ids that remain if every document is cut to this length.
     """
-    counted = (
+    # Settled, as it is read twice and the texts behind it must not be encoded twice.
+    counted = settle(
         lengths.where(F.col(length_col).isNotNull())
         .groupBy(F.col(length_col).cast("bigint").alias("length"))
         .agg(F.count("*").alias("n_docs"))
@@ -86,9 +88,18 @@ def quantiles(found: DataFrame, shares: list[float]) -> DataFrame:
 
 
 def truncated_totals(found: DataFrame, limits: list[int]) -> DataFrame:
-    """Ids that remain if every document is cut to each ``limit``, also one between lengths."""
+    """Ids that remain if every document is cut to each ``limit``, also one between lengths.
+
+    Answered from the suffix sums of the first length above the limit: what is below it
+    stays whole, and every document from it on keeps ``limit`` ids.
+    """
 
     def kept(limit: int):
-        return F.coalesce(F.sum(F.col("n_docs") * F.least(F.col("length"), F.lit(limit))), F.lit(0))
+        above = F.col("length") > F.lit(limit)
+        whole = F.coalesce(F.max("tokens_total"), F.lit(0))
+        cut = F.min(F.when(above, F.struct("length", "tokens_from", "docs_from")))
+        return F.when(cut.isNull(), whole).otherwise(
+            whole - cut["tokens_from"] + F.lit(limit) * cut["docs_from"]
+        )
 
     return _one_row_each(found, "limit", limits, "bigint", kept).withColumnRenamed("result", "truncated_total")
