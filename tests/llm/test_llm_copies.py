@@ -121,6 +121,39 @@ def test_repeats_against_brute_force(documents, rows_of, monkeypatch, together):
     assert got == brute_removed(texts, 200)
 
 
+def test_spans_of_a_short_period_are_united():
+    assert len(repeats.spans(b" " * 1_000_000, 200)[0]) == 1
+    for period in (b"ab", b"abc", b"x" * 39 + b"y"):
+        assert len(repeats.spans(period * 9_000, 200)[0]) <= 4
+
+
+def test_near_copies_of_one_text(documents, rows_of, monkeypatch):
+    """Hundreds of different spans of each anchor: cut by further anchors, and by digests beyond."""
+    pick, copy = random.Random(6), prose(72, 90)
+    texts = []
+    for _ in range(240):
+        at = pick.randrange(len(copy))
+        texts.append(copy[:at] + pick.choice("#$%&") + copy[at + 1 :])
+    monkeypatch.setattr(repeats, "TOGETHER", 8)
+    found = rows_of(repeats.digests(repeats.removed(documents(texts))))
+    assert [(r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in found] == brute_removed(texts, 200)
+
+
+def test_parts_of_equal_windows_meet():
+    """Windows that two spans share, at any place, are in parts of equal keys."""
+    shared = prose(73, 60).encode()
+    one, two = b"0123456789" * 3 + shared, shared + b" and the rest of it " * 4
+    seen = []
+    for raw in (one, two):
+        anchor = raw.index(shared) + 100
+        key, first, count, _, _ = repeats.parts(raw, anchor, 50, 200)
+        assert first[0] == 0 and (first[1:] == np.cumsum(count)[:-1]).all() and count.sum() == len(raw) - 199
+        windows = {raw[i : i + 200]: k for a, c, k in zip(first, count, key) for i in range(a, a + c)}
+        seen.append(windows)
+    both = seen[0].keys() & seen[1].keys()
+    assert len(both) == len(shared) - 199 and all(seen[0][w] == seen[1][w] for w in both)
+
+
 def test_repeats_ties_and_empty(documents, rows_of):
     text = prose(3, 100)
     found = rows_of(repeats.digests(repeats.removed(documents([(1, text), (1, text), (1, prose(4, 100)), (None, prose(5, 90))]))))

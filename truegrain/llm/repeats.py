@@ -12,22 +12,28 @@ at a place that both choose alike:
    is one row. Where all spans of an anchor string are equal, all their windows repeat.
 3. The different spans of an anchor string meet in a task, which sorts the suffixes at
    all their window starts by deep-shallow sorting (``suffixes``). Neighbours with
-   ``length`` equal bytes repeat. Anchor strings with more than ``TOGETHER`` different
-   spans are dealt over several tasks; the digests of their windows are then counted
-   over all of these, so that a repeat in two tasks is found.
+   ``length`` equal bytes repeat. Spans of an anchor string with more than ``TOGETHER``
+   different ones are cut again, by the places of further anchors (the least strings under
+   other hashes, more of them for larger groups): equal windows agree in all of these, so
+   their parts meet again, in groups that are smaller the more anchors there are. Most parts
+   of near copies lie between two changes and are equal; they are counted together.
+   Should a group still be larger, it is dealt over several tasks and the digests of its
+   windows are counted over all of these, so that a repeat in two tasks is found.
 4. Spans go back to their documents as ranges of bytes; each document drops their union.
 
 Work and shuffles grow with the bytes divided by the mean span (about 80), plus one
 shuffle of the texts for step 3 and one for step 4.
 
 Cases: a NULL or empty text keeps its 0 bytes; texts shorter than ``length`` stay whole;
-a repeated row repeats every window, so both copies go; rows are told apart by id and
-text, never by id alone; an empty table gives no rows; names of other columns cannot
+a repeated row repeats every window, so both copies go; in a text of a short period equal
+spans in a row are one row; rows are told apart by id and text, never by id alone; an empty table gives no rows; names of other columns cannot
 clash, as they are not read (``kept_documents`` hands them on untouched).
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -41,6 +47,9 @@ LENGTH = 200
 GRAM = 40
 #: Different spans of one anchor string that are sorted in one task.
 TOGETHER = 1_000
+#: A further anchor leaves about this share of the different parts of a group together.
+LEFT_TOGETHER = 0.75
+MOST_ANCHORS = 12
 #: Bytes of spans, of one anchor string or of several, that are sorted in one go.
 SORTED_BYTES = 400_000
 
@@ -74,11 +83,12 @@ def _least(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def spans(raw: bytes, length: int) -> tuple[np.ndarray, ...]:
-    """Anchor hash, first window, windows, two digests and anchor (from the first window on) of every span of a text."""
+    """Of every span of a text: anchor hash, first window, windows, two digests, anchor (from the
+    first window on), and how many bytes further the last of equal spans in a row begins."""
     size = len(raw)
     if size < length:
-        none = np.zeros(0, np.uint64)
-        return none, np.zeros(0, np.int64), np.zeros(0, np.int64), none, none, np.zeros(0, np.int64)
+        none, nothing = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        return none, nothing, nothing, none, none, nothing, nothing
     data = np.frombuffer(raw, np.uint8)
     gram = min(GRAM, length)
     one, two = Prefixes(data, 0), Prefixes(data, 1)
@@ -87,7 +97,33 @@ def spans(raw: bytes, length: int) -> tuple[np.ndarray, ...]:
     first = np.concatenate([[0], np.flatnonzero(anchors[1:] != anchors[:-1]) + 1])
     count = np.diff(np.append(first, len(anchors)))
     stop = first + count - 1 + length
-    return grams[anchors[first]], first, count, one.of(first, stop), two.of(first, stop), anchors[first] - first
+    found = [grams[anchors[first]], first, count, one.of(first, stop), two.of(first, stop), anchors[first] - first]
+    same = np.concatenate([[False], *[np.logical_and.reduce([found[i][1:] == found[i][:-1] for i in (0, 2, 3, 4, 5)])]])
+    begin = np.flatnonzero(~same)
+    last = np.append(begin[1:], len(first)) - 1
+    return (*(f[begin] for f in found), first[last] - first[begin])
+
+
+def parts(raw: bytes, lead: int, lots: int, length: int) -> tuple[np.ndarray, ...]:
+    """A span cut by the places of further anchors: key of the group, first window, windows, two digests of every part.
+
+    Equal windows of one anchor string, which is at ``lead`` here, have equal keys.
+    """
+    data = np.frombuffer(raw, np.uint8)
+    gram = min(GRAM, length)
+    one, two = Prefixes(data, 0), Prefixes(data, 1)
+    grams = one.of(np.arange(len(raw) - gram + 1), np.arange(gram, len(raw) + 1))
+    further = min(MOST_ANCHORS, math.ceil(math.log(lots) / -math.log(LEFT_TOGETHER)))
+    places = [_least(common.mix(grams + np.uint64(k)), length - gram + 1) for k in range(1, further + 1)]
+    changes = np.logical_or.reduce([p[1:] != p[:-1] for p in places])
+    first = np.concatenate([[0], np.flatnonzero(changes) + 1])
+    count = np.diff(np.append(first, len(places[0])))
+    key = np.zeros(len(first), np.uint64)
+    for p in places:
+        own = p[first]
+        key = common.mix(key + grams[own]) + (own - lead).astype(np.uint64)
+    stop = first + count - 1 + length
+    return key, first, count, one.of(first, stop), two.of(first, stop)
 
 
 def _signed(values: np.ndarray) -> pa.Array:
@@ -105,8 +141,8 @@ def _span_rows(source: DataFrame, length: int, whole: bool) -> DataFrame:
     def work(piece: pa.RecordBatch):
         texts = [t.encode("utf-8", "surrogatepass") for t in common.texts_of(piece, "text")]
         made = [spans(t, length) for t in texts]
-        anchor, first, count, one, two, lead = (np.concatenate(x) for x in zip(*made))
-        found = {"anchor": _signed(anchor), "one": _signed(one)}
+        anchor, first, count, one, two, lead, run = (np.concatenate(x) for x in zip(*made))
+        found = {"anchor": _signed(anchor), "one": _signed(one), "times": pa.array(1 + (run > 0), pa.int32())}
         if whole:
             each = [len(m[0]) for m in made]
             at = np.repeat(np.arange(len(texts)), each)
@@ -117,30 +153,31 @@ def _span_rows(source: DataFrame, length: int, whole: bool) -> DataFrame:
                 "first": pa.array(first.astype(np.int32)),
                 "windows": pa.array(count.astype(np.int32)),
                 "lead": pa.array(lead.astype(np.int32)),
+                "run": pa.array(run.astype(np.int32)),
             }
         return found
 
-    schema = "anchor bigint, one bigint"
+    schema = "anchor bigint, one bigint, times int"
     if whole:
-        schema += ", id bigint, tie bigint, two bigint, first int, windows int, lead int"
+        schema += ", id bigint, tie bigint, two bigint, first int, windows int, lead int, run int"
     return common.map_texts(source, "text", schema, work)
 
 
 def _sorted_repeats(classes: DataFrame, length: int) -> DataFrame:
     """For each class of spans with its text: which of its windows repeat, by suffix sorting.
 
-    ``starts`` are windows that also occur in another span of the same task, or twice in
-    this one. For anchors dealt over several tasks, ``digests`` has two numbers for every
+    ``runs`` are ranges of windows that also occur in another span of the same task, or twice
+    in this one. For anchors dealt over several tasks, ``digests`` has two numbers for every
     different window of the task, at the first class that has it; ``at`` is its place.
     """
     schema = (
-        "anchor bigint, one bigint, two bigint, starts array<int>, at array<int>, digest1 array<bigint>, digest2 array<bigint>"
+        "anchor bigint, one bigint, two bigint, runs array<struct<low: int, high: int>>, at array<int>, digest1 array<bigint>, digest2 array<bigint>"
     )
 
-    def lists(values: np.ndarray, owner: np.ndarray, count: int) -> pa.Array:
+    def lists(values: np.ndarray | pa.Array, owner: np.ndarray, count: int) -> pa.Array:
         """A list for each owner of its values; owners ascend."""
         ends = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=count))]).astype(np.int32)
-        return pa.ListArray.from_arrays(pa.array(ends), pa.array(values))
+        return pa.ListArray.from_arrays(pa.array(ends), values if isinstance(values, pa.Array) else pa.array(values))
 
     def sort_groups(rows: list[tuple], group: np.ndarray) -> pa.RecordBatch:
         anchors, _, one, two, texts, times, lots, leads = zip(*rows)
@@ -155,7 +192,13 @@ def _sorted_repeats(classes: DataFrame, length: int) -> DataFrame:
         buckets = group[owner] * (2 * length + 1) + (offset - np.array(leads)[owner]) + length
         order, numbers = suffix_classes(raw, places, length, buckets)
         again = (np.bincount(numbers)[numbers] > 1) | (np.array(times) > 1)[owner]
-        starts = lists(offset[again].astype(np.int32), owner[again], count)
+        of, at = owner[again], offset[again]
+        # Windows in a row as one range.
+        breaks = np.flatnonzero((of[1:] != of[:-1]) | (at[1:] != at[:-1] + 1)) if len(at) else np.zeros(0, np.int64)
+        low = np.concatenate([[0], breaks + 1])[: len(at)].astype(np.int64)
+        high = np.append(breaks, len(at) - 1)[: len(at)]
+        made = (pa.array(at[x].astype(np.int32)) for x in (low, high))
+        runs = lists(pa.StructArray.from_arrays(list(made), ["low", "high"]), of[low], count)
         # One window of each class, for the count over several tasks.
         first = np.zeros(len(owner), bool)
         first[np.unique(numbers, return_index=True)[1]] = True
@@ -167,7 +210,7 @@ def _sorted_repeats(classes: DataFrame, length: int) -> DataFrame:
                 "anchor": pa.array(anchors, pa.int64()),
                 "one": pa.array(one, pa.int64()),
                 "two": pa.array(two, pa.int64()),
-                "starts": starts,
+                "runs": runs,
                 "at": lists(offset[first].astype(np.int32), owner[first], count),
                 "digest1": lists(digests[0], owner[first], count),
                 "digest2": lists(digests[1], owner[first], count),
@@ -195,13 +238,85 @@ def _sorted_repeats(classes: DataFrame, length: int) -> DataFrame:
     return dealt.select(*columns).mapInArrow(run, schema)
 
 
+CLASS = ["anchor", "one", "two"]
+
+
+def _runs_of(classes: DataFrame, length: int) -> DataFrame:
+    """For each class of spans, with its text: ``runs``, ranges of its windows that repeat.
+
+    ``classes`` have ``anchor``, ``one``, ``two``, ``n``, ``lead``, ``span``, ``lots`` and ``lot``.
+    A class may have several rows.
+    """
+    results = settle(_sorted_repeats(classes, length))
+    zipped = F.explode(F.arrays_zip("at", "digest1", "digest2")).alias("w")
+    windows = results.where(F.size("at") > 0).select(*CLASS, zipped).select(
+        *CLASS, F.col("w.at").alias("start"), F.col("w.digest1").alias("d1"), F.col("w.digest2").alias("d2")
+    )
+    # Each task names a window once, so a window counted twice is in two tasks, and the
+    # classes named are those in which it was alone or first.
+    across = (
+        windows.groupBy("anchor", "d1", "d2")
+        .agg(F.collect_list(F.struct("one", "two", "start")).alias("where"))
+        .where(F.size("where") > 1)
+        .select("anchor", F.explode("where").alias("w"))
+        .select("anchor", "w.one", "w.two", F.array(F.struct(F.col("w.start").alias("low"), F.col("w.start").alias("high"))).alias("runs"))
+    )
+    return results.where(F.size("runs") > 0).select(*CLASS, "runs").union(across)
+
+
+def _dealt(classes: DataFrame) -> DataFrame:
+    """``classes`` with ``lots``, over how many tasks their anchor string is dealt, and ``lot``, their own."""
+    per_anchor = classes.groupBy("anchor").agg(F.count("*").alias("spans"))
+    lots = F.ceil(F.col("spans") / TOGETHER).cast("int")
+    return classes.join(per_anchor, "anchor").select(
+        *classes.columns, lots.alias("lots"), F.pmod(F.col("two"), lots).cast("int").alias("lot")
+    )
+
+
+def _runs_of_many(classes: DataFrame, length: int) -> DataFrame:
+    """As :func:`_runs_of`, for classes of anchor strings that have many: their parts are searched instead."""
+    schema = "anchor bigint, one bigint, two bigint, n bigint, lead int, first int, key bigint, part1 bigint, part2 bigint, span binary"
+
+    def cut(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                key, first, count, one, two = parts(row["span"], row["lead"], row["lots"], length)
+                size = len(key)
+                texts = [row["span"][a : a + c - 1 + length] for a, c in zip(first.tolist(), count.tolist())]
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        **{c: pa.array([row[c]] * size, pa.int64()) for c in (*CLASS, "n")},
+                        "lead": pa.array((row["lead"] - first).astype(np.int32)),
+                        "first": pa.array(first.astype(np.int32)),
+                        "key": _signed(key),
+                        "part1": _signed(one),
+                        "part2": _signed(two),
+                        "span": pa.array(texts, pa.binary()),
+                    }
+                )
+
+    wanted = classes.select(*CLASS, "n", "lead", "lots", "span")
+    own = F.xxhash64("anchor", "key")
+    made = settle(wanted.mapInArrow(cut, schema).withColumn("group", own).drop("key"))
+    alike = made.groupBy(F.col("group").alias("anchor"), F.col("part1").alias("one"), F.col("part2").alias("two")).agg(
+        F.sum("n").alias("n"), F.min(F.struct("lead", "span")).alias("sample")
+    )
+    runs = _runs_of(_dealt(settle(alike.select(*CLASS, "n", "sample.*"))), length)
+    found = common.stored(runs.select(*(F.col(c).alias(f"part_{c}") for c in CLASS), "runs"), "runs")
+    met = (F.col("group") == F.col("part_anchor")) & (F.col("part1") == F.col("part_one")) & (F.col("part2") == F.col("part_two"))
+    moved = F.transform(
+        "runs", lambda r: F.struct((r["low"] + F.col("first")).alias("low"), (r["high"] + F.col("first")).alias("high"))
+    )
+    return made.drop("span").join(found, met).select(*CLASS, moved.alias("runs"))
+
+
 def repeated_ranges(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH) -> DataFrame:
     """``id``, ``tie`` (hash of the text), ``from`` and ``to``: ranges of bytes that repeat, not yet united."""
     source = _texts(df, id_col, text_col)
     anchors = (
         _span_rows(source, length, whole=False)
         .groupBy("anchor")
-        .agg(F.count("*").alias("times"), (F.min("one") != F.max("one")).alias("mixed"))
+        .agg(F.sum("times").alias("times"), (F.min("one") != F.max("one")).alias("mixed"))
         .where("times > 1")
         .select("anchor", "mixed")
     )
@@ -209,63 +324,39 @@ def repeated_ranges(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     anchors = common.stored(anchors, "anchors")
     # The side of the spans streams past the anchors that repeat: no sort of either.
     found = settle(_span_rows(source, length, whole=True).join(anchors.hint("shuffle_hash"), "anchor"))
-    classes = found.groupBy("anchor", "one", "two", "mixed").agg(
-        F.count("*").alias("n"), F.min(F.struct("id", "tie", "first", "windows", "lead")).alias("sample")
-    )
-    mixed = settle(classes.where("mixed"))
-    per_anchor = mixed.groupBy("anchor").agg(F.count("*").alias("spans"))
-    lots = F.ceil(F.col("spans") / TOGETHER).cast("int")
-    located = mixed.join(per_anchor, "anchor").select(
-        "anchor", "one", "two", "n", "sample.*", lots.alias("lots"), F.pmod(F.col("two"), lots).cast("int").alias("lot")
+    classes = found.groupBy(*CLASS, "mixed").agg(
+        F.sum("times").alias("n"), F.min(F.struct("id", "tie", "first", "windows", "lead")).alias("sample")
     )
+    located = settle(_dealt(settle(classes.where("mixed").select(*CLASS, "n", "sample.*"))))
+    many = not located.where("lots > 1").isEmpty()
     by_text = located.groupBy(*KEY).agg(
-        F.collect_list(F.struct("anchor", "one", "two", "n", "lots", "lot", "first", "windows", "lead")).alias("spans")
+        F.collect_list(F.struct(*CLASS, "n", "lots", "lot", "first", "windows", "lead")).alias("spans")
     )
     texts = source.alias("s").join(
         by_text.hint("shuffle_hash").alias("b"),
         F.col("s.id").eqNullSafe(F.col("b.id")) & (F.col("s.tie") == F.col("b.tie")),
     )
     raw = F.encode(F.col("s.text"), "UTF-8")
-    span = F.col("span_")
     with_text = (
         texts.select(raw.alias("raw"), F.explode("b.spans").alias("span_"))
         .select("span_.*", F.expr(f"substring(raw, span_.first + 1, span_.windows + {length - 1})").alias("span"))
         # A row that occurs twice brings its sample twice; one text of a class is enough.
-        .dropDuplicates(["anchor", "one", "two"])
-    )
-    results = settle(_sorted_repeats(with_text, length))
-    inside = results.select("anchor", "one", "two", F.explode("starts").alias("start"))
-    zipped = F.explode(F.arrays_zip("at", "digest1", "digest2")).alias("w")
-    windows = results.where(F.size("at") > 0).select("anchor", "one", "two", zipped).select(
-        "anchor", "one", "two", F.col("w.at").alias("start"), F.col("w.digest1").alias("d1"), F.col("w.digest2").alias("d2")
-    )
-    # Each task names a window once, so a window counted twice is in two tasks, and the
-    # classes named are those in which it was alone or first.
-    across = (
-        windows.groupBy("anchor", "d1", "d2")
-        .agg(F.collect_list(F.struct("one", "two", "start")).alias("where"))
-        .where(F.size("where") > 1)
-        .select("anchor", F.explode("where").alias("w"))
-        .select("anchor", "w.one", "w.two", "w.start")
-    )
-    starts = inside.union(across)
-    # Windows in a row as one range: their start less their rank is the same.
-    ranges = (
-        starts.groupBy("anchor", "one", "two")
-        .agg(F.array_sort(F.collect_set("start")).alias("starts"))
-        .select(
-            "anchor", "one", "two",
-            F.explode(F.transform("starts", lambda s, i: F.struct((s - i).alias("run"), s.alias("start")))).alias("s"),
-        )
-        .groupBy("anchor", "one", "two", "s.run")
-        .agg(F.min("s.start").alias("low"), F.max("s.start").alias("high"))
+        .dropDuplicates(CLASS)
     )
-    span_of = ["anchor", "one", "two"]
+    if many:
+        with_text = settle(with_text)
+        runs = _runs_of(with_text.where("lots = 1"), length).union(_runs_of_many(with_text.where("lots > 1"), length))
+    else:
+        runs = _runs_of(with_text, length)
+    # One row of each class; stored, so that the spans of a frequent one can be split in the join.
+    ranges = common.stored(runs.groupBy(*CLASS).agg(F.flatten(F.collect_list("runs")).alias("runs")), "ranges")
+    start = F.col("first")
     plain = found.where("not mixed").select(
-        *KEY, F.col("first").alias("from"), (F.col("first") + F.col("windows") - 1 + length).alias("to")
+        *KEY, start.alias("from"), (start + F.col("run") + F.col("windows") - 1 + length).alias("to")
     )
-    partly = found.where("mixed").join(ranges, span_of).select(
-        *KEY, (F.col("first") + F.col("low")).alias("from"), (F.col("first") + F.col("high") + length).alias("to")
+    # Where a span has equal ones behind it, all its windows repeat.
+    partly = found.where("mixed").join(ranges, CLASS).select(*KEY, "first", "run", F.explode("runs").alias("r")).select(
+        *KEY, (start + F.col("r.low")).alias("from"), (start + F.col("run") + F.col("r.high") + length).alias("to")
     )
     return plain.union(partly)
 
