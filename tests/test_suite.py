@@ -5,12 +5,12 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from truegrain import run_job, run_suite
+from truegrain import publish_job, run_job, run_suite
 from truegrain.operators import keyed
 from truegrain.operators.keyed import evaluate_keyed
 from truegrain.plans import suite
 from truegrain.plans.rules import TESTS, Context, build_frame, parameters
-from truegrain.sources import readers, writers
+from truegrain.sources import publish, readers, writers
 
 RULE = "tcid string, file_name string, is_active boolean, critical boolean, test string, tested_field string, expected_value string"
 
@@ -340,3 +340,64 @@ def test_a_rule_that_breaks_costs_few_passes(spark, loans):
     context.setJobGroup("", "")
     assert sorted(r["status"] for r in found) == ["Error"] + ["Failed"] * 20
     assert jobs < 20  # a pass takes two; one for each rule took 46
+
+
+def test_columns_called_like_those_of_the_split(spark, loans, tmp_path):
+    named = loans.withColumns({"verdict": F.lit("mine"), "Failed_Rules": F.col("id") * 2})
+    rules = rules_of(spark, *ROW_RULES[:4])
+    assert suite.clean_rows(named, rules, "loans").columns == named.columns
+    assert suite.rejected_rows(named, rules, "loans").columns == [*named.columns, "failed_rules_"]
+    with pytest.raises(suite.RuleError):
+        suite.row_verdicts(named, rules, "loans", "failed_rules")
+    run_job(spark, rules, str(tmp_path / "out"), {"loans": named})
+    stored = str(tmp_path / "out/data/loans")
+    clean = writers.read_clean(spark, stored)
+    assert clean.columns == named.columns
+    assert [tuple(r) for r in clean.select("id", "verdict", "Failed_Rules").collect()] == [(1, "mine", 2)]
+    rejected = writers.read_rejected(spark, stored)
+    assert rejected.columns == [*named.columns, "failed_rules_"]
+    assert {r["verdict"] for r in rejected.collect()} == {"mine"} and rejected.count() == 3
+
+
+def test_the_split_is_judged_while_it_is_written(spark, loans, tmp_path, monkeypatch):
+    rules = rules_of(spark, *ROW_RULES[:3], ("loans", True, "count_records", None, 4), ("loans", False, "validate_sum", "amount", 930))
+    expected = sorted(map(tuple, run_suite(spark, rules, {"loans": loans}).collect()))
+    monkeypatch.setattr(suite, "evaluate", None)  # nothing else reads the table
+    found = run_job(spark, rules, str(tmp_path / "out"), {"loans": loans})
+    assert sorted(map(tuple, found.collect())) == expected
+    assert stored_files(tmp_path / "out") == ["loans"]
+
+
+def test_a_failed_critical_rule_leaves_no_data(spark, loans, tmp_path):
+    out = tmp_path / "out"
+    for rule in (("loans", True, "check_nulls", "grade", None), ("loans", True, "check_duplicates", "id", None)):
+        rules = rules_of(spark, ("loans", False, "check_nulls", "id", None), rule)
+        found = run_job(spark, rules, str(out), {"loans": loans}).orderBy("tcid").collect()
+        assert [r["status"] for r in found] == ["Skipped", "Failed"]
+        assert sorted(p.name for p in out.iterdir()) == ["status_table"]
+
+
+def test_a_run_that_fails_leaves_the_version_before(spark, loans, tmp_path, monkeypatch):
+    out, rules = str(tmp_path / "out"), rules_of(spark, *ROW_RULES[:4])
+    publish_job(spark, rules, out, {"loans": loans})
+    before = publish.current(spark, out)
+
+    def broken(*args):
+        raise OSError("disk full")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(suite, "replace_folder", broken)
+        with pytest.raises(OSError):
+            publish_job(spark, rules, out, {"loans": loans.where("id = 1")})
+    assert publish.current(spark, out) == before
+    assert writers.read_clean(spark, f"{before}/data/loans").count() == 1
+    stopping = rules_of(spark, ("loans", True, "check_nulls", "grade", None))
+    publish_job(spark, stopping, out, {"loans": loans})
+    assert publish.current(spark, out) != before == publish.current(spark, out, with_data=True)
+    publish_job(spark, rules, out, {"loans": loans.where("id = 1")})
+    after = publish.current(spark, out, with_data=True)
+    assert readers.read_csv(spark, f"{after}/status_table").count() == 4
+    assert publish.retire(spark, out, keep=1) == 2
+    assert publish.current(spark, out) == after and writers.read_clean(spark, f"{after}/data/loans").count() == 1
+    with pytest.raises(suite.RuleError):
+        publish.current(spark, str(tmp_path / "nothing"))

@@ -3,6 +3,6 @@
 from truegrain.api import *  # noqa: F403
 from truegrain.errors import RuleError
 from truegrain.operators.scalar import evaluate
-from truegrain.plans.suite import run_job, run_suite
+from truegrain.plans.suite import publish_job, run_job, run_suite
 
-__all__ = ["RuleError", "evaluate", "run_job", "run_suite"]
+__all__ = ["RuleError", "evaluate", "publish_job", "run_job", "run_suite"]

@@ -505,6 +505,13 @@ ORACLE: dict[str, str] = {
     "rejected_rows": f"""
         SELECT o_orderkey, concat_ws(',', r1, r4, r7) AS failed_rules FROM {_ROW_RULES}
         WHERE coalesce(r1, r4, r7) IS NOT NULL""",
+    "stored_split_clash": f"""
+        SELECT o_orderkey, o_orderstatus AS verdict, 2 * o_orderkey AS failed_rules, 'own' AS own
+        FROM {_ROW_RULES} JOIN orders USING (o_orderkey) WHERE coalesce(r1, r4, r7) IS NULL""",
+    "observed_split": f"""
+        SELECT tcid, status, violations FROM ({STATUS_TABLE})
+        UNION ALL SELECT 'clean', 'stored', count(*) FROM {_ROW_RULES} WHERE coalesce(r1, r4, r7) IS NULL
+        UNION ALL SELECT 'rejected', 'stored', count(*) FROM {_ROW_RULES} WHERE coalesce(r1, r4, r7) IS NOT NULL""",
     "stored_split": f"""
         SELECT o_orderkey, CASE WHEN coalesce(r1, r4, r7) IS NULL THEN 'clean' ELSE 'rejected' END AS verdict
         FROM {_ROW_RULES}""",

@@ -22,7 +22,7 @@ from truegrain.operators import (
 from truegrain.plans import dictionary as D
 from truegrain.plans import suite
 from truegrain.session import new_shared_path
-from truegrain.sources import readers, writers
+from truegrain.sources import publish, readers, writers
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -513,6 +513,30 @@ def rejected_rows(s: Source) -> DataFrame:
     )
 
 
+@query
+def stored_split_clash(s: Source) -> DataFrame:
+    """The clean rows of a table whose own columns are called like those of the split."""
+    path = new_shared_path(s.spark, "split")
+    orders = s.orders_with_gaps().withColumns(
+        {"verdict": F.col("o_orderstatus"), "failed_rules": F.col("o_orderkey") * 2, "Failed_Rules_": F.lit("own")}
+    )
+    writers.write_split(suite.row_verdicts(orders, _suite_rules(s), "orders"), path)
+    return writers.read_clean(s.spark, path).select("o_orderkey", "verdict", "failed_rules", F.col("Failed_Rules_").alias("own"))
+
+
+@query
+def observed_split(s: Source) -> DataFrame:
+    """A published run: the status of its rules, and how many rows it stored as clean and rejected."""
+    path = new_shared_path(s.spark, "published")
+    found = suite.publish_job(s.spark, _suite_rules(s), path, {"orders": s.orders_with_gaps(), "customer": s.customer, "lineitem": s.lineitem})
+    data = f"{publish.current(s.spark, path, with_data=True)}/data/orders"
+    counts = [
+        rows.agg(F.count(F.lit(1)).alias("violations")).select(F.lit(name).alias("tcid"), F.lit("stored").alias("status"), "violations")
+        for name, rows in (("clean", writers.read_clean(s.spark, data)), ("rejected", writers.read_rejected(s.spark, data)))
+    ]
+    return _without_message(found).select("tcid", "status", "violations").union(counts[0]).union(counts[1])
+
+
 @query
 def stored_split(s: Source) -> DataFrame:
     """Clean and rejected rows after a trip through Parquet."""

@@ -66,6 +66,14 @@ def column_of(df: DataFrame, name: str) -> Column:
     return F.col(".".join(quoted(f.name) for f in _path_of(df, name)))
 
 
+def free_name(df: DataFrame, wanted: str) -> str:
+    """``wanted``, with underscores behind it until no column of ``df`` is called so."""
+    taken = {c.lower() for c in df.columns}
+    while wanted.lower() in taken:
+        wanted += "_"
+    return wanted
+
+
 def canonical(column: Column, kind: T.DataType) -> Column:
     """The value with every map in it as its entries in order, so it can be hashed and compared."""
     if isinstance(kind, T.MapType):

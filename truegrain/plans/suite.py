@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from truegrain.errors import RuleError
+from truegrain.functions.columns import free_name, ref
 from truegrain.operators.keyed import KeyedCheck, evaluate_keyed
-from truegrain.operators.scalar import ScalarCheck, evaluate
+from truegrain.operators.scalar import AGGREGATES_PER_PASS, ScalarCheck, evaluate
 from truegrain.plans.rules import (
     TESTS,
     Context,
@@ -28,9 +30,10 @@ from truegrain.plans.rules import (
     require_together,
 )
 from truegrain.results import ERROR, PASSED, RESULT_SCHEMA, SKIPPED, fixed_results
-from truegrain.session import scratch
+from truegrain.session import delete_folder, folder_exists, replace_folder, scratch
+from truegrain.sources.publish import new_run, publish
 from truegrain.sources.readers import as_rules, read_table
-from truegrain.sources.writers import write_split, write_status
+from truegrain.sources.writers import marked_failed, write_split, write_status
 
 Tables = Mapping[str, DataFrame]
 _STATUS = RESULT_SCHEMA.fieldNames().index("status")
@@ -255,14 +258,18 @@ def dimension_rollup(results: DataFrame) -> DataFrame:
 
 
 def row_verdicts(
-    df: DataFrame, rules: DataFrame | list[Rule], file_name: str, failed_as: str = "failed_rules"
+    df: DataFrame, rules: DataFrame | list[Rule], file_name: str, failed_as: str | None = None
 ) -> DataFrame:
-    """``df`` with the ids of the rules each row breaks.
+    """``df`` with the ids of the rules each row breaks, as the last column.
 
-    Only rules that judge single rows take part: nulls, castability, range, length,
+    It is called ``failed_rules``, with underscores behind if ``df`` has such a column. Only rules that judge single rows take part: nulls, castability, range, length,
     allowed values, date format and date range. No shuffle.
     """
     listed = active_rules(rules) if isinstance(rules, DataFrame) else rules
+    if failed_as is None:
+        failed_as = free_name(df, "failed_rules")
+    elif free_name(df, failed_as) != failed_as:
+        raise RuleError(f"the table has a column '{failed_as}'; choose another name for the failed rules")
     marks = []
     for rule in listed:
         test = TESTS.get(rule.test)
@@ -279,18 +286,72 @@ def row_verdicts(
         if check.bad_row is not None:
             marks.append(F.when(check.bad_row, F.lit(rule.tcid)))
     failed = F.array_compact(F.array(*marks)) if marks else F.array().cast("array<string>")
-    return df.withColumn(failed_as, failed)
+    return df.select("*", marked_failed(failed, failed_as))
 
 
 def clean_rows(df: DataFrame, rules: DataFrame | list[Rule], file_name: str) -> DataFrame:
     """The rows that break no rule."""
-    judged = row_verdicts(df, rules, file_name, "__failed")
-    return judged.where(F.size("__failed") == 0).drop("__failed")
+    judged = row_verdicts(df, rules, file_name)
+    failed = judged.columns[-1]
+    return judged.where(F.size(ref(failed)) == 0).drop(failed)
 
 
 def rejected_rows(df: DataFrame, rules: DataFrame | list[Rule], file_name: str) -> DataFrame:
     """The rows that break a rule, with the ids of all rules they break."""
-    return row_verdicts(df, rules, file_name).where(F.size("failed_rules") > 0)
+    judged = row_verdicts(df, rules, file_name)
+    return judged.where(F.size(ref(judged.columns[-1])) > 0)
+
+
+def _observed_split(
+    table: DataFrame, judged: DataFrame, items: list[_Planned], path: str
+) -> list[tuple]:
+    """Write the split of a table, and take the results of its scalar rules, in order, in the same pass."""
+    taken = [(f"m{i}_{name}", column) for i, item in enumerate(items) for name, column in item.check.metrics.items()]
+    if not taken:
+        write_split(judged, path)
+        return []
+    observation = Observation()
+    write_split(judged.observe(observation, *[column.alias(name) for name, column in taken]), path)
+    found = observation.get
+    kinds = table.agg(*[column.alias(name) for name, column in taken]).schema
+    row = table.sparkSession.createDataFrame([tuple(found[f.name] for f in kinds.fields)], kinds)
+    results = []
+    for i, item in enumerate(items):
+        finished = {name: F.col(f"m{i}_{name}") for name in item.check.metrics}
+        results.append(F.struct(*item.check.result(finished, item.rule.label)))
+    return _rows(row.select(F.inline(F.array(*results))))
+
+
+def _split_tables(listed: list[Rule], context: Context, staging: str) -> tuple[dict[int, tuple], dict[str, str]]:
+    """Write the split of each file that has rules: its folder by file, and the results of its scalar
+    rules by their place in ``listed``.
+
+    A file is left out if a rule of it cannot work or fails while it runs: its scalar rules
+    are then run as in a suite.
+    """
+    results: dict[int, tuple] = {}
+    folders: dict[str, str] = {}
+    by_file: dict[str, list[int]] = {}
+    for place, rule in enumerate(listed):
+        if rule.test in TESTS and TESTS[rule.test].needs_table:
+            by_file.setdefault(rule.file_name, []).append(place)
+    for name, places in sorted(by_file.items()):
+        planned = {place: _plan(listed[place], context) for place in places}
+        scalar = {place: item for place, item in planned.items() if item.check is not None}
+        if any(i.problem for i in planned.values()):
+            continue
+        table, items = context.table(name), list(scalar.values())
+        metrics = sum(len(i.check.metrics) for i in items)
+        if metrics > AGGREGATES_PER_PASS or any(i.problem for i in _runnable(items, table)):
+            continue
+        folder = f"{staging}/{len(folders):04d}"
+        try:
+            rows = _observed_split(table, row_verdicts(table, [listed[p] for p in places], name), items, folder)
+        except (PySparkException, Py4JJavaError):
+            continue
+        results |= dict(zip(scalar, rows))
+        folders[name] = folder
+    return results, folders
 
 
 def run_job(
@@ -308,15 +369,75 @@ def run_job(
     Error is not stored: nobody can say which of its rows are clean. Returns the
     results. Rules are told apart by their place in the table, so two files may use
     the same test case id.
+
+    The scalar rules of a file are judged in the pass that writes its split to a staging
+    folder, so that one reading serves both. Critical rules that need more than that run
+    before; the split takes its place only when all rules have been judged.
     """
     listed = active_rules(rules)
-    found, stopped = _run(spark, listed, tables, base_path, csv)
-    results = fixed_results(spark, found)
-    write_status(results.orderBy("tcid", "file_name", "test"), f"{output.rstrip('/')}/status_table")
-    if not stopped:
-        find = table_lookup(spark, tables, base_path, csv)
-        broken = {row[1] for row in found if row[_STATUS] == ERROR}
-        named = {r.file_name for r in listed if r.test in TESTS and TESTS[r.test].needs_table}
-        for name in sorted(named - broken):
-            write_split(row_verdicts(find(name), listed, name), f"{output.rstrip('/')}/data/{name}")
+    output = output.rstrip("/")
+    staging = f"{output}/_staging-{uuid.uuid4().hex}"
+    context = Context(spark, table_lookup(spark, tables, base_path, csv))
+    try:
+        with scratch(spark):
+            found, folders = _judged_while_writing(listed, context, staging)
+        results = fixed_results(spark, found)
+        write_status(results.orderBy("tcid", "file_name", "test"), f"{output}/status_table")
+        for name, folder in folders.items():
+            replace_folder(spark, folder, f"{output}/data/{name}")
+    finally:
+        delete_folder(spark, staging)
+    return results
+
+
+def _judged_while_writing(
+    listed: list[Rule], context: Context, staging: str
+) -> tuple[list[tuple], dict[str, str]]:
+    """All result rows, and by file the folder of its split; none if a critical rule stopped the run."""
+
+    def run(places: list[int]) -> list[tuple]:
+        return _collected([_plan(listed[p], context) for p in places], context)
+
+    def is_wide(rule: Rule) -> bool:
+        return rule.test in TESTS and TESTS[rule.test].scalar is None
+
+    critical = [p for p, r in enumerate(listed) if r.critical]
+    others = [p for p, r in enumerate(listed) if not r.critical]
+    first = [p for p in critical if is_wide(listed[p])]
+    found = run(first)
+    observed: dict[int, tuple] = {}
+    folders: dict[str, str] = {}
+    if all(row[_STATUS] == PASSED for row in found):
+        observed, folders = _split_tables(listed, context, staging)
+
+    def judged(places: list[int]) -> list[tuple]:
+        return [observed[p] for p in places if p in observed] + run([p for p in places if p not in observed])
+
+    found += judged([p for p in critical if p not in first])
+    stopped = [row for row in found if row[_STATUS] != PASSED]
+    if stopped:
+        reason = f"skipped: critical rule {stopped[0][0]} did not pass"
+        rules = [listed[p] for p in others]
+        return found + [(r.tcid, r.file_name, r.test, r.tested_field, SKIPPED, None, reason) for r in rules], {}
+    found += judged(others)
+    broken = {row[1] for row in found if row[_STATUS] == ERROR}
+    return found, {name: folder for name, folder in folders.items() if name not in broken}
+
+
+def publish_job(
+    spark: SparkSession,
+    rules: DataFrame,
+    output: str,
+    tables: Tables | None = None,
+    base_path: str | None = None,
+    csv: Mapping[str, object] | None = None,
+) -> DataFrame:
+    """:func:`run_job` as a version: see ``sources.publish``.
+
+    A run that fails on the way leaves the version before as it is. ``publish.current``
+    names the folder with ``status_table`` and ``data``.
+    """
+    run = new_run(output)
+    results = run_job(spark, rules, run, tables, base_path, csv)
+    publish(spark, output, run, folder_exists(spark, f"{run}/data"))
     return results

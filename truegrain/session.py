@@ -80,10 +80,34 @@ def scratch(spark: SparkSession) -> Iterator[None]:
     try:
         yield
     finally:
-        context = spark.sparkContext
         for path in _handed_out.pop():
-            folder = context._jvm.org.apache.hadoop.fs.Path(path)
-            folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
+            delete_folder(spark, path)
+
+
+def _file_system(spark: SparkSession, path: str):
+    context = spark.sparkContext
+    named = context._jvm.org.apache.hadoop.fs.Path(path)
+    return named.getFileSystem(context._jsc.hadoopConfiguration()), named
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    files, named = _file_system(spark, path)
+    files.delete(named, True)
+
+
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    files, named = _file_system(spark, path)
+    return files.exists(named)
+
+
+def replace_folder(spark: SparkSession, new: str, path: str) -> None:
+    """Put the finished folder ``new`` where ``path`` is, which is deleted only now."""
+    files, source = _file_system(spark, new)
+    target = _file_system(spark, path)[1]
+    files.delete(target, True)
+    files.mkdirs(target.getParent())
+    if not files.rename(source, target):
+        raise OSError(f"cannot move {new} to {path}")
 
 
 def settle(df):

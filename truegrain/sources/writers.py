@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from truegrain.functions.columns import ref
+from truegrain.errors import RuleError
+from truegrain.functions.columns import free_name, ref
 
 LIST_SEPARATOR = "|"
 _VERDICT = "verdict"
+_FAILED = "truegrain.failed_rules"
 
 
 def _joined(items):
@@ -75,29 +77,50 @@ def write_status(results: DataFrame, path: str) -> None:
     write_csv(report.coalesce(1), path)
 
 
-def write_split(judged: DataFrame, path: str, failed_as: str = "failed_rules") -> None:
+def marked_failed(rules: Column, name: str) -> Column:
+    """A column of the rules a row failed, marked so that it is found again whatever it is called."""
+    return rules.alias(name, metadata={_FAILED: True})
+
+
+def failed_column(df: DataFrame) -> str:
+    """The column that :func:`marked_failed` made, in a table of judged rows."""
+    found = [f.name for f in df.schema.fields if f.metadata.get(_FAILED)]
+    if len(found) != 1:
+        raise RuleError("the table has no column of failed rules")
+    return found[0]
+
+
+def write_split(judged: DataFrame, path: str) -> None:
     """Store clean and rejected rows in one pass over the table.
 
-    ``judged`` carries the array of failed rules per row. The rows go to the
-    subfolders ``verdict=clean`` and ``verdict=rejected`` without a shuffle.
+    ``judged`` carries the array of failed rules per row, as ``row_verdicts`` gives it. The
+    rows go to the subfolders ``verdict=clean`` and ``verdict=rejected`` without a shuffle.
+    A table that has a column of that name keeps it: the subfolders then get another.
     """
+    verdict = free_name(judged, _VERDICT)
     (
         judged.withColumn(
-            _VERDICT, F.when(F.size(failed_as) == 0, "clean").otherwise("rejected")
+            verdict, F.when(F.size(ref(failed_column(judged))) == 0, "clean").otherwise("rejected")
         )
         .write.mode("overwrite")
-        .partitionBy(_VERDICT)
+        .partitionBy(verdict)
         .parquet(path)
     )
 
 
-def read_clean(spark: SparkSession, path: str, failed_as: str = "failed_rules") -> DataFrame:
-    """The clean rows of a split table; the rejected files are not opened."""
+def _stored(spark: SparkSession, path: str, verdict: str) -> tuple[DataFrame, str]:
     stored = spark.read.parquet(path)
-    return stored.where(F.col(_VERDICT) == "clean").drop(_VERDICT, failed_as)
+    # The column that names the subfolders comes last.
+    name = stored.columns[-1]
+    return stored.where(ref(name) == verdict).drop(name), failed_column(stored)
+
+
+def read_clean(spark: SparkSession, path: str) -> DataFrame:
+    """The clean rows of a split table, with its columns; the rejected files are not opened."""
+    rows, failed = _stored(spark, path, "clean")
+    return rows.drop(failed)
 
 
 def read_rejected(spark: SparkSession, path: str) -> DataFrame:
     """The rejected rows with the rules each one failed."""
-    stored = spark.read.parquet(path)
-    return stored.where(F.col(_VERDICT) == "rejected").drop(_VERDICT)
+    return _stored(spark, path, "rejected")[0]
