@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import math
 import random
+import struct
 from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
 import truegrain as tg
-from truegrain.operators import columns, consistency, outliers, references, trend, uniqueness
+from truegrain.operators import columns, consistency, exact_sum, outliers, references, trend, uniqueness
 
 
 def test_duplicates_count_groups_and_null_keys(spark, outcome):
@@ -265,6 +266,23 @@ def test_fixture_is_skewed():
     assert keys["hot"] > 400 / 3
 
 
+def test_sums_of_floats_are_exact(spark, outcome):
+    random.seed(11)
+    values = [random.choice([1e-13, 1e30, -1e30, 0.1, 3.0, 5e-324, 1e280, -1e280]) * random.random() for _ in range(3_000)]
+    values += [1e30, 1e-13, -1e30, 0.1] * 50 + [v for v in EDGES if abs(v) < 1e307]
+    df = spark.createDataFrame([(v, 0.1, float("nan") if i == 7 else v, None) for i, v in enumerate(values)], "a double, b float, c double, d double")
+    found = exact_sum.exact_sums(df.repartition(5), ["a", "b", "c", "d"])
+    assert float(found[0]) == math.fsum(values)
+    assert float(found[1]) == math.fsum([float(struct.unpack("f", struct.pack("f", 0.1))[0])] * len(values))
+    assert found[2:] == [None, None]
+    assert found == exact_sum.exact_sums(df.orderBy("a"), ["a", "b", "c", "d"])
+    small = spark.createDataFrame([(0.1,), (0.2,), (1e16,), (-1e16,), (None,)], "v double")
+    assert outcome(exact_sum.check_exact_sum(small, "v", 0.3)) == ("Failed", 1)
+    assert outcome(exact_sum.check_exact_sum(small, "v", math.fsum([0.1, 0.2]))) == ("Passed", 0)
+    assert outcome(exact_sum.check_exact_sum(small, "v", 0.3, tolerance="1e-16")) == ("Passed", 0)
+    assert outcome(exact_sum.check_exact_sum(small.limit(0), "v", 0)) == ("Failed", 1)
+
+
 def test_map_columns_take_part(spark):
     rows = [({"a": 1, "b": 2}, {"b": 2, "a": 1}, {"a": 9}), (None, None, None)]
     df = spark.createDataFrame(rows, "m map<string,int>, n map<string,int>, o map<string,int>").selectExpr(

@@ -404,6 +404,12 @@ ORACLE: dict[str, str] = {
             (SELECT quantile_cont(l_extendedprice, 0.25) AS a, quantile_cont(l_extendedprice, 0.75) AS b
              FROM lineitem)
         WHERE l_extendedprice < a - 0.75 * (b - a) OR l_extendedprice > b + 0.75 * (b - a)"""),
+    "exact_float_sum": """
+        WITH w AS (
+            SELECT (l_extendedprice * 68719476736.0)::HUGEINT AS p, l_linenumber AS k, l_returnflag AS f FROM lineitem)
+        SELECT 'spread' AS column_name, sum(p * (1::HUGEINT << (5 * (k - 1))))::VARCHAR AS units FROM w
+        UNION ALL
+        SELECT 'signed', (32768 * sum(CASE WHEN f = 'R' THEN -p ELSE p END))::VARCHAR FROM w""",
     "iqr_fences_all": " UNION ALL ".join(
         f"SELECT '{c}' AS column_name, a - 1.5 * (b - a) AS low, b + 1.5 * (b - a) AS high "
         f"FROM (SELECT quantile_cont({c}::DOUBLE, 0.25) AS a, quantile_cont({c}::DOUBLE, 0.75) AS b FROM lineitem)"

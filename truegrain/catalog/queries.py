@@ -12,6 +12,7 @@ from truegrain.catalog.inputs import Source
 from truegrain.operators import (
     columns,
     consistency,
+    exact_sum,
     outliers,
     references,
     scalar,
@@ -303,6 +304,16 @@ def iqr_outliers(s: Source) -> DataFrame:
     )
 
 
+@query
+def exact_float_sum(s: Source) -> DataFrame:
+    """Sums of floats of very different sizes, exact to the last bit, as whole multiples of a small power of two."""
+    spread = F.col("l_extendedprice") * F.pow(F.lit(2.0), 5 * (F.col("l_linenumber") - 4))
+    signed = F.when(F.col("l_returnflag") == "R", -F.col("l_extendedprice")).otherwise(F.col("l_extendedprice"))
+    found = exact_sum.exact_sums(s.lineitem.select(spread.alias("spread"), signed.alias("signed")), ["spread", "signed"])
+    rows = [(n, None if f is None else str(f * 2**51)) for n, f in zip(("spread", "signed"), found)]
+    return s.spark.createDataFrame(rows, "column_name string, units string")
+
+
 #: The numeric columns of line items.
 LINEITEM_NUMBERS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 

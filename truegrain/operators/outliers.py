@@ -42,16 +42,18 @@ def _is_finite(value: Column) -> Column:
     return F.abs(value) < F.lit(math.inf)  # NaN is greater than all
 
 
-def images(df: DataFrame, numbers: Sequence[Column]) -> DataFrame:
+def images(df: DataFrame, numbers: Sequence[Column], keep: bool = False) -> DataFrame:
     """Columns ``v0``, ``v1`` ... : a bigint for each finite double that orders them as their values
-    do, its bits, negated for negative ones; NULL for all else.
+    do, its bits, negated for negative ones; NULL for all else. With ``keep`` also the numbers,
+    as ``n0``, ``n1`` ...
 
     Steps are selections of their own, as each is used several times by the next.
     """
     places = range(len(numbers))
     v, size, guess, scaled = ([F.col(f"{name}{i}") for i in places] for name in ("v", "a", "g", "s"))
     found = df.select(*[n.alias(f"v{i}") for i, n in enumerate(numbers)])
-    found = found.select(*[F.when(_is_finite(v[i]), v[i]).alias(f"v{i}") for i in places])
+    own = [v[i].alias(f"n{i}") for i in places] if keep else []
+    found = found.select(*[F.when(_is_finite(v[i]), v[i]).alias(f"v{i}") for i in places], *own)
     found = found.select("*", *[F.abs(v[i]).alias(f"a{i}") for i in places])
     exponents = [F.greatest(F.least(F.floor(F.log2(size[i])), F.lit(1023)), F.lit(-1022)).cast("int") for i in places]
     found = found.select("*", *[e.alias(f"g{i}") for i, e in enumerate(exponents)])
@@ -67,7 +69,7 @@ def images(df: DataFrame, numbers: Sequence[Column]) -> DataFrame:
         whole = F.when(size[i] < F.lit(_SMALLEST_NORMAL), subnormal).otherwise(normal)
         return whole * F.when(v[i] < 0, -1).otherwise(1)
 
-    return found.select(*[bits(i).alias(f"v{i}") for i in places])
+    return found.select(*[bits(i).alias(f"v{i}") for i in places], *([f"n{i}" for i in places] if keep else []))
 
 
 def value_of(bits: int) -> float:

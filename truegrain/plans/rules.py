@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from truegrain.errors import RuleError
 from truegrain.functions.casting import try_parse
 from truegrain.functions.predicates import is_timestamp_pattern
-from truegrain.operators import columns, consistency, files, keyed, outliers, references, scalar, trend, uniqueness
+from truegrain.operators import columns, consistency, exact_sum, files, keyed, outliers, references, scalar, trend, uniqueness
 from truegrain.results import Label
 
 
@@ -183,10 +183,19 @@ def _outliers(df: DataFrame, rules: Sequence[Rule], params: Sequence[Params]) ->
     )
 
 
+def _exact_sum(context: Context, df: DataFrame, rule: Rule, p: Params) -> DataFrame:
+    if "scale" in p:
+        raise RuleError("an exact sum has no scale")
+    return exact_sum.check_exact_sum(
+        df, rule.tested_field, p["expected"], **_some(p, tolerance="tolerance"), label=rule.label
+    )
+
+
 _SUM = Test(
     "Accuracy",
     ("expected",),
-    ("tolerance", "scale"),
+    ("tolerance", "scale", "exact"),
+    frame=_exact_sum,
     scalar=lambda df, f, p: scalar.control_sum(
         df, f, p["expected"], **_some(p, tolerance="tolerance", scale="scale")
     ),
@@ -319,7 +328,7 @@ def parameters(rule: Rule) -> dict[str, object]:
         raise RuleError(f"unknown parameter: {', '.join(unknown)}")
     if "tolerance" in given:
         scalar.exact_number(given["tolerance"], "tolerance")
-    for flag in ("strict", "ignore_nulls", "verify", "null_safe", "recursive"):
+    for flag in ("strict", "ignore_nulls", "verify", "null_safe", "recursive", "exact"):
         if flag in given and not isinstance(given[flag], bool):
             raise RuleError(f"{flag} must be true or false, not {given[flag]!r}")
     if test.needs_field and not rule.tested_field:
@@ -330,7 +339,7 @@ def parameters(rule: Rule) -> dict[str, object]:
 def is_scalar(rule: Rule, params: Params) -> bool:
     """Whether the rule shares the aggregation of its table."""
     test = TESTS[rule.test]
-    return test.scalar is not None and not any(name in params for name in test.instead)
+    return test.scalar is not None and not params.get("exact") and not any(name in params for name in test.instead)
 
 
 def require_pattern(spark: SparkSession, pattern: str) -> None:
