@@ -406,7 +406,7 @@ ORACLE: dict[str, str] = {
         WHERE l_extendedprice < a - 0.75 * (b - a) OR l_extendedprice > b + 0.75 * (b - a)"""),
     "exact_float_sum": """
         WITH w AS (
-            SELECT (l_extendedprice * 68719476736.0)::HUGEINT AS p, l_linenumber AS k, l_returnflag AS f FROM lineitem)
+            SELECT (l_extendedprice * 35184372088832.0)::HUGEINT AS p, l_linenumber AS k, l_returnflag AS f FROM lineitem)
         SELECT 'spread' AS column_name, sum(p * (1::HUGEINT << (5 * (k - 1))))::VARCHAR AS units FROM w
         UNION ALL
         SELECT 'signed', (32768 * sum(CASE WHEN f = 'R' THEN -p ELSE p END))::VARCHAR FROM w""",

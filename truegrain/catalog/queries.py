@@ -310,7 +310,7 @@ def exact_float_sum(s: Source) -> DataFrame:
     spread = F.col("l_extendedprice") * F.pow(F.lit(2.0), 5 * (F.col("l_linenumber") - 4))
     signed = F.when(F.col("l_returnflag") == "R", -F.col("l_extendedprice")).otherwise(F.col("l_extendedprice"))
     found = exact_sum.exact_sums(s.lineitem.select(spread.alias("spread"), signed.alias("signed")), ["spread", "signed"])
-    rows = [(n, None if f is None else str(f * 2**51)) for n, f in zip(("spread", "signed"), found)]
+    rows = [(n, None if f is None else str(f * 2**60)) for n, f in zip(("spread", "signed"), found)]
     return s.spark.createDataFrame(rows, "column_name string, units string")
 
 

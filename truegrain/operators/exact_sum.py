@@ -44,7 +44,7 @@ def exact_sums(df: DataFrame, columns: Sequence[str]) -> list[Fraction | None]:
         addend = (whole * sign).cast("decimal(17,0)") * shift.cast("decimal(10,0)")
         record = F.struct(
             F.lit(i).alias("col"),
-            F.coalesce(F.shiftright(exponent, _TOGETHER), F.lit(-1)).alias("bin"),
+            F.when(size.isNull(), -1).otherwise(F.shiftright(exponent, _TOGETHER)).alias("bin"),
             addend.cast("decimal(38,0)").alias("addend"),
         )
         records.append(F.when(known[i].isNotNull(), record))
