@@ -120,6 +120,28 @@ def test_suite_reads_csv_with_breaks_and_empty_texts(spark, tmp_path):
     assert [(r["status"], r["violations"]) for r in found] == [("Passed", 0), ("Failed", 1)]
 
 
+def test_malformed_lines_are_counted_and_kept(spark, tmp_path):
+    (tmp_path / "t.csv").write_text("a,b,malformed_line\n1,2,x\n3,4,5,6\n7\n8,,y\n")
+    path = str(tmp_path / "t.csv")
+    df = readers.read_csv(spark, path, keep_malformed=True)
+    assert df.columns == ["a", "b", "malformed_line", "malformed_line_"]
+    assert [r["malformed_line_"] for r in df.orderBy("a").collect()] == [None, "3,4,5,6", "7", None]
+    assert df.where("malformed_line_ is not null").select("b").count() == 2
+    rules = spark.createDataFrame(
+        [("T1", "t.csv", "check_malformed"), ("T2", "p", "check_malformed")], "tcid string, file_name string, test string"
+    )
+    df.drop("malformed_line_").write.parquet(str(tmp_path / "p"))
+    out = str(tmp_path / "out")
+    found = tg.run_job(spark, rules, out, base_path=str(tmp_path), csv={"keep_malformed": True}).orderBy("tcid").collect()
+    assert [(r["status"], r["violations"]) for r in found] == [("Failed", 2), ("Error", None)]
+    rejected = writers.read_rejected(spark, f"{out}/data/t.csv")
+    assert sorted(r["malformed_line_"] for r in rejected.collect()) == ["3,4,5,6", "7"]
+    typed = readers.read_csv(spark, path, schema="a int, b int, c string", keep_malformed=True)
+    assert [r["malformed_line"] for r in typed.orderBy("a").collect()] == [None, "3,4,5,6", "7", None]
+    with pytest.raises(tg.RuleError):
+        readers.read_csv(spark, path, infer_types=True, keep_malformed=True)
+
+
 def test_no_file_is_no_pass(spark, tmp_path, outcome, monkeypatch):
     (tmp_path / "empty").mkdir()
     assert outcome(tg.file_timeliness(spark, str(tmp_path / "empty")))[0] == "Failed"

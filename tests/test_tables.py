@@ -156,14 +156,20 @@ def expected_deviation(rows, size):
     return found
 
 
-@pytest.mark.parametrize("block_rows", [5_000_000, 100, 7, 2])
-@pytest.mark.parametrize("size", [0, 3])
-def test_deviation_is_the_same_whole_or_in_blocks(spark, block_rows, size):
+@pytest.mark.parametrize("slices", [1, 7, 150])
+@pytest.mark.parametrize("size", [0, 3, 60, 1000])
+def test_deviation_over_any_slices(spark, slices, size):
+    """A key over many slices, slices of a few rows, and halos that reach past several of them."""
     rows, df = trend_rows(spark)
-    found = {
-        r["id"]: r["deviation"]
-        for r in trend.deviations(df, "v", "k", "d", size, ["id"], block_rows).collect()
-    }
+    coalesced, parts = "spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.shuffle.partitions"
+    before = spark.conf.get(parts)
+    spark.conf.set(coalesced, "false")
+    spark.conf.set(parts, slices)
+    try:
+        found = {r["id"]: r["deviation"] for r in trend.deviations(df, "v", "k", "d", size, ["id"]).collect()}
+    finally:
+        spark.conf.unset(coalesced)
+        spark.conf.set(parts, before)
     expected = expected_deviation(rows, size)
     assert len(found) == len(expected)
     for row_id, value in expected.items():

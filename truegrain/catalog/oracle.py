@@ -549,6 +549,16 @@ ORACLE: dict[str, str] = {
         FROM documents WHERE text IS NULL
         UNION ALL SELECT 'T3', CASE WHEN count(*) = 0 THEN 'Passed' ELSE 'Failed' END, count(*)::BIGINT
         FROM (SELECT text FROM documents GROUP BY text HAVING count(*) > 1)""",
+    "csv_malformed": """
+        WITH l AS (
+            SELECT o_orderkey || ',' || o_custkey || CASE o_orderpriority WHEN '2-HIGH' THEN ''
+                       WHEN '1-URGENT' THEN ',' || o_orderstatus || ',more' ELSE ',' || o_orderstatus END AS line,
+                   o_orderpriority IN ('1-URGENT', '2-HIGH') AS bad, o_orderpriority = '2-HIGH' AS short
+            FROM orders)
+        SELECT 'line' AS tcid, line AS value FROM l WHERE bad
+        UNION ALL SELECT 'T1', CASE WHEN count(*) = 0 THEN 'Passed 0' ELSE 'Failed ' || count(*) END FROM l WHERE bad
+        UNION ALL SELECT 'T2', CASE WHEN count(*) = 1 THEN 'Passed 0' ELSE 'Failed ' || abs(count(*) - 1) END FROM l
+        UNION ALL SELECT 'T3', CASE WHEN count(*) = 0 THEN 'Passed 0' ELSE 'Failed ' || count(*) END FROM l WHERE short""",
     "csv_roundtrip": """
         SELECT CAST(doc_id AS VARCHAR) AS doc_id, text, lang, source, CAST(n_chars AS VARCHAR) AS n_chars
         FROM documents""",

@@ -662,6 +662,30 @@ def csv_suite(s: Source) -> DataFrame:
     return suite.run_suite(s.spark, rules, base_path=folder, csv=options).select("tcid", "status", "violations")
 
 
+@query
+def csv_malformed(s: Source) -> DataFrame:
+    """A file with lines of too many and too few cells: what the rules say, and the lines that are rejected."""
+    folder = new_shared_path(s.spark, "malformed")
+    cells = F.concat_ws(",", "o_orderkey", "o_custkey", "o_orderstatus")
+    short = F.concat_ws(",", "o_orderkey", "o_custkey")
+    urgent, high = F.col("o_orderpriority") == "1-URGENT", F.col("o_orderpriority") == "2-HIGH"
+    line = F.when(urgent, F.concat(cells, F.lit(",more"))).when(high, short).otherwise(cells)
+    lines = s.orders.select(line.alias("o_orderkey,o_custkey,o_orderstatus"))
+    lines.write.option("header", True).option("sep", "\x01").option("quote", "").csv(f"{folder}/orders.csv")
+    rules = _rules(
+        s,
+        ("T1", "orders.csv", True, False, "check_malformed", None, None),
+        ("T2", "orders.csv", True, False, "count_records", None, 1),
+        ("T3", "orders.csv", True, False, "check_nulls", "o_orderstatus", None),
+    )
+    found = _without_message(suite.run_suite(s.spark, rules, base_path=folder, csv={"keep_malformed": True}))
+    table = readers.read_csv(s.spark, f"{folder}/orders.csv", keep_malformed=True)
+    rejected = suite.rejected_rows(table, rules.where("tcid = 'T1'"), "orders.csv")
+    return found.select("tcid", F.concat_ws(" ", "status", "violations").alias("value")).union(
+        rejected.select(F.lit("line"), "malformed_line")
+    )
+
+
 @query
 def csv_roundtrip(s: Source) -> DataFrame:
     """Whole texts, line breaks and quotes included, through a CSV dictionary."""

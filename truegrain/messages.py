@@ -15,6 +15,10 @@ TEXTS: dict[str, tuple[str, str]] = {
         "Column '{field}' does not contain any null values.",
         "Column '{field}' contains {violations} null value(s).",
     ),
+    "check_malformed": (
+        "All lines of the file fit its columns.",
+        "{violations} line(s) of the file do not fit its columns.",
+    ),
     "count_records": (
         "Num of records in the file: {actual}. Success: the DataFrame has the expected number of records: {expected}",
         "Num of records in the file: {actual}. Mismatch: the DataFrame has {actual} records, but {expected} were expected.",

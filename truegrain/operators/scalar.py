@@ -21,9 +21,10 @@ from pyspark.sql import types as T
 from truegrain.errors import RuleError
 from truegrain.functions import predicates as P
 from truegrain.functions.casting import try_read
-from truegrain.functions.columns import FRACTIONAL, INTEGRAL, column_of, field_of, is_text
+from truegrain.functions.columns import FRACTIONAL, INTEGRAL, column_of, field_of, is_text, ref
 from truegrain.messages import message_for
 from truegrain.results import Label, result_columns
+from truegrain.sources.readers import malformed_column
 
 # Beyond this many aggregates in one stage the generated code gets too long to compile.
 AGGREGATES_PER_PASS = 200
@@ -79,6 +80,15 @@ def record_count(df: DataFrame, expected: int) -> ScalarCheck:
     )
 
 
+def malformed_lines(df: DataFrame) -> ScalarCheck:
+    """Lines of a CSV file that did not fit its columns; for tables read with ``keep_malformed``."""
+    line = ref(malformed_column(df))
+    others = [ref(c) for c in df.columns if c != malformed_column(df)][:1]
+    # The reader wants another column beside this one; no malformed line is empty.
+    bad_row = line.isNotNull() & (F.concat_ws("", line, *(c.cast("string") for c in others)) != "")
+    return ScalarCheck("check_malformed", None, {"bad": F.count_if(bad_row)}, lambda m: (m["bad"] == 0, m["bad"], {}), {}, bad_row)
+
+
 def castable(df: DataFrame, column: str, expected_type: str | T.DataType) -> ScalarCheck:
     shown = expected_type if isinstance(expected_type, str) else expected_type.simpleString()
     return _row_check(

@@ -14,12 +14,6 @@ from truegrain.operators.scalar import exact_number
 from truegrain.results import Label, result_columns
 from truegrain.session import settle
 
-# A key with at most this many rows is sorted and averaged by one task.
-BLOCK_ROWS = 5_000_000
-
-# Up to this many short rows are sent to every task; more are joined by a shuffle.
-BROADCAST_ROWS = 100_000
-
 _VALUE, _KEY, _WHEN = "__value", "__key", "__when"
 
 
@@ -30,83 +24,50 @@ def trailing_mean(
     order: Sequence[str],
     size: int,
     result_as: str,
-    block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """``df`` with the mean of ``value`` over the current and ``size`` earlier rows of its key.
 
-    Keys up to ``block_rows`` rows are averaged by an ordinary window. Larger ones are
-    sorted across tasks and cut into blocks of consecutive rows instead; each block
-    also receives the last ``size`` rows of the one before it, which is all its first
-    rows need. Both ways give the same result, and no task holds more than a block.
+    One range sort deals the rows of all keys over the tasks, so a key of any size is in as
+    many slices as it fills. A row needs the ``size`` rows before it, and these are in its own
+    slice but for the first rows of a slice: so the last ``size`` rows of every slice are sent
+    on as a halo to the slices that begin within their reach. Which those are follows from
+    the number of rows of each slice, the only thing that is gathered. A slice with its halo
+    then is a window of its own.
     """
-    large = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > block_rows)
-    frame = (-size, 0)
-    ordinary = Window.partitionBy(*keys).orderBy(*order).rowsBetween(*frame)
-    if large.isEmpty():
-        return df.withColumn(result_as, F.avg(value).over(ordinary))
-    # At most rows / block_rows keys, so the list stays small.
-    hot = _settled_lookup(large.select(*[F.col(k).alias(f"__hot_{k}") for k in keys]))
-    same = _all([F.col(k).eqNullSafe(F.col(f"__hot_{k}")) for k in keys])
-    rest = df.join(hot, same, "left_anti").withColumn(result_as, F.avg(value).over(ordinary))
-    blocks = _blocks(df.join(hot, same, "left_semi"), keys, order, size, max(block_rows, size + 1))
-    in_block = Window.partitionBy(*keys, "__copy").orderBy("__position").rowsBetween(*frame)
-    spread = (
-        blocks.withColumn(result_as, F.avg(value).over(in_block))
-        .where(F.col("__copy") == F.col("__block"))
-        .select(*rest.columns)
-    )
-    return rest.unionByName(spread)
-
-
-def _settled_lookup(df: DataFrame) -> DataFrame:
-    """``df`` computed once, and broadcast where its counted size allows."""
-    stored = settle(df)
-    return F.broadcast(stored) if stored.count() <= BROADCAST_ROWS else stored
-
-
-def _all(tests: Sequence[Column]) -> Column:
-    joined = F.lit(True)
-    for test in tests:
-        joined = joined & test
-    return joined
-
-
-def _blocks(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], size: int, block_rows: int
-) -> DataFrame:
-    """The rows with their position within the key, block, and copies for the next block."""
     ranged = df.repartitionByRange(*keys, *order).sortWithinPartitions(*keys, *order)
-    # Written out, because the numbering below must see the same partitions twice.
+    # Written out, because the slices must be the same when they are counted and when they are read.
     numbered = settle(ranged).withColumn("__seq", F.monotonically_increasing_id())
     numbered = numbered.withColumn("__slice", F.shiftrightunsigned("__seq", 33))
-    slices = numbered.groupBy(*keys, "__slice").agg(
-        F.min("__seq").alias("__first"), F.count(F.lit(1)).alias("__rows")
-    )
-    earlier = (
-        Window.partitionBy(*keys)
-        .orderBy("__slice")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    starts = _settled_lookup(
-        slices.select(
-            *[F.col(k).alias(f"__start_{k}") for k in keys],
-            F.col("__slice").alias("__start_slice"),
-            (F.coalesce(F.sum("__rows").over(earlier), F.lit(0)) - F.col("__first")).alias("__shift"),
+    if not size:
+        dealt = numbered.withColumn("__to", F.col("__slice"))
+    else:
+        place = F.col("__seq").bitwiseAND(F.lit((1 << 33) - 1))
+        # A row for each slice: no more than tasks.
+        slices = numbered.groupBy("__slice").agg(F.count(F.lit(1)).alias("__rows"))
+        reaches = _reaches(slices, size)
+        sent = F.filter("__reaches", lambda r: r["start"] - (F.col("__start") + place) <= size)
+        dealt = numbered.join(F.broadcast(reaches), "__slice").withColumn(
+            "__to", F.explode(F.concat(F.array("__slice"), F.transform(sent, lambda r: r["slice"])))
         )
+    own = Window.partitionBy("__to", *keys).orderBy("__seq").rowsBetween(-size, 0)
+    return (
+        dealt.withColumn(result_as, F.avg(value).over(own))
+        .where(F.col("__to") == F.col("__slice"))
+        .select(*df.columns, result_as)
     )
-    match = _all([F.col(k).eqNullSafe(F.col(f"__start_{k}")) for k in keys])
-    placed = numbered.join(
-        starts, (F.col("__slice") == F.col("__start_slice")) & match, "inner"
-    ).withColumn("__position", F.col("__seq") + F.col("__shift"))
-    placed = placed.withColumn("__block", F.floor(F.col("__position") / block_rows))
-    near_end = F.col("__position") % block_rows >= block_rows - size
-    return placed.withColumn(
-        "__copy",
-        F.explode(
-            F.when(near_end, F.array("__block", F.col("__block") + 1)).otherwise(
-                F.array("__block")
-            )
-        ),
+
+
+def _reaches(slices: DataFrame, size: int) -> DataFrame:
+    """For each slice the rows before it, and the later slices that its last row reaches, with the rows before these."""
+    everything = Window.orderBy("__slice")
+    before = F.sum("__rows").over(everything.rowsBetween(Window.unboundedPreceding, -1))
+    placed = slices.withColumn("__start", F.coalesce(before, F.lit(0).cast("bigint")))
+    near = F.collect_list(F.struct(F.col("__slice").alias("slice"), F.col("__start").alias("start")))
+    # Slices that begin within ``size`` rows of the begin of this one: for the slice before, those in reach.
+    own = near.over(Window.orderBy("__start").rangeBetween(0, size - 1))
+    reached = F.lead("__own", 1).over(everything)
+    return placed.withColumn("__own", own).select(
+        "__slice", "__start", F.coalesce(reached, F.filter("__own", lambda r: F.lit(False))).alias("__reaches")
     )
 
 
@@ -117,7 +78,6 @@ def deviations(
     date_column: str,
     window_size: int,
     order: Sequence[str] = (),
-    block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Each row's distance from its trailing mean, in percent of the mean.
 
@@ -138,7 +98,7 @@ def deviations(
     )
     names = [f"__tie{i}" for i in range(len(ties))]
     averaged = trailing_mean(
-        rows, _VALUE, [_KEY], [_WHEN, *names], window_size, "__mean", block_rows
+        rows, _VALUE, [_KEY], [_WHEN, *names], window_size, "__mean"
     )
     mean, value = F.col("__mean"), F.col(_VALUE)
     percent = F.when(
@@ -159,13 +119,12 @@ def measured_deviation(
     tolerance_deviation: float,
     window_size: int,
     order: Sequence[str] = (),
-    block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """``highest`` deviation and ``bad``, the rows with more than the tolerance."""
     allowed = float(exact_number(tolerance_deviation, "tolerance"))
     deviation = F.col("deviation")
     return deviations(
-        df, column, partitioned_column, date_column, window_size, order, block_rows
+        df, column, partitioned_column, date_column, window_size, order
     ).agg(
         F.max(deviation).alias("highest"),
         F.count_if(deviation > F.lit(allowed)).alias("bad"),
@@ -181,11 +140,10 @@ def check_moving_average(
     window_size: int,
     order: Sequence[str] = (),
     label: Label | None = None,
-    block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Fails if a deviation exceeds the tolerance; violations are the rows that do."""
     measured = measured_deviation(
-        df, column, partitioned_column, date_column, tolerance_deviation, window_size, order, block_rows
+        df, column, partitioned_column, date_column, tolerance_deviation, window_size, order
     )
     passed = F.col("bad") == 0
     values = {"field": column, "deviation": F.format_number("highest", 2)}

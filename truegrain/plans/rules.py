@@ -204,6 +204,7 @@ _SUM = Test(
 # The names rules use, and the dimension each test reports under.
 TESTS: Mapping[str, Test] = {
     "check_nulls": Test("Completeness", scalar=lambda df, f, p: scalar.nulls(df, f)),
+    "check_malformed": Test("Completeness", needs_field=False, scalar=lambda df, f, p: scalar.malformed_lines(df)),
     "count_records": Test(
         "Completeness",
         ("expected",),

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from truegrain.errors import RuleError
+from truegrain.functions.columns import free_name
 
 
 # No cell holds this text, so the reader takes nothing but missing cells for NULL.
@@ -20,6 +21,7 @@ def read_csv(
     infer_types: bool = False,
     multiline: bool = False,
     keep_empty: bool = False,
+    keep_malformed: bool = False,
 ) -> DataFrame:
     """A CSV table with a header; every column is text unless told otherwise.
 
@@ -27,18 +29,53 @@ def read_csv(
     allows line breaks inside quotes, but then a file is read by a single task:
     store large tables of that kind as many files, or as Parquet. ``keep_empty`` tells
     a quoted empty text from nothing at all, as :func:`write_csv` writes them; without
-    it both are NULL.
+    it both are NULL. A line with too few or too many cells is cut or filled with NULL, and
+    so is a value that a declared type cannot hold; with ``keep_malformed`` such a line also
+    stands whole in one more column, ``malformed_line``, which is NULL elsewhere: the test
+    ``check_malformed`` counts these lines, and rejected rows keep them. (The engine rejects
+    queries that use no other column of the file.)
     """
+    if keep_malformed and infer_types:
+        raise RuleError("types cannot be inferred while malformed lines are kept; declare a schema")
     reader = spark.read.option("header", True).option("escape", '"')
     if keep_empty:
         reader = reader.option("nullValue", _NO_TEXT)
     if multiline:
         reader = reader.option("multiLine", True)
+    if keep_malformed:
+        if schema is None:
+            schema = reader.option("inferSchema", False).csv(path).schema  # reads a header
+        return _with_malformed(spark, reader, schema).csv(path)
     if schema is not None:
         return reader.schema(schema).csv(path)
     return reader.option("inferSchema", infer_types).csv(path)
 
 
+_MALFORMED = "truegrain.malformed_line"
+
+
+def _with_malformed(spark: SparkSession, reader: DataFrameReader, schema: str | T.StructType) -> DataFrameReader:
+    """The reader with a marked column for the text of malformed lines."""
+    known = spark.createDataFrame([], schema) if isinstance(schema, str) else spark.createDataFrame([], T.StructType(schema.fields))
+    name = free_name(known, "malformed_line")
+    kept = T.StructField(name, T.StringType(), True, {_MALFORMED: True})
+    # Without pruning every line is parsed whole, whichever columns a query needs.
+    return (
+        reader.schema(T.StructType([*known.schema.fields, kept]))
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", name)
+        .option("columnPruning", False)
+    )
+
+
+def malformed_column(df: DataFrame) -> str:
+    """The column in which :func:`read_csv` keeps malformed lines."""
+    found = [f.name for f in df.schema.fields if f.metadata.get(_MALFORMED)]
+    if len(found) != 1:
+        raise RuleError("the table was not read with keep_malformed")
+    return found[0]
+
+
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
