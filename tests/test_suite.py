@@ -401,3 +401,24 @@ def test_a_run_that_fails_leaves_the_version_before(spark, loans, tmp_path, monk
     assert publish.current(spark, out) == after and writers.read_clean(spark, f"{after}/data/loans").count() == 1
     with pytest.raises(suite.RuleError):
         publish.current(spark, str(tmp_path / "nothing"))
+
+
+def test_rows_with_broken_keys_are_rejected(spark, loans):
+    named = loans.withColumns({"n": F.when(F.col("id") > 1, F.col("id")), "__broken9": F.lit(1)})
+    rules = rules_of(
+        spark,
+        ("loans", False, "check_duplicates", "id", None),
+        ("loans", False, "check_foreign_key", "n", {"ref_table": "other", "ref_column": "id"}),
+        ("loans", False, "check_consistency", "grade", {"other_table": "other", "key": "id"}),
+        ("loans", False, "check_nulls", "grade", None),
+        ("other", False, "check_duplicates", "id", None),
+    )
+    other = spark.createDataFrame([(1, "B"), (2, "x"), (2, "y")], "id bigint, grade string")
+    found = suite.row_verdicts(named, rules, "loans", tables={"other": other})
+    assert found.columns == [*named.columns, "failed_rules"]
+    by_id = sorted((r["id"], r["grade"] or "", sorted(r["failed_rules"])) for r in found.collect())
+    assert by_id == [(1, "A", ["T02"]), (2, "", ["T03"]), (3, "A", ["T00", "T01"]), (3, "C", ["T00", "T01"])]
+    assert suite.clean_rows(named, rules, "loans", {"other": other}).count() == 0
+    assert suite.clean_rows(named, rules, "loans").count() == 3
+    with pytest.raises(suite.RuleError):
+        suite.row_verdicts(named, rules, "loans", tables={})

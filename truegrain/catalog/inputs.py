@@ -1,8 +1,9 @@
 """The supplied tables, and variants of them with defects.
 
 The tables are clean, so defects are derived from their own values: the same
-conditions appear in the SQL each query is compared with. Every variant keeps all
-rows of its table.
+conditions appear in the SQL each query is compared with. Variants keep all rows of
+their table, but for those that serve as the incomplete side of a reference: solvent
+customers, and the schema made of them.
 """
 
 from __future__ import annotations

@@ -55,6 +55,7 @@ def _any(column: str, *words: str) -> str:
     return " OR ".join(f"contains({column}, '{w}')" for w in words)
 
 
+# The keywords of the business categories, in order of precedence.
 CATEGORY = f"""CASE
     WHEN {_any('t', 'loan', 'application', 'purpose', 'policy')} THEN 'loan_info'
     WHEN {_any('t', 'fico', 'delinq', 'inq', 'credit', 'risk')} THEN 'credit_info'
@@ -534,6 +535,16 @@ ORACLE: dict[str, str] = {
               "(SELECT count(*) FROM lineitem WHERE l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_size > 10))"),
     ]),
     "suite_shared_scan": " UNION ALL ".join(_shared_scan_rules()),
+    "key_verdicts": f"""
+        WITH o AS (SELECT * FROM {ORDERS_WITH_GAPS}),
+        v AS (
+            SELECT o_orderkey,
+                   CASE WHEN count(*) OVER (PARTITION BY o_custkey, o_orderdate) > 1 THEN 'T1' END AS r1,
+                   CASE WHEN o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0) THEN 'T2' END AS r2,
+                   CASE WHEN o_totalprice > 400000 AND o_orderstatus <> 'X' THEN 'T3' END AS r3,
+                   CASE WHEN o_custkey IS NULL THEN 'T4' END AS r4
+            FROM o)
+        SELECT o_orderkey, concat_ws(',', r1, r2, r3, r4) AS failed_rules FROM v WHERE coalesce(r1, r2, r3, r4) IS NOT NULL""",
     "status_report": """
         SELECT 'T1' AS tcid, 'lineitem' AS file_name, 'check_nulls' AS test, 'Passed' AS status,
                'Column ' || chr(39) || 'l_orderkey' || chr(39) || ' does not contain any null values.' AS message

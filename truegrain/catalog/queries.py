@@ -629,6 +629,22 @@ def suite_shared_scan(s: Source) -> DataFrame:
     return _without_message(suite.run_suite(s.spark, *shared_scan_rules(s)))
 
 
+@query
+def key_verdicts(s: Source) -> DataFrame:
+    """Rows rejected for their keys: repeated ones, orphans, and those that differ in a second table."""
+    rules = _rules(
+        s,
+        ("T1", "orders", True, False, "check_duplicates", None, {"keys": ["o_custkey", "o_orderdate"]}),
+        ("T2", "orders", True, False, "check_foreign_key", "o_custkey", {"ref_table": "customer", "ref_column": "c_custkey"}),
+        ("T3", "orders", True, False, "check_consistency", "o_orderstatus", {"other_table": "corrected", "key": "o_orderkey"}),
+        ("T4", "orders", True, False, "check_nulls", "o_custkey", None),
+        ("T5", "orders", True, False, "check_duplicates", "o_orderkey", None),
+    )
+    tables = {"customer": s.solvent_customers(), "corrected": s.orders_corrected()}
+    found = suite.rejected_rows(s.orders_with_gaps(), rules, "orders", tables)
+    return found.select("o_orderkey", F.concat_ws(",", F.array_sort("failed_rules")).alias("failed_rules"))
+
+
 @query
 def status_report(s: Source) -> DataFrame:
     """The written report, read back with its messages."""

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from truegrain.results import Label
+from truegrain.session import new_shared_path
 
 _WIDE = "decimal(38,0)"
 #: Checks whose records one pass makes of a row; more take another pass.
@@ -54,6 +55,15 @@ class KeyedCheck:
     second: Side | None
     finish: Callable[[dict[str, Column], Label | None], list[Column]]
 
+    def broken(self) -> Column:
+        """Whether a counted key breaks the check: its rows repeat, lack a reference, or differ."""
+        n1, n2 = F.col("n1"), F.col("n2")
+        if self.second is None:
+            return n1 > 1
+        if not self.first.values:
+            return (n1 > 0) & (n2 == 0)
+        return (n1 > 0) & (n2 > 0) & (_pairs() > F.col("agreeing"))
+
     def require_columns(self) -> None:
         """Let the analyser reject what a side does not have."""
         for side in (self.first, self.second):
@@ -100,8 +110,12 @@ def _record(number: int, side: Side, first: bool) -> Column:
     return made if side.present is None else F.when(side.present, made)
 
 
-def counted(checks: Sequence[KeyedCheck]) -> DataFrame:
-    """What was counted for each check, by its number: ``groups``, ``surplus``, ``orphans``, ``pairs``, ``clashed``."""
+def _pairs() -> Column:
+    return (F.col("n1").cast("decimal(19,0)") * F.col("n2").cast("decimal(19,0)")).cast(_WIDE)
+
+
+def _by_key(checks: Sequence[KeyedCheck]) -> tuple[DataFrame, Column]:
+    """For each key of each check its rows on either side, and whether the check compares values."""
     tables: dict[Hashable, tuple[DataFrame, list[Column]]] = {}
     for number, check in enumerate(checks):
         for side, first in ((check.first, True), (check.second, False)):
@@ -119,14 +133,19 @@ def counted(checks: Sequence[KeyedCheck]) -> DataFrame:
     # Wide decimals only where values are compared.
     compared = F.col("check").isin([i for i, c in enumerate(checks) if c.first.values])
     agreeing = F.when(compared & (F.col("c1") > 0) & (F.col("c2") > 0), (one * two).cast(_WIDE))
-    by_key = by_value.groupBy("check", "k1", "k2").agg(
+    return by_value.groupBy("check", "k1", "k2").agg(
         F.sum("c1").alias("n1"),
         F.sum("c2").alias("n2"),
         F.coalesce(F.sum(agreeing), F.lit(0)).alias("agreeing"),
         F.bool_or("differ").alias("differ"),
-    )
+    ), compared
+
+
+def counted(checks: Sequence[KeyedCheck]) -> DataFrame:
+    """What was counted for each check, by its number: ``groups``, ``surplus``, ``orphans``, ``pairs``, ``clashed``."""
+    by_key, compared = _by_key(checks)
     n1, n2 = F.col("n1"), F.col("n2")
-    pairs = (n1.cast("decimal(19,0)") * n2.cast("decimal(19,0)")).cast(_WIDE) - F.col("agreeing")
+    pairs = _pairs() - F.col("agreeing")
     return by_key.groupBy("check").agg(
         F.count_if(n1 > 1).alias("groups"),
         F.coalesce(F.sum(F.when(n1 > 1, n1 - 1)), F.lit(0)).alias("surplus"),
@@ -163,3 +182,34 @@ def evaluate_keyed(checks: Sequence[KeyedCheck], labels: Sequence[Label | None]
         frame = _one_pass(checks[some], labels[some])
         frames.append(frame.withColumn("number", F.col("number") + begin))
     return reduce(DataFrame.unionByName, frames)
+
+
+def broken_keys(checks: Sequence[KeyedCheck]) -> DataFrame:
+    """(check, k1, k2): the digests of the keys that break each check, by its number."""
+    by_key, _ = _by_key(checks)
+    test = reduce(lambda a, b: a | b, [(F.col("check") == i) & c.broken() for i, c in enumerate(checks)])
+    return by_key.where(test).select("check", "k1", "k2")
+
+
+def marked_rows(df: DataFrame, checks: Sequence[KeyedCheck], marks: Sequence[str]) -> DataFrame:
+    """``df`` with a boolean column for each check: whether the row's key breaks it.
+
+    ``df`` has the columns of the checks' first sides. The digests of broken keys are written
+    once; a check with few of them is joined by broadcast under the session's own limit, and
+    one with none is not joined at all.
+    """
+    path = new_shared_path(df.sparkSession, "broken-keys")
+    broken_keys(checks).write.partitionBy("check").parquet(path)
+    stored = df.sparkSession.read.schema("k1 bigint, k2 bigint, check int").parquet(path)
+    there = {r["check"] for r in stored.select("check").distinct().collect()}
+    for i, (check, mark) in enumerate(zip(checks, marks)):
+        if i not in there:
+            df = df.withColumn(mark, F.lit(False))
+            continue
+        one, two, _ = _hashes(check.first.keys)
+        keys = stored.where(F.col("check") == i).select(F.col("k1").alias(f"{mark}1"), F.col("k2").alias(f"{mark}2"))
+        met = (one == F.col(f"{mark}1")) & (two == F.col(f"{mark}2"))
+        if check.first.present is not None:
+            met = met & check.first.present
+        df = df.join(keys, met, "left").withColumn(mark, F.col(f"{mark}1").isNotNull()).drop(f"{mark}1", f"{mark}2")
+    return df

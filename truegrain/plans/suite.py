@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from truegrain.errors import RuleError
 from truegrain.functions.columns import free_name, ref
-from truegrain.operators.keyed import KeyedCheck, evaluate_keyed
+from truegrain.operators.keyed import KeyedCheck, evaluate_keyed, marked_rows
 from truegrain.operators.scalar import AGGREGATES_PER_PASS, ScalarCheck, evaluate
 from truegrain.plans.rules import (
     TESTS,
@@ -258,21 +258,38 @@ def dimension_rollup(results: DataFrame) -> DataFrame:
 
 
 def row_verdicts(
-    df: DataFrame, rules: DataFrame | list[Rule], file_name: str, failed_as: str | None = None
+    df: DataFrame,
+    rules: DataFrame | list[Rule],
+    file_name: str,
+    failed_as: str | None = None,
+    tables: Tables | None = None,
 ) -> DataFrame:
     """``df`` with the ids of the rules each row breaks, as the last column.
 
-    It is called ``failed_rules``, with underscores behind if ``df`` has such a column. Only rules that judge single rows take part: nulls, castability, range, length,
-    allowed values, date format and date range. No shuffle.
+    It is called ``failed_rules``, with underscores behind if ``df`` has such a column.
+    Rules that judge single rows take part: nulls, castability, range, length, allowed
+    values, date format, date range and malformed lines. These need no shuffle.
+
+    With ``tables``, where the files that rules refer to are found, rules on keys take part
+    too: a row breaks one if its key repeats, lacks its reference, or stands for a pair that
+    differs. These need a join for each such rule that some key breaks.
     """
     listed = active_rules(rules) if isinstance(rules, DataFrame) else rules
     if failed_as is None:
         failed_as = free_name(df, "failed_rules")
     elif free_name(df, failed_as) != failed_as:
         raise RuleError(f"the table has a column '{failed_as}'; choose another name for the failed rules")
-    marks = []
+    marks, by_key = [], []
+    context = Context(df.sparkSession, table_lookup(df.sparkSession, {**tables, file_name: df}, None)) if tables is not None else None
     for rule in listed:
         test = TESTS.get(rule.test)
+        if rule.file_name == file_name and context is not None and test is not None and test.keyed is not None:
+            planned = _plan(rule, context)
+            if planned.problem:
+                raise RuleError(f"{rule.tcid}: {planned.problem}")
+            if planned.keyed is not None:
+                by_key.append((rule, planned.keyed))
+                continue
         if rule.file_name != file_name or test is None or test.scalar is None:
             continue
         if not (rule.tcid or "").strip():
@@ -285,20 +302,29 @@ def row_verdicts(
             raise RuleError(f"{rule.tcid}: {problem}")
         if check.bad_row is not None:
             marks.append(F.when(check.bad_row, F.lit(rule.tcid)))
+    names = df.columns
+    if by_key:
+        broken = [f"__broken{i}" for i in range(len(by_key))]
+        df = marked_rows(df, [check for _, check in by_key], broken)
+        marks += [F.when(ref(mark), F.lit(rule.tcid)) for (rule, _), mark in zip(by_key, broken)]
     failed = F.array_compact(F.array(*marks)) if marks else F.array().cast("array<string>")
-    return df.select("*", marked_failed(failed, failed_as))
+    return df.select(*[ref(n) for n in names], marked_failed(failed, failed_as))
 
 
-def clean_rows(df: DataFrame, rules: DataFrame | list[Rule], file_name: str) -> DataFrame:
+def clean_rows(
+    df: DataFrame, rules: DataFrame | list[Rule], file_name: str, tables: Tables | None = None
+) -> DataFrame:
     """The rows that break no rule."""
-    judged = row_verdicts(df, rules, file_name)
+    judged = row_verdicts(df, rules, file_name, tables=tables)
     failed = judged.columns[-1]
     return judged.where(F.size(ref(failed)) == 0).drop(failed)
 
 
-def rejected_rows(df: DataFrame, rules: DataFrame | list[Rule], file_name: str) -> DataFrame:
+def rejected_rows(
+    df: DataFrame, rules: DataFrame | list[Rule], file_name: str, tables: Tables | None = None
+) -> DataFrame:
     """The rows that break a rule, with the ids of all rules they break."""
-    judged = row_verdicts(df, rules, file_name)
+    judged = row_verdicts(df, rules, file_name, tables=tables)
     return judged.where(F.size(ref(judged.columns[-1])) > 0)
 
 
