@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import math
 import random
 import re
 import zlib
 from pathlib import Path
+from xml.etree import ElementTree
 
 import numpy as np
 import pytest
@@ -142,6 +144,108 @@ def test_header_of_the_article_and_attribute_values():
     assert html_text.main_text(page) == "Title\n\nOne part.\n\nTwo parts.\n\nIt is x here.\n\nThree."
 
 
+def some_page(pick, depth=0):
+    """A well-formed page of blocks, links and bold words."""
+    def line():
+        words = " ".join("w" * pick.randrange(1, 9) for _ in range(pick.randrange(1, 12)))
+        return pick.choice([words, words, f'<a href="x">{words}</a>', f"{words} <b>{words}</b>", f"<b><a>{words}</a></b>"])
+
+    if depth == 4 or pick.random() < 0.3:
+        return f"<p>{line()}</p>"
+    inner = "".join(pick.choice([line(), "", ""]) + some_page(pick, depth + 1) for _ in range(pick.randrange(1, 5)))
+    return f"<div>{inner}</div>"
+
+
+def brute_blocks(page):
+    """(density, sum, text) of every block in page order, by recursion over the parsed page."""
+    root = ElementTree.fromstring(page)
+    size = lambda text: sum(map(len, (text or "").split()))
+    lines = ("a", "b")
+
+    def counts(node, linked=False, whole=True):
+        """Characters, those in links, tags, links; of the whole subtree or of what stands right in it."""
+        linked = linked or node.tag == "a"
+        c, lc, t, lt = size(node.text), size(node.text) if linked else 0, 0, 0
+        for child in node:
+            if child.tag in lines or whole:
+                more = counts(child, linked, whole)
+                is_link = child.tag == "a"
+                c, lc, t, lt = c + more[0], lc + more[1], t + more[2] + (is_link or child.tag not in lines), lt + more[3] + is_link
+            c, lc = c + size(child.tail), lc + (size(child.tail) if linked else 0)
+        return c, lc, t, lt
+
+    body = counts(root)
+
+    def density(c, lc, t, lt):
+        if not c:
+            return 0.0
+        base = c / max(1, c - lc) * lc + body[1] / max(1, body[0]) * c + math.e
+        return c / max(1, t) * math.log(1 + c / max(1, lc) * max(1, t) / max(1, lt), base)
+
+    found = []
+    for node in root.iter():
+        if node.tag not in lines:
+            children = [density(*counts(child)) for child in node if child.tag not in lines]
+            found.append((density(*counts(node)), sum(children) + density(*counts(node, whole=False)), node))
+    return found
+
+
+def test_densities_and_sums_by_recursion():
+    pick = random.Random(4)
+    for _ in range(150):
+        source = f"<body>{some_page(pick)}{some_page(pick)}</body>"
+        page = html_text.Page(source)
+        density, total = page.densities()
+        nodes = [i for i, name in enumerate(page.name) if name in html_text.BLOCK]
+        expected = brute_blocks(source)
+        assert [density[i] for i in nodes] == pytest.approx([d for d, _, _ in expected])
+        assert [total[i] for i in nodes] == pytest.approx([s for _, s, _ in expected])
+        # The subtree of the greatest sum, and the threshold of its path.
+        best = max(range(len(nodes)), key=lambda i: (round(expected[i][1], 9), -i))
+        parents = {child: node for _, _, node in expected for child in node}
+        path, node = [], expected[best][2]
+        while node is not None:
+            path.append(node)
+            node = parents.get(node)
+        threshold = min(d for d, _, n in expected if n in path)
+        chosen = page.chosen()
+        assert nodes[best] in chosen
+        assert all(density[i] >= threshold - 1e-9 or i in chosen[:1] or any(density[j] >= threshold - 1e-9 for j in ancestors(page, i)) for i in chosen)
+
+
+def ancestors(page, node):
+    while node > 0:
+        yield node
+        node = page.parent[node]
+
+
+def test_density_decides(monkeypatch):
+    """Two parts that nothing names: links and short lines against prose; a changed density changes the text."""
+    long = "Prose with many words that go on for a while and say something. " * 6
+    menu = "".join(f'<p><a href="{i}">Go to {i}</a></p>' for i in range(30))
+    page = f"<body><div>{menu}</div><div><p>{long}</p><p>{long}</p><p>And so on.</p></div></body>"
+    text = html_text.main_text(page)
+    assert text.startswith("Prose") and text.endswith("And so on.") and "Go to" not in text
+    plain = html_text.Page.densities
+
+    def turned(self):
+        density, total = plain(self)
+        return [1 / d if d else 0.0 for d in density], [1 / t if t else 0.0 for t in total]
+
+    monkeypatch.setattr(html_text.Page, "densities", turned)
+    assert html_text.main_text(page) != text
+
+
+def test_article_is_whole_only_if_density_chose_most_of_it():
+    long = "Prose with many words that go on for a while and say something. " * 9
+    inner = f"<h1>T</h1><section><p>{long}</p><p>{long}</p></section><p>x</p>"
+    whole = html_text.main_text(f"<body><article>{inner}</article></body>")
+    assert whole.startswith("T\n\nProse") and whole.endswith("x")
+    short = '<a href="1">one</a> <a href="2">two</a>'
+    elsewhere = html_text.main_text(f"<body><article>{short}</article><div><p>{long}</p><p>{long}</p></div></body>")
+    assert elsewhere.startswith("Prose") and "one" not in elsewhere
+
+
 def test_deep_and_long_pages():
     assert html_text.main_text("<div>" * 20_000 + "deep") == "deep"
     long = "word " * 50_000

@@ -2,18 +2,21 @@
 
 A page becomes a tree of its elements. Scripts, styles, forms and elements that say they
 are menus, headers, footers, sidebars, notices, adverts or comments are left out with all
-below them; the latter not if they hold the page's only articles or the bulk of its text. For every other node, with ``C`` characters and ``T`` tags in its subtree, of
-which ``LC`` and ``LT`` are in links, and ``¬LC = C - LC``:
+below them; the latter not if they hold the page's only articles or the bulk of its text.
+For every other block element, with ``C`` characters and ``T`` tags (blocks and links) in its
+subtree, of which ``LC`` and ``LT`` are in links, and ``¬LC = C - LC``:
 
     density = C / T * log(1 + C / LC * T / LT) to the base C / ¬LC * LC + LC_body / C_body * C + e
 
 with 1 in place of 0 in divisors. (The usual form has the base's logarithm as base and no
-1; it is not defined where there are no links.) A node's sum is that of its children's densities; text right under
-a node counts as a child without tags. The subtree of the greatest sum is the article. Its
-threshold is the least density on the path from the body to it; nodes outside it that
-reach the threshold belong to the text too, each with its own subtree of greatest sum. If
-the subtree is in an element that a page names as its article or main part, the text is
-that element's.
+1; it is not defined where there are no links. Elements inside a line, as bold words, are
+neither nodes nor tags: they say how a line looks, not how a page is built.) A block's sum is
+that of its children's densities; the lines right in a block count as a child without tags.
+The subtree of the greatest sum is the article. Its threshold is the least density on the
+path from the body to it; blocks outside it that reach the threshold belong to the text too,
+each with its own subtree of greatest sum. If the subtree is in an element that a page names
+as its article or main part, only blocks of that element are added, and the text is the
+whole element where the chosen blocks hold more than half of it.
 
 Block elements part the text; inside a block white space becomes one blank.
 
@@ -56,6 +59,8 @@ NOISE = set(
     "complementary contentinfo dialog form".split()
 )
 ARTICLE = {"article", "main"}
+#: More than this share of an article's text, once chosen, stands for all of it.
+WIDENED = 0.5
 #: Noise words of parts that can be longer than the article.
 REPLIES = set("comment comments commentlist disqus replies reply respond discussion".split())
 #: Words that make a header one of the article.
@@ -228,76 +233,103 @@ class Page:
         return noise
 
     def densities(self) -> tuple[list[float], list[float]]:
-        """Density of every node, and the sum of its children's."""
+        """Density of every block, and the sum of its children's. Other nodes have 0."""
         n = len(self.name)
         chars, tags, link_chars, link_tags = [0] * n, [0] * n, [0] * n, [0] * n
-        in_link = [False] * n
+        in_link, block = [False] * n, [0] * n
+        for i in range(1, n):
+            up = self.parent[i]
+            in_link[i] = in_link[up] or self.name[i] == "a"
+            block[i] = i if self.name[i] in BLOCK and not self.noise[i] else block[up]
+        # What stands right in a block, elements inside a line included, is one child of it.
         for i in range(1, n):
-            in_link[i] = in_link[self.parent[i]] or self.name[i] == "a"
-        for i in range(n - 1, 0, -1):
             if self.noise[i]:
                 continue
+            own = block[i]
             if self.text[i] is not None:
-                chars[i] = sum(map(len, self.text[i].split()))
-                if in_link[i]:
-                    link_chars[i] = chars[i]
-            up = self.parent[i]
-            own_tag = int(self.text[i] is None)
-            chars[up] += chars[i]
-            link_chars[up] += link_chars[i]
-            tags[up] += tags[i] + own_tag
-            link_tags[up] += link_tags[i] + (own_tag if in_link[i] else 0)
+                size = sum(map(len, self.text[i].split()))
+                chars[own] += size
+                link_chars[own] += size if in_link[i] else 0
+            elif self.name[i] == "a":
+                tags[own] += 1
+                link_tags[own] += 1
+        line = [(c, lc, t, lt) for c, lc, t, lt in zip(chars, link_chars, tags, link_tags)]
+        for i in range(n - 1, 0, -1):
+            if block[i] == i:
+                up = block[self.parent[i]]
+                chars[up] += chars[i]
+                link_chars[up] += link_chars[i]
+                tags[up] += tags[i] + 1
+                link_tags[up] += link_tags[i]
         share = link_chars[0] / max(1, chars[0])
+
+        def of(c: int, lc: int, t: int, lt: int) -> float:
+            if not c:
+                return 0.0
+            t, lt = max(1, t), max(1, lt)
+            base = c / max(1, c - lc) * lc + share * c + math.e
+            return c / t * math.log(1 + c / max(1, lc) * t / lt) / math.log(base)
+
         density, total = [0.0] * n, [0.0] * n
         for i in range(n):
-            c, lc = chars[i], link_chars[i]
-            if not c or self.noise[i]:
-                continue
-            t, lt = max(1, tags[i]), max(1, link_tags[i])
-            base = c / max(1, c - lc) * lc + share * c + math.e
-            density[i] = c / t * math.log(1 + c / max(1, lc) * t / lt) / math.log(base)
-        for i in range(1, n):
-            total[self.parent[i]] += density[i]
+            if block[i] == i and not self.noise[i]:
+                density[i] = of(chars[i], link_chars[i], tags[i], link_tags[i])
+                total[i] += of(*line[i])
+                if i:
+                    total[block[self.parent[i]]] += density[i]
         return density, total
 
-    def content(self) -> list[bool]:
-        """Which nodes belong to the main text."""
+    def chosen(self) -> list[int]:
+        """The subtrees of the main text: that of the greatest sum, and those beside it that reach its threshold."""
         n = len(self.name)
         density, total = self.densities()
-        inside = [False] * n
-        live = [i for i in range(n) if not self.noise[i] and self.text[i] is None]
-        if not live:
-            return inside
-        best = max(live, key=lambda i: (total[i], -i))
-        if total[best] <= 0:
-            return inside
-        path, node, named = [best], best, -1
-        while node >= 0:
-            path.append(node)
+        blocks = [i for i in range(n) if total[i] > 0]
+        if not blocks:
+            return []
+        best = max(blocks, key=lambda i: (total[i], -i))
+        path, node, bound = [], best, 0
+        while node > 0:
+            if self.name[node] in BLOCK or node == best:
+                path.append(node)
             if self.name[node] in ARTICLE:
-                named = node
+                bound = node
             node = self.parent[node]
-        if named >= 0:
-            inside[named] = True
-        else:
-            threshold = min(density[i] for i in path if density[i] > 0) if any(density[i] > 0 for i in path) else 0.0
-            inside[best] = True
-            # Subtrees that reach the threshold, outermost first, give their own greatest sum.
-            greatest = list(range(n))
-            for i in range(n - 1, 0, -1):
-                if not self.noise[i] and self.text[i] is None and total[greatest[i]] > total[greatest[self.parent[i]]]:
-                    greatest[self.parent[i]] = greatest[i]
-            on_path = set(path)
-            taken = [False] * n
-            for i in live[1:]:
-                taken[i] = taken[self.parent[i]]
-                if not taken[i] and i not in on_path and density[i] >= threshold > 0 and self.name[i] not in ("html", "body"):
-                    inside[greatest[i] if total[greatest[i]] > 0 else i] = True
-                    taken[i] = True
+        threshold = min(density[i] for i in path) if path else 0.0
+        # Subtrees that reach the threshold, outermost first, give their own greatest sum.
+        greatest = list(range(n))
+        for i in range(n - 1, 0, -1):
+            up = self.parent[i]
+            if total[greatest[i]] > total[greatest[up]]:
+                greatest[up] = greatest[i]
+        found, on_path, done = [best], set(path), [False] * n
+        done[best] = True
+        within = [i == bound for i in range(n)]
         for i in range(1, n):
+            within[i] = within[i] or within[self.parent[i]]
+            done[i] = done[i] or done[self.parent[i]]
+            if within[i] and not done[i] and i not in on_path and density[i] >= threshold > 0 and self.name[i] not in ("html", "body"):
+                found.append(greatest[i] if total[greatest[i]] > 0 else i)
+                done[i] = True
+        if bound and self._characters(found) > WIDENED * self._characters([bound]):
+            return [bound]
+        return found
+
+    def _under(self, tops: list[int]) -> list[bool]:
+        """Which nodes are in the subtrees of ``tops`` and not noise."""
+        inside = [False] * len(self.name)
+        for i in tops:
+            inside[i] = True
+        for i in range(1, len(inside)):
             inside[i] = (inside[i] or inside[self.parent[i]]) and not self.noise[i]
         return inside
 
+    def _characters(self, tops: list[int]) -> int:
+        return sum(sum(map(len, self.text[i].split())) for i, there in enumerate(self._under(tops)) if there and self.text[i])
+
+    def content(self) -> list[bool]:
+        """Which nodes belong to the main text."""
+        return self._under(self.chosen())
+
     def blocks(self) -> list[str]:
         """The main text's blocks in page order."""
         inside = self.content()
