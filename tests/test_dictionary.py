@@ -1,8 +1,12 @@
 from __future__ import annotations
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
+from truegrain.errors import RuleError
+from truegrain.functions.keywords import with_class
 from truegrain.plans import dictionary as D
 from truegrain.sources.readers import schema_table
 
@@ -138,3 +142,27 @@ def test_operational_table_and_rules(spark, table, sheets):
         "validate_sum", "loan_amnt", "3", True,
     )
     assert rules.where(F.col("expected_value").isNotNull()).count() == 1
+
+
+def test_keywords_by_index_as_by_search(spark):
+    pick = random.Random(2)
+    letters = "abcdé "
+    keywords = sorted({(pick.randrange(5), pick.choice("xyz"), "".join(pick.choices(letters, k=pick.randrange(1, 7)))) for _ in range(400)})
+    texts = ["".join(pick.choices("abcdefé ", k=pick.randrange(0, 60))) for _ in range(300)] + ["", "a", "ab", None, "😀é", "ffff" * 3_000]
+    for some in (keywords, keywords[::40], [(1, "x", "é")], []):
+        df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, __text string")
+        found = {r["i"]: r["c"] for r in with_class(df, F.col("__text"), some, "none", "c").collect()}
+        for i, text in enumerate(texts):
+            there = [(p, c) for p, c, k in some if k in (text or "")]
+            assert found[i] == (min(there)[1] if there else "none")
+
+
+def test_categories_from_a_table(spark):
+    rules = spark.createDataFrame([("b", 2, "Rate"), ("a", 1, "INTEREST"), ("c", 3, None), (None, 0, "x"), ("d", 0, "")], "class string, priority int, pattern string")
+    df = spark.createDataFrame([("Interest rate",), ("rate",), ("x",), (None,)], "Description string")
+    found = D.categorise(df, rules)
+    assert found.columns == ["Description", "business_category"]
+    assert [r["business_category"] for r in found.collect()] == ["a", "b", "other", "other"]
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+    with pytest.raises(RuleError):
+        D.categorise(df, rules.drop("priority"))

@@ -477,6 +477,10 @@ ORACLE: dict[str, str] = {
         SELECT category, count(*) AS n
         FROM (SELECT {CATEGORY} AS category FROM (SELECT lower(text) AS t FROM documents))
         GROUP BY category""",
+    "category_rules_table": f"""
+        SELECT 'document' AS kind, doc_id AS id, {CATEGORY} AS category
+        FROM (SELECT doc_id, coalesce(lower(text), '') AS t FROM documents)
+        UNION ALL SELECT 'letter', c_custkey, c_nationkey::VARCHAR FROM customer""",
     "description_class": f"""
         SELECT doc_id, {CLASS} AS category FROM (SELECT doc_id, lower(text) AS t FROM documents)""",
     "test_functions": f"""

@@ -417,6 +417,22 @@ def business_category(s: Source) -> DataFrame:
     )
 
 
+@query
+def category_rules_table(s: Source) -> DataFrame:
+    """The business category of every document, and of names by a table with a keyword for each customer."""
+    rows = [(c, i, k.upper()) for i, (c, keywords) in enumerate(D.BUSINESS_CATEGORIES) for k in keywords]
+    rules = s.spark.createDataFrame([*rows, ("never", 0, None), ("never", 0, "")], "class string, priority int, pattern string")
+    documents = D.categorise(s.documents, rules, description="text", result_as="category")
+    named = s.customer.select(
+        F.col("c_nationkey").cast("string").alias("class"), F.col("c_custkey").alias("priority"), F.col("c_name").alias("pattern")
+    )
+    greeting = s.customer.select("c_custkey", F.concat(F.lit("Dear "), "c_name", F.lit(", hello")).alias("text"))
+    letters = D.categorise(greeting, named, description="text", result_as="category")
+    return documents.select(F.lit("document").alias("kind"), F.col("doc_id").alias("id"), "category").union(
+        letters.select(F.lit("letter"), "c_custkey", "category")
+    )
+
+
 @query
 def description_class(s: Source) -> DataFrame:
     return D.categorise(

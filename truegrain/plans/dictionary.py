@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from truegrain.functions.columns import ref
+from truegrain.functions.keywords import keywords_of, with_class
 from truegrain.functions.text import first_class, normalised_name
 from truegrain.operators.columns import non_null_profile
 from truegrain.operators.similarity import best_matches
@@ -145,11 +146,17 @@ def flag_required(
 
 def categorise(
     mapping: DataFrame,
-    classes: Sequence[tuple[str, Sequence[str]]] = BUSINESS_CATEGORIES,
+    classes: Sequence[tuple[str, Sequence[str]]] | DataFrame = BUSINESS_CATEGORIES,
     description: str = "Description",
     result_as: str = "business_category",
 ) -> DataFrame:
-    """Add the first class one of whose keywords is in the description; none gives other."""
+    """Add the first class one of whose keywords is in the description; none gives other.
+
+    ``classes`` may be a table (class, priority, pattern) of any number of keywords; least
+    priority comes first.
+    """
+    if isinstance(classes, DataFrame):
+        return with_class(mapping, F.lower(ref(description)), keywords_of(classes), OTHER, result_as)
     lowered = mapping.withColumn("__lowered", F.lower(ref(description)))
     return lowered.withColumn(
         result_as, first_class(F.col("__lowered"), classes, OTHER)
