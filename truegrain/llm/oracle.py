@@ -47,6 +47,80 @@ REPEATS = """
 
 
 
+#: Turn by turn: the cost to go before each, from the last to the first; then the edits, from the first.
+#: States: 1 nothing yet, 2 after s, 3 after u, 4 after a; an insertion leads to ``inserted``.
+REPAIR = r"""
+    WITH RECURSIVE raw AS (
+        SELECT coalesce(conv_id::VARCHAR, ' ') AS c, conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+               c || ':' || coalesce(turn::VARCHAR, ' ') AS key
+        FROM conversations),
+    fated AS (
+        SELECT *, xor(4294967295, list_reduce(
+                   list_concat([4294967295::BIGINT], list_transform(string_split(key, ''), lambda x: ord(x)::BIGINT)),
+                   lambda crc, b: list_reduce(list_concat([xor(crc, b)], range(8)),
+                                              lambda x, k: xor(x >> 1, 3988292384 * (x & 1))))) % 20 AS fate
+        FROM raw),
+    damaged AS (
+        SELECT c, turn, CASE fate WHEN 4 THEN 'user' ELSE role END AS role,
+               CASE fate WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+        FROM fated, unnest(range(CASE fate WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END))),
+    ordered AS (
+        SELECT *, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, role, text) AS i,
+               row_number() OVER (PARTITION BY c, role, text ORDER BY turn NULLS FIRST) AS nth FROM damaged),
+    r AS (
+        SELECT c, i, turn, role, text, left(role, 1) AS letter,
+               CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank' WHEN nth > 1 THEN 'duplicate'
+                    WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') THEN 'truncated' ELSE '' END AS fault,
+               fault IN ('blank', 'duplicate') AS gone, CASE fault WHEN 'truncated' THEN 5 ELSE 0 END AS more
+        FROM ordered),
+    n AS (SELECT c, count(*) AS n FROM r GROUP BY c),
+    b AS (
+        SELECT c, n + 1 AS i, [0, 10, 5, 0] AS v FROM n
+        UNION ALL
+        SELECT c, i, [least(c1, 5 + c3, 10 + c4), least(c2, 5 + c3, 10 + c4), least(c3, 5 + c4), least(c4, 5 + c3)]
+        FROM (
+            SELECT r.c, r.i, v, CASE WHEN gone THEN 1000000000 ELSE 1 + more END AS change,
+                   CASE WHEN gone THEN 1000000000 ELSE more END AS keep,
+                   least(2 + v[1], change + v[3], CASE letter WHEN 'u' THEN keep + v[3] WHEN 's' THEN keep + v[2] ELSE 2 + v[1] END) AS c1,
+                   least(2 + v[2], change + v[3], CASE letter WHEN 'u' THEN keep + v[3] ELSE 2 + v[2] END) AS c2,
+                   least(2 + v[3], change + v[4], CASE letter WHEN 'a' THEN keep + v[4] ELSE 2 + v[3] END) AS c3,
+                   least(2 + v[4], change + v[3], CASE letter WHEN 'u' THEN keep + v[3] ELSE 2 + v[4] END) AS c4
+            FROM b JOIN r ON r.c = b.c AND r.i = b.i - 1)),
+    f AS (
+        SELECT c, 1::BIGINT AS i, 1 AS s, '' AS audit, ''::VARCHAR AS lines FROM n
+        UNION ALL
+        SELECT c, CASE edit WHEN 'I' THEN i ELSE i + 1 END,
+               CASE edit WHEN 'D' THEN s WHEN 'K' THEN kept ELSE inserted END, audit || edit,
+               lines || CASE edit WHEN 'D' THEN '' ELSE chr(10) || CASE edit WHEN 'K' THEN role ELSE named END || ':'
+                                      || CASE edit WHEN 'I' THEN '' ELSE text END END
+        FROM (
+            SELECT f.*, r.role, r.text, CASE s WHEN 3 THEN 4 ELSE 3 END AS inserted,
+                   CASE s WHEN 3 THEN 'assistant' ELSE 'user' END AS named,
+                   CASE WHEN gone THEN NULL WHEN letter = 'u' AND s <> 3 THEN 3 WHEN letter = 'a' AND s = 3 THEN 4
+                        WHEN letter = 's' AND s = 1 THEN 2 END AS kept,
+                   CASE WHEN r.i IS NULL THEN 'I'
+                        WHEN 2 + later.v[s] = here.v[s] THEN 'D'
+                        WHEN 5 + here.v[inserted] = here.v[s] THEN 'I'
+                        WHEN more + later.v[kept] = here.v[s] THEN 'K' ELSE 'R' END AS edit
+            FROM f JOIN b here ON here.c = f.c AND here.i = f.i
+            LEFT JOIN r ON r.c = f.c AND r.i = f.i
+            LEFT JOIN b later ON later.c = f.c AND later.i = f.i + 1
+            WHERE r.i IS NOT NULL OR s IN (2, 3))),
+    done AS (SELECT f.c, audit, lines FROM f JOIN n ON n.c = f.c AND f.i = n + 1 WHERE s IN (1, 4)),
+    counted AS (
+        SELECT c, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+               count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+               count(*) FILTER (fault = 'truncated') AS truncated,
+               count(*) FILTER (before IS NOT NULL AND before || letter NOT IN ('su', 'ua', 'au')) AS illegal
+        FROM (SELECT *, lag(letter) OVER (PARTITION BY c ORDER BY i) AS before FROM r) GROUP BY c)
+    SELECT raw.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank,
+           coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+           coalesce(illegal, 0)::BIGINT AS illegal, coalesce(b.v[1], 0)::BIGINT AS cost, coalesce(audit, '') AS audit,
+           sha256(coalesce(lines[2:], '')) AS repaired_sha256
+    FROM (SELECT DISTINCT c, conv_id FROM raw) raw
+    LEFT JOIN counted USING (c) LEFT JOIN done USING (c) LEFT JOIN b ON b.c = raw.c AND b.i = 1"""
+
+
 def _vector_codes(rounds: int = 6, parts: int = 8, entries: int = 16) -> str:
     """Every distance of every round; an entry of a codebook is a row for each position."""
     tables = [
@@ -90,5 +164,6 @@ def _vector_codes(rounds: int = 6, parts: int = 8, entries: int = 16) -> str:
 ORACLE = {
     "op9_deep_shallow_repeats": REPEATS,
     "op10_prefix_tree_join": COMPONENTS,
+    "op12_turn_repair": REPAIR,
     "op13_orchard_codes": _vector_codes(),
 }
