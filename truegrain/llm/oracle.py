@@ -65,8 +65,8 @@ REPAIR = r"""
                CASE fate WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
         FROM fated, unnest(range(CASE fate WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END))),
     ordered AS (
-        SELECT *, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, role, text) AS i,
-               row_number() OVER (PARTITION BY c, role, text ORDER BY turn NULLS FIRST) AS nth FROM damaged),
+        SELECT *, row_number() OVER (PARTITION BY c, role, text ORDER BY i) AS nth
+        FROM (SELECT *, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, role, text) AS i FROM damaged)),
     r AS (
         SELECT c, i, turn, role, text, left(role, 1) AS letter,
                CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank' WHEN nth > 1 THEN 'duplicate'
