@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from truegrain.errors import RuleError
-from truegrain.functions.columns import free_name
+from truegrain.functions.columns import free_name, ref
 
 
 # No cell holds this text, so the reader takes nothing but missing cells for NULL.
@@ -32,8 +32,7 @@ def read_csv(
     it both are NULL. A line with too few or too many cells is cut or filled with NULL, and
     so is a value that a declared type cannot hold; with ``keep_malformed`` such a line also
     stands whole in one more column, ``malformed_line``, which is NULL elsewhere: the test
-    ``check_malformed`` counts these lines, and rejected rows keep them. (The engine rejects
-    queries that use no other column of the file.)
+    ``check_malformed`` counts these lines, and rejected rows keep them.
     """
     if keep_malformed and infer_types:
         raise RuleError("types cannot be inferred while malformed lines are kept; declare a schema")
@@ -45,7 +44,7 @@ def read_csv(
     if keep_malformed:
         if schema is None:
             schema = reader.option("inferSchema", False).csv(path).schema  # reads a header
-        return _with_malformed(spark, reader, schema).csv(path)
+        return _with_malformed(spark, reader, schema, path)
     if schema is not None:
         return reader.schema(schema).csv(path)
     return reader.option("inferSchema", infer_types).csv(path)
@@ -54,18 +53,22 @@ def read_csv(
 _MALFORMED = "truegrain.malformed_line"
 
 
-def _with_malformed(spark: SparkSession, reader: DataFrameReader, schema: str | T.StructType) -> DataFrameReader:
-    """The reader with a marked column for the text of malformed lines."""
-    known = spark.createDataFrame([], schema) if isinstance(schema, str) else spark.createDataFrame([], T.StructType(schema.fields))
+def _with_malformed(spark: SparkSession, reader: DataFrameReader, schema: str | T.StructType, path: str) -> DataFrame:
+    """The table with a marked column for the text of malformed lines."""
+    known = spark.createDataFrame([], schema if isinstance(schema, str) else T.StructType(schema.fields))
     name = free_name(known, "malformed_line")
-    kept = T.StructField(name, T.StringType(), True, {_MALFORMED: True})
     # Without pruning every line is parsed whole, whichever columns a query needs.
-    return (
-        reader.schema(T.StructType([*known.schema.fields, kept]))
+    read = (
+        reader.schema(T.StructType([*known.schema.fields, T.StructField(name, T.StringType())]))
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", name)
         .option("columnPruning", False)
+        .csv(path)
     )
+    # The reader wants another column beside the line in every query, so one is part of it.
+    there = F.concat_ws("", ref(name), ref(known.columns[0]).cast("string")) != ""
+    line = F.when(ref(name).isNotNull() & there, ref(name))
+    return read.select(*[ref(c) for c in known.columns], line.alias(name, metadata={_MALFORMED: True}))
 
 
 def malformed_column(df: DataFrame) -> str:
