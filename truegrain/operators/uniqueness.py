@@ -32,10 +32,10 @@ def duplicate_groups(
     """Each key that occurs more than once, with its number of rows.
 
     NULL keys form a group of their own. Counting starts before the shuffle, so a
-    hot key sends one partial count per task, not its rows. Wide keys, such as whole
-    texts, are counted by two 64-bit digests first; only rows whose digest repeats are
-    then grouped by the keys themselves, so texts that occur once never leave their task
-    while the repeated digests are few enough to broadcast.
+    hot key sends one partial count per task, not its rows. Of wide keys, such as whole
+    texts, two 64-bit digests are counted first, and a table of bits, of bounded size and
+    broadcast, says which digests repeat: only these rows are then grouped by the keys
+    themselves, so next to no text that occurs once leaves its task.
     """
     names = key_names(keys)
     if count_as in names:
@@ -50,18 +50,25 @@ def duplicate_groups(
     )
 
 
+#: Bits of that table: at most a 64th of them are rows, about 4 MB.
+_TABLE_BITS = 1 << 24
+
+
 def _rows_that_may_repeat(rows: DataFrame, names: list[str]) -> DataFrame:
-    """Rows whose digest another row has too: all that repeat, and next to no others."""
+    """All rows whose digest another row has too, and others as far as bits of their digests fall together."""
     values = [canonical(ref(n), rows.schema[n].dataType) for n in names]
     one, two = F.xxhash64(*values), F.xxhash64(F.lit(1), *values[::-1], F.lit(2))
-    marked = rows.withColumns({"__one": one, "__two": two})
-    repeated = (
-        marked.groupBy("__one", "__two")
-        .agg(F.count(F.lit(1)).alias("__n"))
-        .where("__n > 1")
-        .select("__one", "__two")
-    )
-    return marked.join(repeated, ["__one", "__two"], "left_semi").drop("__one", "__two")
+    repeated = rows.groupBy(one.alias("one"), two.alias("two")).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+
+    def place(first: Column, second: Column) -> tuple[Column, Column]:
+        at = F.pmod(F.xxhash64(first, second), F.lit(_TABLE_BITS))
+        return F.floor(at / 64), F.call_function("shiftleft", F.lit(1).cast("bigint"), (at % 64).cast("int"))
+
+    word, bit = place(F.col("one"), F.col("two"))
+    bits = repeated.select(word.alias("__word"), bit.alias("__bit")).groupBy("__word").agg(F.bit_or("__bit").alias("__bits"))
+    word, bit = place(one, two)
+    met = rows.withColumns({"__at": word, "__bit": bit}).join(F.broadcast(bits), F.col("__at") == F.col("__word"))
+    return met.where(F.col("__bits").bitwiseAND(F.col("__bit")) != 0).select(*[ref(n) for n in names])
 
 
 def keyed_duplicates(table: Hashable, df: DataFrame, keys: str | Sequence[str]) -> KeyedCheck:
