@@ -422,3 +422,52 @@ def test_rows_with_broken_keys_are_rejected(spark, loans):
     assert suite.clean_rows(named, rules, "loans").count() == 3
     with pytest.raises(suite.RuleError):
         suite.row_verdicts(named, rules, "loans", tables={})
+
+
+def many_keyed_rules(spark):
+    keys = (["a"], ["b"], ["t"], ["f"], ["a", "b"], ["b", "a"], ["a", "t"], ["t", "f"], ["f", "n"], ["a", "b", "t"])
+    links = (("a", "a"), ("a", "n"), ("b", "a"), ("n", "b"), ("t", "t"), ("f", "a"))
+    values = (("t", "a", False), ("b", "a", True), ("f", "t", False), ("n", ["a", "t"], True))
+    return rules_of(
+        spark,
+        *[("loans", False, "check_duplicates", None, {"keys": k}) for k in keys],
+        *[("loans", False, "check_foreign_key", c, {"ref_table": "other", "ref_column": r}) for c, r in links],
+        *[("loans", False, "check_consistency", c, {"other_table": "other", "key": k, "null_safe": s}) for c, k, s in values],
+    )
+
+
+@pytest.mark.parametrize("hot_least", [3, 10, 10_000])
+def test_dealt_rules_agree_with_plans_of_their_own(spark, monkeypatch, hot_least):
+    monkeypatch.setattr(keyed, "DEAL_FROM", 1)
+    monkeypatch.setattr(keyed, "_HOT_LEAST", hot_least)
+    monkeypatch.setattr(keyed, "_FEW", 1)
+    rows = spark.range(400).selectExpr(
+        "if(id % 3 = 0, null, id % 90) a", "cast(id % 7 as int) b", "if(id % 11 = 0, null, concat('t', id % 50)) t",
+        "if(id % 13 = 0, double('nan'), id % 40 - 0.0) f", "if(id % 5 = 0, null, cast(id % 60 as int)) n",
+    )
+    other = rows.where("a > 20 or t > 't3'").selectExpr("a + 1 a", "b", "t", "f * 2 f", "n").union(rows.limit(9))
+    tables = {"loans": rows, "other": other}
+    rules = many_keyed_rules(spark)
+    context = Context(spark, suite.table_lookup(spark, tables, None))
+    alone = [build_frame(context, rows, r, parameters(r)).collect()[0] for r in suite.active_rules(rules)]
+    assert sorted(map(tuple, run_suite(spark, rules, tables).collect())) == sorted(map(tuple, alone))
+
+
+def test_rows_are_sent_once_for_the_rules_of_a_column(spark, monkeypatch, tmp_path):
+    """What is sent grows with the rows, not with rules on keys that share a column."""
+    spark.range(60_000).selectExpr("id a", "hash(id) b", "xxhash64(id) c", "id * 7 d").write.parquet(str(tmp_path / "loans"))
+    tables = {"loans": spark.read.parquet(str(tmp_path / "loans"))}
+    keys = (["a"], ["a", "b"], ["a", "c"], ["a", "d"], ["a", "b", "c"], ["a", "b", "d"], ["a", "c", "d"], ["a", "b", "c", "d"])
+    monkeypatch.setattr(keyed, "DEAL_FROM", 1)
+    rules = rules_of(spark, *[("loans", False, "check_duplicates", None, {"keys": k}) for k in keys])
+    context = Context(spark, suite.table_lookup(spark, tables, None))
+    checks = [suite._plan(r, context).keyed for r in suite.active_rules(rules)]
+    plan = evaluate_keyed(checks)
+    assert {r["violations"] for r in plan.collect()} == {0}
+    # No record is sent for a rule: all rules are dealt by the one column, each row once.
+    tables = keyed._tables(checks)
+    (deal,) = keyed._deals(tables)
+    assert deal.checks == set(range(len(keys))) and not deal.hot
+    assert keyed._combined(tables, [deal], (4, 0)) is None
+    text = plan._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert text.count("REPARTITION_BY_NUM") == 1

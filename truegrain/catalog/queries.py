@@ -641,7 +641,7 @@ def shared_scan_rules(s: Source) -> tuple[DataFrame, dict[str, DataFrame]]:
 
 @query
 def suite_shared_scan(s: Source) -> DataFrame:
-    """All keyed rules of a table by one reading of each table."""
+    """All keyed rules of a table by readings of each table that they share."""
     return _without_message(suite.run_suite(s.spark, *shared_scan_rules(s)))
 
 

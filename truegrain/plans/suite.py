@@ -168,7 +168,7 @@ def _together_rows(items: list[_Planned], context: Context) -> list[tuple]:
 
 
 def _keyed_rows(items: list[_Planned], context: Context) -> list[tuple]:
-    """All keyed rules in one pass; one whose digests clash is counted by its own plan."""
+    """All keyed rules together; one whose digests clash is counted by its own plan."""
     found = []
     for row in evaluate_keyed([i.keyed for i in items], [i.rule.label for i in items]).collect():
         if row["clashed"]:
@@ -239,7 +239,7 @@ def run_suite(
     """The results of all active rules, a row for each.
 
     All single-table scalar checks of a file share one aggregation, all checks on keys
-    share another that reads each table once; the others have plans of their own. Critical rules run first: if one
+    share few readings of each table; the others have plans of their own. Critical rules run first: if one
     does not pass, the others are reported as Skipped and never planned. A rule that
     cannot work (no test case id, unknown test or column, bad parameters, a failure
     while it runs) is an Error row and does not disturb the rest. ``csv`` has options of
