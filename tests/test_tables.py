@@ -307,3 +307,14 @@ def test_whole_numbers_and_floats_are_compared_exactly(spark, outcome):
     left = spark.createDataFrame([(1, 9007199254740993), (2, 5)], "i int, v bigint")
     right = spark.createDataFrame([(1, 9007199254740992.0), (2, 5.0)], "i int, v double")
     assert outcome(consistency.check_consistency(left, right, "i", "v")) == ("Failed", 1)
+
+
+def test_images_of_many_columns_are_coded_once(spark):
+    """Code that grows with the columns is not compiled, and took 2 microseconds for a value."""
+    df = spark.range(10).selectExpr(*[f"cast(id + {i} as double) as c{i}" for i in range(20)])
+
+    def logarithms(columns):
+        plan = outliers._round(outliers._single(df, [F.col(c) for c in columns]), 0, {}, len(columns))
+        return plan._jdf.queryExecution().optimizedPlan().toString().count("LOG2")
+
+    assert logarithms(df.columns) == logarithms(df.columns[:1]) > 0

@@ -42,18 +42,18 @@ def _is_finite(value: Column) -> Column:
     return F.abs(value) < F.lit(math.inf)  # NaN is greater than all
 
 
-def images(df: DataFrame, numbers: Sequence[Column], keep: bool = False) -> DataFrame:
+def images(df: DataFrame, numbers: Sequence[Column], keep: bool = False, beside: Sequence[str] = ()) -> DataFrame:
     """Columns ``v0``, ``v1`` ... : a bigint for each finite double that orders them as their values
     do, its bits, negated for negative ones; NULL for all else. With ``keep`` also the numbers,
-    as ``n0``, ``n1`` ...
+    as ``n0``, ``n1`` ...; ``beside`` are columns of ``df`` to keep too, before these.
 
     Steps are selections of their own, as each is used several times by the next.
     """
     places = range(len(numbers))
     v, size, guess, scaled = ([F.col(f"{name}{i}") for i in places] for name in ("v", "a", "g", "s"))
-    found = df.select(*[n.alias(f"v{i}") for i, n in enumerate(numbers)])
+    found = df.select(*beside, *[n.alias(f"v{i}") for i, n in enumerate(numbers)])
     own = [v[i].alias(f"n{i}") for i in places] if keep else []
-    found = found.select(*[F.when(_is_finite(v[i]), v[i]).alias(f"v{i}") for i in places], *own)
+    found = found.select(*beside, *[F.when(_is_finite(v[i]), v[i]).alias(f"v{i}") for i in places], *own)
     found = found.select("*", *[F.abs(v[i]).alias(f"a{i}") for i in places])
     exponents = [F.greatest(F.least(F.floor(F.log2(size[i])), F.lit(1023)), F.lit(-1022)).cast("int") for i in places]
     found = found.select("*", *[e.alias(f"g{i}") for i, e in enumerate(exponents)])
@@ -69,7 +69,7 @@ def images(df: DataFrame, numbers: Sequence[Column], keep: bool = False) -> Data
         whole = F.when(size[i] < F.lit(_SMALLEST_NORMAL), subnormal).otherwise(normal)
         return whole * F.when(v[i] < 0, -1).otherwise(1)
 
-    return found.select(*[bits(i).alias(f"v{i}") for i in places], *([f"n{i}" for i in places] if keep else []))
+    return found.select(*beside, *[bits(i).alias(f"v{i}") for i in places], *([f"n{i}" for i in places] if keep else []))
 
 
 def value_of(bits: int) -> float:
@@ -84,16 +84,26 @@ def _digit(bits: Column, place: int) -> Column:
     return F.shiftright(bits, shift) if place == 0 else F.shiftright(bits, shift).bitwiseAND(F.lit(0xFFFF))
 
 
+def _single(df: DataFrame, numbers: Sequence[Column]) -> DataFrame:
+    """(col, v0): the image of each finite value of any of the columns, a row for each.
+
+    One value at a time, so that the code of an image is there once: that of many columns is
+    longer than the engine's compiler takes, and runs many times slower.
+    """
+    single = df.select(F.posexplode(F.array(*numbers)).alias("col", "n"))
+    return images(single.where(_is_finite(F.col("n"))), [F.col("n")], beside=["col"])
+
+
 def _round(values: DataFrame, place: int, wanted: Mapping[int, Sequence[int]], columns: int) -> DataFrame:
     """(col, prefix, digit, n): how many values of a column have the digit behind a wanted prefix."""
-    records = []
-    for i in range(columns):
-        bits = F.col(f"v{i}")
-        prefix = F.lit(0).cast("bigint") if place == 0 else F.shiftright(bits, 64 - _BITS * place)
-        test = bits.isNotNull() if place == 0 else prefix.isin([int(p) for p in wanted.get(i, ())])
-        record = F.struct(F.lit(i).alias("col"), prefix.alias("prefix"), _digit(bits, place).alias("digit"))
-        records.append(F.when(test, record))
-    found = values.select(F.inline(F.array(*records))).where(F.col("col").isNotNull())
+    bits = F.col("v0")
+    prefix = F.lit(0).cast("bigint") if place == 0 else F.shiftright(bits, 64 - _BITS * place)
+    record = F.struct("col", prefix.alias("prefix"), _digit(bits, place).alias("digit"))
+    if place:
+        listed = [F.array(*[F.lit(int(p)) for p in wanted.get(i, ())]).cast("array<bigint>") for i in range(columns)]
+        record = F.when(F.array_contains(F.get(F.array(*listed), F.col("col")), prefix), record)
+    # A filter of its own would be moved below the steps of the images, and repeat them.
+    found = values.select(F.inline(F.array(record))).where(F.col("col").isNotNull())
     return found.groupBy("col", "prefix", "digit").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -112,7 +122,7 @@ def quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[flo
         middle = COLUMNS_PER_PASS
         return quantiles(df, columns[:middle], probabilities) + quantiles(df, columns[middle:], probabilities)
     numbers = [_number(df, c) for c in columns]
-    values = images(df, numbers)
+    values = _single(df, numbers)
     group = Window.partitionBy("col", "prefix")
     running = group.orderBy("digit").rowsBetween(Window.unboundedPreceding, -1)
     # Of each column: by rank its prefix so far, and how many values are below that prefix.
