@@ -166,3 +166,23 @@ def test_categories_from_a_table(spark):
     assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
     with pytest.raises(RuleError):
         D.categorise(df, rules.drop("priority"))
+
+
+def test_large_tables_of_keywords_are_joined(spark, monkeypatch):
+    """As by the index, without collecting the keywords; before, all of them were."""
+    from truegrain.functions import keywords
+
+    pick = random.Random(4)
+    rules = [(pick.choice("xyz"), pick.randrange(9), "".join(pick.choices("abcé# ", k=pick.randrange(1, 9)))) for _ in range(300)]
+    rules += [("one", 3, "ABC#"), ("two", 3, "abc#"), ("none", None, "a"), (None, 1, "a"), ("empty", 0, ""), ("empty", 0, None), ("long", -1, "b" * 40 + "c")]
+    texts = ["".join(pick.choices("abcé# ", k=pick.randrange(0, 12))) for _ in range(150)] + [None, "", "B" * 41 + "C", "B" * 40] * 2
+    df = spark.createDataFrame([(t, "kept") for t in texts], "Description string, __key string")
+    table = spark.createDataFrame(rules, "class string, priority int, pattern string")
+    expected = D.categorise(df, table).collect()
+    monkeypatch.setattr(keywords, "LISTED", 10)
+    collected = []
+    monkeypatch.setattr(keywords, "with_class", lambda *args: collected.append(args))
+    found = D.categorise(df, table)
+    assert not collected and found.columns == ["Description", "__key", "business_category"]
+    assert sorted(map(str, found.collect())) == sorted(map(str, expected))
+    assert {r["business_category"] for r in expected} >= {"x", "other", "long"}

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from truegrain.functions.columns import ref
-from truegrain.functions.keywords import keywords_of, with_class
+from truegrain.functions.keywords import with_class_of
 from truegrain.functions.text import first_class, normalised_name
 from truegrain.operators.columns import non_null_profile
 from truegrain.operators.similarity import best_matches
@@ -156,7 +156,7 @@ def categorise(
     priority comes first.
     """
     if isinstance(classes, DataFrame):
-        return with_class(mapping, F.lower(ref(description)), keywords_of(classes), OTHER, result_as)
+        return with_class_of(mapping, F.lower(ref(description)), classes, OTHER, result_as)
     lowered = mapping.withColumn("__lowered", F.lower(ref(description)))
     return lowered.withColumn(
         result_as, first_class(F.col("__lowered"), classes, OTHER)
