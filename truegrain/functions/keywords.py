@@ -67,7 +67,9 @@ def _with_joined_class(df: DataFrame, text: Column, known: DataFrame, default: s
     What meets by hash is confirmed on the texts themselves; equal texts are one.
     """
     size = F.call_function("shiftleft", F.lit(1), F.length(F.bin(F.size("signs"))) - 1)
-    sized = known.withColumn("signs", F.split("pattern", "")).withColumn("size", size)
+    # Making runs is much work for little data, which small files or few bytes leave to one task.
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sized = known.repartition(tasks).withColumn("signs", F.split("pattern", "")).withColumn("size", size)
     runs = sized.select("pattern", "priority", "class", F.explode(_runs_of(F.col("signs"), F.col("size"))).alias("run"))
     runs = runs.withColumn("bucket", F.pmod("run", F.lit(_BUCKETS)))
     common = runs.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
@@ -82,7 +84,7 @@ def _with_joined_class(df: DataFrame, text: Column, known: DataFrame, default: s
     sizes = sorted(r["size"] for r in sized.select("size").distinct().collect())
     own, key, near = (free_name(df, name) for name in ("__text", "__key", "__near"))
     whole = F.coalesce(text, F.lit(""))
-    texts = df.select(whole.alias("text")).select(F.xxhash64("text").alias("of"), F.split("text", "").alias("signs"))
+    texts = df.select(whole.alias("text")).distinct().repartition(tasks).select(F.xxhash64("text").alias("of"), F.split("text", "").alias("signs"))
     held = texts.select("of", F.explode(F.flatten(F.array(*[_runs_of(F.col("signs"), F.lit(n)) for n in sizes]))).alias("held"))
     word, bit = place(F.col("held"))
     # Runs under which nothing is filed stay in their task, but for those that share a bit.
